@@ -55,10 +55,16 @@ DAILY_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 LAG_OFFSETS = [1, 3, 6, 12]
 
 
+def round6(c):
+    """Round to 6 places as ``round(x * 1e6) / 1e6`` on the binary value, the
+    same arithmetic SQL engines use for DOUBLE, so ties round identically."""
+    return F.round(c * F.lit(1e6), 0) / F.lit(1e6)
+
+
 def rounded(df: DataFrame) -> DataFrame:
     return df.select(
         *(
-            F.round(F.col(f"`{f.name}`"), 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
+            round6(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`")
             for f in df.schema.fields
         )
     )
