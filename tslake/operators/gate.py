@@ -74,10 +74,13 @@ def reconcile(entries: DataFrame, objects: DataFrame) -> DataFrame:
 
     ``objects``: distinct (batch_id, series_name) that have landed data.
     Issues: ``missing_object`` (committed change without data) and
-    ``orphan_object`` (data no committed manifest vouches for).
+    ``orphan_object`` (data of a series that no committed manifest lists,
+    e.g. everything landed by a failed batch). A series listed as unchanged
+    may carry an object (the source system copies the previous one).
     """
     claimed = committed_changes(entries).select(*BATCH_KEYS)
+    listed = entries.where(F.col("batch_status") == "committed").select(*BATCH_KEYS)
     landed = objects.select(*BATCH_KEYS).distinct()
     missing = claimed.join(landed, BATCH_KEYS, "left_anti").withColumn("issue", F.lit("missing_object"))
-    orphan = landed.join(claimed, BATCH_KEYS, "left_anti").withColumn("issue", F.lit("orphan_object"))
+    orphan = landed.join(listed, BATCH_KEYS, "left_anti").withColumn("issue", F.lit("orphan_object"))
     return missing.unionByName(orphan)

@@ -277,7 +277,8 @@ SELECT batch_id, series_name, 'missing_object' AS issue FROM claimed c
 WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.batch_id = c.batch_id AND l.series_name = c.series_name)
 UNION ALL
 SELECT batch_id, series_name, 'orphan_object' AS issue FROM landed l
-WHERE NOT EXISTS (SELECT 1 FROM claimed c WHERE l.batch_id = c.batch_id AND l.series_name = c.series_name)""",
+WHERE NOT EXISTS (SELECT 1 FROM entries c WHERE l.batch_id = c.batch_id AND l.series_name = c.series_name
+                  AND c.batch_status = 'committed')""",
     "batch_id_sanitize": """SELECT event_id,
   'manual__' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS batch_id_raw,
   regexp_replace('manual__' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00', '[:+/]', '_', 'g') AS batch_id
