@@ -33,7 +33,7 @@ from tslake.operators.state import (
 )
 from tslake.operators.upsert import merge_frames, upsert_table
 from tslake.plans.marts import build_mart
-from tslake.session import work_dir
+from tslake.session import checkpoint_root, work_dir
 from tslake.sources import bronze, tables
 from tslake.sources.catalog import SERIES_NAMES, catalog_frame, frequency_frame
 from tslake.sources.tables import PRIORITY_COLUMNS
@@ -70,6 +70,14 @@ def rounded(df: DataFrame) -> DataFrame:
     )
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder. Used for Gold in
+    long form (months x series rows): the marts read it twice (month axis
+    and values), and without it both reads would rescan the source tables."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _date(s: str):
     return F.lit(s).cast("date")
 
@@ -270,7 +278,7 @@ def q_gold_pivot(spark, sf):
 
 
 def _features(spark, sf, feats):
-    return rounded(wide_features(_priority_long(spark, sf), feats))
+    return rounded(wide_features(materialized(_priority_long(spark, sf)), feats))
 
 
 def q_lag_features(spark, sf):
@@ -307,7 +315,7 @@ def q_spread_midpoint(spark, sf):
 
 
 def q_pct_change_calendar(spark, sf):
-    long = _priority_long(spark, sf).where(F.col("reference_month") != _date(CALENDAR_GAP_MONTH))
+    long = materialized(_priority_long(spark, sf).where(F.col("reference_month") != _date(CALENDAR_GAP_MONTH)))
     out = calendar_lag(long, 12).withColumn("yoy_calendar", growth.pct_change(F.col("valor"), F.col("lag_12")))
     return rounded(out.select("series_name", "reference_month", "valor", "lag_12", "yoy_calendar"))
 
@@ -328,7 +336,7 @@ def q_gold_macro(spark, sf):
 
 def _mart(name):
     def run(spark, sf):
-        return rounded(build_mart(macro_gold_long(spark, sf), name))
+        return rounded(build_mart(materialized(macro_gold_long(spark, sf)), name))
 
     run.__name__ = f"q_{name}"
     return run
@@ -337,7 +345,7 @@ def _mart(name):
 # ---- sinks and round trips --------------------------------------------------
 def _gold_target(spark, sf):
     """A warehouse target loaded up to PUBLISHED_UNTIL, with one stale value."""
-    gold = to_wide(macro_gold_long(spark, sf), SERIES_NAMES)
+    gold = materialized(to_wide(macro_gold_long(spark, sf), SERIES_NAMES))
     path = work_dir(spark, "warehouse")
     stale = F.when(F.col("reference_month") == _date(STALE_MONTH), F.lit(0.0)).otherwise(F.col("selic"))
     gold.where(F.col("reference_month") < _date(PUBLISHED_UNTIL)).withColumn("selic", stale).write.parquet(path)
@@ -364,14 +372,14 @@ def q_high_water_month(spark, sf):
 
 
 def q_gold_overwrite(spark, sf):
-    gold = to_wide(macro_gold_long(spark, sf), SERIES_NAMES)
+    gold = materialized(to_wide(macro_gold_long(spark, sf), SERIES_NAMES))
     path = work_dir(spark, "gold")
     materialize(gold, path)
     return rounded(materialize(gold, path))
 
 
 def q_mart_materialize(spark, sf):
-    mart = build_mart(macro_gold_long(spark, sf), "mart_macro_credit_features")
+    mart = build_mart(materialized(macro_gold_long(spark, sf)), "mart_macro_credit_features")
     path = work_dir(spark, "mart")
     materialize(mart, path)
     return rounded(materialize(mart, path))
