@@ -48,9 +48,14 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "overwrite") -> None:
-    """Write with one task per output partition value set (no small files)."""
+    """Write grouped by the partition columns (few files per partition).
+
+    ``rebalance`` rather than ``repartition``: AQE splits a partition value
+    that is too large for one task (a hot series-year) over several tasks and
+    files, and merges small ones, instead of funnelling it through one writer.
+    """
     (
-        df.repartition(*partition_cols)
+        df.hint("rebalance", *partition_cols)
         .sortWithinPartitions(*partition_cols)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")

@@ -18,6 +18,18 @@ SESSION_DEFAULTS = {
 }
 
 
+# Recommended settings for a large cluster (not applied automatically): many
+# shuffle partitions that AQE coalesces to ~256 MB, skewed partitions split,
+# rebalance of skewed write partitions, scan splits of 256 MB.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tslake") -> SparkSession:
     """A local session for tests and the bench; clusters pass their own session."""
     builder = (
@@ -48,7 +60,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster the session carries it. Only where it is unset (local tests)
     a folder of our own is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
     current = sc.getCheckpointDir()
     if current:
         return current

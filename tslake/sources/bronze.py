@@ -43,7 +43,7 @@ def land(raw: DataFrame, root: str) -> None:
     """Write raw text rows of one or more batches. Re-landing a batch replaces
     exactly its partitions (dynamic overwrite), so a retry is idempotent."""
     (
-        raw.repartition(*PARTITIONS)
+        raw.hint("rebalance", *PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)
