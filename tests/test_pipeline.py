@@ -154,3 +154,17 @@ def test_batches_in_one_or_several_applications(spark, tmp_path):
     committed = clean_rows(parse_raw(gate_ops.gate(bronze.read_landed(spark, together), entries)))
     snap = snapshot_as_of(committed, F.lit("2020-01-31").cast("date"))
     assert sorted((r.series_name, r.data, r.valor, r.batch_id) for r in snap.collect()) == rows(together)
+
+
+def test_watermark_counts_committed_but_unapplied_batches(spark, tmp_root):
+    cat = catalog_frame(spark).where("series_name = 'selic'")
+    b1 = _fetched(spark, [("selic", "02/01/2020", "4.0")])
+    pipeline.ingest(spark, tmp_root, b1, "b1", "2020-01-05", catalog=cat)
+    # b1 is committed but Silver has not run: its rows must not land again
+    b2 = _fetched(spark, [("selic", "02/01/2020", "4.0"), ("selic", "03/01/2020", "4.1")])
+    m2 = pipeline.ingest(spark, tmp_root, b2, "b2", "2020-01-06", catalog=cat)
+    assert m2.select(F.col("series")["selic"]).first()[0] == "new_data"
+    landed = bronze.read_landed(spark, tmp_root).where("batch_id = 'b2'").collect()
+    assert [r.data for r in landed] == ["03/01/2020"]
+    applied = sorted(r.batch_id for r in pipeline.bronze_to_silver(spark, tmp_root).collect())
+    assert applied == ["b1", "b2"]

@@ -107,35 +107,65 @@ def _exists_json(spark: SparkSession, path: str, schema) -> bool:
 
 
 def committed_silver_watermarks(spark: SparkSession, root: str) -> DataFrame:
-    """Watermarks derived from Silver (empty frame before the first load)."""
+    """Watermarks of everything committed: Silver plus the committed batches
+    that Silver has not applied yet (D7: state must not run ahead of, or fall
+    behind, the committed data). Only the pending batches' folders are read."""
+    parts = []
     path = silver_path(root)
-    if not _exists(spark, path, SILVER):
+    if _exists(spark, path, SILVER):
+        parts.append(read_silver(spark, path).select("series_name", "data"))
+    pending, entries = _pending(spark, root)
+    if pending is not None:
+        ids = [r.batch_id for r in pending.select("batch_id").collect()]
+        if ids:
+            landed = bronze.read_landed(spark, root).where(F.col("batch_id").isin(ids))
+            typed = clean_rows(parse_raw(gate_ops.gate(landed, entries)))
+            parts.append(typed.select("series_name", "data"))
+    if not parts:
         return spark.createDataFrame([], "series_name string, last_reference_date date, rows_ingested bigint")
-    return watermarks(read_silver(spark, path).select("series_name", "data"))
+    obs = parts[0]
+    for p in parts[1:]:
+        obs = obs.unionByName(p)
+    return watermarks(obs)
 
 
-# ---- Bronze -> Silver -----------------------------------------------------
-def bronze_to_silver(spark: SparkSession, root: str) -> DataFrame:
-    """Apply every committed, not yet applied batch to Silver in one plan.
+APPLIED_SCHEMA = "batch_id string"
 
-    Returns the applied batch ids. Bad rows go to ``<root>/quarantine``.
-    """
+
+def _pending(spark: SparkSession, root: str):
+    """(pending committed batches, their manifest entries) or (None, None)."""
     from tslake.sources.schemas import MANIFEST
 
     if not _exists_json(spark, bronze.manifests_path(root), MANIFEST):
-        return spark.createDataFrame([], "batch_id string")
+        return None, None
     manifests = bronze.latest_manifests(bronze.read_manifests(spark, root))
     applied_dir = bronze.applied_path(root)
-    applied_schema = "batch_id string"
-    if _exists_json(spark, applied_dir, applied_schema):
-        applied = spark.read.schema(applied_schema).parquet(applied_dir)
+    if _exists_json(spark, applied_dir, APPLIED_SCHEMA):
+        applied = spark.read.schema(APPLIED_SCHEMA).parquet(applied_dir)
     else:
-        applied = spark.createDataFrame([], applied_schema)
-    pending = gate_ops.pending_batches(manifests, applied).checkpoint(eager=True)
+        applied = spark.createDataFrame([], APPLIED_SCHEMA)
+    pending = gate_ops.pending_batches(manifests, applied)
+    entries = gate_ops.manifest_entries(manifests.join(pending.select("batch_id"), "batch_id", "left_semi"))
+    return pending, entries
+
+
+def record_applied(batch_ids: DataFrame, root: str) -> None:
+    batch_ids.select("batch_id").write.mode("append").parquet(bronze.applied_path(root))
+
+
+# ---- Bronze -> Silver -----------------------------------------------------
+def bronze_to_silver(spark: SparkSession, root: str) -> DataFrame:
+    """Apply every committed, not yet applied batch to Silver in one plan.
+
+    Returns the applied batch ids. Bad rows go to ``<root>/quarantine``.
+    """
+    pending, entries = _pending(spark, root)
+    if pending is None:
+        return spark.createDataFrame([], APPLIED_SCHEMA)
+    pending = pending.checkpoint(eager=True)
     ids = [r.batch_id for r in pending.select("batch_id").collect()]  # pending batch ids only
     if not ids:
         return pending.select("batch_id")
-    entries = gate_ops.manifest_entries(manifests.where(F.col("batch_id").isin(ids)))
     landed = bronze.read_landed(spark, root).where(F.col("batch_id").isin(ids))
     parsed = parse_raw(gate_ops.gate(landed, entries)).checkpoint(eager=True)
     quarantine_rows(parsed).write.mode("append").parquet(f"{root.rstrip('/')}/quarantine")
@@ -146,7 +176,7 @@ def bronze_to_silver(spark: SparkSession, root: str) -> DataFrame:
         SILVER_ORDER,
     )
     upsert_silver(spark, source, silver_path(root))
-    pending.select("batch_id").write.mode("append").parquet(applied_dir)
+    record_applied(pending, root)
     return pending.select("batch_id")
 
 

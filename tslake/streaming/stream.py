@@ -41,6 +41,10 @@ def apply_manifests(spark: SparkSession, root: str, manifests: DataFrame) -> Non
     quarantine_rows(parsed).write.mode("append").parquet(f"{root.rstrip('/')}/quarantine")
     clean = clean_rows(parsed).select("series_name", "data", "valor", "ingestion_date", "batch_id", "year")
     upsert_silver(spark, latest_per_key(clean, ["series_name", "data"], ORDER), silver_path(root))
+    # Record the applied batches so a batch run does not apply them again.
+    spark.createDataFrame([(b,) for b in ids], "batch_id string").write.mode("append").parquet(
+        bronze.applied_path(root)
+    )
 
 
 def start_silver_stream(spark: SparkSession, root: str, checkpoint: str | None = None, available_now: bool = True):
