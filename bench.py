@@ -73,6 +73,36 @@ def shuffle_stats(log_dir: str) -> dict[str, dict[str, int]]:
     return {g: {"jobs": jobs[g], "shuffle_bytes": shuffle[g]} for g in jobs}
 
 
+def scaling_run(spark: SparkSession, sf_dir: str, factors: list[int]) -> dict[str, dict[str, float]]:
+    """Multiply the number of series k-fold (each order observed by k
+    entities, derived with ``explode`` from the given table) and time the
+    chain dedupe -> monthly mean -> lags 1/3/6/12 in long form."""
+    from pyspark.sql import functions as F
+
+    from tslake.operators.dedupe import latest_per_key
+    from tslake.operators.features import lag_long
+    from tslake.operators.gold import monthly
+    from tslake.sources import tables
+
+    out = {}
+    for k in factors:
+        obs = tables.obs_orders(spark, sf_dir)
+        entity = F.explode(F.sequence(F.lit(1), F.lit(k))).alias("i")
+        rep = obs.select("*", entity).select(
+            F.concat("series_name", F.lit("#"), F.col("i").cast("string")).alias("series_name"),
+            "data",
+            (F.col("valor") + F.col("i")).alias("valor"),
+            "o_orderkey",
+        )
+        silver = latest_per_key(rep, ["series_name", "data"], ["o_orderkey"]).select("series_name", "data", "valor")
+        long = monthly(silver, "daily")
+        spark.sparkContext.setJobGroup(f"scale_{k}", f"scale_{k}")
+        t0 = time.perf_counter()
+        lag_long(long, [1, 3, 6, 12]).write.format("noop").mode("overwrite").save()
+        out[str(k)] = {"sec": round(time.perf_counter() - t0, 3)}
+    return out
+
+
 def main() -> None:
     from tslake.plans.registry import QUERIES
 
@@ -98,6 +128,8 @@ def main() -> None:
             timings[name] = round(time.perf_counter() - t0, 3)
         except Exception as exc:  # keep going; report the failure
             errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+    factors = [int(x) for x in os.environ.get("BENCH_ENTITY_FACTORS", "").split(",") if x]
+    scaling = scaling_run(spark, sf_dir, factors) if factors else None
     sc.setJobGroup("done", "done")
     spark.stop()
     stats = shuffle_stats(log_dir)
@@ -112,6 +144,10 @@ def main() -> None:
         "jobs": {k: v["jobs"] for k, v in stats.items() if k in timings},
         "shuffle_bytes": {k: v["shuffle_bytes"] for k, v in stats.items() if k in timings},
     }
+    if scaling:
+        for k, v in scaling.items():
+            v.update(stats.get(f"scale_{k}", {}))
+        out["scaling"] = scaling
     if errors:
         out["errors"] = errors
     print(json.dumps(out))

@@ -23,23 +23,27 @@ def exact_mean(c: str):
     return F.try_divide(total, F.count(c).cast("double"))
 
 
-def monthly(obs: DataFrame, frequencies: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+def monthly(obs: DataFrame, frequencies: DataFrame | str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """One value per (series, month): daily series -> mean of the month,
     monthly series -> the non-NULL value with the earliest date.
 
-    ``frequencies`` is the catalogue (``series_name, frequency``); its size is
-    fixed by the catalogue, so it is broadcast. Series outside the catalogue
-    are not part of Gold. ``tiebreak`` orders rows with the same date (not
-    needed on Silver, which is unique per date). Two-stage hash aggregate:
-    partial aggregation before the shuffle bounds each task's output by the
-    number of (series, month) cells it sees.
+    ``frequencies`` is the catalogue (``series_name, frequency``; series
+    outside it are not part of Gold) or one frequency for every series. No
+    broadcast hint: the catalogue is a local relation whose size the planner
+    knows, so it is broadcast under ``autoBroadcastJoinThreshold``, and a
+    large derived frame is joined by shuffle instead. ``tiebreak`` orders rows
+    with the same date (Silver is unique per date and needs none). Two-stage
+    hash aggregate: partial aggregation before the shuffle bounds each task's
+    output by the number of (series, month) cells it sees.
     """
     order = F.struct("data", *tiebreak) if tiebreak else F.col("data")
     earliest = F.min_by("valor", F.when(F.col("valor").isNotNull(), order))
-    grouped = (
-        obs.join(F.broadcast(frequencies.select("series_name", "frequency")), "series_name")
-        .groupBy("series_name", "frequency", month_start("data").alias("reference_month"))
-        .agg(exact_mean("valor").alias("_avg"), earliest.alias("_first"))
+    if isinstance(frequencies, str):
+        joined = obs.withColumn("frequency", F.lit(frequencies))
+    else:
+        joined = obs.join(frequencies.select("series_name", "frequency"), "series_name")
+    grouped = joined.groupBy("series_name", "frequency", month_start("data").alias("reference_month")).agg(
+        exact_mean("valor").alias("_avg"), earliest.alias("_first")
     )
     value = (
         F.when(F.col("frequency") == "daily", F.col("_avg"))
