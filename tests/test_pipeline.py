@@ -168,3 +168,32 @@ def test_watermark_counts_committed_but_unapplied_batches(spark, tmp_root):
     assert [r.data for r in landed] == ["03/01/2020"]
     applied = sorted(r.batch_id for r in pipeline.bronze_to_silver(spark, tmp_root).collect())
     assert applied == ["b1", "b2"]
+
+
+def test_sql_views_and_observed_counts(spark, tmp_root):
+    cat = _catalog(spark)
+    rows = [("selic", "02/01/2020", "4.0"), ("ipca", "01/01/2020", "0.2"), ("dolar_venda", "02/01/2020", "4.02"),
+            ("dolar_compra", "02/01/2020", "4.00"), ("dolar_venda", "03/02/2020", "4.24"),
+            ("dolar_compra", "03/02/2020", "4.20"), ("selic", "bad", "1"), ("selic", "03/02/2020", "")]
+    pipeline.ingest(spark, tmp_root, _fetched(spark, rows), "v1", "2020-02-05", catalog=cat)
+    metrics = {}
+    pipeline.bronze_to_silver(spark, tmp_root, metrics)
+    assert metrics == {"rows_landed": 8, "rows_quarantined": 1, "rows_null_valor": 1}
+    pipeline.silver_to_gold(spark, tmp_root)
+    assert "stg_macro_monthly" in pipeline.register_views(spark, tmp_root)
+    sql = spark.sql("""
+        SELECT reference_month, dolar_venda - dolar_compra AS spread_cambio,
+               (dolar_venda / lag(dolar_venda) OVER (ORDER BY reference_month) - 1) * 100 AS cambio_mom
+        FROM stg_macro_monthly""")
+    view = spark.table("fct_exchange_rate").select("reference_month", "spread_cambio", "cambio_mom")
+    norm = lambda df: sorted((r[0], None if r[1] is None else round(r[1], 9), None if r[2] is None else round(r[2], 9)) for r in df.collect())
+    assert norm(sql) == norm(view)
+
+
+def test_fetch_start(spark):
+    from tslake.operators.state import fetch_start
+
+    cat = _catalog(spark)
+    wm = spark.createDataFrame([("selic", D(2020, 1, 3))], "series_name string, last_reference_date date")
+    got = {r.series_name: r.start_date for r in fetch_start(cat, wm).collect()}
+    assert got["selic"] == D(2020, 1, 3) and got["ipca"] == D(1980, 1, 1) and got["dolar_venda"] == D(1984, 11, 28)

@@ -9,7 +9,7 @@ are recomputed in full (they are O(months x series)).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tslake.operators import gate as gate_ops
@@ -154,10 +154,13 @@ def record_applied(batch_ids: DataFrame, root: str) -> None:
 
 
 # ---- Bronze -> Silver -----------------------------------------------------
-def bronze_to_silver(spark: SparkSession, root: str) -> DataFrame:
+def bronze_to_silver(spark: SparkSession, root: str, metrics: dict | None = None) -> DataFrame:
     """Apply every committed, not yet applied batch to Silver in one plan.
 
     Returns the applied batch ids. Bad rows go to ``<root>/quarantine``.
+    When ``metrics`` is given it receives row counts (landed, quarantined,
+    NULL values) gathered by ``DataFrame.observe`` during the same job, with
+    no extra scan.
     """
     pending, entries = _pending(spark, root)
     if pending is None:
@@ -167,7 +170,15 @@ def bronze_to_silver(spark: SparkSession, root: str) -> DataFrame:
     if not ids:
         return pending.select("batch_id")
     landed = bronze.read_landed(spark, root).where(F.col("batch_id").isin(ids))
-    parsed = parse_raw(gate_ops.gate(landed, entries)).checkpoint(eager=True)
+    observation = Observation("bronze_to_silver")
+    parsed = parse_raw(gate_ops.gate(landed, entries)).observe(
+        observation,
+        F.count(F.lit(1)).alias("rows_landed"),
+        F.count_if(F.col("data").isNull()).alias("rows_quarantined"),
+        F.count_if(F.col("data").isNotNull() & F.col("valor").isNull()).alias("rows_null_valor"),
+    ).checkpoint(eager=True)
+    if metrics is not None:
+        metrics.update(observation.get)
     quarantine_rows(parsed).write.mode("append").parquet(f"{root.rstrip('/')}/quarantine")
     clean = clean_rows(parsed)
     source = latest_per_key(
@@ -207,3 +218,17 @@ def marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     for name, df in build_marts(long).items():
         out[name] = materialize(df, f"{root.rstrip('/')}/marts/{name}")
     return out
+
+
+def register_views(spark: SparkSession, root: str) -> list[str]:
+    """Register Gold as the staging view ``stg_macro_monthly`` and every mart
+    as a temp view of its own name (O-26, O-28d), so existing SQL models run
+    unchanged with ``spark.sql``."""
+    base = root.rstrip("/")
+    spark.read.parquet(f"{base}/gold").createOrReplaceTempView("stg_macro_monthly")
+    names = ["stg_macro_monthly"]
+    long = spark.read.parquet(f"{base}/gold_long")
+    for name, df in build_marts(long).items():
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    return names
