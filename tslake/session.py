@@ -14,8 +14,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Dynamic partition overwrite is passed on each partitioned write instead of
+# being set for the whole session.
 
 
 # Recommended settings for a large cluster (not applied automatically): many
