@@ -197,3 +197,34 @@ def test_fetch_start(spark):
     wm = spark.createDataFrame([("selic", D(2020, 1, 3))], "series_name string, last_reference_date date")
     got = {r.series_name: r.start_date for r in fetch_start(cat, wm).collect()}
     assert got["selic"] == D(2020, 1, 3) and got["ipca"] == D(1980, 1, 1) and got["dolar_venda"] == D(1984, 11, 28)
+
+
+def test_adopt_reference_landing_then_silver(spark, tmp_path, tmp_root):
+    src = tmp_path / "landing"
+    for series, rows in (("selic", [("02/01/2020", "4.0"), ("03/01/2020", "4.1")]), ("ipca", [("01/01/2020", "0.2")])):
+        d = src / series / "ingestion_date=2020-01-05" / "batch_id=20200105"
+        d.mkdir(parents=True)
+        (d / "response.json").write_text(json.dumps([{"data": a, "valor": b} for a, b in rows]))
+    d = src / "selic" / "ingestion_date=2020-01-06" / "batch_id=20200106"
+    d.mkdir(parents=True)
+    (d / "response.json").write_text(json.dumps([{"data": "06/01/2020", "valor": "9.9"}]))
+    ctl = src / "_control" / "batches" / "ingestion_date=2020-01-05"
+    ctl.mkdir(parents=True)
+    (ctl / "batch_id=20200105.json").write_text(json.dumps(
+        {"batch_id": "20200105", "ingestion_date": "2020-01-05",
+         "series": {"selic": "success", "ipca": "success"}, "status": "committed"}, indent=2))
+    ctl2 = src / "_control" / "batches" / "ingestion_date=2020-01-06"
+    ctl2.mkdir(parents=True)
+    (ctl2 / "batch_id=20200106.json").write_text(json.dumps(
+        {"batch_id": "20200106", "ingestion_date": "2020-01-06", "series": {"selic": "failed"}, "status": "failed"}, indent=2))
+    pipeline.adopt_reference_landing(spark, str(src), tmp_root)
+    assert sorted(r.batch_id for r in pipeline.bronze_to_silver(spark, tmp_root).collect()) == ["20200105"]
+    got = sorted((r.series_name, r.data, r.valor) for r in read_silver(spark, silver_path(tmp_root)).collect())
+    assert got == [("ipca", D(2020, 1, 1), 0.2), ("selic", D(2020, 1, 2), 4.0), ("selic", D(2020, 1, 3), 4.1)]
+
+
+def test_cli_sanitize(capsys):
+    from tslake.__main__ import main
+
+    main(["sanitize-batch-id", "--batch-id", "manual__2024-01-01T00:00:00+00:00"])
+    assert capsys.readouterr().out.strip() == "manual__2024-01-01T00_00_00_00_00"

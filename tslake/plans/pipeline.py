@@ -232,3 +232,16 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
         df.createOrReplaceTempView(name)
         names.append(name)
     return names
+
+
+def adopt_reference_landing(spark: SparkSession, source_root: str, root: str) -> None:
+    """Take over data landed in the source system's layout
+    (``<series>/ingestion_date=<d>/batch_id=<b>/response.json`` plus
+    ``_control/batches/**.json`` manifests) into this layout, in one job each.
+    Objects of batches without a committed manifest come along but stay
+    invisible behind the gate, as they were."""
+    base = source_root.rstrip("/")
+    landed = bronze.read_reference_layout(spark, base)
+    bronze.land(landed, root)
+    manifests = bronze.read_reference_manifests(spark, f"{base}/_control/batches")
+    bronze.write_manifests(manifests, root)
