@@ -86,10 +86,16 @@ def upsert_table(
     keys: Sequence[str],
     partition_cols: Sequence[str],
     schema: StructType,
+    exists: bool | None = None,
 ) -> None:
-    """Upsert ``source`` (one row per key) into the Parquet table at ``path``."""
+    """Upsert ``source`` (one row per key) into the Parquet table at ``path``.
+
+    ``exists`` may be passed when the caller already knows whether the table
+    exists; otherwise the path is probed."""
     source = source.select(*schema.fieldNames())
-    if not table_exists(spark, path, schema):
+    if exists is None:
+        exists = table_exists(spark, path, schema)
+    if not exists:
         write_partitioned(source, path, partition_cols)
         return
     predicate, touched = touched_filter(source, partition_cols)

@@ -170,6 +170,7 @@ def bronze_to_silver(spark: SparkSession, root: str, metrics: dict | None = None
     if not ids:
         return pending.select("batch_id")
     landed = bronze.read_landed(spark, root).where(F.col("batch_id").isin(ids))
+    silver_exists = _exists(spark, silver_path(root), SILVER)  # probe before the observation starts
     observation = Observation("bronze_to_silver")
     parsed = parse_raw(gate_ops.gate(landed, entries)).observe(
         observation,
@@ -186,7 +187,7 @@ def bronze_to_silver(spark: SparkSession, root: str, metrics: dict | None = None
         ["series_name", "data"],
         SILVER_ORDER,
     )
-    upsert_silver(spark, source, silver_path(root))
+    upsert_silver(spark, source, silver_path(root), exists=silver_exists)
     record_applied(pending, root)
     return pending.select("batch_id")
 

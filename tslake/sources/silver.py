@@ -29,5 +29,5 @@ def write_silver(df: DataFrame, path: str) -> None:
     write_partitioned(df.select(*SILVER.fieldNames()), path, SILVER_PARTITIONS)
 
 
-def upsert_silver(spark: SparkSession, source: DataFrame, path: str) -> None:
-    upsert_table(spark, source, path, SILVER_KEYS, SILVER_PARTITIONS, SILVER)
+def upsert_silver(spark: SparkSession, source: DataFrame, path: str, exists: bool | None = None) -> None:
+    upsert_table(spark, source, path, SILVER_KEYS, SILVER_PARTITIONS, SILVER, exists)
