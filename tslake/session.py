@@ -64,7 +64,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # a Spark Connect session: the server owns the setting
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise ValueError("set spark.checkpoint.dir to a shared folder for this session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

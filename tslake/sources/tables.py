@@ -141,28 +141,26 @@ def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifest entries (batch, series, statuses) derived from the events."""
+def _event_series_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = event_observations(spark, sf_dir)
     failed = (F.col("series_name") == "error") & (F.max("valor") > ERROR_FAILURE_THRESHOLD)
-    per = ev.groupBy("batch_id", "ingestion_date", "series_name").agg(
+    return ev.groupBy("batch_id", "ingestion_date", "series_name").agg(
         F.when(failed, F.lit("failed")).otherwise(F.lit("new_data")).alias("series_status")
     )
-    from tslake.operators.gate import rollup_batches
-
-    batch = rollup_batches(per).select("batch_id", F.col("status").alias("batch_status"))
-    return per.join(batch, "batch_id")
 
 
 def event_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One manifest per day batch (status, series map, counts)."""
     from tslake.operators.gate import rollup_batches
 
-    ev = event_observations(spark, sf_dir)
-    failed = (F.col("series_name") == "error") & (F.max("valor") > ERROR_FAILURE_THRESHOLD)
-    per = ev.groupBy("batch_id", "ingestion_date", "series_name").agg(
-        F.when(failed, F.lit("failed")).otherwise(F.lit("new_data")).alias("series_status")
-    )
-    return rollup_batches(per)
+    return rollup_batches(_event_series_status(spark, sf_dir))
+
+
+def event_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest entries (batch, series, statuses) derived from the events."""
+    per = _event_series_status(spark, sf_dir)
+    batch = event_manifests(spark, sf_dir).select("batch_id", F.col("status").alias("batch_status"))
+    return per.join(batch, "batch_id")
 
 
 def event_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
