@@ -44,17 +44,17 @@ def test_f2_upsert_latest_wins_idempotent(spark, tmp_root):
     path = tmp_root + "/silver"
     keys, parts = ["series_name", "data"], ["series_name", "year"]
     target = _silver_rows(spark, [
-        (D(2020, 1, 2), 4.0, D(2020, 1, 5), "t1", "selic", 2020),
-        (D(2020, 2, 3), 4.5, D(2020, 2, 5), "t1", "selic", 2020),
-        (D(2020, 1, 1), 0.21, D(2020, 2, 5), "t1", "ipca", 2020),
+        (D(2020, 1, 2), 4.0, D(2020, 1, 5), "t1", "selic", 2020, 1),
+        (D(2020, 2, 3), 4.5, D(2020, 2, 5), "t1", "selic", 2020, 2),
+        (D(2020, 1, 1), 0.21, D(2020, 2, 5), "t1", "ipca", 2020, 1),
     ])
     upsert_table(spark, target, path, keys, parts, SILVER)
     ipca_dir = os.path.join(path, "series_name=ipca", "year=2020")
     before = sorted(os.listdir(ipca_dir))
     source = _silver_rows(spark, [
-        (D(2020, 2, 3), 4.4, D(2020, 3, 1), "b1", "selic", 2020),
-        (D(2020, 2, 3), 4.3, D(2020, 3, 2), "b2", "selic", 2020),
-        (D(2020, 2, 4), 4.2, D(2020, 3, 2), "b2", "selic", 2020),
+        (D(2020, 2, 3), 4.4, D(2020, 3, 1), "b1", "selic", 2020, 2),
+        (D(2020, 2, 3), 4.3, D(2020, 3, 2), "b2", "selic", 2020, 2),
+        (D(2020, 2, 4), 4.2, D(2020, 3, 2), "b2", "selic", 2020, 2),
     ])
     source = latest_per_key(source, keys, ["ingestion_date", "batch_id", "valor"])
     for _ in range(2):

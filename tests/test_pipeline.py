@@ -228,3 +228,27 @@ def test_cli_sanitize(capsys):
 
     main(["sanitize-batch-id", "--batch-id", "manual__2024-01-01T00:00:00+00:00"])
     assert capsys.readouterr().out.strip() == "manual__2024-01-01T00_00_00_00_00"
+
+
+def test_monthly_silver_layout_rewrites_only_touched_month(spark, tmp_root):
+    from tslake.sources.schemas import SILVER_PARTITIONS_MONTHLY
+
+    def land(batch, day, rows):
+        df = spark.createDataFrame(
+            [(d, v, s, day, batch) for s, d, v in rows],
+            "data string, valor string, series_name string, ingestion_date date, batch_id string",
+        )
+        bronze.land(df, tmp_root)
+        bronze.write_manifests(spark.createDataFrame(
+            [(batch, day, {s: "new_data" for s, _, _ in rows}, "committed")],
+            "batch_id string, ingestion_date date, series map<string,string>, status string"), tmp_root)
+
+    land("m1", D(2020, 3, 1), [("selic", "02/01/2020", "4.0"), ("selic", "03/02/2020", "4.1")])
+    pipeline.bronze_to_silver(spark, tmp_root, partitions=SILVER_PARTITIONS_MONTHLY)
+    jan = os.path.join(silver_path(tmp_root), "series_name=selic", "year=2020", "month=1")
+    before = sorted(os.listdir(jan))
+    land("m2", D(2020, 3, 2), [("selic", "04/02/2020", "4.2")])
+    pipeline.bronze_to_silver(spark, tmp_root, partitions=SILVER_PARTITIONS_MONTHLY)
+    assert sorted(os.listdir(jan)) == before  # January untouched by a February batch
+    out = sorted((r.data, r.valor, r.month) for r in read_silver(spark, silver_path(tmp_root)).collect())
+    assert out == [(D(2020, 1, 2), 4.0, 1), (D(2020, 2, 3), 4.1, 2), (D(2020, 2, 4), 4.2, 2)]

@@ -21,7 +21,7 @@ from tslake.operators.state import after_watermark, classify, watermarks
 from tslake.plans.marts import build_marts
 from tslake.sources import bronze
 from tslake.sources.catalog import SERIES_NAMES, catalog_frame
-from tslake.sources.schemas import SILVER
+from tslake.sources.schemas import SILVER, SILVER_PARTITIONS
 from tslake.sources.silver import read_silver, silver_path, upsert_silver
 
 SILVER_ORDER = ["ingestion_date", "batch_id", "valor"]
@@ -154,7 +154,9 @@ def record_applied(batch_ids: DataFrame, root: str) -> None:
 
 
 # ---- Bronze -> Silver -----------------------------------------------------
-def bronze_to_silver(spark: SparkSession, root: str, metrics: dict | None = None) -> DataFrame:
+def bronze_to_silver(
+    spark: SparkSession, root: str, metrics: dict | None = None, partitions=SILVER_PARTITIONS
+) -> DataFrame:
     """Apply every committed, not yet applied batch to Silver in one plan.
 
     Returns the applied batch ids. Bad rows go to ``<root>/quarantine``.
@@ -183,11 +185,11 @@ def bronze_to_silver(spark: SparkSession, root: str, metrics: dict | None = None
     quarantine_rows(parsed).write.mode("append").parquet(f"{root.rstrip('/')}/quarantine")
     clean = clean_rows(parsed)
     source = latest_per_key(
-        clean.select("series_name", "data", "valor", "ingestion_date", "batch_id", "year"),
+        clean.select("series_name", "data", "valor", "ingestion_date", "batch_id", "year", "month"),
         ["series_name", "data"],
         SILVER_ORDER,
     )
-    upsert_silver(spark, source, silver_path(root), exists=silver_exists)
+    upsert_silver(spark, source, silver_path(root), exists=silver_exists, partitions=partitions)
     record_applied(pending, root)
     return pending.select("batch_id")
 

@@ -44,10 +44,17 @@ SILVER = T.StructType(
         T.StructField("batch_id", T.StringType(), True),
         T.StructField("series_name", T.StringType(), True),
         T.StructField("year", T.IntegerType(), True),
+        T.StructField("month", T.IntegerType(), True),
     ]
 )
 SILVER_KEYS = ["series_name", "data"]
+# Partition granularity of Silver. An upsert rewrites every partition it
+# touches, so the granularity bounds the copy-on-write cost of a batch:
+# (series, year) suits many small series (few files); (series, year, month)
+# suits hot series whose yearly partition is too large to rewrite per batch.
+# Both layouts are read with the same schema.
 SILVER_PARTITIONS = ["series_name", "year"]
+SILVER_PARTITIONS_MONTHLY = ["series_name", "year", "month"]
 
 GOLD_LONG = T.StructType(
     [

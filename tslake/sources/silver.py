@@ -25,9 +25,17 @@ def read_silver(spark: SparkSession, path: str, series: Sequence[str] | None = N
     return df
 
 
-def write_silver(df: DataFrame, path: str) -> None:
-    write_partitioned(df.select(*SILVER.fieldNames()), path, SILVER_PARTITIONS)
-
-
-def upsert_silver(spark: SparkSession, source: DataFrame, path: str, exists: bool | None = None) -> None:
-    upsert_table(spark, source, path, SILVER_KEYS, SILVER_PARTITIONS, SILVER, exists)
+def write_silver(df: DataFrame, path: str, partitions: Sequence[str] = SILVER_PARTITIONS) -> None:
+    write_partitioned(df.select(*SILVER.fieldNames()), path, partitions)
+
+
+def upsert_silver(
+    spark: SparkSession,
+    source: DataFrame,
+    path: str,
+    exists: bool | None = None,
+    partitions: Sequence[str] = SILVER_PARTITIONS,
+) -> None:
+    """Upsert by (series_name, data); ``partitions`` must be the layout the
+    table was created with (``SILVER_PARTITIONS`` or ``SILVER_PARTITIONS_MONTHLY``)."""
+    upsert_table(spark, source, path, SILVER_KEYS, partitions, SILVER, exists)

@@ -21,13 +21,13 @@ from tslake.operators.dedupe import latest_per_key
 from tslake.operators.normalize import clean_rows, parse_raw, quarantine_rows
 from tslake.session import checkpoint_root
 from tslake.sources import bronze
-from tslake.sources.schemas import MANIFEST
+from tslake.sources.schemas import MANIFEST, SILVER_PARTITIONS
 from tslake.sources.silver import silver_path, upsert_silver
 
 ORDER = ["ingestion_date", "batch_id", "valor"]
 
 
-def apply_manifests(spark: SparkSession, root: str, manifests: DataFrame) -> None:
+def apply_manifests(spark: SparkSession, root: str, manifests: DataFrame, partitions=SILVER_PARTITIONS) -> None:
     """Apply the committed batches among ``manifests`` to Silver."""
     committed = manifests.where(F.col("status") == "committed")
     # Batch ids of one micro-batch: bounded by the batches landed since the
@@ -39,26 +39,33 @@ def apply_manifests(spark: SparkSession, root: str, manifests: DataFrame) -> Non
     landed = bronze.read_landed(spark, root).where(F.col("batch_id").isin(ids))
     parsed = parse_raw(gate_ops.gate(landed, entries))
     quarantine_rows(parsed).write.mode("append").parquet(f"{root.rstrip('/')}/quarantine")
-    clean = clean_rows(parsed).select("series_name", "data", "valor", "ingestion_date", "batch_id", "year")
-    upsert_silver(spark, latest_per_key(clean, ["series_name", "data"], ORDER), silver_path(root))
+    clean = clean_rows(parsed).select("series_name", "data", "valor", "ingestion_date", "batch_id", "year", "month")
+    upsert_silver(spark, latest_per_key(clean, ["series_name", "data"], ORDER), silver_path(root), partitions=partitions)
     # Record the applied batches so a batch run does not apply them again.
     spark.createDataFrame([(b,) for b in ids], "batch_id string").write.mode("append").parquet(
         bronze.applied_path(root)
     )
 
 
-def start_silver_stream(spark: SparkSession, root: str, checkpoint: str | None = None, available_now: bool = True):
-    """Start the stream; ``available_now`` processes what has landed and stops."""
+def start_silver_stream(
+    spark: SparkSession,
+    root: str,
+    checkpoint: str | None = None,
+    available_now: bool = True,
+    partitions=SILVER_PARTITIONS,
+):
+    """Start the stream; ``available_now`` processes what has landed and stops.
+    ``partitions`` is the Silver layout (see ``schemas.SILVER_PARTITIONS``)."""
     checkpoint = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/tslake-stream/{root.strip('/').replace('/', '_')}"
     manifests = spark.readStream.schema(MANIFEST).json(bronze.manifests_path(root))
     writer = (
-        manifests.writeStream.foreachBatch(lambda df, _epoch: apply_manifests(spark, root, df))
+        manifests.writeStream.foreachBatch(lambda df, _epoch: apply_manifests(spark, root, df, partitions))
         .option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def run_silver_stream(spark: SparkSession, root: str, checkpoint: str | None = None) -> None:
-    query = start_silver_stream(spark, root, checkpoint, available_now=True)
+def run_silver_stream(spark: SparkSession, root: str, checkpoint: str | None = None, partitions=SILVER_PARTITIONS) -> None:
+    query = start_silver_stream(spark, root, checkpoint, available_now=True, partitions=partitions)
     query.awaitTermination()
