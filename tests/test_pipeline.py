@@ -252,3 +252,25 @@ def test_monthly_silver_layout_rewrites_only_touched_month(spark, tmp_root):
     assert sorted(os.listdir(jan)) == before  # January untouched by a February batch
     out = sorted((r.data, r.valor, r.month) for r in read_silver(spark, silver_path(tmp_root)).collect())
     assert out == [(D(2020, 1, 2), 4.0, 1), (D(2020, 2, 3), 4.1, 2), (D(2020, 2, 4), 4.2, 2)]
+
+
+def test_empty_response_reads_as_zero_rows(spark, tmp_path):
+    d = tmp_path / "raw" / "selic" / "ingestion_date=2020-01-05" / "batch_id=e1"
+    d.mkdir(parents=True)
+    (d / "response.json").write_text("[]")
+    df = bronze.read_reference_layout(spark, str(tmp_path / "raw"))
+    assert df.columns == ["data", "valor", "series_name", "ingestion_date", "batch_id"] and df.count() == 0
+
+
+def test_new_catalogue_series_gets_a_gold_column(spark):
+    from tslake.operators.gold import monthly, to_wide
+    from tslake.sources.catalog import SERIES, SERIES_NAMES
+
+    extra = ("pib_mensal", 4380, "monthly", "1990-01-01", "BRL_MILLION", "new series")
+    cat = catalog_frame(spark, SERIES + [extra])
+    silver = spark.createDataFrame(
+        [("pib_mensal", D(2020, 1, 1), 10.0), ("selic", D(2020, 1, 2), 4.0)], "series_name string, data date, valor double"
+    )
+    wide = to_wide(monthly(silver, cat), SERIES_NAMES + ["pib_mensal"]).first()
+    assert wide.pib_mensal == 10.0 and wide.selic == 4.0
+    assert cat.where("series_name = 'pib_mensal'").first().unit == "BRL_MILLIONS"  # spelling normalised
