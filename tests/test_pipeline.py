@@ -274,3 +274,34 @@ def test_new_catalogue_series_gets_a_gold_column(spark):
     wide = to_wide(monthly(silver, cat), SERIES_NAMES + ["pib_mensal"]).first()
     assert wide.pib_mensal == 10.0 and wide.selic == 4.0
     assert cat.where("series_name = 'pib_mensal'").first().unit == "BRL_MILLIONS"  # spelling normalised
+
+
+def test_incremental_gold_equals_full_rebuild(spark, tmp_root):
+    def land(batch, day, rows):
+        df = spark.createDataFrame(
+            [(d, v, s, day, batch) for s, d, v in rows],
+            "data string, valor string, series_name string, ingestion_date date, batch_id string",
+        )
+        bronze.land(df, tmp_root)
+        bronze.write_manifests(spark.createDataFrame(
+            [(batch, day, {s: "new_data" for s, _, _ in rows}, "committed")],
+            "batch_id string, ingestion_date date, series map<string,string>, status string"), tmp_root)
+
+    land("g1", D(2020, 3, 1), [("selic", "02/01/2020", "4.0"), ("selic", "03/02/2020", "4.1"), ("ipca", "01/01/2020", "0.2"),
+                              ("dolar_venda", "02/01/2020", "4.02")])
+    pipeline.bronze_to_silver(spark, tmp_root)
+    pipeline.silver_to_gold(spark, tmp_root)
+    # a correction of January, a new February day and a new series-month
+    land("g2", D(2020, 3, 2), [("selic", "02/01/2020", "5.0"), ("selic", "04/02/2020", "4.3"),
+                              ("ipca", "01/02/2020", "0.3")])
+    pipeline.bronze_to_silver(spark, tmp_root)
+    inc_long, inc_wide = pipeline.silver_to_gold(spark, tmp_root)
+    inc = sorted(map(tuple, inc_long.collect()))
+    wide = {r.reference_month: r for r in inc_wide.collect()}
+    full_long, _ = pipeline.silver_to_gold(spark, tmp_root, incremental=False)
+    assert inc == sorted(map(tuple, full_long.collect()))
+    assert wide[D(2020, 1, 1)].selic == 5.0 and round(wide[D(2020, 2, 1)].selic, 6) == 4.2
+    assert wide[D(2020, 2, 1)].ipca == 0.3 and wide[D(2020, 1, 1)].dolar_venda == 4.02
+    # nothing new: Gold is returned as is
+    again, _ = pipeline.silver_to_gold(spark, tmp_root)
+    assert sorted(map(tuple, again.collect())) == inc

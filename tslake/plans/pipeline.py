@@ -19,6 +19,7 @@ from tslake.operators.normalize import clean_rows, parse_raw, quarantine_rows
 from tslake.operators.publish import ParquetTarget, materialize, publish
 from tslake.operators.state import after_watermark, classify, watermarks
 from tslake.plans.marts import build_marts
+from tslake.session import checkpoint_root
 from tslake.sources import bronze
 from tslake.sources.catalog import SERIES_NAMES, catalog_frame
 from tslake.sources.schemas import SILVER, SILVER_PARTITIONS
@@ -52,7 +53,9 @@ def ingest(
     """
     catalog = catalog if catalog is not None else catalog_frame(spark)
     day = F.to_date(F.lit(ingestion_date))
-    history = committed_silver_watermarks(spark, root)
+    # One row per series, used by the classification and by the landing
+    # filter: materialised once so Silver is scanned once.
+    history = committed_silver_watermarks(spark, root).checkpoint(eager=True)
     parsed = parse_raw(fetched)
     typed = clean_rows(parsed)
     new = after_watermark(typed, history, inclusive=inclusive, lookback_days=lookback_days)
@@ -200,11 +203,60 @@ def gold_from_silver(spark: SparkSession, silver: DataFrame, catalog: DataFrame
     return monthly(silver.select("series_name", "data", "valor"), catalog)
 
 
-def silver_to_gold(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """Rebuild Gold (long and wide) from Silver; returns both re-read."""
+def gold_applied_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_control/gold_applied"
+
+
+def _gold_paths(root: str) -> tuple[str, str]:
+    base = root.rstrip("/")
+    return f"{base}/gold_long", f"{base}/gold"
+
+
+def silver_to_gold(spark: SparkSession, root: str, incremental: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Bring Gold (long and wide) up to date with Silver; returns both re-read.
+
+    The first run (or ``incremental=False``) builds Gold from all of Silver.
+    Later runs recompute only the (series, month) cells that the batches
+    applied since the last Gold build touched: the cells are found from those
+    batches' landed rows (a partition-pruned read of Bronze), their values
+    are recomputed from the Silver partitions they live in (literal partition
+    filter), and merged into the long table by key. Silver rows are never
+    deleted, so a touched cell always has rows.
+    """
+    from tslake.functions.dates import month_start
+    from tslake.operators.upsert import merge_frames, touched_filter
+    from tslake.sources.schemas import GOLD_LONG
+
+    long_path, wide_path = _gold_paths(root)
+    applied_dir = bronze.applied_path(root)
+    have_applied = _exists_json(spark, applied_dir, APPLIED_SCHEMA)
+    applied = spark.read.schema(APPLIED_SCHEMA).parquet(applied_dir) if have_applied else None
     silver = read_silver(spark, silver_path(root))
-    long = materialize(gold_from_silver(spark, silver), f"{root.rstrip('/')}/gold_long")
-    wide = materialize(to_wide(long, SERIES_NAMES), f"{root.rstrip('/')}/gold")
+    done_dir = gold_applied_path(root)
+    if not incremental or not _exists(spark, long_path, GOLD_LONG) or not _exists_json(spark, done_dir, APPLIED_SCHEMA):
+        long = materialize(gold_from_silver(spark, silver), long_path)
+    else:
+        done = spark.read.schema(APPLIED_SCHEMA).parquet(done_dir)
+        new_ids = [r.batch_id for r in applied.join(done, "batch_id", "left_anti").distinct().collect()]
+        if not new_ids:
+            return spark.read.schema(GOLD_LONG).parquet(long_path), spark.read.parquet(wide_path)
+        manifests = bronze.latest_manifests(bronze.read_manifests(spark, root)).where(F.col("batch_id").isin(new_ids))
+        landed = bronze.read_landed(spark, root).where(F.col("batch_id").isin(new_ids))
+        changed = clean_rows(parse_raw(gate_ops.gate(landed, gate_ops.manifest_entries(manifests))))
+        cells = changed.select("series_name", "year", month_start("data").alias("reference_month")).distinct()
+        cells = cells.checkpoint(eager=True)
+        predicate, touched = touched_filter(cells, ["series_name", "year"])
+        scope = silver.where(predicate) if predicate is not None else silver.join(touched, ["series_name", "year"], "left_semi")
+        recomputed = gold_from_silver(spark, scope).join(
+            cells.select("series_name", "reference_month"), ["series_name", "reference_month"], "left_semi"
+        )
+        current = spark.read.schema(GOLD_LONG).parquet(long_path)
+        merged = merge_frames(current, recomputed.select(*GOLD_LONG.fieldNames()), ["series_name", "reference_month"])
+        checkpoint_root(spark)
+        long = materialize(merged.checkpoint(eager=True), long_path)
+    wide = materialize(to_wide(long, SERIES_NAMES), wide_path)
+    if applied is not None:
+        applied.select("batch_id").distinct().write.mode("overwrite").parquet(done_dir)
     return long, wide
 
 
