@@ -305,3 +305,17 @@ def test_incremental_gold_equals_full_rebuild(spark, tmp_root):
     # nothing new: Gold is returned as is
     again, _ = pipeline.silver_to_gold(spark, tmp_root)
     assert sorted(map(tuple, again.collect())) == inc
+
+
+def test_read_landed_names_only_the_requested_batches(spark, tmp_root):
+    rows = [("02/01/2020", "1.0", "selic", D(2020, 1, 5), "manual__2020-01-05T00:00:00+00:00"),
+            ("03/01/2020", "2.0", "selic", D(2020, 1, 6), "b,2{x}"),
+            ("04/01/2020", "3.0", "ipca", D(2020, 1, 7), "b3")]
+    df = spark.createDataFrame(rows, "data string, valor string, series_name string, ingestion_date date, batch_id string")
+    bronze.land(df, tmp_root)
+    got = bronze.read_landed(spark, tmp_root, batches=[(D(2020, 1, 5), "manual__2020-01-05T00:00:00+00:00"),
+                                                       (D(2020, 1, 6), "b,2{x}"), (D(2020, 1, 9), "missing")])
+    assert sorted((r.batch_id, r.valor) for r in got.collect()) == [
+        ("b,2{x}", "2.0"), ("manual__2020-01-05T00:00:00+00:00", "1.0")
+    ]
+    assert bronze.read_landed(spark, tmp_root, batches=[(D(2021, 1, 1), "none")]).count() == 0

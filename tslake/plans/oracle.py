@@ -110,6 +110,20 @@ gold AS (
   FROM monthly GROUP BY 1)"""
 
 
+PIPELINE_GOLD = f"""{RAW_ORDERS},
+valid AS (
+  SELECT {_case('series_name', ORDERS_TO_CATALOG)} AS series_name, data, valor FROM parsed WHERE data IS NOT NULL),
+silver AS (SELECT series_name, data, max(valor) AS valor FROM valid GROUP BY 1, 2),
+monthly AS (
+  SELECT series_name, CAST(date_trunc('month', data) AS DATE) AS reference_month,
+         CASE WHEN series_name IN ({_in(DAILY_SERIES)}) THEN {MEAN}
+              ELSE arg_min(valor, data) FILTER (WHERE valor IS NOT NULL) END AS valor
+  FROM silver GROUP BY 1, 2),
+gold AS (
+  SELECT reference_month, {", ".join(f"max(CASE WHEN series_name = '{n}' THEN valor END) AS {n}" for n in SERIES_NAMES)}
+  FROM monthly GROUP BY 1)"""
+
+
 def _gold_select(stale: bool = False) -> str:
     cols = []
     for n in SERIES_NAMES:
@@ -337,6 +351,7 @@ FROM d WHERE series_name IN ('1-URGENT', '5-LOW')""",
     "stream_upsert": f"""WITH {EVENTS}
 SELECT series_name, data, {_r('max(valor)', 'valor')}, max(batch_id) AS batch_id
 FROM gated GROUP BY series_name, data""",
+    "pipeline_incremental_gold": f"WITH {PIPELINE_GOLD}\nSELECT {_gold_select()} FROM gold",
     "check_not_null": f"""WITH {RAW_ORDERS}
 SELECT 'not_null' AS check_name, 'series_name' AS column_name, count(*) FILTER (WHERE series_name IS NULL) AS violations FROM parsed
 UNION ALL SELECT 'not_null', 'data', count(*) FILTER (WHERE data IS NULL) FROM parsed

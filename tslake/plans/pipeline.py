@@ -119,9 +119,9 @@ def committed_silver_watermarks(spark: SparkSession, root: str) -> DataFrame:
         parts.append(read_silver(spark, path).select("series_name", "data"))
     pending, entries = _pending(spark, root)
     if pending is not None:
-        ids = [r.batch_id for r in pending.select("batch_id").collect()]
-        if ids:
-            landed = bronze.read_landed(spark, root).where(F.col("batch_id").isin(ids))
+        rows = pending.select("ingestion_date", "batch_id").collect()
+        if rows:
+            landed = bronze.read_landed(spark, root, batches=[(r.ingestion_date, r.batch_id) for r in rows])
             typed = clean_rows(parse_raw(gate_ops.gate(landed, entries)))
             parts.append(typed.select("series_name", "data"))
     if not parts:
@@ -171,10 +171,10 @@ def bronze_to_silver(
     if pending is None:
         return spark.createDataFrame([], APPLIED_SCHEMA)
     pending = pending.checkpoint(eager=True)
-    ids = [r.batch_id for r in pending.select("batch_id").collect()]  # pending batch ids only
-    if not ids:
+    rows = pending.select("ingestion_date", "batch_id").collect()  # pending batches only
+    if not rows:
         return pending.select("batch_id")
-    landed = bronze.read_landed(spark, root).where(F.col("batch_id").isin(ids))
+    landed = bronze.read_landed(spark, root, batches=[(r.ingestion_date, r.batch_id) for r in rows])
     silver_exists = _exists(spark, silver_path(root), SILVER)  # probe before the observation starts
     observation = Observation("bronze_to_silver")
     parsed = parse_raw(gate_ops.gate(landed, entries)).observe(
@@ -241,7 +241,9 @@ def silver_to_gold(spark: SparkSession, root: str, incremental: bool = True) ->
         if not new_ids:
             return spark.read.schema(GOLD_LONG).parquet(long_path), spark.read.parquet(wide_path)
         manifests = bronze.latest_manifests(bronze.read_manifests(spark, root)).where(F.col("batch_id").isin(new_ids))
-        landed = bronze.read_landed(spark, root).where(F.col("batch_id").isin(new_ids))
+        manifests = manifests.checkpoint(eager=True)
+        pairs = [(r.ingestion_date, r.batch_id) for r in manifests.select("ingestion_date", "batch_id").collect()]
+        landed = bronze.read_landed(spark, root, batches=pairs)
         changed = clean_rows(parse_raw(gate_ops.gate(landed, gate_ops.manifest_entries(manifests))))
         cells = changed.select("series_name", "year", month_start("data").alias("reference_month")).distinct()
         cells = cells.checkpoint(eager=True)

@@ -424,6 +424,27 @@ def q_stream_upsert(spark, sf):
     return rounded(out.select("series_name", "data", "valor", "batch_id"))
 
 
+INCREMENTAL_SPLIT = "1998-01-01"  # batches (order months) before this land in the first wave
+
+
+def q_pipeline_incremental_gold(spark, sf):
+    """The real pipeline on the orders: land and commit the first wave of
+    monthly batches, Bronze -> Silver -> Gold; then the second wave with an
+    incremental Gold update. Returns the wide Gold table."""
+    from tslake.plans import pipeline
+
+    root = work_dir(spark, "pipeline")
+    landing = tables.orders_landing(spark, sf)
+    first = F.col("ingestion_date") < _date(INCREMENTAL_SPLIT)
+    for wave in (first, ~first):
+        batch = landing.where(wave)
+        bronze.land(batch, root)
+        bronze.write_manifests(tables.landing_manifests(batch), root)
+        pipeline.bronze_to_silver(spark, root)
+        pipeline.silver_to_gold(spark, root)
+    return rounded(spark.read.parquet(f"{root}/gold"))
+
+
 # ---- quality ------------------------------------------------------------------
 def q_check_not_null(spark, sf):
     parsed = parse_raw(tables.raw_orders(spark, sf))
@@ -492,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "silver_roundtrip": q_silver_roundtrip,
     "landing_roundtrip": q_landing_roundtrip,
     "stream_upsert": q_stream_upsert,
+    "pipeline_incremental_gold": q_pipeline_incremental_gold,
     "check_not_null": q_check_not_null,
     "check_unique_key": q_check_unique_key,
     "check_accepted_values": q_check_accepted_values,

@@ -2,7 +2,7 @@
 
 Layout written here (Hive-style, so partition columns are real columns):
 
-    <root>/bronze/series_name=<s>/ingestion_date=<d>/batch_id=<b>/part-*.json
+    <root>/bronze/ingestion_date=<d>/batch_id=<b>/series_name=<s>/part-*.json
     <root>/_control/manifests/part-*.json     one JSON object per batch attempt
 
 Landed rows are never valid on their own: readers join them to committed
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,9 +52,50 @@ def land(raw: DataFrame, root: str) -> None:
     )
 
 
-def read_landed(spark: SparkSession, root: str, extra: Sequence[T.StructField] = ()) -> DataFrame:
-    """All landed rows of all series and batches in one scan (explicit schema)."""
-    return spark.read.schema(landed_schema(extra)).json(bronze_path(root))
+# FIXED VALUES: characters that Hive-style partition folder names escape as
+# %XX (as Spark writes them), and the metacharacters of Hadoop glob patterns.
+PATH_ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
+GLOB_SPECIAL = set("{}[]*?,\\")
+
+
+def _folder_value(value: str) -> str:
+    escaped = "".join(f"%{ord(c):02X}" if c in PATH_ESCAPED else c for c in value)
+    return "".join("\\" + c if c in GLOB_SPECIAL else c for c in escaped)
+
+
+def read_landed(
+    spark: SparkSession,
+    root: str,
+    extra: Sequence[T.StructField] = (),
+    batches: Sequence[tuple] | None = None,
+) -> DataFrame:
+    """Landed rows in one scan (explicit schema).
+
+    Without ``batches`` the whole landing zone is read. With ``batches`` —
+    ``(ingestion_date, batch_id)`` pairs taken from manifests — one glob names
+    exactly those batch folders, so only they are listed (not every folder
+    ever landed), and a ``batch_id`` filter keeps the result exact.
+    """
+    schema = landed_schema(extra)
+    base = bronze_path(root)
+    if batches is None:
+        return spark.read.schema(schema).json(base)
+    batches = list(batches)
+    empty = spark.createDataFrame([], schema)
+    if not batches:
+        return empty
+    dates = sorted({str(d) for d, _ in batches})
+    ids = sorted({str(b) for _, b in batches})
+    alt = lambda vals: "{" + ",".join(_folder_value(v) for v in vals) + "}"
+    pattern = f"{base}/ingestion_date={alt(dates)}/batch_id={alt(ids)}"
+    try:
+        df = spark.read.schema(schema).option("basePath", base).json(pattern)
+        df.schema  # noqa: B018 - resolves the glob
+    except AnalysisException as exc:
+        if (exc.getCondition() or "") == "PATH_NOT_FOUND":
+            return empty
+        raise
+    return df.where(F.col("batch_id").isin(ids))
 
 
 def read_reference_layout(spark: SparkSession, root: str) -> DataFrame:

@@ -14,13 +14,15 @@ RAW = T.StructType(
     ]
 )
 
-# Partition columns of the landing layout; always typed explicitly because a
-# numeric batch id would otherwise be inferred as an integer.
+# Partition columns of the landing layout, batch first: a batch is the unit
+# that is committed and applied, so reading pending batches lists only their
+# folders. Always typed explicitly: a numeric batch id would otherwise be
+# inferred as an integer.
 LANDING_PARTITIONS = T.StructType(
     [
-        T.StructField("series_name", T.StringType(), True),
         T.StructField("ingestion_date", T.DateType(), True),
         T.StructField("batch_id", T.StringType(), True),
+        T.StructField("series_name", T.StringType(), True),
     ]
 )
 

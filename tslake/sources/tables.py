@@ -174,3 +174,27 @@ def event_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ingestion_date",
         "batch_id",
     )
+
+
+def orders_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders text (with its defects) as landed batches: one batch per
+    order month (``batch_id`` m<yyyyMM>, ``ingestion_date`` = last day of that
+    month), series named by the catalogue mapping."""
+    raw = raw_orders(spark, sf_dir)
+    dates = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("_d"))
+    return raw.join(dates, "o_orderkey").select(
+        "data",
+        "valor",
+        _map_series(F.col("series_name"), ORDERS_TO_CATALOG).alias("series_name"),
+        F.last_day("_d").alias("ingestion_date"),
+        F.concat(F.lit("m"), F.date_format("_d", "yyyyMM")).alias("batch_id"),
+    )
+
+
+def landing_manifests(landing: DataFrame) -> DataFrame:
+    """Committed manifests for landed batches: every series that landed rows
+    in a batch is ``new_data``."""
+    from tslake.operators.gate import rollup_batches
+
+    per = landing.groupBy("batch_id", "ingestion_date", "series_name").agg(F.lit("new_data").alias("series_status"))
+    return rollup_batches(per).drop("n_series", "n_failed")

@@ -4,7 +4,7 @@ The stream reads the *manifests*, not the landed data: a landed file alone is
 never valid (it may belong to a failed batch), and the file source marks
 every file it has seen, so streaming data files would mark uncommitted ones as
 done. Each micro-batch of manifests is gated, its batches' landed rows are
-read with a literal ``batch_id`` filter (partition pruning), normalised,
+read by naming exactly their folders, normalised,
 deduplicated and upserted into Silver. Manifests are written under new file
 names for every attempt, so a retried batch is seen again. The upsert is
 idempotent, so a micro-batch replayed after a failure gives the same table:
@@ -32,11 +32,12 @@ def apply_manifests(spark: SparkSession, root: str, manifests: DataFrame, partit
     committed = manifests.where(F.col("status") == "committed")
     # Batch ids of one micro-batch: bounded by the batches landed since the
     # last trigger; used as a literal filter so only their folders are read.
-    ids = sorted({r.batch_id for r in committed.select("batch_id").distinct().collect()})
+    pairs = sorted({(r.ingestion_date, r.batch_id) for r in committed.select("ingestion_date", "batch_id").collect()})
+    ids = sorted({b for _, b in pairs})
     if not ids:
         return
     entries = gate_ops.manifest_entries(committed)
-    landed = bronze.read_landed(spark, root).where(F.col("batch_id").isin(ids))
+    landed = bronze.read_landed(spark, root, batches=pairs)
     parsed = parse_raw(gate_ops.gate(landed, entries))
     quarantine_rows(parsed).write.mode("append").parquet(f"{root.rstrip('/')}/quarantine")
     clean = clean_rows(parsed).select("series_name", "data", "valor", "ingestion_date", "batch_id", "year", "month")
