@@ -170,10 +170,10 @@ def bronze_to_silver(
     pending, entries = _pending(spark, root)
     if pending is None:
         return spark.createDataFrame([], APPLIED_SCHEMA)
-    pending = pending.checkpoint(eager=True)
     rows = pending.select("ingestion_date", "batch_id").collect()  # pending batches only
+    applied_now = spark.createDataFrame([(r.batch_id,) for r in rows], APPLIED_SCHEMA)
     if not rows:
-        return pending.select("batch_id")
+        return applied_now
     landed = bronze.read_landed(spark, root, batches=[(r.ingestion_date, r.batch_id) for r in rows])
     silver_exists = _exists(spark, silver_path(root), SILVER)  # probe before the observation starts
     observation = Observation("bronze_to_silver")
@@ -193,8 +193,8 @@ def bronze_to_silver(
         SILVER_ORDER,
     )
     upsert_silver(spark, source, silver_path(root), exists=silver_exists, partitions=partitions)
-    record_applied(pending, root)
-    return pending.select("batch_id")
+    record_applied(applied_now, root)
+    return applied_now
 
 
 # ---- Silver -> Gold -> warehouse -> marts ----------------------------------
