@@ -319,3 +319,15 @@ def test_read_landed_names_only_the_requested_batches(spark, tmp_root):
         ("b,2{x}", "2.0"), ("manual__2020-01-05T00:00:00+00:00", "1.0")
     ]
     assert bronze.read_landed(spark, tmp_root, batches=[(D(2021, 1, 1), "none")]).count() == 0
+
+
+def test_marts_as_catalog_tables(spark, tmp_root):
+    cat = _catalog(spark)
+    rows = [("selic", "02/01/2020", "4.0"), ("ipca", "01/01/2020", "0.2"), ("dolar_venda", "02/01/2020", "4.02"),
+            ("dolar_compra", "02/01/2020", "4.00")]
+    pipeline.ingest(spark, tmp_root, _fetched(spark, rows), "t1", "2020-01-05", catalog=cat)
+    pipeline.bronze_to_silver(spark, tmp_root)
+    pipeline.silver_to_gold(spark, tmp_root)
+    out = pipeline.marts(spark, tmp_root, database="analytics")
+    assert spark.table("analytics.fct_exchange_rate").first().dolar_medio == out["fct_exchange_rate"].first().dolar_medio
+    assert set(out) <= {t.name for t in spark.catalog.listTables("analytics")}

@@ -40,6 +40,7 @@ def main(argv=None) -> None:
     ap.add_argument("--jdbc-password")
     ap.add_argument("--jdbc-driver")
     ap.add_argument("--batch-id", help="sanitize-batch-id: the raw id")
+    ap.add_argument("--database", help="marts: save as catalog tables in this database")
     args = ap.parse_args(argv)
 
     if args.step == "sanitize-batch-id":
@@ -58,7 +59,7 @@ def main(argv=None) -> None:
     elif args.step == "publish":
         pipeline.gold_to_warehouse(spark, args.root, _target(args), mode=args.mode)
     elif args.step == "marts":
-        pipeline.marts(spark, args.root)
+        pipeline.marts(spark, args.root, database=args.database)
 
 
 if __name__ == "__main__":

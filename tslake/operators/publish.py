@@ -114,6 +114,12 @@ def publish(spark: SparkSession, df: DataFrame, target, mode: str = "append_new"
     raise ValueError(f"unknown publish mode: {mode}")
 
 
+def materialize_table(df: DataFrame, table: str) -> DataFrame:
+    """Replace a catalog table (``database.name``) and return it (O-28d)."""
+    df.write.mode("overwrite").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Overwrite a table folder and return the re-read table (O-28b, O-28d)."""
     df.write.mode("overwrite").parquet(path)

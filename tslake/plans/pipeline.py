@@ -268,12 +268,20 @@ def gold_to_warehouse(spark: SparkSession, root: str, target=None, mode: str = "
     publish(spark, wide, target, mode=mode)
 
 
-def marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Materialise the five marts from Gold long form."""
+def marts(spark: SparkSession, root: str, database: str | None = None) -> dict[str, DataFrame]:
+    """Materialise the five marts from Gold long form: as Parquet folders
+    under ``<root>/marts``, or as catalog tables ``<database>.<mart>``."""
+    from tslake.operators.publish import materialize_table
+
     long = spark.read.parquet(f"{root.rstrip('/')}/gold_long")
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     out = {}
     for name, df in build_marts(long).items():
-        out[name] = materialize(df, f"{root.rstrip('/')}/marts/{name}")
+        if database:
+            out[name] = materialize_table(df, f"`{database}`.`{name}`")
+        else:
+            out[name] = materialize(df, f"{root.rstrip('/')}/marts/{name}")
     return out
 
 

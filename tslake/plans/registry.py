@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tslake.functions import growth
-from tslake.functions.dates import month_start, sanitize_batch_id
+from tslake.functions.dates import sanitize_batch_id
 from tslake.operators import gate as gate_ops
 from tslake.operators import quality
 from tslake.operators.dedupe import latest_per_key

@@ -41,6 +41,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tslak
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tslake-warehouse-"))
     )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
