@@ -331,3 +331,18 @@ def test_marts_as_catalog_tables(spark, tmp_root):
     out = pipeline.marts(spark, tmp_root, database="analytics")
     assert spark.table("analytics.fct_exchange_rate").first().dolar_medio == out["fct_exchange_rate"].first().dolar_medio
     assert set(out) <= {t.name for t in spark.catalog.listTables("analytics")}
+
+
+def test_failed_ingest_does_not_advance_the_watermark(spark, tmp_root):
+    cat = catalog_frame(spark).where(F.col("series_name").isin("selic", "ipca"))
+    # ipca has no history and returns nothing: the series fails, so the batch fails
+    b1 = _fetched(spark, [("selic", "02/01/2020", "4.0")])
+    m1 = pipeline.ingest(spark, tmp_root, b1, "r1", "2020-01-05", catalog=cat)
+    assert m1.first().status == "failed"
+    assert pipeline.committed_silver_watermarks(spark, tmp_root).count() == 0
+    # the re-run sees the same rows as new and commits them
+    b2 = _fetched(spark, [("selic", "02/01/2020", "4.0"), ("ipca", "01/01/2020", "0.2")])
+    m2 = pipeline.ingest(spark, tmp_root, b2, "r2", "2020-01-06", catalog=cat)
+    assert m2.first().status == "committed"
+    assert [r.batch_id for r in pipeline.bronze_to_silver(spark, tmp_root).collect()] == ["r2"]
+    assert read_silver(spark, silver_path(tmp_root)).count() == 2

@@ -6,13 +6,13 @@ same result is computed in long form without an unpartitioned window over the
 data and without a months x series spine:
 
 1. the month axis = distinct months of Gold numbered 1..n (the only global
-   window, over at most twelve rows per calendar year);
+   step: one aggregate over at most twelve dates per calendar year);
 2. every (series, month, value) cell is emitted once per needed offset ``k``
    with its month index moved forward by ``k`` (``explode``), so the cell
    lands on the month that reads it as ``lag k``;
-3. one aggregation by month index (or by series and month index) gathers the
-   value and its lags; an inner join with the axis drops cells shifted past the
-   last month.
+3. one hash aggregation by month index (or by series and month index)
+   gathers the value and its lags (conditional aggregates: each cell has one
+   row); an inner join with the axis drops cells shifted past the last month.
 
 A lag therefore sees the calendar gaps exactly as the wide window does: the
 month before is the previous month *present in Gold*, and a series without a
@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tslake.functions import growth
@@ -33,12 +33,15 @@ from tslake.functions import growth
 def month_axis(long: DataFrame) -> DataFrame:
     """``(reference_month, month_idx)`` for every month present in ``long``.
 
-    The window has no partition key on purpose: its input is the set of
-    distinct months, bounded by the calendar span (12 per year), not by the
-    data volume.
+    One global aggregate collects the set of distinct months, then sorts and
+    numbers it. That set is bounded by the calendar (12 per year: 561 months
+    from 1980 to 2026), not by the data volume, and each task's partial set
+    obeys the same bound.
     """
-    months = long.select("reference_month").distinct()
-    return months.select("reference_month", F.row_number().over(Window.orderBy("reference_month")).alias("month_idx"))
+    months = long.agg(F.array_sort(F.collect_set("reference_month")).alias("_m"))
+    return months.select(F.posexplode("_m").alias("_i", "reference_month")).select(
+        "reference_month", (F.col("_i") + 1).alias("month_idx")
+    )
 
 
 def _shift(indexed: DataFrame, offsets: Sequence[int]) -> DataFrame:
@@ -59,10 +62,13 @@ def lag_long(long: DataFrame, offsets: Iterable[int], axis: DataFrame | None = N
     axis = month_axis(long) if axis is None else axis
     indexed = long.join(axis, "reference_month")
     cells = _shift(indexed, ks)
-    wide = cells.groupBy("series_name", "month_idx").pivot("_k", ks).agg(F.first("valor"))
-    names = {str(k): ("valor" if k == 0 else f"lag_{k}") for k in ks}
-    wide = wide.select("series_name", "month_idx", *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
-    return wide.join(axis, "month_idx").select("series_name", "reference_month", *names.values())
+    # one row per (series, month index, offset): a conditional aggregate is a
+    # pivot in a single hash aggregation (pivot() would plan two)
+    names = ["valor" if k == 0 else f"lag_{k}" for k in ks]
+    wide = cells.groupBy("series_name", "month_idx").agg(
+        *(F.max(F.when(F.col("_k") == k, F.col("valor"))).alias(n) for k, n in zip(ks, names))
+    )
+    return wide.join(axis, "month_idx").select("series_name", "reference_month", *names)
 
 
 def calendar_lag(long: DataFrame, k: int) -> DataFrame:
@@ -142,6 +148,8 @@ def wide_features(long: DataFrame, features: Sequence[Feature], axis: DataFrame
         .withColumn("_cell", F.concat(F.col("series_name"), F.lit("@"), F.col("_k").cast("string")))
         .where(F.col("_cell").isin(names))
     )
-    pivoted = shifted.groupBy("month_idx").pivot("_cell", names).agg(F.first("valor"))
+    pivoted = shifted.groupBy("month_idx").agg(
+        *(F.max(F.when(F.col("_cell") == n, F.col("valor"))).alias(n) for n in names)
+    )
     wide = axis.join(pivoted, "month_idx", "left")
     return wide.select("reference_month", *(_expr(f).alias(f.name) for f in features))
