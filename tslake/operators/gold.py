@@ -56,7 +56,12 @@ def monthly(obs: DataFrame, frequencies: DataFrame | str, tiebreak: Sequence[str
 def to_wide(long: DataFrame, names: Sequence[str]) -> DataFrame:
     """Pivot long Gold to one row per month and one column per series.
 
-    The explicit value list keeps the schema fixed (absent series are NULL
-    columns) and avoids a distinct pass.
+    The explicit name list keeps the schema fixed (absent series are NULL
+    columns) and needs no distinct pass. Long Gold holds one row per
+    (series, month), so a conditional aggregate per name is the pivot, in one
+    hash aggregation (``pivot()`` plans two).
     """
-    return long.groupBy("reference_month").pivot("series_name", list(names)).agg(F.first("valor"))
+    series = F.col("series_name")
+    return long.groupBy("reference_month").agg(
+        *(F.max(F.when(series == F.lit(n), F.col("valor"))).alias(n) for n in names)
+    )
