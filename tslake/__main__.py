@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from tslake.functions.dates import BATCH_ID_FORBIDDEN
 from tslake.operators.publish import JdbcTarget, ParquetTarget
 from tslake.plans import pipeline
-from tslake.session import apply_defaults
+from tslake.session import apply_cluster_settings, apply_defaults
 
 
 def _target(args):
@@ -41,6 +41,7 @@ def main(argv=None) -> None:
     ap.add_argument("--jdbc-driver")
     ap.add_argument("--batch-id", help="sanitize-batch-id: the raw id")
     ap.add_argument("--database", help="marts: save as catalog tables in this database")
+    ap.add_argument("--cluster-settings", action="store_true", help="apply the recommended large-cluster settings")
     args = ap.parse_args(argv)
 
     if args.step == "sanitize-batch-id":
@@ -48,6 +49,8 @@ def main(argv=None) -> None:
         return
     spark = SparkSession.builder.appName(f"tslake-{args.step}").getOrCreate()
     apply_defaults(spark)
+    if args.cluster_settings:
+        apply_cluster_settings(spark)
     if args.step == "adopt":
         pipeline.adopt_reference_landing(spark, args.source_root, args.root)
     elif args.step == "bronze-to-silver":

@@ -31,6 +31,12 @@ CLUSTER_SETTINGS = {
 }
 
 
+def apply_cluster_settings(spark: SparkSession) -> None:
+    """Apply ``CLUSTER_SETTINGS`` (all runtime SQL settings) to a session."""
+    for key, value in CLUSTER_SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tslake") -> SparkSession:
     """A local session for tests and the bench; clusters pass their own session."""
     builder = (
