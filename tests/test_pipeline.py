@@ -346,3 +346,12 @@ def test_failed_ingest_does_not_advance_the_watermark(spark, tmp_root):
     assert m2.first().status == "committed"
     assert [r.batch_id for r in pipeline.bronze_to_silver(spark, tmp_root).collect()] == ["r2"]
     assert read_silver(spark, silver_path(tmp_root)).count() == 2
+
+
+def test_applied_list_is_compacted(spark, tmp_root, monkeypatch):
+    monkeypatch.setattr(pipeline, "APPLIED_COMPACT_FILES", 3)
+    for i in range(5):
+        pipeline.record_applied(spark.createDataFrame([(f"c{i}",)], "batch_id string"), tmp_root)
+    df = spark.read.parquet(bronze.applied_path(tmp_root))
+    assert sorted(r.batch_id for r in df.collect()) == [f"c{i}" for i in range(5)]
+    assert len(df.inputFiles()) <= 3

@@ -152,8 +152,25 @@ def _pending(spark: SparkSession, root: str):
     return pending, entries
 
 
+# The applied list gains one small file per run; past this many files it is
+# rewritten as one.
+APPLIED_COMPACT_FILES = 64
+
+
 def record_applied(batch_ids: DataFrame, root: str) -> None:
-    batch_ids.select("batch_id").write.mode("append").parquet(bronze.applied_path(root))
+    """Append applied batch ids; compact the list when it has many files.
+
+    Compaction reads the ids, cuts the lineage with a checkpoint and rewrites
+    the folder. A crash during the rewrite loses only the record, and
+    re-applying batches is idempotent, so the result stays correct."""
+    spark = batch_ids.sparkSession
+    path = bronze.applied_path(root)
+    batch_ids.select("batch_id").write.mode("append").parquet(path)
+    current = spark.read.schema(APPLIED_SCHEMA).parquet(path)
+    if len(current.inputFiles()) > APPLIED_COMPACT_FILES:
+        checkpoint_root(spark)
+        ids = current.distinct().checkpoint(eager=True)
+        ids.coalesce(1).write.mode("overwrite").parquet(path)
 
 
 # ---- Bronze -> Silver -----------------------------------------------------

@@ -43,9 +43,9 @@ def apply_manifests(spark: SparkSession, root: str, manifests: DataFrame, partit
     clean = clean_rows(parsed).select("series_name", "data", "valor", "ingestion_date", "batch_id", "year", "month")
     upsert_silver(spark, latest_per_key(clean, ["series_name", "data"], ORDER), silver_path(root), partitions=partitions)
     # Record the applied batches so a batch run does not apply them again.
-    spark.createDataFrame([(b,) for b in ids], "batch_id string").write.mode("append").parquet(
-        bronze.applied_path(root)
-    )
+    from tslake.plans.pipeline import record_applied
+
+    record_applied(spark.createDataFrame([(b,) for b in ids], "batch_id string"), root)
 
 
 def start_silver_stream(
