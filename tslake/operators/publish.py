@@ -55,7 +55,7 @@ def high_water(spark: SparkSession, target, key: str = "reference_month") -> Dat
     """``max(key)`` of the target as a one-row frame (O-05). For JDBC the
     aggregate is pushed into the database as a subquery."""
     if isinstance(target, JdbcTarget):
-        q = f'(SELECT MAX("{key}") AS max_key FROM {target.table}) hw'
+        q = f"(SELECT MAX({_quote(key)}) AS max_key FROM {target.table}) hw"
         try:
             return spark.read.jdbc(target.url, q, properties=dict(target.properties))
         except Exception as exc:
@@ -66,6 +66,11 @@ def high_water(spark: SparkSession, target, key: str = "reference_month") -> Dat
     return None if df is None else df.agg(F.max(key).alias("max_key"))
 
 
+def _quote(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+
 def _write(df: DataFrame, target, mode: str) -> None:
     if isinstance(target, ParquetTarget):
         df.write.mode(mode).parquet(target.path)
@@ -73,10 +78,9 @@ def _write(df: DataFrame, target, mode: str) -> None:
     props = dict(target.properties)
     (
         df.repartition(target.num_partitions)
-        .write.mode(mode)
-        .option("batchsize", target.batch_size)
-        .option("truncate", "true")
-        .jdbc(target.url, target.table, properties=props)
+        .write.option("batchsize", target.batch_size)
+        .option("truncate", "true")  # an overwrite keeps the table's DDL (primary key)
+        .jdbc(target.url, target.table, mode=mode, properties=props)
     )
 
 
@@ -99,12 +103,15 @@ def publish(spark: SparkSession, df: DataFrame, target, mode: str = "append_new"
     if mode == "overwrite":
         _write(df, target, "overwrite")
         return
+    if mode == "append_new":
+        # the high-water mark is computed where the data is (a MAX subquery
+        # for JDBC), never by pulling the target into Spark
+        hw = high_water(spark, target, key)
+        _write(new_rows(df, hw, key), target, "append")
+        return
     existing = read_target(spark, target, df.schema if isinstance(target, ParquetTarget) else None)
     if existing is None:
-        _write(df, target, "append" if mode != "overwrite" else "overwrite")
-        return
-    if mode == "append_new":
-        _write(new_rows(df, existing.agg(F.max(key).alias("max_key")), key), target, "append")
+        _write(df, target, "append")
         return
     if mode == "upsert":
         checkpoint_root(spark)
