@@ -6,20 +6,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return True
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _has_map(t.elementType)
+    return False
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep, per key, the row with the greatest ``order`` tuple.
 
-    One hash aggregation with ``max_by`` over structs: partial aggregation runs
-    before the shuffle, so a hot key (say a third of all rows) is reduced to one
-    row per map task and never gathered into a single task. ``order`` must be a
-    total order within a key (add the value columns as tie-breaks); NULL sorts
-    lowest, so a non-NULL order value wins.
+    One aggregation of ``max(struct(order..., values...))``: structs compare
+    field by field, so the order decides and the remaining values break ties
+    deterministically. Partial aggregation runs before the shuffle, so a hot
+    key (say a third of all rows) is reduced to one row per map task and never
+    gathered into a single task. NULL sorts lowest, so a non-NULL order value
+    wins.
     """
     keys = list(keys)
     values = [c for c in df.columns if c not in keys]
     if not values:
         return df.select(*keys).distinct()
-    winner = F.max_by(F.struct(*values), F.struct(*order)).alias("_w")
-    return df.groupBy(*keys).agg(winner).select(*keys, *(F.col(f"_w.{c}").alias(c) for c in values))
+    if any(_has_map(df.schema[c].dataType) for c in values):
+        # maps are not orderable: order by the order columns only
+        winner = F.max_by(F.struct(*values), F.struct(*order)).alias("_w")
+        return df.groupBy(*keys).agg(winner).select(*keys, *(F.col(f"_w.{c}").alias(c) for c in values))
+    packed = F.struct(
+        *(F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)),
+        *(F.col(f"`{c}`").alias(f"_v{i}") for i, c in enumerate(values)),
+    )
+    best = df.groupBy(*keys).agg(F.max(packed).alias("_w"))
+    return best.select(*keys, *(F.col(f"_w._v{i}").alias(c) for i, c in enumerate(values)))
