@@ -37,9 +37,12 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
         # maps are not orderable: order by the order columns only
         winner = F.max_by(F.struct(*values), F.struct(*order)).alias("_w")
         return df.groupBy(*keys).agg(winner).select(*keys, *(F.col(f"_w.{c}").alias(c) for c in values))
+    order = list(order)
+    rest = [c for c in values if c not in order]  # order columns are packed once
     packed = F.struct(
         *(F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(order)),
-        *(F.col(f"`{c}`").alias(f"_v{i}") for i, c in enumerate(values)),
+        *(F.col(f"`{c}`").alias(f"_v{i}") for i, c in enumerate(rest)),
     )
     best = df.groupBy(*keys).agg(F.max(packed).alias("_w"))
-    return best.select(*keys, *(F.col(f"_w._v{i}").alias(c) for i, c in enumerate(values)))
+    field = {c: f"_w._o{i}" for i, c in enumerate(order)} | {c: f"_w._v{i}" for i, c in enumerate(rest)}
+    return best.select(*keys, *(F.col(field[c]).alias(c) for c in values))
