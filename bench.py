@@ -32,7 +32,7 @@ def session(cpus: str, log_dir: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
-        .config("spark.sql.shuffle.partitions", str(max(8, int(cpus) * 2) if cpus.isdigit() else 16))
+        .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, int(cpus) * 2) if cpus.isdigit() else 16)))
         .config("spark.eventLog.enabled", "true")
         .config("spark.eventLog.dir", log_dir)
         .config("spark.eventLog.rolling.enabled", "false")
