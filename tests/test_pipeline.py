@@ -355,3 +355,18 @@ def test_applied_list_is_compacted(spark, tmp_root, monkeypatch):
     df = spark.read.parquet(bronze.applied_path(tmp_root))
     assert sorted(r.batch_id for r in df.collect()) == [f"c{i}" for i in range(5)]
     assert len(df.inputFiles()) <= 3
+
+
+def test_snapshot_of_a_lake_root(spark, tmp_root):
+    cat = _catalog(spark)
+    full = [("selic", "02/01/2020", "4.0"), ("ipca", "01/01/2020", "0.2"), ("dolar_venda", "02/01/2020", "4.02"),
+            ("dolar_compra", "02/01/2020", "4.00")]
+    pipeline.ingest(spark, tmp_root, _fetched(spark, full), "s1", "2020-01-05", catalog=cat)
+    later = full + [("selic", "03/02/2020", "4.5"), ("dolar_venda", "03/02/2020", "4.2"), ("dolar_compra", "03/02/2020", "4.1")]
+    pipeline.ingest(spark, tmp_root, _fetched(spark, later), "s2", "2020-02-05", catalog=cat)
+    first = sorted((r.series_name, r.data, r.valor) for r in pipeline.snapshot(spark, tmp_root, "2020-01-31").collect())
+    assert first == sorted((s, D(int(d[6:]), int(d[3:5]), int(d[:2])), float(v)) for s, d, v in full)
+    pipeline.bronze_to_silver(spark, tmp_root)
+    snap = sorted((r.series_name, r.data, r.valor) for r in pipeline.snapshot(spark, tmp_root, "2020-02-28").collect())
+    silver = sorted((r.series_name, r.data, r.valor) for r in read_silver(spark, silver_path(tmp_root)).collect())
+    assert snap == silver and len(snap) == 7

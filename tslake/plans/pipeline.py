@@ -327,3 +327,18 @@ def adopt_reference_landing(spark: SparkSession, source_root: str, root: str) ->
     bronze.land(landed, root)
     manifests = bronze.read_reference_manifests(spark, f"{base}/_control/batches")
     bronze.write_manifests(manifests, root)
+
+
+def snapshot(spark: SparkSession, root: str, as_of: str) -> DataFrame:
+    """The full view of every series as of a date (O-17, D2): all committed
+    batches landed up to ``as_of``, typed, latest batch wins per (series,
+    date). Only those batches' folders are read (named from the manifests)."""
+    from tslake.operators.state import snapshot_as_of
+
+    day = F.to_date(F.lit(as_of))
+    manifests = bronze.latest_manifests(bronze.read_manifests(spark, root))
+    upto = manifests.where((F.col("status") == "committed") & (F.col("ingestion_date") <= day))
+    pairs = [(r.ingestion_date, r.batch_id) for r in upto.select("ingestion_date", "batch_id").collect()]
+    landed = bronze.read_landed(spark, root, batches=pairs)
+    typed = clean_rows(parse_raw(gate_ops.gate(landed, gate_ops.manifest_entries(upto))))
+    return snapshot_as_of(typed, day).select("series_name", "data", "valor", "ingestion_date", "batch_id")
