@@ -265,6 +265,25 @@ grid AS (SELECT lo.series_name, CAST(m AS DATE) AS batch_month
 SELECT g.series_name, g.batch_month, coalesce(pm.n_new, 0) AS n_new,
   CASE WHEN pm.n_new IS NULL THEN 'no_data' ELSE 'new_data' END AS series_status
 FROM grid g LEFT JOIN pm ON g.series_name = pm.series_name AND g.batch_month = pm.batch_month""",
+    "fetch_start": f"""WITH {OBS_O},
+cat AS (SELECT series_name, min(data) AS available_from FROM obs GROUP BY 1),
+wm AS (SELECT series_name, max(data) AS last FROM obs WHERE data < DATE '1995-01-02' GROUP BY 1)
+SELECT c.series_name, 'daily' AS frequency, coalesce(wm.last, c.available_from) AS start_date
+FROM cat c LEFT JOIN wm ON c.series_name = wm.series_name""",
+    "classify_run": f"""WITH {OBS_O},
+cat AS (SELECT series_name, min(data) AS available_from FROM obs GROUP BY 1),
+wm AS (SELECT series_name, max(data) AS last FROM obs WHERE data < DATE '2001-08-01' GROUP BY 1),
+new AS (SELECT o.series_name, count(*) AS n FROM obs o LEFT JOIN wm ON o.series_name = wm.series_name
+        WHERE o.data >= DATE '2001-08-01' AND (wm.last IS NULL OR o.data > wm.last) GROUP BY 1)
+SELECT c.series_name, coalesce(new.n, 0) AS n_new,
+  CASE WHEN coalesce(wm.last, c.available_from) > DATE '2001-08-31' THEN 'up_to_date'
+       WHEN coalesce(new.n, 0) > 0 THEN 'new_data'
+       WHEN wm.last IS NOT NULL THEN 'no_data' ELSE 'failed' END AS series_status
+FROM cat c LEFT JOIN wm ON c.series_name = wm.series_name LEFT JOIN new ON c.series_name = new.series_name""",
+    "accept_new_manifests": f"""WITH {EVENTS}
+SELECT batch_id, ingestion_date, status FROM batch b
+WHERE NOT EXISTS (SELECT 1 FROM batch e WHERE e.batch_id = b.batch_id AND e.status = 'committed'
+                  AND e.ingestion_date <= DATE '2024-01-10')""",
     "batch_status_rollup": f"WITH {EVENTS}\nSELECT batch_id, ingestion_date, status, n_series, n_failed FROM batch",
     "committed_gate": f"WITH {EVENTS}\nSELECT event_id, series_name, data, {_r('valor', 'valor')}, batch_id FROM gated",
     "pending_batches": f"""WITH {EVENTS}

@@ -26,6 +26,8 @@ from tslake.operators.publish import ParquetTarget, high_water, materialize, pub
 from tslake.operators.state import (
     after_watermark,
     carry_forward,
+    classify,
+    fetch_start,
     classify_monthly_batches,
     request_windows,
     snapshot_as_of,
@@ -142,6 +144,40 @@ def q_after_watermark_lookback(spark, sf):
     return _after(spark, sf, lookback_days=LOOKBACK_DAYS)
 
 
+FETCH_HISTORY_END = "1995-01-02"  # fetch_start: history = rows before this day
+RUN_START = "2001-08-01"  # classify_run: rows from this day are the run's landing
+RUN_DAY = "2001-08-31"  # ... and this is the run's "today"
+
+
+def _orders_catalog(spark, sf):
+    """The priorities as a catalogue: daily, available from their first row."""
+    o = tables.obs_orders(spark, sf)
+    return o.groupBy("series_name").agg(F.min("data").alias("available_from")).withColumn(
+        "frequency", F.lit("daily")
+    )
+
+
+def q_fetch_start(spark, sf):
+    o = tables.obs_orders(spark, sf)
+    wm = watermarks(o.where(F.col("data") < _date(FETCH_HISTORY_END)).select("series_name", "data"))
+    return fetch_start(_orders_catalog(spark, sf), wm)
+
+
+def q_classify_run(spark, sf):
+    o = tables.obs_orders(spark, sf)
+    history = watermarks(o.where(F.col("data") < _date(RUN_START)).select("series_name", "data"))
+    landed = o.where(F.col("data") >= _date(RUN_START))
+    new = after_watermark(landed, history)
+    return classify(_orders_catalog(spark, sf), new, history, _date(RUN_DAY))
+
+
+def q_accept_new_manifests(spark, sf):
+    manifests = tables.event_manifests(spark, sf)
+    existing = manifests.where(F.col("ingestion_date") <= _date(APPLIED_UNTIL))
+    accepted = gate_ops.accept_new_manifests(manifests, existing)
+    return accepted.select("batch_id", "ingestion_date", "status")
+
+
 def q_classify_series(spark, sf):
     return classify_monthly_batches(tables.obs_orders(spark, sf)).select(
         "series_name", "batch_month", "n_new", "series_status"
@@ -478,6 +514,9 @@ QUERIES: dict[str, Query] = {
     "after_watermark_inclusive": q_after_watermark_inclusive,
     "after_watermark_lookback": q_after_watermark_lookback,
     "classify_series": q_classify_series,
+    "classify_run": q_classify_run,
+    "fetch_start": q_fetch_start,
+    "accept_new_manifests": q_accept_new_manifests,
     "batch_status_rollup": q_batch_status_rollup,
     "committed_gate": q_committed_gate,
     "pending_batches": q_pending_batches,
