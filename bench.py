@@ -2,7 +2,9 @@
 
 Each query is forced with a ``noop`` write (full computation, nothing
 collected) and run $BENCH_REPEATS times (default 2); the best run is
-reported per query, the first-run total alongside. Prints ONE JSON line with seconds per query; number of jobs and
+reported per query, the first-run total alongside. Also reported: marts
+built from an existing Gold, and a scaling run with the number of series
+multiplied by $BENCH_ENTITY_FACTORS (default "1,10"). Prints ONE JSON line with seconds per query; number of jobs and
 shuffle bytes per query come from Spark's event log, written to a fresh
 scratch folder (the Spark UI stays off).
 """
@@ -160,7 +162,9 @@ def main() -> None:
             first_run[name] = round(runs[0], 3)
     sc.setJobGroup("marts_from_gold", "marts_from_gold")
     mart_only = marts_from_gold(spark, sf_dir, log_dir, repeats) if not only else None
-    factors = [int(x) for x in os.environ.get("BENCH_ENTITY_FACTORS", "").split(",") if x]
+    # entity scaling (series multiplied k-fold); "" switches it off
+    factors = [int(x) for x in os.environ.get("BENCH_ENTITY_FACTORS", "1,10").split(",") if x]
+    factors = [] if only and "BENCH_ENTITY_FACTORS" not in os.environ else factors
     scaling = scaling_run(spark, sf_dir, factors) if factors else None
     sc.setJobGroup("done", "done")
     spark.stop()
