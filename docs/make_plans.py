@@ -2,14 +2,23 @@
 
 Usage: python docs/make_plans.py   (reads /root/testdata/sf0.01)
 """
-import sys, io, re
+
+from __future__ import annotations
+
+import io
+import re
+import sys
 from contextlib import redirect_stdout
-sys.path.insert(0, str(__import__('pathlib').Path(__file__).resolve().parents[1]))
-from tslake.session import local_session
-from tslake.plans.registry import QUERIES
-spark = local_session(8, 8)
-sf = '/root/testdata/sf0.01'
-picks = {
+from pathlib import Path
+
+HERE = Path(__file__).resolve().parent
+sys.path.insert(0, str(HERE.parent))
+
+from tslake.plans.registry import QUERIES  # noqa: E402
+from tslake.session import local_session  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.01"
+PICKS = {
     "dedupe_latest": "Latest-wins dedupe: partial aggregation of max(struct) before the shuffle.",
     "after_watermark": "After-watermark filter: watermark side broadcast at run time by AQE, date filter pushed to Parquet.",
     "committed_gate": "Commit gate: semi join of the landed rows with committed manifest entries.",
@@ -17,17 +26,28 @@ picks = {
     "mart_features": "Mart from checkpointed Gold: month axis from one bounded aggregate, shifted cells, one conditional aggregation.",
     "silver_roundtrip": "Silver read with a series filter: PartitionFilters prune the folders.",
 }
-out = ["# Physical plans of key operators", "",
-       "Final adaptive plans (`explain()` after execution) of registered queries at sf0.01,",
-       "generated by running each query once. Paths are shortened.", ""]
-for name, text in picks.items():
-    df = QUERIES[name](spark, sf)
-    df.collect()
-    buf = io.StringIO()
-    with redirect_stdout(buf):
-        df.explain()
-    plan = re.sub(r"file:/[^,\]\s]*/", "…/", buf.getvalue())
-    plan = re.sub(r"#\d+L?", "", plan)
-    out += [f"## {name}", "", text, "", "```", plan.strip(), "```", ""]
-open(str(__import__('pathlib').Path(__file__).resolve().parent / 'PLANS.md'), 'w').write("\n".join(out))
-print("ok")
+
+
+def main() -> None:
+    spark = local_session(8, 8)
+    out = [
+        "# Physical plans of key operators",
+        "",
+        "Final adaptive plans (`explain()` after execution) of registered queries at sf0.01,",
+        "generated by `docs/make_plans.py`. Paths are shortened.",
+        "",
+    ]
+    for name, text in PICKS.items():
+        df = QUERIES[name](spark, SF_DIR)
+        df.collect()  # execute, so that explain() shows the final adaptive plan
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            df.explain()
+        plan = re.sub(r"file:/[^,\]\s]*/", "…/", buf.getvalue())
+        plan = re.sub(r"#\d+L?", "", plan)
+        out += [f"## {name}", "", text, "", "```", plan.strip(), "```", ""]
+    (HERE / "PLANS.md").write_text("\n".join(out))
+
+
+if __name__ == "__main__":
+    main()
