@@ -370,3 +370,15 @@ def test_snapshot_of_a_lake_root(spark, tmp_root):
     snap = sorted((r.series_name, r.data, r.valor) for r in pipeline.snapshot(spark, tmp_root, "2020-02-28").collect())
     silver = sorted((r.series_name, r.data, r.valor) for r in read_silver(spark, silver_path(tmp_root)).collect())
     assert snap == silver and len(snap) == 7
+
+
+def test_quality_report_of_a_lake_root(spark, tmp_root):
+    cat = _catalog(spark)
+    rows = [("selic", "02/01/2020", "4.0"), ("ipca", "01/01/2020", "0.2"), ("dolar_venda", "02/01/2020", "4.02"),
+            ("dolar_compra", "02/01/2020", "4.00")]
+    pipeline.ingest(spark, tmp_root, _fetched(spark, rows), "q1", "2020-01-05", catalog=cat)
+    pipeline.bronze_to_silver(spark, tmp_root)
+    pipeline.silver_to_gold(spark, tmp_root)
+    report = pipeline.quality_report(spark, tmp_root).collect()
+    assert len(report) == 7 and all(r.violations == 0 for r in report)
+    assert {(r.table, r.check_name) for r in report} >= {("gold", "unique"), ("silver", "not_null"), ("catalog", "accepted_values")}

@@ -2,7 +2,8 @@
 
 Steps mirror the reference's job boundaries and can be submitted separately:
 ``adopt`` (take over landed data in the source layout), ``bronze-to-silver``,
-``silver-to-gold``, ``publish``, ``marts``, and ``sanitize-batch-id``.
+``silver-to-gold``, ``publish``, ``marts``, ``quality`` (exit status 1 on any
+violation) and ``sanitize-batch-id``.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ def _target(args):
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="tslake")
-    ap.add_argument("step", choices=["adopt", "bronze-to-silver", "silver-to-gold", "publish", "marts", "sanitize-batch-id"])
+    ap.add_argument(
+        "step", choices=["adopt", "bronze-to-silver", "silver-to-gold", "publish", "marts", "quality", "sanitize-batch-id"]
+    )
     ap.add_argument("--root", help="lake root folder (shared storage)")
     ap.add_argument("--source-root", help="adopt: root of the source-layout landing")
     ap.add_argument("--mode", default="append_new", choices=["append_new", "upsert", "overwrite"])
@@ -63,6 +66,12 @@ def main(argv=None) -> None:
         pipeline.gold_to_warehouse(spark, args.root, _target(args), mode=args.mode)
     elif args.step == "marts":
         pipeline.marts(spark, args.root, database=args.database)
+    elif args.step == "quality":
+        report = pipeline.quality_report(spark, args.root).collect()  # one row per check
+        for row in report:
+            print(row.asDict())
+        if any(r.violations for r in report):
+            raise SystemExit(1)
 
 
 if __name__ == "__main__":

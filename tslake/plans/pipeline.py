@@ -342,3 +342,34 @@ def snapshot(spark: SparkSession, root: str, as_of: str) -> DataFrame:
     landed = bronze.read_landed(spark, root, batches=pairs)
     typed = clean_rows(parse_raw(gate_ops.gate(landed, gate_ops.manifest_entries(upto))))
     return snapshot_as_of(typed, day).select("series_name", "data", "valor", "ingestion_date", "batch_id")
+
+
+def quality_report(spark: SparkSession, root: str, catalog: DataFrame | None = None) -> DataFrame:
+    """Data-quality checks of a lake root as one frame of
+    ``(table, check_name, column_name, violations)`` (O-29..O-32): Gold's key
+    (the warehouse primary key) not NULL and unique, its declared columns,
+    Silver's key not NULL and unique, and the catalogue's frequencies."""
+    from tslake.operators import quality
+    from tslake.sources.catalog import FREQUENCIES
+
+    catalog = catalog if catalog is not None else catalog_frame(spark)
+    long_path, wide_path = _gold_paths(root)
+    gold = spark.read.parquet(wide_path)
+    silver = read_silver(spark, silver_path(root))
+    declared = quality.check_columns(spark, gold, ["reference_month", *SERIES_NAMES])
+    columns = declared.where(F.col("status") != "ok").groupBy().agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("declared_columns").alias("check_name"), F.lit("*").alias("column_name"), "violations"
+    )
+    parts = [
+        ("gold", quality.check_not_null(gold, ["reference_month"])),
+        ("gold", quality.check_unique(gold, ["reference_month"])),
+        ("gold", columns),
+        ("silver", quality.check_not_null(silver, ["series_name", "data"])),
+        ("silver", quality.check_unique(silver, ["series_name", "data"])),
+        ("catalog", quality.check_accepted_values(catalog, {"frequency": list(FREQUENCIES)})),
+    ]
+    out = None
+    for table, df in parts:
+        df = df.select(F.lit(table).alias("table"), "check_name", "column_name", "violations")
+        out = df if out is None else out.unionByName(df)
+    return out
