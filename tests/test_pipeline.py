@@ -382,3 +382,22 @@ def test_quality_report_of_a_lake_root(spark, tmp_root):
     report = pipeline.quality_report(spark, tmp_root).collect()
     assert len(report) == 7 and all(r.violations == 0 for r in report)
     assert {(r.table, r.check_name) for r in report} >= {("gold", "unique"), ("silver", "not_null"), ("catalog", "accepted_values")}
+
+
+def test_cli_steps_in_their_own_processes(spark, tmp_root):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    cat = _catalog(spark)
+    rows = [("selic", "02/01/2020", "4.0"), ("ipca", "01/01/2020", "0.2"), ("dolar_venda", "02/01/2020", "4.02"),
+            ("dolar_compra", "02/01/2020", "4.00")]
+    pipeline.ingest(spark, tmp_root, _fetched(spark, rows), "c1", "2020-01-05", catalog=cat)
+    repo = Path(__file__).resolve().parents[1]
+    env = {**__import__("os").environ, "PYTHONPATH": str(repo)}
+    for step in ("bronze-to-silver", "silver-to-gold", "publish", "marts", "quality"):
+        done = subprocess.run([sys.executable, "-m", "tslake", step, "--root", tmp_root], cwd=repo, env=env,
+                              capture_output=True, text=True, timeout=300)
+        assert done.returncode == 0, (step, done.stderr[-2000:])
+    assert spark.read.parquet(tmp_root + "/warehouse/macro_monthly").count() == 1
+    assert spark.read.parquet(tmp_root + "/marts/fct_exchange_rate").first().dolar_medio == 4.01
