@@ -17,7 +17,7 @@ from tslake.operators.dedupe import latest_per_key
 from tslake.operators.gold import monthly, to_wide
 from tslake.operators.normalize import clean_rows, parse_raw, quarantine_rows
 from tslake.operators.publish import ParquetTarget, materialize, publish
-from tslake.operators.state import after_watermark, classify, watermarks
+from tslake.operators.state import after_watermark, classify
 from tslake.plans.marts import build_marts
 from tslake.session import checkpoint_root
 from tslake.sources import bronze
@@ -109,13 +109,45 @@ def _exists_json(spark: SparkSession, path: str, schema) -> bool:
         raise
 
 
+WATERMARK_SCHEMA = "series_name string, last_reference_date date"
+
+
+def watermarks_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_control/watermarks"
+
+
+def update_watermarks(spark: SparkSession, root: str, applied_rows: DataFrame) -> None:
+    """Fold the applied rows' last dates into the watermark table (one row per
+    series), so that ingestion never scans Silver. The table is derived
+    state: it can be rebuilt from Silver at any time, and a stale one only
+    re-lands rows that the idempotent upsert absorbs."""
+    path = watermarks_path(root)
+    new = applied_rows.groupBy("series_name").agg(F.max("data").alias("last_reference_date"))
+    if _exists(spark, path, _wm_struct()):
+        new = spark.read.schema(WATERMARK_SCHEMA).parquet(path).unionByName(new)
+    merged = new.groupBy("series_name").agg(F.max("last_reference_date").alias("last_reference_date"))
+    checkpoint_root(spark)
+    merged.checkpoint(eager=True).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def _wm_struct():
+    from pyspark.sql.types import _parse_datatype_string
+
+    return _parse_datatype_string(WATERMARK_SCHEMA)
+
+
 def committed_silver_watermarks(spark: SparkSession, root: str) -> DataFrame:
     """Watermarks of everything committed: Silver plus the committed batches
     that Silver has not applied yet (D7: state must not run ahead of, or fall
-    behind, the committed data). Only the pending batches' folders are read."""
+    behind, the committed data). Silver's part comes from the watermark table
+    kept by ``bronze_to_silver`` (rebuilt from Silver only when missing); only
+    the pending batches' folders are read."""
     parts = []
     path = silver_path(root)
-    if _exists(spark, path, SILVER):
+    if _exists(spark, watermarks_path(root), _wm_struct()):
+        wm = spark.read.schema(WATERMARK_SCHEMA).parquet(watermarks_path(root))
+        parts.append(wm.select("series_name", F.col("last_reference_date").alias("data")))
+    elif _exists(spark, path, SILVER):
         parts.append(read_silver(spark, path).select("series_name", "data"))
     pending, entries = _pending(spark, root)
     if pending is not None:
@@ -125,11 +157,11 @@ def committed_silver_watermarks(spark: SparkSession, root: str) -> DataFrame:
             typed = clean_rows(parse_raw(gate_ops.gate(landed, entries)))
             parts.append(typed.select("series_name", "data"))
     if not parts:
-        return spark.createDataFrame([], "series_name string, last_reference_date date, rows_ingested bigint")
+        return spark.createDataFrame([], WATERMARK_SCHEMA)
     obs = parts[0]
     for p in parts[1:]:
         obs = obs.unionByName(p)
-    return watermarks(obs)
+    return obs.groupBy("series_name").agg(F.max("data").alias("last_reference_date"))
 
 
 APPLIED_SCHEMA = "batch_id string"
@@ -210,6 +242,7 @@ def bronze_to_silver(
         SILVER_ORDER,
     )
     upsert_silver(spark, source, silver_path(root), exists=silver_exists, partitions=partitions)
+    update_watermarks(spark, root, clean.select("series_name", "data"))
     record_applied(applied_now, root)
     return applied_now
 

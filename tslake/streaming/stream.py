@@ -42,6 +42,9 @@ def apply_manifests(spark: SparkSession, root: str, manifests: DataFrame, partit
     quarantine_rows(parsed).write.mode("append").parquet(f"{root.rstrip('/')}/quarantine")
     clean = clean_rows(parsed).select("series_name", "data", "valor", "ingestion_date", "batch_id", "year", "month")
     upsert_silver(spark, latest_per_key(clean, ["series_name", "data"], ORDER), silver_path(root), partitions=partitions)
+    from tslake.plans.pipeline import update_watermarks
+
+    update_watermarks(spark, root, clean.select("series_name", "data"))
     # Record the applied batches so a batch run does not apply them again.
     from tslake.plans.pipeline import record_applied
 
