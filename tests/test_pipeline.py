@@ -417,3 +417,11 @@ def test_watermark_table_is_kept_and_rebuilt(spark, tmp_root):
     # the table equals what a rebuild from Silver would give
     rebuilt = watermarks(read_silver(spark, silver_path(tmp_root)).select("series_name", "data"))
     assert kept == sorted((r.series_name, r.last_reference_date) for r in rebuilt.collect()) == [("selic", D(2020, 1, 6))]
+
+
+def test_read_landed_many_batches_falls_back_to_a_semi_join(spark, tmp_root, monkeypatch):
+    rows = [(f"0{i}/01/2020", str(i), "selic", D(2020, 1, i), f"m{i}") for i in range(1, 6)]
+    bronze.land(spark.createDataFrame(rows, "data string, valor string, series_name string, ingestion_date date, batch_id string"), tmp_root)
+    monkeypatch.setattr(bronze, "GLOB_BATCH_LIMIT", 2)
+    got = bronze.read_landed(spark, tmp_root, batches=[(D(2020, 1, i), f"m{i}") for i in (1, 2, 4)])
+    assert sorted(r.batch_id for r in got.collect()) == ["m1", "m2", "m4"]

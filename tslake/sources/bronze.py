@@ -58,6 +58,11 @@ PATH_ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
 GLOB_SPECIAL = set("{}[]*?,\\")
 
 
+# Up to this many batches are named in one glob; more are read by listing the
+# landing zone and a semi join on the batch ids.
+GLOB_BATCH_LIMIT = 1000
+
+
 def _folder_value(value: str) -> str:
     escaped = "".join(f"%{ord(c):02X}" if c in PATH_ESCAPED else c for c in value)
     return "".join("\\" + c if c in GLOB_SPECIAL else c for c in escaped)
@@ -86,6 +91,10 @@ def read_landed(
         return empty
     dates = sorted({str(d) for d, _ in batches})
     ids = sorted({str(b) for _, b in batches})
+    if len(ids) > GLOB_BATCH_LIMIT:
+        # too many for one glob: list everything, keep exactly these batches
+        wanted = spark.createDataFrame([(b,) for b in ids], "batch_id string")
+        return spark.read.schema(schema).json(base).join(wanted, "batch_id", "left_semi")
     alt = lambda vals: "{" + ",".join(_folder_value(v) for v in vals) + "}"
     pattern = f"{base}/ingestion_date={alt(dates)}/batch_id={alt(ids)}"
     try:
