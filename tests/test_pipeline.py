@@ -425,3 +425,14 @@ def test_read_landed_many_batches_falls_back_to_a_semi_join(spark, tmp_root, mon
     monkeypatch.setattr(bronze, "GLOB_BATCH_LIMIT", 2)
     got = bronze.read_landed(spark, tmp_root, batches=[(D(2020, 1, i), f"m{i}") for i in (1, 2, 4)])
     assert sorted(r.batch_id for r in got.collect()) == ["m1", "m2", "m4"]
+
+
+def test_ingest_raises_naming_failed_series_after_writing_the_manifest(spark, tmp_root):
+    import pytest
+
+    cat = catalog_frame(spark).where(F.col("series_name").isin("selic", "ipca", "dolar_venda"))
+    with pytest.raises(RuntimeError, match="dolar_venda, ipca"):
+        pipeline.ingest(spark, tmp_root, _fetched(spark, [("selic", "02/01/2020", "4.0")]), "e1", "2020-01-05",
+                        catalog=cat, raise_on_failure=True)
+    m = bronze.read_manifests(spark, tmp_root).collect()
+    assert [(r.batch_id, r.status) for r in m] == [("e1", "failed")] and m[0].series["selic"] == "new_data"

@@ -44,12 +44,16 @@ def ingest(
     catalog: DataFrame | None = None,
     inclusive: bool = False,
     lookback_days: int = 0,
+    raise_on_failure: bool = False,
 ) -> DataFrame:
     """Land the rows of ``fetched`` (series_name, data text, valor text) that are
     past each series' watermark, then commit the batch manifest.
 
     Returns the manifest that was written. A batch id that is already
-    committed is left alone (D8).
+    committed is left alone (D8). Series are isolated from each other (O-18c):
+    a failed series fails the batch, but the manifest is written for all of
+    them; with ``raise_on_failure`` an error naming every failed series is
+    raised after that.
     """
     catalog = catalog if catalog is not None else catalog_frame(spark)
     day = F.to_date(F.lit(ingestion_date))
@@ -86,6 +90,13 @@ def ingest(
     )
     bronze.land(raw, root)
     bronze.write_manifests(manifest, root)
+    if raise_on_failure:
+        # the manifest is one row whose map lists the catalogue's series
+        failed = sorted(
+            r.key for r in manifest.select(F.explode("series")).where(F.col("value") == "failed").collect()
+        )
+        if failed:
+            raise RuntimeError(f"batch {batch_id} failed for series: {', '.join(failed)}")
     return manifest
 
 
