@@ -162,3 +162,25 @@ def test_f6_publish_modes(spark, tmp_root):
         publish(spark, gold, target, mode=mode)
         out = {r.reference_month: r.s for r in spark.read.parquet(target.path).collect()}
         assert len(out) == 13 and out[D(2021, 2, 1)] == 13.0 and out[D(2020, 12, 1)] == dec
+
+
+def test_f6_calendar_mode_in_wide_features(spark):
+    long = _f6_long(spark)
+    both = wide_features(long, [
+        Feature("pos", "pct_change", ("s",), 12),
+        Feature("cal", "pct_change", ("s",), 12, calendar=True),
+        Feature("cal_lag", "lag", ("s",), 12, calendar=True),
+    ]).where("reference_month = date'2021-02-01'").first()
+    assert round(both.pos, 6) == 1200.0 and round(both.cal, 6) == 550.0 and both.cal_lag == 2.0
+    # 2021-06 is absent from Gold, so a calendar lag of 2021-07 would be NULL; 2021-01 reads 2020-01
+    jan = wide_features(long, [Feature("c", "lag", ("s",), 12, calendar=True)]).where("reference_month = date'2021-01-01'").first()
+    assert jan.c == 1.0
+
+
+def test_mart_calendar_mode(spark):
+    long = _f3_gold_long(spark)
+    pos = {r.reference_month: r for r in build_mart(long, "fct_exchange_rate").collect()}
+    cal = {r.reference_month: r for r in build_mart(long, "fct_exchange_rate", calendar=True).collect()}
+    # Feb follows Jan in both senses; Mar's calendar predecessor (Feb) exists too
+    assert round(cal[D(2020, 2, 1)].cambio_mom, 6) == round(pos[D(2020, 2, 1)].cambio_mom, 6) == 4.176904
+    assert cal[D(2020, 3, 1)].cambio_change is None  # March has no dolar_venda

@@ -89,32 +89,36 @@ class Feature:
 
     ops: ``value`` (pass-through), ``lag``, ``change`` (x - lag k),
     ``pct_change`` ((x / lag k - 1) * 100), ``spread`` (a - b),
-    ``midpoint`` ((a + b) / 2).
+    ``midpoint`` ((a + b) / 2). A lag is positional over the months of Gold
+    (the default, as the published marts) or, with ``calendar=True``, the
+    value exactly ``k`` calendar months before (O-24b).
     """
 
     name: str
     op: str
     inputs: tuple[str, ...]
     k: int = 0
+    calendar: bool = False
 
-    def cells(self) -> set[tuple[str, int]]:
+    def cells(self) -> set[tuple[str, int, bool]]:
+        x, lagged = self.inputs[0], (self.inputs[0], self.k, self.calendar)
         if self.op == "value":
-            return {(self.inputs[0], 0)}
+            return {(x, 0, False)}
         if self.op == "lag":
-            return {(self.inputs[0], self.k)}
+            return {lagged}
         if self.op in ("change", "pct_change"):
-            return {(self.inputs[0], 0), (self.inputs[0], self.k)}
+            return {(x, 0, False), lagged}
         if self.op in ("spread", "midpoint"):
-            return {(self.inputs[0], 0), (self.inputs[1], 0)}
+            return {(x, 0, False), (self.inputs[1], 0, False)}
         raise ValueError(f"unknown feature op: {self.op}")
 
 
-def _cell(series: str, k: int) -> str:
-    return f"{series}@{k}"
+def _cell(series: str, k: int, calendar: bool = False) -> str:
+    return f"{series}@{'c' if calendar and k else ''}{k}"
 
 
 def _expr(f: Feature):
-    c = lambda s, k=0: F.col(f"`{_cell(s, k)}`")
+    c = lambda s, k=0: F.col(f"`{_cell(s, k, f.calendar)}`")
     x = f.inputs[0]
     if f.op == "value":
         return c(x)
@@ -131,6 +135,18 @@ def _expr(f: Feature):
     raise ValueError(f"unknown feature op: {f.op}")
 
 
+def _calendar_shift(long: DataFrame, axis: DataFrame, offsets: Sequence[int]) -> DataFrame:
+    """Cells moved ``k`` calendar months forward and placed on the month axis
+    by an equi join on the month (months absent from Gold drop out)."""
+    ks = F.array(*[F.lit(int(k)) for k in offsets])
+    moved = long.select("series_name", "valor", F.explode(ks).alias("_k"), "reference_month").withColumn(
+        "reference_month", F.add_months("reference_month", F.col("_k"))
+    )
+    return moved.join(axis, "reference_month").select(
+        "month_idx", "valor", F.concat(F.col("series_name"), F.lit("@c"), F.col("_k").cast("string")).alias("_cell")
+    )
+
+
 def wide_features(long: DataFrame, features: Sequence[Feature], axis: DataFrame | None = None) -> DataFrame:
     """One row per month of the axis with the requested feature columns.
 
@@ -138,16 +154,23 @@ def wide_features(long: DataFrame, features: Sequence[Feature], axis: DataFrame
     the axis is taken from all of it, as the wide table's rows are.
     """
     cells = sorted(set().union(*(f.cells() for f in features)))
-    names = [_cell(s, k) for s, k in cells]
-    series = sorted({s for s, _ in cells})
-    ks = sorted({k for _, k in cells})
+    names = [_cell(s, k, cal) for s, k, cal in cells]
     axis = month_axis(long) if axis is None else axis
-    indexed = long.where(F.col("series_name").isin(series)).join(axis, "reference_month")
-    shifted = (
-        _shift(indexed, ks)
-        .withColumn("_cell", F.concat(F.col("series_name"), F.lit("@"), F.col("_k").cast("string")))
-        .where(F.col("_cell").isin(names))
-    )
+    positional = [(s, k) for s, k, cal in cells if not (cal and k)]
+    calendar = [(s, k) for s, k, cal in cells if cal and k]
+    parts = []
+    if positional:
+        series = sorted({s for s, _ in positional})
+        indexed = long.where(F.col("series_name").isin(series)).join(axis, "reference_month")
+        parts.append(
+            _shift(indexed, sorted({k for _, k in positional}))
+            .select("month_idx", "valor", F.concat(F.col("series_name"), F.lit("@"), F.col("_k").cast("string")).alias("_cell"))
+        )
+    if calendar:
+        series = sorted({s for s, _ in calendar})
+        parts.append(_calendar_shift(long.where(F.col("series_name").isin(series)), axis, sorted({k for _, k in calendar})))
+    shifted = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    shifted = shifted.where(F.col("_cell").isin(names))
     pivoted = shifted.groupBy("month_idx").agg(
         *(F.max(F.when(F.col("_cell") == n, F.col("valor"))).alias(n) for n in names)
     )

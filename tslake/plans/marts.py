@@ -6,6 +6,8 @@ Each mart is a list of ``Feature`` specs applied to Gold in long form by
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 
 from tslake.operators.features import Feature, wide_features
@@ -80,8 +82,13 @@ MARTS: dict[str, list[Feature]] = {
 }
 
 
-def build_mart(gold_long: DataFrame, name: str, axis: DataFrame | None = None) -> DataFrame:
-    return wide_features(gold_long, MARTS[name], axis)
+def build_mart(gold_long: DataFrame, name: str, axis: DataFrame | None = None, calendar: bool = False) -> DataFrame:
+    """Build a mart; ``calendar=True`` makes every lag calendar-exact (O-24b)
+    instead of positional over the months of Gold."""
+    feats = MARTS[name]
+    if calendar:
+        feats = [replace(f, calendar=True) if f.op in ("lag", "change", "pct_change") else f for f in feats]
+    return wide_features(gold_long, feats, axis)
 
 
 def build_marts(gold_long: DataFrame, axis: DataFrame | None = None) -> dict[str, DataFrame]:

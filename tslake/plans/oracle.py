@@ -188,6 +188,17 @@ FROM gold WINDOW w AS (ORDER BY reference_month)""",
 
 GOLD_MACRO_SQL = f"WITH {MACRO_GOLD}\nSELECT {_gold_select()} FROM gold"
 
+MART_SQL["mart_exchange_calendar"] = f"""WITH {MACRO_GOLD}
+SELECT g.reference_month, {_r('g.dolar_compra', 'dolar_compra')}, {_r('g.dolar_venda', 'dolar_venda')},
+  {_r('(g.dolar_compra + g.dolar_venda) / 2', 'dolar_medio')},
+  {_r('g.dolar_venda - g.dolar_compra', 'spread_cambio')},
+  {_r('g.dolar_venda - m1.dolar_venda', 'cambio_change')},
+  {_r('(g.dolar_venda / nullif(m1.dolar_venda, 0) - 1) * 100', 'cambio_mom')},
+  {_r('(g.dolar_venda / nullif(m12.dolar_venda, 0) - 1) * 100', 'cambio_yoy')}
+FROM gold g
+LEFT JOIN gold m1 ON m1.reference_month = CAST(g.reference_month - INTERVAL 1 MONTH AS DATE)
+LEFT JOIN gold m12 ON m12.reference_month = CAST(g.reference_month - INTERVAL 12 MONTH AS DATE)"""
+
 UPSERT_SQL = f"""WITH {OBS_O},
 d AS (SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY series_name, data ORDER BY o_orderkey DESC) = 1),
 t AS (SELECT series_name, data, valor, o_orderkey FROM d WHERE data < DATE '2000-01-01'),

@@ -378,6 +378,11 @@ def _mart(name):
     return run
 
 
+def q_mart_exchange_calendar(spark, sf):
+    """The exchange-rate mart with calendar-exact lags (O-24b)."""
+    return rounded(build_mart(materialized(macro_gold_long(spark, sf)), "fct_exchange_rate", calendar=True))
+
+
 # ---- sinks and round trips --------------------------------------------------
 def _gold_target(spark, sf):
     """A warehouse target loaded up to PUBLISHED_UNTIL, with one stale value."""
@@ -544,6 +549,7 @@ QUERIES: dict[str, Query] = {
     "mart_exchange": _mart("fct_exchange_rate"),
     "mart_credit": _mart("fct_credit_pf"),
     "mart_features": _mart("mart_macro_credit_features"),
+    "mart_exchange_calendar": q_mart_exchange_calendar,
     "publish_append_new": q_publish_append_new,
     "publish_upsert": q_publish_upsert,
     "high_water_month": q_high_water_month,
