@@ -243,9 +243,11 @@ def bronze_to_silver(
         F.count_if(F.col("data").isNull()).alias("rows_quarantined"),
         F.count_if(F.col("data").isNotNull() & F.col("valor").isNull()).alias("rows_null_valor"),
     ).checkpoint(eager=True)
+    counts = observation.get
     if metrics is not None:
-        metrics.update(observation.get)
-    quarantine_rows(parsed).write.mode("append").parquet(f"{root.rstrip('/')}/quarantine")
+        metrics.update(counts)
+    if counts.get("rows_quarantined"):  # no job when the batches are clean
+        quarantine_rows(parsed).write.mode("append").parquet(f"{root.rstrip('/')}/quarantine")
     clean = clean_rows(parsed)
     source = latest_per_key(
         clean.select("series_name", "data", "valor", "ingestion_date", "batch_id", "year", "month"),
