@@ -88,3 +88,20 @@ def test_mart_reads_checkpointed_gold_not_sources(spark):
 
     g = materialized(macro_gold_long(spark, SF001))
     assert "FileScan" not in plan(build_mart(g, "fct_exchange_rate"))
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    import os
+
+    rows = [("hot", 2020, i, float(i)) for i in range(20000)] + [("cold", 2020, i, float(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "series_name string, year int, k int, valor double").repartition(8)
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        write_partitioned(df, path, ["series_name", "year"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = [f for f in os.listdir(os.path.join(path, "series_name=hot", "year=2020")) if f.endswith(".parquet")]
+    cold = [f for f in os.listdir(os.path.join(path, "series_name=cold", "year=2020")) if f.endswith(".parquet")]
+    assert len(hot) > 1 and len(cold) == 1
+    assert spark.read.parquet(path).count() == 20050
