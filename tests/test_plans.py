@@ -105,3 +105,32 @@ def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     cold = [f for f in os.listdir(os.path.join(path, "series_name=cold", "year=2020")) if f.endswith(".parquet")]
     assert len(hot) > 1 and len(cold) == 1
     assert spark.read.parquet(path).count() == 20050
+
+
+def test_hot_series_is_spread_in_the_watermark_join(spark):
+    """With the join shuffled (no broadcast), the hot series' rows are spread
+    over the salt buckets instead of one task."""
+    from tslake.operators.state import SALT_BUCKETS, after_watermark, watermarks
+
+    rows = [("hot" if i % 3 == 0 else f"s{i % 40}", D(2020, 1, 1 + i % 28), float(i)) for i in range(30000)]
+    obs = spark.createDataFrame(rows, "series_name string, data date, valor double").repartition(8)
+    wm = watermarks(obs.where("data < date'2020-01-10'").select("series_name", "data"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # observe the join's own partitions
+    try:
+        df = after_watermark(obs, wm)
+        p = plan(df, "simple")
+        got = df.count()
+        # rows of the hot series per join partition: spread, not gathered
+        per_task = (
+            df.where("series_name = 'hot'").withColumn("_p", F.spark_partition_id()).groupBy("_p").count().collect()
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == sum(1 for s, d, _ in rows if d >= D(2020, 1, 10))
+    assert "SortMergeJoin" in p and "_salt" in p
+    assert len(per_task) > 1 and SALT_BUCKETS > 1
