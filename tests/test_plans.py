@@ -134,3 +134,33 @@ def test_hot_series_is_spread_in_the_watermark_join(spark):
     assert got == sum(1 for s, d, _ in rows if d >= D(2020, 1, 10))
     assert "SortMergeJoin" in p and "_salt" in p
     assert len(per_task) > 1 and SALT_BUCKETS > 1
+
+
+def test_hot_batch_series_in_the_gate_is_split_by_aqe(spark):
+    from tslake.operators import gate as gate_ops
+
+    rows = [(f"{i:05d}", "1", "hot" if i % 3 == 0 else f"s{i % 40}", "b1" if i % 3 == 0 else f"b{i % 7}")
+            for i in range(30000)]
+    landed = spark.createDataFrame(rows, "data string, valor string, series_name string, batch_id string").repartition(8)
+    entries = spark.createDataFrame(
+        [(f"b{j}", s, "committed", "new_data") for j in range(7) for s in ["hot"] + [f"s{i}" for i in range(40)]],
+        "batch_id string, series_name string, batch_status string, series_status string",
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = gate_ops.gate(landed, entries)
+        n = len(df.collect())
+        p = plan(df, "simple")
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert n == 30000 and "SortMergeJoin(skew=true)" in p
