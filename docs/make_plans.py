@@ -20,7 +20,7 @@ from tslake.session import local_session  # noqa: E402
 SF_DIR = "/root/testdata/sf0.01"
 PICKS = {
     "dedupe_latest": "Latest-wins dedupe: partial aggregation of max(struct) before the shuffle.",
-    "after_watermark": "After-watermark filter: watermark side broadcast at run time by AQE, date filter pushed to Parquet.",
+    "after_watermark": "After-watermark filter: salted join (16 buckets per series), watermark side broadcast at run time by AQE, date filter pushed to Parquet.",
     "committed_gate": "Commit gate: semi join of the landed rows with committed manifest entries.",
     "gold_macro": "Gold: dedupe, catalogue join (broadcast by size estimate), two-stage monthly aggregation, one-pass pivot.",
     "mart_features": "Mart from checkpointed Gold: month axis from one bounded aggregate, shifted cells, one conditional aggregation.",
