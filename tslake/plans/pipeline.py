@@ -304,7 +304,6 @@ def silver_to_gold(spark: SparkSession, root: str, incremental: bool = True) ->
         if not new_ids:
             return spark.read.schema(GOLD_LONG).parquet(long_path), spark.read.parquet(wide_path)
         manifests = bronze.latest_manifests(bronze.read_manifests(spark, root)).where(F.col("batch_id").isin(new_ids))
-        manifests = manifests.checkpoint(eager=True)
         pairs = [(r.ingestion_date, r.batch_id) for r in manifests.select("ingestion_date", "batch_id").collect()]
         landed = bronze.read_landed(spark, root, batches=pairs)
         changed = clean_rows(parse_raw(gate_ops.gate(landed, gate_ops.manifest_entries(manifests))))
