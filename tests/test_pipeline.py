@@ -436,3 +436,10 @@ def test_ingest_raises_naming_failed_series_after_writing_the_manifest(spark, tm
                         catalog=cat, raise_on_failure=True)
     m = bronze.read_manifests(spark, tmp_root).collect()
     assert [(r.batch_id, r.status) for r in m] == [("e1", "failed")] and m[0].series["selic"] == "new_data"
+
+
+def test_ingest_lands_only_catalogue_series(spark, tmp_root):
+    cat = catalog_frame(spark).where("series_name = 'selic'")
+    fetched = _fetched(spark, [("selic", "02/01/2020", "4.0"), ("unknown", "02/01/2020", "1.0")])
+    pipeline.ingest(spark, tmp_root, fetched, "k1", "2020-01-05", catalog=cat)
+    assert [r.series_name for r in bronze.read_landed(spark, tmp_root).collect()] == ["selic"]

@@ -60,7 +60,8 @@ def ingest(
     # One row per series, used by the classification and by the landing
     # filter: materialised once so Silver is scanned once.
     history = committed_silver_watermarks(spark, root).checkpoint(eager=True)
-    parsed = parse_raw(fetched)
+    # only catalogue series are ingested (their manifest entries vouch for them)
+    parsed = parse_raw(fetched.join(catalog.select("series_name"), "series_name", "left_semi"))
     typed = clean_rows(parsed)
     new = after_watermark(typed, history, inclusive=inclusive, lookback_days=lookback_days)
     status = classify(catalog, new, history, day)
