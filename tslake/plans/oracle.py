@@ -378,6 +378,9 @@ d AS (SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY series_name, dat
 SELECT series_name, data, {_r('valor', 'valor')}, o_orderkey, CAST(year(data) AS INTEGER) AS year
 FROM d WHERE series_name IN ('1-URGENT', '5-LOW')""",
     "landing_roundtrip": f"WITH {EVENTS}\nSELECT event_id, series_name, data, {_r('valor', 'valor')}, batch_id FROM gated",
+    "lake_snapshot": f"""WITH {EVENTS}
+SELECT series_name, data, {_r('max(valor)', 'valor')}, max(batch_id) AS batch_id
+FROM gated WHERE ingestion_date <= DATE '2024-01-20' GROUP BY series_name, data""",
     "stream_upsert": f"""WITH {EVENTS}
 SELECT series_name, data, {_r('max(valor)', 'valor')}, max(batch_id) AS batch_id
 FROM gated GROUP BY series_name, data""",

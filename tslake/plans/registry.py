@@ -455,6 +455,16 @@ def q_landing_roundtrip(spark, sf):
     return rounded(clean.select("event_id", "series_name", "data", "valor", "batch_id"))
 
 
+def q_lake_snapshot(spark, sf):
+    """Snapshot of a lake root as of a day: the events landed with their
+    manifests, then ``pipeline.snapshot`` (committed batches only)."""
+    from tslake.plans import pipeline
+
+    root = land_events(spark, sf)
+    snap = pipeline.snapshot(spark, root, SNAPSHOT_AS_OF)
+    return rounded(snap.select("series_name", "data", "valor", "batch_id"))
+
+
 def q_stream_upsert(spark, sf):
     from tslake.sources.silver import read_silver, silver_path
     from tslake.streaming.stream import run_silver_stream
@@ -558,6 +568,7 @@ QUERIES: dict[str, Query] = {
     "silver_roundtrip": q_silver_roundtrip,
     "landing_roundtrip": q_landing_roundtrip,
     "stream_upsert": q_stream_upsert,
+    "lake_snapshot": q_lake_snapshot,
     "pipeline_incremental_gold": q_pipeline_incremental_gold,
     "check_not_null": q_check_not_null,
     "check_unique_key": q_check_unique_key,
