@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tslake.functions.dates import month_start
 from tslake.operators.dedupe import latest_per_key
+from tslake.session import checkpoint_root
 from tslake.sources.catalog import WINDOW_DAYS
 
 
@@ -108,6 +109,11 @@ def classify_monthly_batches(obs: DataFrame) -> DataFrame:
     per_month = obs.groupBy("series_name", month_start("data").alias("batch_month")).agg(
         F.count(F.lit(1)).alias("n_new"), F.max("data").alias("max_data")
     )
+    # Materialised once (series x months rows): the plan below and the scalar
+    # subquery for the last month both read it, so the observations are
+    # scanned once, not twice.
+    checkpoint_root(obs.sparkSession)
+    per_month = per_month.checkpoint(eager=True)
     last_month = per_month.agg(F.max("batch_month")).scalar()
     w = Window.partitionBy("series_name").orderBy("batch_month")
     nxt = F.coalesce(F.lead("batch_month").over(w), F.add_months(last_month, 1))
