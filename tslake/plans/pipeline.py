@@ -128,14 +128,16 @@ def watermarks_path(root: str) -> str:
     return f"{root.rstrip('/')}/_control/watermarks"
 
 
-def update_watermarks(spark: SparkSession, root: str, applied_rows: DataFrame) -> None:
+def update_watermarks(spark: SparkSession, root: str, applied_rows: DataFrame, exists: bool | None = None) -> None:
     """Fold the applied rows' last dates into the watermark table (one row per
     series), so that ingestion never scans Silver. The table is derived
     state: it can be rebuilt from Silver at any time, and a stale one only
     re-lands rows that the idempotent upsert absorbs."""
     path = watermarks_path(root)
     new = applied_rows.groupBy("series_name").agg(F.max("data").alias("last_reference_date"))
-    if _exists(spark, path, _wm_struct()):
+    if exists is None:
+        exists = _exists(spark, path, _wm_struct())
+    if exists:
         new = spark.read.schema(WATERMARK_SCHEMA).parquet(path).unionByName(new)
     merged = new.groupBy("series_name").agg(F.max("last_reference_date").alias("last_reference_date"))
     checkpoint_root(spark)
@@ -236,7 +238,9 @@ def bronze_to_silver(
     if not rows:
         return applied_now
     landed = bronze.read_landed(spark, root, batches=[(r.ingestion_date, r.batch_id) for r in rows])
-    silver_exists = _exists(spark, silver_path(root), SILVER)  # probe before the observation starts
+    # probe before the observation starts (its listener would log a probe's miss)
+    silver_exists = _exists(spark, silver_path(root), SILVER)
+    wm_exists = _exists(spark, watermarks_path(root), _wm_struct())
     observation = Observation("bronze_to_silver")
     parsed = parse_raw(gate_ops.gate(landed, entries)).observe(
         observation,
@@ -256,7 +260,7 @@ def bronze_to_silver(
         SILVER_ORDER,
     )
     upsert_silver(spark, source, silver_path(root), exists=silver_exists, partitions=partitions)
-    update_watermarks(spark, root, clean.select("series_name", "data"))
+    update_watermarks(spark, root, clean.select("series_name", "data"), exists=wm_exists)
     record_applied(applied_now, root)
     return applied_now
 
