@@ -61,3 +61,12 @@ def test_entry_contract(spark):
     df = e.entry(spark)
     assert df.count() > 0 and df.columns[0] == "reference_month"
     assert set(e.queries()) == set(e.oracle_sql())
+
+
+def test_unknown_frequency_is_an_error(spark):
+    import pytest
+
+    spans = spark.createDataFrame([("s", "weekly", D(2020, 1, 1), D(2020, 3, 1))],
+                                  "series_name string, frequency string, start_date date, end_date date")
+    with pytest.raises(Exception, match="Frequency not supported: weekly"):
+        request_windows(spans).collect()
