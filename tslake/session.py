@@ -65,8 +65,9 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the session carries it. Only where it is unset (local tests)
-    a folder of our own is created and registered.
+    On a cluster the session carries it. Only on a local master a folder of
+    our own stands in for an unset one; elsewhere an unset folder is an error,
+    because executors would not share a temporary one.
     """
     try:
         sc = spark.sparkContext
@@ -80,6 +81,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tslake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
