@@ -4,16 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tslake.llm import bpe
+from tslake.llm import bpe, licenses, quality
 from tslake.llm.common import table
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_license_scan": op2_license_scan,
+    "op3_quality_rules": op3_quality_rules,
     "op7_bpe": op7_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_license_scan": licenses.SQL,
+    "op3_quality_rules": quality.SQL,
+}
