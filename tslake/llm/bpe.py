@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -199,7 +200,7 @@ class Vocabulary:
 
 class Encoder(PieceCodes):
     def __init__(self, vocabulary: Vocabulary, pattern: str):
-        super().__init__(pattern)
+        super().__init__(regex.compile(pattern).findall)
         self.vocabulary = vocabulary
         self.clear()
 

@@ -9,9 +9,9 @@ input; results do not depend on it.
 from __future__ import annotations
 
 import base64
+from collections.abc import Callable
 
 import numpy as np
-import regex
 
 POOL_LIMIT = 300_000
 
@@ -42,10 +42,10 @@ def flatten(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class PieceCodes:
-    """Codes of the distinct pre-tokens seen so far."""
+    """Codes of the distinct pre-tokens seen so far; ``find`` splits a text."""
 
-    def __init__(self, pattern: str, pool_limit: int = POOL_LIMIT):
-        self.find, self.pool_limit = regex.compile(pattern).findall, pool_limit
+    def __init__(self, find: Callable[[str], list[str]], pool_limit: int = POOL_LIMIT):
+        self.find, self.pool_limit = find, pool_limit
         self.codes: dict[str, int] = {}
 
     def clear(self) -> None:

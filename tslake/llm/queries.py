@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tslake.llm import bpe, licenses, quality
+from tslake.llm import bpe, licenses, quality, warc
 from tslake.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -23,10 +27,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
+    "op5_warc": op5_warc,
     "op7_bpe": op7_bpe,
 }
 
 SQL: dict[str, str] = {
     "op2_license_scan": licenses.SQL,
     "op3_quality_rules": quality.SQL,
+    "op5_warc": warc.SQL,
 }
