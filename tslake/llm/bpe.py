@@ -207,8 +207,8 @@ class Encoder(PieceCodes):
     def clear(self) -> None:
         self.flat, self.offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def add(self, pieces: list[bytes]) -> None:
-        flat, offsets = self.vocabulary.encode_pieces(pieces)
+    def add(self, pieces: list[str]) -> None:
+        flat, offsets = self.vocabulary.encode_pieces([p.encode() for p in pieces])
         self.flat = np.concatenate([self.flat, flat])
         self.offsets = np.concatenate([self.offsets, offsets[1:] + self.offsets[-1]])
 

@@ -44,14 +44,14 @@ def flatten(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 class PieceCodes:
     """Codes of the distinct pre-tokens seen so far; ``find`` splits a text."""
 
-    def __init__(self, find: Callable[[str], list[str]], pool_limit: int = POOL_LIMIT):
+    def __init__(self, find: Callable[[str], list], pool_limit: int = POOL_LIMIT):
         self.find, self.pool_limit = find, pool_limit
-        self.codes: dict[str, int] = {}
+        self.codes: dict = {}
 
     def clear(self) -> None:
         raise NotImplementedError
 
-    def add(self, pieces: list[bytes]) -> None:
+    def add(self, pieces: list) -> None:
         raise NotImplementedError
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +65,6 @@ class PieceCodes:
             begins[i + 1] = len(pieces)
         new = sorted(set(pieces).difference(self.codes))
         if new:
-            self.add([p.encode() for p in new])
+            self.add(new)
             self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
         return np.fromiter(map(self.codes.__getitem__, pieces), np.int64, len(pieces)), begins

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tslake.llm import bpe, licenses, quality, warc
+from tslake.llm import bpe, licenses, quality, token_files, warc
 from tslake.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -27,6 +31,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
+    "op4_token_files": op4_token_files,
     "op5_warc": op5_warc,
     "op7_bpe": op7_bpe,
 }
