@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tslake.llm.common import row_blocks, text_buffer
-from tslake.llm.pretokens import PieceCodes, flatten, ragged, read_ranks
+from tslake.llm.pretokens import HashTable, PieceCodes, flatten, ragged, read_ranks
 
 RANKS = "byte_bpe_50k.tiktoken"
 BUCKETS = (2, 4, 6, 8, 10, 12, 16, 20, 24, 32, 48, 64, 96, 128, 192, 256)
@@ -36,8 +36,8 @@ CELLS = 400_000
 NONE = np.int32(2**31 - 1)
 
 
-class PairTable:
-    """(left id, right id) -> id of the merged token, by linear probing."""
+class PairTable(HashTable):
+    """(left id, right id) -> id of the merged token."""
 
     def __init__(self, tokens: list[bytes]):
         ids = {t: i for i, t in enumerate(tokens)}
@@ -48,38 +48,12 @@ class PairTable:
                 if left is not None and right is not None:
                     keys.append(left << 32 | right)
                     merged.append(i)
-        self.bits = max(4, (4 * len(keys)).bit_length())
-        self.keys = np.full(1 << self.bits, -1, np.int64)
-        self.merged = np.full(1 << self.bits, NONE, np.int32)
-        keys, merged = np.array(keys, np.int64), np.array(merged, np.int32)
-        slots = self.slot(keys)
-        while len(keys):
-            free = self.keys[slots] < 0
-            at, first = np.unique(slots[free], return_index=True)
-            chosen = np.flatnonzero(free)[first]
-            self.keys[at], self.merged[at] = keys[chosen], merged[chosen]
-            rest = np.ones(len(keys), bool)
-            rest[chosen] = False
-            keys, merged, slots = keys[rest], merged[rest], (slots[rest] + 1) & ((1 << self.bits) - 1)
-
-    def slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        super().__init__(np.array(keys, np.int64), np.array(merged, np.int32), NONE)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merged ids; NONE where the pair is no token or a side is padding (-1)."""
         keys = left.astype(np.int64) << 32 | right.astype(np.int64)
-        slots = self.slot(keys)
-        found = self.keys[slots]
-        out = np.where(found == keys, self.merged[slots], NONE)
-        open_ = np.flatnonzero((found != keys) & (found >= 0) & (left >= 0) & (right >= 0))
-        while len(open_):
-            slots[open_] = (slots[open_] + 1) & ((1 << self.bits) - 1)
-            found = self.keys[slots[open_]]
-            hit = found == keys[open_]
-            out[open_[hit]] = self.merged[slots[open_[hit]]]
-            open_ = open_[~hit & (found >= 0)]
-        out[(left < 0) | (right < 0)] = NONE
-        return out
+        return self.look_up(np.where(right < 0, -1, keys))
 
 
 class Vocabulary:
@@ -106,7 +80,7 @@ class Vocabulary:
         ids[inside] = self.byte_ids[data]
         done, counts = ids.copy(), lengths.copy()
         rows = np.arange(len(pieces))
-        rank = self.pairs.look_up(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(pieces), width - 1)
+        rank = self.pairs.of(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(pieces), width - 1)
         while len(rows):
             j = rank.argmin(axis=1)
             best = rank[np.arange(len(rows)), j]
@@ -132,11 +106,11 @@ class Vocabulary:
                 continue
             k = np.minimum(j, width - 3)
             has_right = j <= width - 3
-            rank[at, k] = np.where(has_right, self.pairs.look_up(ids[at, k], ids[at, k + 1]), rank[at, k])
+            rank[at, k] = np.where(has_right, self.pairs.of(ids[at, k], ids[at, k + 1]), rank[at, k])
             left = j > 0
             if left.any():
                 a, b = at[left], j[left]
-                rank[a, b - 1] = self.pairs.look_up(ids[a, b - 1], ids[a, b])
+                rank[a, b - 1] = self.pairs.of(ids[a, b - 1], ids[a, b])
         return done, counts
 
     def encode_long(self, piece: bytes) -> list[int]:

@@ -41,6 +41,44 @@ def flatten(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(rows), np.uint8), offsets
 
 
+class HashTable:
+    """Whole numbers from 0 -> int32 values, open addressing with linear probing."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing: int):
+        self.bits, self.missing = max(4, (4 * len(keys)).bit_length()), np.int32(missing)
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, missing, np.int32)
+        slots = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slots] < 0)
+            at, first = np.unique(slots[free], return_index=True)
+            chosen = free[first]
+            self.keys[at], self.values[at] = keys[chosen], values[chosen]
+            rest = np.ones(len(keys), bool)
+            rest[chosen] = False
+            keys, values, slots = keys[rest], values[rest], self._next(slots[rest])
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _next(self, slots: np.ndarray) -> np.ndarray:
+        return (slots + 1) & ((1 << self.bits) - 1)
+
+    def look_up(self, keys: np.ndarray) -> np.ndarray:
+        """Values of the keys, ``missing`` where there is none; negative keys have none."""
+        slots = self._slot(keys)
+        found = self.keys[slots]
+        out = np.where((found == keys) & (keys >= 0), self.values[slots], self.missing)
+        open_ = np.flatnonzero((found != keys) & (found >= 0) & (keys >= 0))
+        while len(open_):
+            slots[open_] = self._next(slots[open_])
+            found = self.keys[slots[open_]]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.values[slots[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
+
+
 class PieceCodes:
     """Codes of the distinct pre-tokens seen so far; ``find`` splits a text."""
 

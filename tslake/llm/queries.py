@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tslake.llm import bpe, licenses, quality, token_files, warc
+from tslake.llm import bpe, licenses, quality, token_counts, token_files, warc
 from tslake.llm.common import table
 
 
@@ -28,12 +28,17 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_files": op4_token_files,
     "op5_warc": op5_warc,
     "op7_bpe": op7_bpe,
+    "op9_token_counts": op9_token_counts,
 }
 
 SQL: dict[str, str] = {
