@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tslake.llm import bpe, licenses, quality, token_counts, token_files, warc
+from tslake.llm import bpe, jaccard, licenses, quality, token_counts, token_files, warc
 from tslake.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op5_warc": op5_warc,
     "op7_bpe": op7_bpe,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_token_counts": op9_token_counts,
 }
 
@@ -45,4 +50,5 @@ SQL: dict[str, str] = {
     "op2_license_scan": licenses.SQL,
     "op3_quality_rules": quality.SQL,
     "op5_warc": warc.SQL,
+    "op8_ngram_jaccard": jaccard.SQL,
 }
