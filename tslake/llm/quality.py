@@ -19,13 +19,16 @@ is shuffled, and a hot source or copy group costs no more than its rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tslake.llm.common import ascii_lower, let
+from tslake.llm.common import let
 
-SPACE = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+OTHER_SPACE = r"[\x09-\x0D]"
+SYMBOLS, SHOUTS, SEPARATORS = "#*$%&|<>", "!?", "|»›•"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOL_SHARE = 0.1
@@ -48,12 +51,19 @@ BOILERPLATE = [
 
 
 def count_of(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+    kind = f"[{characters}]"
+    return F.when(text.rlike(kind), F.length(text) - F.length(F.regexp_replace(text, kind, ""))).otherwise(0)
+
+
+def without_space(text: Column) -> Column:
+    """``text`` without its white space; blanks go first, by a plain search."""
+    solid = F.replace(text, F.lit(" "), F.lit(""))
+    return let(solid, lambda x: F.when(x.rlike(OTHER_SPACE), F.regexp_replace(x, OTHER_SPACE, "")).otherwise(x))
 
 
 def visible(text: Column) -> Column:
     """Code points that are not white space."""
-    return F.length(F.translate(text, SPACE, ""))
+    return F.length(without_space(text))
 
 
 def words(text: Column) -> Column:
@@ -97,18 +107,21 @@ def repeated_words(word: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    def judged(chars: Column) -> Column:
-        symbols = count_of(line, SYMBOLS) > SYMBOL_SHARE * chars
-        shouts = count_of(line, "!?") > SHOUT_SHARE * chars
-        fragment = (count_of(line, " ") < FRAGMENT_GAPS) & ~F.substring(F.rtrim(line), -1, 1).isin(TERMINAL)
-        navigation = count_of(line, "|»›•") >= NAV_MARKS
-        lower = ascii_lower(line)
-        boilerplate = F.lit(False)
-        for phrase in BOILERPLATE:
-            boilerplate = boilerplate | lower.contains(phrase)
-        return (chars > 0) & (symbols | shouts | fragment | navigation | boilerplate)
+    def by_marks(solid: Column) -> Column:
+        chars = F.length(solid)
+        return (
+            (count_of(solid, SYMBOLS) > SYMBOL_SHARE * chars)
+            | (count_of(solid, SHOUTS) > SHOUT_SHARE * chars)
+            | (count_of(solid, SEPARATORS) >= NAV_MARKS)
+        )
+
+    def judged(solid: Column) -> Column:
+        marks = F.when(solid.rlike(f"[{SYMBOLS}{SHOUTS}{SEPARATORS}]"), by_marks(solid)).otherwise(False)
+        fragment = (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) < FRAGMENT_GAPS) & ~F.substring(F.rtrim(line), -1, 1).isin(TERMINAL)
+        boilerplate = let(F.lower(line), lambda x: reduce(or_, [x.contains(p) for p in BOILERPLATE]))
+        return (solid != "") & (marks | fragment | boilerplate)
 
-    return let(visible(line), judged)
+    return let(without_space(line), judged)
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -121,7 +134,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def by_lines(lines: Column) -> Column:
         cleaned = F.array_join(F.filter(lines, lambda line: ~line_fails(line)), "\n")
-        with_word = let(F.filter(lines, lambda line: visible(line) > 0), lambda x: F.size(x) - F.size(F.array_distinct(x)))
+        with_word = let(F.filter(lines, lambda line: line.rlike(r"[^\x20\x09-\x0D]")), lambda x: F.size(x) - F.size(F.array_distinct(x)))
         return F.struct(with_word.cast("long").alias("n_dup_lines"), cleaned.alias("cleaned"))
 
     first = docs.withColumn(
@@ -174,7 +187,7 @@ def _sql_count(expression: str, characters: str) -> str:
 _WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _VISIBLE = f"length(translate(%s, {_WS}, ''))"
 _TERMINAL = ", ".join("'" + t.replace("'", "''") + "'" for t in TERMINAL)
-_PHRASES = " OR ".join(f"contains(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{p}')" for p in BOILERPLATE)
+_PHRASES = " OR ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)
 
 SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
@@ -189,9 +202,9 @@ lines AS (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d),
 vis AS (SELECT rid, line, {_VISIBLE % 'line'} AS chars FROM lines),
 judged AS (SELECT rid, line, chars,
              {_sql_count('line', SYMBOLS)} > {SYMBOL_SHARE}::DOUBLE * chars
-             OR {_sql_count('line', '!?')} > {SHOUT_SHARE}::DOUBLE * chars
+             OR {_sql_count('line', SHOUTS)} > {SHOUT_SHARE}::DOUBLE * chars
              OR ({_sql_count('line', ' ')} < {FRAGMENT_GAPS} AND right(rtrim(line, ' '), 1) NOT IN ({_TERMINAL}))
-             OR {_sql_count('line', '|»›•')} >= {NAV_MARKS}
+             OR {_sql_count('line', SEPARATORS)} >= {NAV_MARKS}
              OR {_PHRASES} AS failed
            FROM vis WHERE chars > 0),
 by_line AS (SELECT rid, count(*) - count(DISTINCT line) AS dup, coalesce(sum(chars) FILTER (failed), 0) AS lost
