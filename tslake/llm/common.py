@@ -104,7 +104,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[size]
 
 
-def _segment_words(data: np.ndarray, breaks: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _segment_words(data: np.ndarray, breaks: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word = kind[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
@@ -116,17 +116,18 @@ def _segment_words(data: np.ndarray, breaks: np.ndarray, kind: np.ndarray) -> tu
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     power, inverse = _powers(len(data))
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[data] * power[: len(data)], dtype=np.uint64)])
-    return starts, mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return starts, ends, mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (64 bits) of the lower-cased words of consecutive texts.
+def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (64 bits), first and end bytes of the lower-cased words of
+    consecutive texts, and for each text where its words begin (one entry more
+    than texts).
 
-    Returns the hashes in order and, for each text, where its words begin
-    (one entry more than texts). Works segment by segment, so that beside the
+    Works segment by segment, so that beside the
     hashes only a bounded part of a very long text is expanded at a time.
     """
-    n, at, begins, hashes = len(data), 0, [], []
+    n, at, found = len(data), 0, []
     while at < n:
         end = min(at + SEGMENT_BYTES, n)
         if end < n:
@@ -141,12 +142,20 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tupl
                         end = at + int(gaps[0])
                         break
         lo, hi = np.searchsorted(offsets, [at, end])
-        s, h = _segment_words(data[at:end], offsets[lo:hi] - at, kind)
-        begins.append(s + at)
-        hashes.append(h)
+        starts, ends, hashes = _segment_words(data[at:end], offsets[lo:hi] - at, kind)
+        found.append((starts + at, ends + at, hashes))
         at = end
-    starts = np.concatenate(begins) if begins else np.zeros(0, np.int64)
-    return np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), np.searchsorted(starts, offsets)
+    if not found:
+        none = np.zeros(0, np.int64)
+        return none.astype(np.uint64), none, none, np.zeros(len(offsets), np.int64)
+    starts, ends, hashes = map(np.concatenate, zip(*found))
+    return hashes, starts, ends, np.searchsorted(starts, offsets)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of consecutive texts, and where each text's begin."""
+    hashes, _, _, begins = word_spans(data, offsets, kind)
+    return hashes, begins
 
 
 def shingle_hashes(hashes: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

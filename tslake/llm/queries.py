@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tslake.llm import bpe, jaccard, licenses, quality, token_counts, token_files, warc
+from tslake.llm import bpe, decontaminate, jaccard, licenses, quality, token_counts, token_files, warc
 from tslake.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_token_files": op4_token_files,
     "op5_warc": op5_warc,
+    "op6_decontaminate": op6_decontaminate,
     "op7_bpe": op7_bpe,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_token_counts": op9_token_counts,
@@ -50,5 +55,6 @@ SQL: dict[str, str] = {
     "op2_license_scan": licenses.SQL,
     "op3_quality_rules": quality.SQL,
     "op5_warc": warc.SQL,
+    "op6_decontaminate": decontaminate.SQL,
     "op8_ngram_jaccard": jaccard.SQL,
 }
