@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tslake.llm import bpe, decontaminate, jaccard, licenses, quality, token_counts, token_files, warc
+from tslake.llm import bpe, decontaminate, jaccard, languages, licenses, quality, token_counts, token_files, warc
 from tslake.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
@@ -49,6 +53,7 @@ QUERIES = {
     "op7_bpe": op7_bpe,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_token_counts": op9_token_counts,
+    "op10_language_id": op10_language_id,
 }
 
 SQL: dict[str, str] = {
