@@ -1,0 +1,91 @@
+"""op1: the parser on fixed pages, the labeller on held-out made pages and on
+the given pages, the gradient against differences."""
+
+import numpy as np
+import pytest
+
+from tslake.llm import html_extract as he
+from tslake.llm.html_blocks import blocks
+from tslake.llm.html_pages import labelled_pages
+
+
+def texts(page):
+    return [b.text for b in blocks(page)]
+
+
+def test_blocks():
+    assert texts("") == [] and texts("plain  text\n here") == ["plain text here"]
+    assert texts("<p>a<b>b</b>c<p>d</p> e <div>f<br>g&nbsp;h&amp;&#233;&copy</div>") == ["abc", "d", "e", "f g h&é©"]
+    assert texts("<head><title>t</title><style>p{}</style></head><body>x<script>if(a<b)'</p>'</script>y<!-- <p>no</p> -->z") == ["xyz"]
+    assert texts("<ul><li>one<li>two<ul><li>in</ul></ul><table><tr><td>a<td>b<tr><td>c</table>") == ["one", "two", "in", "a", "b", "c"]
+    assert texts("<form><label>who</label><textarea><p>t</textarea><select><option>o</select><button>go</button></form>") == ["who"]
+    assert texts("cut <p>page <a href='x>y'>link</a> &am") == ["cut", "page link &am"]
+    assert texts("1 < 2 and <3 <p") [:1] == ["1 < 2 and <3 <p"]
+    page = blocks('<div class="Side-Bar x"><p>q <a>link</a></p></div>')
+    assert page[0].path == ("div", ".side", ".bar", ".x", "p") and page[0].tag == "p" and page[0].linked == 4
+
+
+def test_held_out_made_pages():
+    pages, labels = he.marked(labelled_pages(300, 4242))
+    got = he.labeller().label(pages)
+    wrong = sum(int((a != (b > 0)).sum()) for a, b in zip(got, labels))
+    assert wrong <= 0.005 * sum(map(len, labels))
+
+
+def test_given_pages(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r.page_id: r for r in he.extract(df).collect()}
+    rows = df.collect()
+    assert len(got) == len(rows)
+    for r in rows:  # all given pages hold their text in an article element
+        want = "\n".join(b.text for b in blocks(r.html) if "article" in b.path)
+        assert got[r.page_id].text == want and got[r.page_id].n_chars == len(want) and got[r.page_id].url == r.url
+
+
+def test_nulls_long_and_empty(spark):
+    long = "<article>" + "<p>One more sentence of the story.</p>" * 30000 + "</article><footer>&copy; end</footer>"
+    rows = [(1, None, None, "x"), (None, "u", "", "x"), (2, "u", "<nav><a>menu</a></nav>", None), (3, "u", long, ""), (3, "u", long, "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = sorted((r.page_id or 0, r.text.count("\n"), r.n_chars) for r in he.extract(df).collect())
+    n = len("One more sentence of the story.") * 30000 + 29999
+    assert got == [(0, 0, 0), (1, 0, 0), (2, 0, 0), (3, 29999, n), (3, 29999, n)]
+    assert he.extract(df.limit(0)).count() == 0
+
+
+def test_context_decides():
+    """The same paragraph is main text in an article and none in a comment list."""
+    page = "<article><h1>Title of it</h1><p>Some words that are told here.</p></article><div class='comments'><div class='comment'><p>Some words that are told here.</p></div></div>"
+    found = blocks(page)
+    assert he.labeller().label([found])[0].tolist() == [True, True, False]
+
+
+@pytest.mark.parametrize("key", ["fw", "fu", "fb", "bw", "bu"])
+def test_gradient(key, monkeypatch):
+    rng = np.random.default_rng(0)
+    model = he.Labeller.fresh(rng)
+    model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    counts = np.array([5, 2, 4])
+    begins = np.concatenate([[0], np.cumsum(counts)])
+    rows = rng.normal(size=(11, he.INPUT)) * 0.3
+    y = (rng.random(11) > 0.5).astype(float)
+
+    def loss():
+        x, mask = model._padded(rows, begins)
+        chance = model._forward(x, mask)[0].T[mask.T]
+        return float(-(y * np.log(chance) + (1 - y) * np.log(1 - chance)).mean())
+
+    grads = {}
+    pages = [[None] * c for c in counts]
+    monkeypatch.setattr(he, "vectors", lambda some: np.concatenate([rows[begins[i] : begins[i + 1]] for i in range(3) if some[0] is pages[i]]))
+    original = he.Layer.back
+    names = iter("fb")
+    monkeypatch.setattr(he.Layer, "back", lambda self, x, d: grads.setdefault(next(names), original(self, x, d)))
+    before = {k: v.copy() for k, v in model.weights.items()}
+    model.fit(pages, [y[begins[i] : begins[i + 1]] for i in range(3)], 1, rng)
+    model.weights = before
+    at = np.unravel_index(np.argmax(np.abs(grads[key[0]][key[1]])), before[key].shape)
+    step = 1e-3
+    model.weights[key][at] += step
+    up = loss()
+    model.weights[key][at] -= 2 * step
+    assert abs((up - loss()) / (2 * step) - grads[key[0]][key[1]][at]) < 2e-4

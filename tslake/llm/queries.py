@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tslake.llm import bpe, decontaminate, jaccard, languages, licenses, quality, token_counts, token_files, warc
+from tslake.llm import bpe, decontaminate, html_extract, jaccard, languages, licenses, quality, token_counts, token_files, warc
 from tslake.llm.common import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_files": op4_token_files,
