@@ -215,6 +215,18 @@ def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """``docs`` with one row of each component: that of its smallest doc_id, of
+    rows that repeat this id the smallest by hash and values. Rows without doc_id
+    stay; all columns stay."""
+    found = join(docs.select("doc_id", "text"), percent, words)
+    firsts = found.filter("doc_id = component_id").select("doc_id").distinct()
+    row = F.struct(*docs.columns)
+    # only the smallest ids' rows are compared, so a group of copies costs nothing here
+    first = docs.join(firsts, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, F.xxhash64(*docs.columns)).alias("_row")).select("_row.*")
+    return first.select(*docs.columns).unionByName(docs.filter("doc_id is null").select(*docs.columns))
+
+
 SQL = rf"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id,
   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
