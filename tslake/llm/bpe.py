@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tslake.llm.common import row_blocks, text_buffer
+from tslake.llm.common import held, row_blocks, share, text_buffer
 from tslake.llm.pretokens import HashTable, PieceCodes, flatten, ragged, read_ranks
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -185,6 +185,7 @@ class Encoder(PieceCodes):
         flat, offsets = self.vocabulary.encode_pieces([p.encode() for p in pieces])
         self.flat = np.concatenate([self.flat, flat])
         self.offsets = np.concatenate([self.offsets, offsets[1:] + self.offsets[-1]])
+        self.number(pieces)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after another, and where each text's begin."""
@@ -209,13 +210,13 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
     A column of that name is replaced. The vocabulary (bounded by its file) is
     built once and broadcast.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
+    shared = share(docs.sparkSession, Encoder(vocabulary(path), pattern))
     kept = [c for c in docs.columns if c != out]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
     at = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value, pattern)
+        encoder = held(shared)
         for batch in batches:
             lo = 0
             for texts in _texts(batch.column(at)):
@@ -230,7 +231,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
 
 def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with a column ``out`` (binary) of the bytes its ids stand for; null ids give none."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary(path))
+    shared = share(encoded.sparkSession, vocabulary(path))
     kept = [c for c in encoded.columns if c != out]
     schema = T.StructType([encoded.schema[c] for c in kept] + [T.StructField(out, T.BinaryType(), False)])
     at = kept.index(ids)
@@ -238,7 +239,7 @@ def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", out: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [np.array(x or [], np.int64) for x in batch.column(at).to_pylist()]
-            texts = [shared.value.decode(r, np.array([0, len(r)]))[0].tobytes() for r in rows]
+            texts = [held(shared).decode(r, np.array([0, len(r)]))[0].tobytes() for r in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*kept, out])
 
     return encoded.select(*kept).mapInArrow(run, schema)
@@ -250,17 +251,17 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str = public_t
     Encodes, decodes the ids and digests both in one pass, so that neither ids
     nor bytes leave the task. Null text counts as empty, null doc_id stays null.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
+    shared = share(docs.sparkSession, Encoder(vocabulary(path), pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value, pattern)
-        decimal, decimal_at = flatten([b"%d " % i for i in range(len(shared.value.tokens))])
+        encoder = held(shared)
+        decimal, decimal_at = flatten([b"%d " % i for i in range(len(encoder.vocabulary.tokens))])
         for batch in batches:
             lo = 0
             for texts in _texts(batch.column(1)):
                 ids, begins = encoder.encode(texts)
                 written, at = ragged(decimal, decimal_at, ids)
-                decoded, decoded_at = shared.value.decode(ids, begins)
+                decoded, decoded_at = encoder.vocabulary.decode(ids, begins)
                 at = at[begins]
                 spans = list(zip(at[:-1], np.maximum(at[:-1], at[1:] - 1)))
                 yield pa.RecordBatch.from_arrays(

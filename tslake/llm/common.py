@@ -3,24 +3,46 @@ of Arrow batches and vectorised word hashes."""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a task; bounds the temporary arrays.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+#: Rows in an Arrow batch at most; a batch of texts is held by the JVM and by the worker.
+BATCH_ROWS = 2000
 SEGMENT_BYTES = 1 << 19
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def share(spark: SparkSession, value) -> Broadcast:
+    """Broadcast a value whose size its maker bounds, pickled by value."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def held(shared: Broadcast):
+    """The shared value in a task; a worker process unpickles it once and keeps
+    it, with what it has learnt, for its later tasks."""
+    if not hasattr(shared, "held"):
+        shared.held = pickle.loads(shared.value)
+    return shared.held
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row.
 
@@ -119,15 +141,17 @@ def _segment_words(data: np.ndarray, breaks: np.ndarray, kind: np.ndarray) -> tu
     return starts, ends, mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes (64 bits), first and end bytes of the lower-cased words of
     consecutive texts, and for each text where its words begin (one entry more
-    than texts).
+    than texts). ``breaks`` are further places where words end, as at the
+    texts' offsets.
 
     Works segment by segment, so that beside the
     hashes only a bounded part of a very long text is expanded at a time.
     """
     n, at, found = len(data), 0, []
+    edges = offsets if breaks is None else np.unique(np.concatenate([offsets, breaks]))
     while at < n:
         end = min(at + SEGMENT_BYTES, n)
         if end < n:
@@ -141,8 +165,8 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple
                     if len(gaps):
                         end = at + int(gaps[0])
                         break
-        lo, hi = np.searchsorted(offsets, [at, end])
-        starts, ends, hashes = _segment_words(data[at:end], offsets[lo:hi] - at, kind)
+        lo, hi = np.searchsorted(edges, [at, end])
+        starts, ends, hashes = _segment_words(data[at:end], edges[lo:hi] - at, kind)
         found.append((starts + at, ends + at, hashes))
         at = end
     if not found:

@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tslake.llm.common import ALNUM, mix64, row_blocks, shingle_hashes, text_buffer, word_spans
+from tslake.llm.common import ALNUM, held, mix64, row_blocks, share, shingle_hashes, text_buffer, word_spans
 from tslake.llm.files import settled
 
 WORDS = 5
@@ -185,10 +185,10 @@ def pairs(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Data
     for each row of ``docs`` and item it holds."""
     spark, out = docs.sparkSession, None
     for block in blocks(benchmark):
-        shared = spark.sparkContext.broadcast(Index(block, percent))
+        shared = share(spark, Index(block, percent))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+            index = held(shared)
             for batch in batches:
                 data, offsets = text_buffer(batch.column(1))
                 for lo, hi in row_blocks(offsets):
@@ -217,14 +217,14 @@ def clean(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, text: s
     """``docs`` without the rows that hold an item; all columns stay."""
     at = docs.columns.index(text)
     for block in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(Index(block, percent))
+        shared = share(docs.sparkSession, Index(block, percent))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 data, offsets = text_buffer(batch.column(at))
                 keep = np.ones(batch.num_rows, bool)
                 for lo, hi in row_blocks(offsets):
-                    for row, _, _ in shared.value.search(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]):
+                    for row, _, _ in held(shared).search(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]):
                         keep[lo + row] = False
                 yield batch.filter(pa.array(keep))
 

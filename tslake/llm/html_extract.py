@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tslake.llm.common import ALNUM, row_blocks, text_buffer, word_spans
+from tslake.llm.common import ALNUM, held, row_blocks, share, text_buffer, word_spans
 from tslake.llm.html_blocks import Block, blocks
 from tslake.llm.html_pages import MARK, labelled_pages
 
@@ -253,14 +253,14 @@ def main_text(page: list[Block], label: np.ndarray) -> str:
 
 def extract(pages: DataFrame, model: Labeller | None = None) -> DataFrame:
     """page_id, url, text, n_chars, n_blocks, n_main of every page."""
-    shared = pages.sparkSession.sparkContext.broadcast(model or labeller())
+    shared = share(pages.sparkSession, model or labeller())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, offsets = text_buffer(batch.column(2))
             for lo, hi in row_blocks(offsets):
                 found = [blocks(h or "") for h in batch.column(2).slice(lo, hi - lo).to_pylist()]
-                labels = shared.value.label(found)
+                labels = held(shared).label(found)
                 texts = [main_text(p, m) for p, m in zip(found, labels)]
                 yield pa.RecordBatch.from_arrays(
                     [

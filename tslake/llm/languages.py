@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tslake.llm.common import BLOCK_BYTES, row_blocks, text_buffer
+from tslake.llm.common import BLOCK_BYTES, held, row_blocks, share, text_buffer
 
 BUCKETS = 1 << 14
 SMOOTHING = 0.5
@@ -180,13 +180,13 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``; columns of those names are replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     fields = [docs.schema[c] for c in kept] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     at = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = held(shared)
         block = max(1, 4 * BLOCK_BYTES // max(4, len(known.languages)))
         for batch in batches:
             data, offsets = text_buffer(batch.column(at))

@@ -86,10 +86,14 @@ class PieceCodes:
         self.find, self.pool_limit = find, pool_limit
         self.codes: dict = {}
 
+    def number(self, pieces: list) -> None:
+        self.codes.update(zip(pieces, range(len(self.codes), len(self.codes) + len(pieces))))
+
     def clear(self) -> None:
         raise NotImplementedError
 
     def add(self, pieces: list) -> None:
+        """Append the pieces to the pool and number them on in ``codes``."""
         raise NotImplementedError
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -101,8 +105,7 @@ class PieceCodes:
         for i, text in enumerate(texts):
             pieces += self.find(text)
             begins[i + 1] = len(pieces)
-        new = sorted(set(pieces).difference(self.codes))
+        new = list(set(pieces).difference(self.codes))
         if new:
             self.add(new)
-            self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
         return np.fromiter(map(self.codes.__getitem__, pieces), np.int64, len(pieces)), begins

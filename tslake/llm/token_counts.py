@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tslake.llm.common import row_blocks, text_buffer
+from tslake.llm.common import held, row_blocks, share, text_buffer
 from tslake.llm.pretokens import HashTable, PieceCodes, flatten, ragged, read_ranks
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -149,6 +149,7 @@ class Counter(PieceCodes):
 
     def add(self, pieces: list[str]) -> None:
         self.stored = np.concatenate([self.stored, self.model.count([p.encode() for p in pieces])])
+        self.number(pieces)
 
     def count(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(pre-tokens, tokens) of each text."""
@@ -164,10 +165,10 @@ def model(path: str | None = None) -> Unigram:
 def count(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """doc_id, n_pretokens, n_tokens of every whole text. The model (bounded by
     its file) is built once and broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(model(path))
+    shared = share(docs.sparkSession, Counter(model(path), pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value, pattern)
+        counter = held(shared)
         for batch in batches:
             _, offsets = text_buffer(batch.column(1))
             for lo, hi in row_blocks(offsets):
