@@ -24,7 +24,7 @@ PICKS = {
     "committed_gate": "Commit gate: semi join of the landed rows with committed manifest entries.",
     "gold_macro": "Gold: dedupe, catalogue join (broadcast by size estimate), two-stage monthly aggregation, one-pass pivot.",
     "mart_features": "Mart from checkpointed Gold: month axis from one bounded aggregate, shifted cells, one conditional aggregation.",
-    "silver_roundtrip": "Silver read with a series filter: PartitionFilters prune the folders.",
+    "silver_roundtrip": "Silver written by series and year, and read back.",
 }
 
 

@@ -1,10 +1,10 @@
 """Golden fixtures F1-F6 (FIXTURES.md), worked by hand."""
 
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tslake.operators import gate as gate_ops
 from tslake.operators.features import Feature, calendar_lag, lag_long, wide_features
@@ -14,6 +14,7 @@ from tslake.operators.publish import ParquetTarget, publish
 from tslake.operators.state import after_watermark, classify
 from tslake.operators.upsert import upsert_table
 from tslake.plans.marts import build_mart
+from tslake.sources import versioned
 from tslake.sources.catalog import SERIES_NAMES, catalog_frame
 from tslake.sources.schemas import SILVER
 
@@ -35,7 +36,8 @@ def test_f1_normalise_and_quarantine(spark):
 
 
 def _silver_rows(spark, rows):
-    return spark.createDataFrame(rows, SILVER)
+    plain = T.StructType([f for f in SILVER.fields if f.name != "ingestion_timestamp"])
+    return spark.createDataFrame(rows, plain).withColumn("ingestion_timestamp", F.current_timestamp())
 
 
 def test_f2_upsert_latest_wins_idempotent(spark, tmp_root):
@@ -49,8 +51,8 @@ def test_f2_upsert_latest_wins_idempotent(spark, tmp_root):
         (D(2020, 1, 1), 0.21, D(2020, 2, 5), "t1", "ipca", 2020, 1),
     ])
     upsert_table(spark, target, path, keys, parts, SILVER)
-    ipca_dir = os.path.join(path, "series_name=ipca", "year=2020")
-    before = sorted(os.listdir(ipca_dir))
+    live = lambda: versioned.load(spark, path)["partitions"]
+    before = live()
     source = _silver_rows(spark, [
         (D(2020, 2, 3), 4.4, D(2020, 3, 1), "b1", "selic", 2020, 2),
         (D(2020, 2, 3), 4.3, D(2020, 3, 2), "b2", "selic", 2020, 2),
@@ -59,11 +61,11 @@ def test_f2_upsert_latest_wins_idempotent(spark, tmp_root):
     source = latest_per_key(source, keys, ["ingestion_date", "batch_id", "valor"])
     for _ in range(2):
         upsert_table(spark, source, path, keys, parts, SILVER)
-        out = spark.read.schema(SILVER).parquet(path).where("series_name = 'selic'")
+        out = versioned.read_partitioned(spark, path, SILVER).where("series_name = 'selic'")
         assert sorted((r.data, r.valor) for r in out.collect()) == [
             (D(2020, 1, 2), 4.0), (D(2020, 2, 3), 4.3), (D(2020, 2, 4), 4.2)
         ]
-    assert sorted(os.listdir(ipca_dir)) == before  # other series' partition untouched
+    assert live()["ipca\x1f2020"] == before["ipca\x1f2020"]  # other series' partition untouched
 
 
 def _f3_gold_long(spark):
@@ -101,14 +103,15 @@ def test_f4_gate_reconcile_pending(spark):
     )
     entries = gate_ops.manifest_entries(manifests)
     landed = spark.createDataFrame(
-        [("b1", "selic", "02/01/2020", "1"), ("b1", "ipca", "01/01/2020", "2"), ("b2", "selic", "03/01/2020", "3")],
-        "batch_id string, series_name string, data string, valor string",
+        [(D(2020, 1, 1), "b1", "selic", "02/01/2020", "1"), (D(2020, 1, 1), "b1", "ipca", "01/01/2020", "2"),
+         (D(2020, 1, 2), "b2", "selic", "03/01/2020", "3")],
+        "ingestion_date date, batch_id string, series_name string, data string, valor string",
     )
     admitted = gate_ops.gate(landed, entries).select("batch_id", "series_name").collect()
     assert [tuple(r) for r in admitted] == [("b1", "selic")]
-    issues = sorted(tuple(r) for r in gate_ops.reconcile(entries, landed).collect())
+    issues = sorted(tuple(r)[1:] for r in gate_ops.reconcile(entries, landed).collect())
     assert issues == [("b2", "selic", "orphan_object"), ("b3", "selic", "missing_object")]
-    applied = spark.createDataFrame([("b1",)], "batch_id string")
+    applied = spark.createDataFrame([(D(2020, 1, 1), "b1")], "ingestion_date date, batch_id string")
     assert [r.batch_id for r in gate_ops.pending_batches(manifests, applied).collect()] == ["b3"]
 
 
@@ -158,9 +161,9 @@ def test_f6_publish_modes(spark, tmp_root):
     for mode, dec in (("append_new", 0.0), ("upsert", 11.0)):
         target = ParquetTarget(f"{tmp_root}/{mode}")
         stale = F.when(F.col("reference_month") == F.lit("2020-12-01").cast("date"), F.lit(0.0)).otherwise(F.col("s"))
-        gold.where("reference_month <= date'2020-12-01'").withColumn("s", stale).write.parquet(target.path)
+        versioned.replace(gold.where("reference_month <= date'2020-12-01'").withColumn("s", stale), target.path)
         publish(spark, gold, target, mode=mode)
-        out = {r.reference_month: r.s for r in spark.read.parquet(target.path).collect()}
+        out = {r.reference_month: r.s for r in versioned.read(spark, target.path).collect()}
         assert len(out) == 13 and out[D(2021, 2, 1)] == 13.0 and out[D(2020, 12, 1)] == dec
 
 

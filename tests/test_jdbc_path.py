@@ -3,6 +3,7 @@ are replaced by recorders, so the test checks what would be sent."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql.readwriter import DataFrameReader, DataFrameWriter
 
 from tslake.operators.publish import JdbcTarget, publish
@@ -31,10 +32,16 @@ def test_append_new_pushes_max_and_appends_only_new_months(spark, monkeypatch):
     assert calls["write"] == [("jdbc:test://db", "gold.macro_monthly", "append", [D(2020, 3, 1)])]
 
 
-def test_upsert_overwrites_with_truncate(spark, monkeypatch):
+def test_upsert_is_refused(spark, monkeypatch):
+    """Reading the table back and rewriting it could leave it empty half-way."""
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda *a, **k: pytest.fail("nothing may be written"))
+    gold = spark.createDataFrame([(D(2020, 1, 1), 1.0)], "reference_month date, selic double")
+    with pytest.raises(ValueError, match="staging"):
+        publish(spark, gold, JdbcTarget("jdbc:test://db", "t"), mode="upsert")
+
+
+def test_overwrite_truncates(spark, monkeypatch):
     written = {}
-    target_rows = spark.createDataFrame([(D(2020, 1, 1), 0.0)], "reference_month date, selic double")
-    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, properties=None, **kw: target_rows)
 
     def fake_write(self, url, table, mode=None, properties=None):
         written["mode"] = mode
@@ -42,6 +49,5 @@ def test_upsert_overwrites_with_truncate(spark, monkeypatch):
 
     monkeypatch.setattr(DataFrameWriter, "jdbc", fake_write)
     gold = spark.createDataFrame([(D(2020, 1, 1), 1.0), (D(2020, 2, 1), 2.0)], "reference_month date, selic double")
-    publish(spark, gold, JdbcTarget("jdbc:test://db", "t"), mode="upsert")
-    assert written["mode"] == "overwrite"
-    assert written["rows"] == [(D(2020, 1, 1), 1.0), (D(2020, 2, 1), 2.0)]
+    publish(spark, gold, JdbcTarget("jdbc:test://db", "t"), mode="overwrite")
+    assert written == {"mode": "overwrite", "rows": [(D(2020, 1, 1), 1.0), (D(2020, 2, 1), 2.0)]}

@@ -4,11 +4,12 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tslake.plans import pipeline
-from tslake.sources import bronze
-from tslake.sources.catalog import catalog_frame
+from tslake.sources import bronze, versioned
+from tslake.sources.catalog import SERIES_NAMES, catalog_frame
 from tslake.sources.silver import read_silver, silver_path
 from tslake.streaming.stream import run_silver_stream
 
@@ -42,8 +43,9 @@ def test_incremental_batches_end_to_end(spark, tmp_root):
     assert dict((r.key, r.value) for r in statuses) == {
         "selic": "new_data", "ipca": "no_data", "dolar_venda": "new_data", "dolar_compra": "new_data"
     }
-    # re-committing the same batch id is a no-op (committed batches are immutable)
-    assert pipeline.ingest(spark, tmp_root, b2, "b2", "2020-02-05", catalog=cat).isEmpty()
+    # re-committing the same batch is a no-op that says so (committed batches are immutable)
+    with pytest.warns(UserWarning, match="already committed"):
+        assert pipeline.ingest(spark, tmp_root, b2, "b2", "2020-02-05", catalog=cat).isEmpty()
     assert [r.batch_id for r in pipeline.bronze_to_silver(spark, tmp_root).collect()] == ["b2"]
     assert pipeline.bronze_to_silver(spark, tmp_root).isEmpty()  # nothing pending
     silver = {(r.series_name, r.data): r.valor for r in read_silver(spark, silver_path(tmp_root)).collect()}
@@ -55,7 +57,7 @@ def test_incremental_batches_end_to_end(spark, tmp_root):
     assert wide.count() == 2 and len(wide.columns) == 33
     pipeline.gold_to_warehouse(spark, tmp_root)
     pipeline.gold_to_warehouse(spark, tmp_root)  # second load appends nothing
-    assert spark.read.parquet(tmp_root + "/warehouse/macro_monthly").count() == 2
+    assert versioned.read(spark, tmp_root + "/warehouse/macro_monthly").count() == 2
     marts = pipeline.marts(spark, tmp_root)
     ex = {r.reference_month: r for r in marts["fct_exchange_rate"].collect()}
     assert round(ex[D(2020, 2, 1)].cambio_change, 6) == 0.22
@@ -245,11 +247,12 @@ def test_monthly_silver_layout_rewrites_only_touched_month(spark, tmp_root):
 
     land("m1", D(2020, 3, 1), [("selic", "02/01/2020", "4.0"), ("selic", "03/02/2020", "4.1")])
     pipeline.bronze_to_silver(spark, tmp_root, partitions=SILVER_PARTITIONS_MONTHLY)
-    jan = os.path.join(silver_path(tmp_root), "series_name=selic", "year=2020", "month=1")
-    before = sorted(os.listdir(jan))
+    month = lambda: versioned.load(spark, silver_path(tmp_root))["partitions"]
+    before = month()
     land("m2", D(2020, 3, 2), [("selic", "04/02/2020", "4.2")])
     pipeline.bronze_to_silver(spark, tmp_root, partitions=SILVER_PARTITIONS_MONTHLY)
-    assert sorted(os.listdir(jan)) == before  # January untouched by a February batch
+    jan, feb = ("\x1f".join(["selic", "2020", m]) for m in "12")
+    assert month()[jan] == before[jan] and month()[feb] != before[feb]  # January untouched by a February batch
     out = sorted((r.data, r.valor, r.month) for r in read_silver(spark, silver_path(tmp_root)).collect())
     assert out == [(D(2020, 1, 2), 4.0, 1), (D(2020, 2, 3), 4.1, 2), (D(2020, 2, 4), 4.2, 2)]
 
@@ -348,13 +351,12 @@ def test_failed_ingest_does_not_advance_the_watermark(spark, tmp_root):
     assert read_silver(spark, silver_path(tmp_root)).count() == 2
 
 
-def test_applied_list_is_compacted(spark, tmp_root, monkeypatch):
-    monkeypatch.setattr(pipeline, "APPLIED_COMPACT_FILES", 3)
+def test_applied_list_is_one_table(spark, tmp_root):
     for i in range(5):
-        pipeline.record_applied(spark.createDataFrame([(f"c{i}",)], "batch_id string"), tmp_root)
-    df = spark.read.parquet(bronze.applied_path(tmp_root))
+        pipeline.record_applied(spark.createDataFrame([(D(2020, 1, 1), f"c{i}")], pipeline.APPLIED_SCHEMA), tmp_root)
+    df = pipeline.read_applied(spark, tmp_root)
     assert sorted(r.batch_id for r in df.collect()) == [f"c{i}" for i in range(5)]
-    assert len(df.inputFiles()) <= 3
+    assert len(df.inputFiles()) == 1
 
 
 def test_snapshot_of_a_lake_root(spark, tmp_root):
@@ -380,7 +382,7 @@ def test_quality_report_of_a_lake_root(spark, tmp_root):
     pipeline.bronze_to_silver(spark, tmp_root)
     pipeline.silver_to_gold(spark, tmp_root)
     report = pipeline.quality_report(spark, tmp_root).collect()
-    assert len(report) == 7 and all(r.violations == 0 for r in report)
+    assert len(report) == 8 and all(r.violations == 0 for r in report)
     assert {(r.table, r.check_name) for r in report} >= {("gold", "unique"), ("silver", "not_null"), ("catalog", "accepted_values")}
 
 
@@ -395,12 +397,21 @@ def test_cli_steps_in_their_own_processes(spark, tmp_root):
     pipeline.ingest(spark, tmp_root, _fetched(spark, rows), "c1", "2020-01-05", catalog=cat)
     repo = Path(__file__).resolve().parents[1]
     env = {**__import__("os").environ, "PYTHONPATH": str(repo)}
-    for step in ("bronze-to-silver", "silver-to-gold", "publish", "marts", "quality"):
-        done = subprocess.run([sys.executable, "-m", "tslake", step, "--root", tmp_root], cwd=repo, env=env,
+    more = tmp_root + "-fetched.json"
+    every = [(n, "02/02/2020", "9.5") for n in SERIES_NAMES]
+    with open(more, "w") as out:
+        out.writelines(json.dumps({"series_name": n, "data": d, "valor": v}) + "\n" for n, d, v in every)
+    steps = [["bronze-to-silver"], ["silver-to-gold"], ["publish"], ["marts"], ["quality"],
+             ["ingest", "--fetched", more, "--batch-id", "c+2", "--ingestion-date", "2020-02-05"], ["stream"],
+             ["snapshot", "--as-of", "2020-02-28", "--output", tmp_root + "-snapshot"]]
+    for step in steps:
+        done = subprocess.run([sys.executable, "-m", "tslake", *step, "--root", tmp_root], cwd=repo, env=env,
                               capture_output=True, text=True, timeout=300)
         assert done.returncode == 0, (step, done.stderr[-2000:])
-    assert spark.read.parquet(tmp_root + "/warehouse/macro_monthly").count() == 1
-    assert spark.read.parquet(tmp_root + "/marts/fct_exchange_rate").first().dolar_medio == 4.01
+    assert spark.read.parquet(tmp_root + "-snapshot").count() == 4 + len(SERIES_NAMES)
+    assert sorted(r.batch_id for r in pipeline.read_applied(spark, tmp_root).collect()) == ["c1", "c_2"]
+    assert versioned.read(spark, tmp_root + "/warehouse/macro_monthly").count() == 1
+    assert versioned.read(spark, tmp_root + "/marts/fct_exchange_rate").first().dolar_medio == 4.01
 
 
 def test_watermark_table_is_kept_and_rebuilt(spark, tmp_root):
@@ -411,7 +422,7 @@ def test_watermark_table_is_kept_and_rebuilt(spark, tmp_root):
     pipeline.bronze_to_silver(spark, tmp_root)
     pipeline.ingest(spark, tmp_root, _fetched(spark, [("selic", "06/01/2020", "4.1")]), "w2", "2020-01-07", catalog=cat)
     pipeline.bronze_to_silver(spark, tmp_root)
-    table = spark.read.parquet(pipeline.watermarks_path(tmp_root)).collect()
+    table = versioned.read(spark, pipeline.watermarks_path(tmp_root)).collect()
     assert [(r.series_name, r.last_reference_date) for r in table] == [("selic", D(2020, 1, 6))]
     kept = sorted(map(tuple, pipeline.committed_silver_watermarks(spark, tmp_root).collect()))
     # the table equals what a rebuild from Silver would give
@@ -419,17 +430,15 @@ def test_watermark_table_is_kept_and_rebuilt(spark, tmp_root):
     assert kept == sorted((r.series_name, r.last_reference_date) for r in rebuilt.collect()) == [("selic", D(2020, 1, 6))]
 
 
-def test_read_landed_many_batches_falls_back_to_a_semi_join(spark, tmp_root, monkeypatch):
-    rows = [(f"0{i}/01/2020", str(i), "selic", D(2020, 1, i), f"m{i}") for i in range(1, 6)]
+def test_read_landed_reads_exact_pairs(spark, tmp_root):
+    """Not the cross product of the days and the ids."""
+    rows = [("01/01/2020", f"{d}{b}", "selic", D(2020, 1, d), f"m{b}") for d in (1, 2, 3) for b in (1, 2, 3)]
     bronze.land(spark.createDataFrame(rows, "data string, valor string, series_name string, ingestion_date date, batch_id string"), tmp_root)
-    monkeypatch.setattr(bronze, "GLOB_BATCH_LIMIT", 2)
-    got = bronze.read_landed(spark, tmp_root, batches=[(D(2020, 1, i), f"m{i}") for i in (1, 2, 4)])
-    assert sorted(r.batch_id for r in got.collect()) == ["m1", "m2", "m4"]
+    got = bronze.read_landed(spark, tmp_root, batches=[(D(2020, 1, 1), "m1"), (D(2020, 1, 2), "m3"), (D(2020, 1, 9), "m2")])
+    assert sorted(r.valor for r in got.collect()) == ["11", "23"]
 
 
 def test_ingest_raises_naming_failed_series_after_writing_the_manifest(spark, tmp_root):
-    import pytest
-
     cat = catalog_frame(spark).where(F.col("series_name").isin("selic", "ipca", "dolar_venda"))
     with pytest.raises(RuntimeError, match="dolar_venda, ipca"):
         pipeline.ingest(spark, tmp_root, _fetched(spark, [("selic", "02/01/2020", "4.0")]), "e1", "2020-01-05",

@@ -4,14 +4,15 @@ import datetime as dt
 import io
 from contextlib import redirect_stdout
 
+import pytest
 from pyspark.sql import functions as F
 
 from tslake.operators.dedupe import latest_per_key
 from tslake.operators.features import Feature, lag_long, wide_features
 from tslake.operators.gold import monthly
-from tslake.operators.upsert import touched_filter, write_partitioned
+from tslake.operators.upsert import upsert_table, write_partitioned
 from tslake.plans.marts import build_mart
-from tslake.sources import tables
+from tslake.sources import tables, versioned
 from tslake.sources.catalog import catalog_frame
 from tslake.sources.silver import read_silver
 
@@ -45,7 +46,7 @@ def test_catalog_is_broadcast_and_aggregation_is_two_stage(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "BroadcastHashJoin" in p
-    assert "partial_sum" in p  # map-side partial aggregation before the shuffle
+    assert "partial_avg" in p  # map-side partial aggregation before the shuffle
 
 
 def test_lags_need_no_global_exchange_over_data(spark):
@@ -70,17 +71,22 @@ def test_dedupe_aggregates_partially_before_shuffle(spark):
 
 
 def test_silver_series_filter_prunes_partitions(spark, tmp_path):
-    obs = tables.obs_orders(spark, SF001).withColumn("year", F.year("data"))
-    path = str(tmp_path / "silver")
-    write_partitioned(obs, path, ["series_name", "year"])
-    from tslake.sources.schemas import SILVER
+    from tslake.sources.schemas import SILVER, SILVER_KEYS, SILVER_PARTITIONS
 
+    obs = latest_per_key(tables.obs_orders(spark, SF001), ["series_name", "data"], ["o_orderkey"]).select(
+        "series_name", "data", "valor", F.lit(None).cast("date").alias("ingestion_date"), F.lit("b").alias("batch_id"),
+        F.lit(None).cast("timestamp").alias("ingestion_timestamp"), F.year("data").alias("year"), F.month("data").alias("month"),
+    )
+    path = str(tmp_path / "silver")
+    upsert_table(spark, obs, path, SILVER_KEYS, SILVER_PARTITIONS, SILVER)
     p = plan(read_silver(spark, path, ["1-URGENT"]))
-    assert "PartitionFilters: [isnotnull(series_name" in p and "1-URGENT" in p
-    predicate, _ = touched_filter(obs.where("data >= date'1998-12-01'").limit(50), ["series_name", "year"])
-    p2 = plan(spark.read.schema(obs.schema).parquet(path).where(predicate))
-    assert "PartitionFilters: [" in p2 and "year" in p2.split("PartitionFilters: [")[1].split("]")[0]
-    assert SILVER  # schema module importable
+    assert "1-URGENT" in p.split("PartitionFilters: [")[1].split("]")[0]
+    keys = versioned.touched_keys(obs.where("data >= date'1998-12-01'").limit(50), ["series_name", "year"])
+    p2 = plan(read_silver(spark, path).where(versioned.touched_filter(keys, ["series_name", "year"])))
+    assert keys[0].replace(versioned.SEPARATOR, "\x1f") in p2.split("PartitionFilters: [")[1]
+    # a filter of any length stays one flat predicate
+    many = [f"s{i}\x1f2020" for i in range(5000)]
+    assert read_silver(spark, path).where(versioned.touched_filter(many, ["series_name", "year"])).count() == 0
 
 
 def test_mart_reads_checkpointed_gold_not_sources(spark):
@@ -107,60 +113,51 @@ def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     assert spark.read.parquet(path).count() == 20050
 
 
-def test_hot_series_is_spread_in_the_watermark_join(spark):
-    """With the join shuffled (no broadcast), the hot series' rows are spread
-    over the salt buckets instead of one task."""
-    from tslake.operators.state import SALT_BUCKETS, after_watermark, watermarks
+LOW_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+@pytest.fixture()
+def low_broadcast(spark):
+    old = {k: spark.conf.get(k, None) for k in LOW_BROADCAST}
+    for k, v in LOW_BROADCAST.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_watermark_join_does_not_shuffle_observations(spark, low_broadcast):
+    """A hot series' rows stay where they are: the counted watermarks are broadcast."""
+    from tslake.operators.state import after_watermark, watermarks
 
     rows = [("hot" if i % 3 == 0 else f"s{i % 40}", D(2020, 1, 1 + i % 28), float(i)) for i in range(30000)]
     obs = spark.createDataFrame(rows, "series_name string, data date, valor double").repartition(8)
-    wm = watermarks(obs.where("data < date'2020-01-10'").select("series_name", "data"))
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # observe the join's own partitions
-    try:
-        df = after_watermark(obs, wm)
-        p = plan(df, "simple")
-        got = df.count()
-        # rows of the hot series per join partition: spread, not gathered
-        per_task = (
-            df.where("series_name = 'hot'").withColumn("_p", F.spark_partition_id()).groupBy("_p").count().collect()
-        )
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert got == sum(1 for s, d, _ in rows if d >= D(2020, 1, 10))
-    assert "SortMergeJoin" in p and "_salt" in p
-    assert len(per_task) > 1 and SALT_BUCKETS > 1
+    df = after_watermark(obs, watermarks(obs.where("data < date'2020-01-10'").select("series_name", "data")))
+    assert df.count() == sum(1 for s, d, _ in rows if d >= D(2020, 1, 10))
+    p = plan(df, "simple")
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p and "hashpartitioning(series_name" not in p
 
 
-def test_hot_batch_series_in_the_gate_is_split_by_aqe(spark):
+def test_gate_does_not_shuffle_landed_rows(spark, low_broadcast):
     from tslake.operators import gate as gate_ops
 
-    rows = [(f"{i:05d}", "1", "hot" if i % 3 == 0 else f"s{i % 40}", "b1" if i % 3 == 0 else f"b{i % 7}")
-            for i in range(30000)]
-    landed = spark.createDataFrame(rows, "data string, valor string, series_name string, batch_id string").repartition(8)
+    rows = [(f"{i:05d}", "1", D(2020, 1, 1), "hot" if i % 3 == 0 else f"s{i % 40}", "b1" if i % 3 == 0 else f"b{i % 7}") for i in range(30000)]
+    landed = spark.createDataFrame(rows, "data string, valor string, ingestion_date date, series_name string, batch_id string").repartition(8)
     entries = spark.createDataFrame(
-        [(f"b{j}", s, "committed", "new_data") for j in range(7) for s in ["hot"] + [f"s{i}" for i in range(40)]],
-        "batch_id string, series_name string, batch_status string, series_status string",
+        [(D(2020, 1, 1), f"b{j}", s, "committed", "new_data") for j in range(7) for s in ["hot"] + [f"s{i}" for i in range(40)]],
+        "ingestion_date date, batch_id string, series_name string, batch_status string, series_status string",
     )
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-    }
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        df = gate_ops.gate(landed, entries)
-        n = len(df.collect())
-        p = plan(df, "simple")
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert n == 30000 and "SortMergeJoin(skew=true)" in p
+    df = gate_ops.gate(landed, entries)
+    assert df.count() == 30000
+    p = plan(df, "simple")
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p and "hashpartitioning(series_name" not in p
+    # another day's batch of the same id is not vouched for
+    assert gate_ops.gate(landed.withColumn("ingestion_date", F.lit(D(2020, 1, 2))), entries).count() == 0
+
+
+def test_large_sides_are_joined_by_shuffle(spark):
+    from tslake.operators.small import small_side
+
+    df = spark.range(20)
+    assert "broadcast" in small_side(df)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in small_side(df, limit=10)._jdf.queryExecution().analyzed().toString().lower()

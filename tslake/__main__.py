@@ -1,8 +1,10 @@
 """Run one pipeline step: ``python -m tslake <step> --root <lake root> ...``.
 
-Steps mirror the reference's job boundaries and can be submitted separately:
-``adopt`` (take over landed data in the source layout), ``bronze-to-silver``,
-``silver-to-gold``, ``publish``, ``marts``, ``quality`` (exit status 1 on any
+Steps can be submitted separately: ``ingest`` (land and commit one batch of
+fetched rows), ``adopt`` (take over landed data in the source layout),
+``bronze-to-silver``, ``stream`` (the same, from the manifests that have
+arrived), ``silver-to-gold``, ``publish``, ``marts``, ``snapshot`` (every
+series as of a day, written as Parquet), ``quality`` (exit status 1 on any
 violation) and ``sanitize-batch-id``.
 """
 
@@ -30,9 +32,8 @@ def _target(args):
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="tslake")
-    ap.add_argument(
-        "step", choices=["adopt", "bronze-to-silver", "silver-to-gold", "publish", "marts", "quality", "sanitize-batch-id"]
-    )
+    steps = ["ingest", "adopt", "bronze-to-silver", "stream", "silver-to-gold", "publish", "marts", "snapshot", "quality", "sanitize-batch-id"]
+    ap.add_argument("step", choices=steps)
     ap.add_argument("--root", help="lake root folder (shared storage)")
     ap.add_argument("--source-root", help="adopt: root of the source-layout landing")
     ap.add_argument("--mode", default="append_new", choices=["append_new", "upsert", "overwrite"])
@@ -42,7 +43,13 @@ def main(argv=None) -> None:
     ap.add_argument("--jdbc-user")
     ap.add_argument("--jdbc-password")
     ap.add_argument("--jdbc-driver")
-    ap.add_argument("--batch-id", help="sanitize-batch-id: the raw id")
+    ap.add_argument("--batch-id", help="ingest: the batch's id; sanitize-batch-id: the raw id")
+    ap.add_argument("--fetched", help="ingest: JSON lines of series_name, data, valor (text)")
+    ap.add_argument("--ingestion-date", help="ingest: the batch's day, yyyy-MM-dd")
+    ap.add_argument("--inclusive", action="store_true", help="ingest: admit the watermark's own day again")
+    ap.add_argument("--lookback-days", type=int, default=0, help="ingest: days before the watermark to admit again")
+    ap.add_argument("--as-of", help="snapshot: the day, yyyy-MM-dd")
+    ap.add_argument("--output", help="snapshot: Parquet folder to write")
     ap.add_argument("--database", help="marts: save as catalog tables in this database")
     ap.add_argument("--cluster-settings", action="store_true", help="apply the recommended large-cluster settings")
     args = ap.parse_args(argv)
@@ -54,11 +61,24 @@ def main(argv=None) -> None:
     apply_defaults(spark)
     if args.cluster_settings:
         apply_cluster_settings(spark)
-    if args.step == "adopt":
+    if args.step == "ingest":
+        fetched = spark.read.schema("series_name string, data string, valor string").json(args.fetched)
+        manifest = pipeline.ingest(
+            spark, args.root, fetched, re.sub(BATCH_ID_FORBIDDEN, "_", args.batch_id), args.ingestion_date,
+            inclusive=args.inclusive, lookback_days=args.lookback_days, raise_on_failure=True,
+        )
+        print({"committed": [r.batch_id for r in manifest.collect()]})  # one row at most
+    elif args.step == "stream":
+        from tslake.streaming.stream import run_silver_stream
+
+        run_silver_stream(spark, args.root)
+    elif args.step == "snapshot":
+        pipeline.snapshot(spark, args.root, args.as_of).write.mode("overwrite").parquet(args.output)
+    elif args.step == "adopt":
         pipeline.adopt_reference_landing(spark, args.source_root, args.root)
     elif args.step == "bronze-to-silver":
         metrics: dict = {}
-        applied = [r.batch_id for r in pipeline.bronze_to_silver(spark, args.root, metrics).collect()]
+        applied = [f"{r.ingestion_date}/{r.batch_id}" for r in pipeline.bronze_to_silver(spark, args.root, metrics).collect()]
         print({"applied": applied, **metrics})
     elif args.step == "silver-to-gold":
         pipeline.silver_to_gold(spark, args.root)

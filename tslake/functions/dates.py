@@ -30,8 +30,10 @@ def format_source_date(c) -> Column:
 
 
 def parse_value(c) -> Column:
-    """Numeric text to DOUBLE; text that is not a number (``""``, ``"1,5"``) gives NULL."""
-    return _col(c).try_cast("double")
+    """Numeric text to DOUBLE; text that is not a number gives NULL: ``""``,
+    ``"1,5"``, and also ``NaN`` and ``Infinity``, which no source value is."""
+    value = _col(c).try_cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def month_start(c) -> Column:

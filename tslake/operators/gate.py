@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tslake.operators.small import small_side
 from tslake.sources.schemas import CHANGED_STATUSES
 
-BATCH_KEYS = ["batch_id", "series_name"]
+# A batch is known by its landing day and its id; another day's batch of the
+# same id is another batch.
+BATCH = ["ingestion_date", "batch_id"]
+BATCH_KEYS = [*BATCH, "series_name"]
 
 
 def manifest_entries(manifests: DataFrame) -> DataFrame:
@@ -31,11 +35,10 @@ def committed_changes(entries: DataFrame) -> DataFrame:
 def gate(bronze: DataFrame, entries: DataFrame) -> DataFrame:
     """Landed rows that a committed manifest vouches for (left semi join).
 
-    The manifest side holds one row per (batch, series); AQE turns the join
-    into a broadcast when it is small at run time and keeps a shuffle join
-    otherwise, so its size is checked by the engine rather than assumed.
+    The manifest side holds one row per (batch, series); it is materialised,
+    counted and broadcast when small, so that landed rows are not shuffled.
     """
-    ok = committed_changes(entries).select(*BATCH_KEYS)
+    ok = small_side(committed_changes(entries).select(*BATCH_KEYS).distinct())
     return bronze.join(ok, BATCH_KEYS, "left_semi")
 
 
@@ -56,23 +59,23 @@ def rollup_batches(entries: DataFrame) -> DataFrame:
 
 
 def accept_new_manifests(new: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """A committed batch id is immutable: drop new manifests for such ids (D8)."""
+    """A committed batch (day and id) is immutable: drop new manifests for such (D8)."""
     if existing is None:
         return new
-    committed_ids = existing.where(F.col("status") == "committed").select("batch_id")
-    return new.join(committed_ids, "batch_id", "left_anti")
+    committed = existing.where(F.col("status") == "committed").select(*BATCH)
+    return new.join(committed, BATCH, "left_anti")
 
 
 def pending_batches(manifests: DataFrame, applied: DataFrame) -> DataFrame:
     """Committed batches not yet applied to Silver (O-12, D7)."""
     committed = manifests.where(F.col("status") == "committed").select("batch_id", "ingestion_date")
-    return committed.join(applied.select("batch_id"), "batch_id", "left_anti")
+    return committed.join(applied.select(*BATCH), BATCH, "left_anti").select("batch_id", "ingestion_date")
 
 
 def reconcile(entries: DataFrame, objects: DataFrame) -> DataFrame:
     """Manifest <-> landed-object reconciliation (O-31), anti joins both ways.
 
-    ``objects``: distinct (batch_id, series_name) that have landed data.
+    ``objects``: distinct (ingestion_date, batch_id, series_name) that have landed data.
     Issues: ``missing_object`` (committed change without data) and
     ``orphan_object`` (data of a series that no committed manifest lists,
     e.g. everything landed by a failed batch). A series listed as unchanged

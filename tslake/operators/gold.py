@@ -10,19 +10,6 @@ from pyspark.sql import functions as F
 from tslake.functions.dates import month_start
 
 
-# Exact accumulation type for means: sums of DECIMAL are exact, so a mean does
-# not depend on how rows were split across tasks (a double sum does, in its
-# last bits). 8 decimals hold every published value of the catalogue.
-MEAN_ACCUMULATOR = "decimal(38,8)"
-
-
-def exact_mean(c: str):
-    """Mean of a DOUBLE column (NULLs skipped) from an exact decimal sum; the
-    same value however the rows were partitioned."""
-    total = F.sum(F.col(c).cast(MEAN_ACCUMULATOR)).cast("double")
-    return F.try_divide(total, F.count(c).cast("double"))
-
-
 def monthly(obs: DataFrame, frequencies: DataFrame | str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """One value per (series, month): daily series -> mean of the month,
     monthly series -> the non-NULL value with the earliest date.
@@ -43,7 +30,7 @@ def monthly(obs: DataFrame, frequencies: DataFrame | str, tiebreak: Sequence[str
     else:
         joined = obs.join(frequencies.select("series_name", "frequency"), "series_name")
     grouped = joined.groupBy("series_name", "frequency", month_start("data").alias("reference_month")).agg(
-        exact_mean("valor").alias("_avg"), earliest.alias("_first")
+        F.avg("valor").alias("_avg"), earliest.alias("_first")
     )
     value = (
         F.when(F.col("frequency") == "daily", F.col("_avg"))

@@ -12,7 +12,7 @@ def parse_raw(raw: DataFrame) -> DataFrame:
     """Type the text columns ``data``/``valor``; keeps the text for auditing.
 
     ANSI mode is on in Spark 4, so only ``try_*`` parsing is used: a bad row
-    never aborts the job, it becomes a NULL and is routed by ``split_valid``.
+    never aborts the job, it becomes a NULL and is routed by ``quarantine_rows``.
     """
     return (
         raw.withColumnRenamed("data", "data_text")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tslake.operators.upsert import merge_frames
-from tslake.session import checkpoint_root
+from tslake.sources import versioned
 
 
 @dataclass(frozen=True)
@@ -36,10 +36,7 @@ def read_target(spark: SparkSession, target, schema=None) -> DataFrame | None:
     a missing target counts as an initial load; other errors propagate)."""
     try:
         if isinstance(target, ParquetTarget):
-            reader = spark.read.schema(schema) if schema is not None else spark.read
-            df = reader.parquet(target.path)
-            df.schema  # noqa: B018
-            return df
+            return versioned.read(spark, target.path, schema)
         return spark.read.jdbc(target.url, target.table, properties=dict(target.properties))
     except AnalysisException as exc:
         if (exc.getCondition() or "") in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
@@ -73,7 +70,7 @@ def _quote(name: str) -> str:
 
 def _write(df: DataFrame, target, mode: str) -> None:
     if isinstance(target, ParquetTarget):
-        df.write.mode(mode).parquet(target.path)
+        (versioned.replace if mode == "overwrite" else versioned.append)(df, target.path)
         return
     props = dict(target.properties)
     (
@@ -109,16 +106,17 @@ def publish(spark: SparkSession, df: DataFrame, target, mode: str = "append_new"
         hw = high_water(spark, target, key)
         _write(new_rows(df, hw, key), target, "append")
         return
-    existing = read_target(spark, target, df.schema if isinstance(target, ParquetTarget) else None)
+    if mode != "upsert":
+        raise ValueError(f"unknown publish mode: {mode}")
+    if isinstance(target, JdbcTarget):
+        # reading the table back and rewriting it would leave it empty after a
+        # failure half-way; a database merges its own rows
+        raise ValueError("upsert into JDBC is not supported: publish to a staging table (overwrite) and merge there")
+    existing = read_target(spark, target, df.schema)
     if existing is None:
         _write(df, target, "append")
         return
-    if mode == "upsert":
-        checkpoint_root(spark)
-        merged = merge_frames(existing.select(*df.columns), df, [key]).checkpoint(eager=True)
-        _write(merged, target, "overwrite")
-        return
-    raise ValueError(f"unknown publish mode: {mode}")
+    _write(merge_frames(existing.select(*df.columns), df, [key]), target, "overwrite")
 
 
 def materialize_table(df: DataFrame, table: str) -> DataFrame:
@@ -128,6 +126,5 @@ def materialize_table(df: DataFrame, table: str) -> DataFrame:
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Overwrite a table folder and return the re-read table (O-28b, O-28d)."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace a table, whole or not at all, and return it re-read (O-28b, O-28d)."""
+    return versioned.replace(df, path)

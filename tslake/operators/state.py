@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tslake.functions.dates import month_start
 from tslake.operators.dedupe import latest_per_key
+from tslake.operators.small import small_side
 from tslake.session import checkpoint_root
 from tslake.sources.catalog import WINDOW_DAYS
 
@@ -30,35 +31,19 @@ def watermarks(obs: DataFrame) -> DataFrame:
     return obs.groupBy("series_name").agg(*aggs)
 
 
-# Number of salt buckets per series in joins of observations with a
-# one-row-per-series table (watermarks).
-SALT_BUCKETS = 16
-
-
-def after_watermark(
-    obs: DataFrame, wm: DataFrame, inclusive: bool = False, lookback_days: int = 0, salt: int = SALT_BUCKETS
-) -> DataFrame:
+def after_watermark(obs: DataFrame, wm: DataFrame, inclusive: bool = False, lookback_days: int = 0) -> DataFrame:
     """Rows newer than the series' watermark; all rows of a series without one.
 
     ``inclusive`` and ``lookback_days`` re-admit the boundary (and the days
-    before it) so that source revisions can arrive (D5).
-
-    The join is salted: each observation gets a bucket from its date, and the
-    watermark row of every series is replicated once per bucket. A series
-    holding a third of all rows is spread over ``salt`` tasks when the join
-    is shuffled. AQE's skew split cannot do that here, because the watermark
-    side is already partitioned by its own aggregation. When the watermark
-    table is small enough to broadcast, the cost is ``salt`` x (number of
-    series) rows.
+    before it) so that source revisions can arrive (D5). The watermarks, one
+    row per series, are materialised, counted and broadcast when small, so
+    the observations are not shuffled.
     """
     last = F.col("_wm")
     bound = F.date_sub(last, lookback_days) if lookback_days else last
     newer = (F.col("data") >= bound) if inclusive else (F.col("data") > bound)
-    buckets = F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt")
-    w = wm.select("series_name", F.col("last_reference_date").alias("_wm"), buckets)
-    salted = obs.withColumn("_salt", F.pmod(F.xxhash64("data"), F.lit(salt)).cast("int"))
-    joined = salted.join(w, ["series_name", "_salt"], "left")
-    return joined.where(last.isNull() | newer).drop("_wm", "_salt")
+    known = small_side(wm.select("series_name", F.col("last_reference_date").alias("_wm")))
+    return obs.join(known, "series_name", "left").where(last.isNull() | newer).drop("_wm")
 
 
 def fetch_start(catalog: DataFrame, wm: DataFrame) -> DataFrame:

@@ -1,29 +1,23 @@
 """Upsert by key without a transactional table format (O-15, O-15b).
 
 ``merge_frames`` is the pure relational form (matched -> replaced, not
-matched -> inserted). ``upsert_table`` applies it to a Parquet table
-partitioned by ``partition_cols``: only the partitions the source touches
-are read (literal partition filter, so the scan is pruned), merged, cut
-from their lineage with a reliable checkpoint, and written back with dynamic
-partition overwrite. Re-running the same source gives the same table.
+matched -> inserted); ``newest_frames`` keeps, of target and source together,
+the newest row of a key. ``upsert_table`` applies one of them to a partitioned
+table (``sources.versioned``): only the partitions the source touches are read
+(a flat partition filter of any length), merged and written to a new version,
+which then becomes the live one of these partitions at once. Re-running the
+same source gives the same table, and an interrupted run leaves it as it was.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
-from tslake.session import checkpoint_root
-
-# Up to this many touched partitions are pushed into the scan as a literal
-# filter (pruning). Beyond it the exact fallback is a semi join on the
-# partition columns, which reads the whole table but stays correct.
-LITERAL_PARTITION_LIMIT = 2000
+from tslake.operators.dedupe import latest_per_key
+from tslake.sources import versioned
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,18 +27,10 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     return kept.unionByName(source.select(*target.columns))
 
 
-def table_exists(spark: SparkSession, path: str, schema: StructType) -> bool:
-    try:
-        spark.read.schema(schema).parquet(path).schema  # noqa: B018 - resolves the path
-        return True
-    except AnalysisException as exc:
-        if (exc.getCondition() or "") == "PATH_NOT_FOUND":
-            return False
-        raise
-
-
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+def newest_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest row by ``order`` of each key in target and source together:
+    an older source never replaces a newer target."""
+    return latest_per_key(target.unionByName(source.select(*target.columns)), list(keys), list(order))
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str = "overwrite") -> None:
@@ -64,21 +50,6 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str], m
     )
 
 
-def touched_filter(source: DataFrame, partition_cols: Sequence[str]):
-    """A literal predicate over the partitions ``source`` touches, or None
-    when there are too many for a literal list."""
-    touched = source.select(*partition_cols).distinct()
-    rows = touched.limit(LITERAL_PARTITION_LIMIT + 1).collect()
-    if len(rows) > LITERAL_PARTITION_LIMIT:
-        return None, touched
-    if not rows:
-        return F.lit(False), touched
-    terms = [
-        reduce(lambda a, b: a & b, [F.col(c) == F.lit(r[c]) for c in partition_cols]) for r in rows
-    ]
-    return reduce(lambda a, b: a | b, terms), touched
-
-
 def upsert_table(
     spark: SparkSession,
     source: DataFrame,
@@ -86,26 +57,22 @@ def upsert_table(
     keys: Sequence[str],
     partition_cols: Sequence[str],
     schema: StructType,
-    exists: bool | None = None,
+    order: Sequence[str] | None = None,
+    touched: Sequence[str] | None = None,
 ) -> None:
-    """Upsert ``source`` (one row per key) into the Parquet table at ``path``.
+    """Upsert ``source`` (one row per key) into the table at ``path``.
 
-    ``exists`` may be passed when the caller already knows whether the table
-    exists; otherwise the path is probed."""
+    With ``order`` the newest row of a key stays, whether it comes from target
+    or source; without it the source's row does. ``touched`` (the source's
+    partition keys, ``versioned.touched_keys``) may be passed when the caller
+    knows it already, else the source is evaluated once more for it.
+    """
     source = source.select(*schema.fieldNames())
-    if exists is None:
-        exists = table_exists(spark, path, schema)
-    if not exists:
-        write_partitioned(source, path, partition_cols)
-        return
-    predicate, touched = touched_filter(source, partition_cols)
-    target = read_table(spark, path, schema)
-    if predicate is not None:
-        target = target.where(predicate)
-    else:
-        target = target.join(touched, list(partition_cols), "left_semi")
-    merged = merge_frames(target, source, keys)
-    checkpoint_root(spark)
-    # Materialise before overwriting the partitions it was read from.
-    merged = merged.checkpoint(eager=True)
-    write_partitioned(merged, path, partition_cols)
+    touched = versioned.touched_keys(source, partition_cols) if touched is None else touched
+    target = versioned.read_partitioned(spark, path, schema)
+    if target is not None:
+        target = target.where(versioned.touched_filter(touched, partition_cols))
+        source = newest_frames(target, source, keys, order) if order else merge_frames(target, source, keys)
+    version, folder = versioned.stage(path)
+    write_partitioned(source, folder, partition_cols, mode="errorifexists")
+    versioned.switch_partitions(spark, path, version, touched, partition_cols)

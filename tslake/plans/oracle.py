@@ -25,8 +25,7 @@ def _case(col: str, mapping: dict[str, str]) -> str:
     return f"CASE {col} {whens} END"
 
 
-# Mean as an exact decimal sum divided by the count (see operators.gold).
-MEAN = "CAST(sum(CAST(valor AS DECIMAL(38, 8))) AS DOUBLE) / count(valor)"
+MEAN = "avg(valor)"
 
 OBS_O = (
     "obs AS (SELECT o_orderpriority AS series_name, CAST(o_orderdate AS DATE) AS data, "
@@ -278,16 +277,19 @@ SELECT g.series_name, g.batch_month, coalesce(pm.n_new, 0) AS n_new,
 FROM grid g LEFT JOIN pm ON g.series_name = pm.series_name AND g.batch_month = pm.batch_month""",
     "fetch_start": f"""WITH {OBS_O},
 cat AS (SELECT series_name, min(data) AS available_from FROM obs GROUP BY 1),
-wm AS (SELECT series_name, max(data) AS last FROM obs WHERE data < DATE '1995-01-02' GROUP BY 1)
+wm AS (SELECT series_name, max(data) AS last FROM obs
+       WHERE series_name NOT IN ('3-MEDIUM', '5-LOW') AND (data < DATE '2001-01-01' OR series_name = '4-NOT SPECIFIED') GROUP BY 1)
 SELECT c.series_name, 'daily' AS frequency, coalesce(wm.last, c.available_from) AS start_date
 FROM cat c LEFT JOIN wm ON c.series_name = wm.series_name""",
     "classify_run": f"""WITH {OBS_O},
 cat AS (SELECT series_name, min(data) AS available_from FROM obs GROUP BY 1),
-wm AS (SELECT series_name, max(data) AS last FROM obs WHERE data < DATE '2001-08-01' GROUP BY 1),
+wm AS (SELECT series_name, max(data) AS last FROM obs
+       WHERE series_name NOT IN ('3-MEDIUM', '5-LOW') AND (data < DATE '2001-01-01' OR series_name = '4-NOT SPECIFIED') GROUP BY 1),
 new AS (SELECT o.series_name, count(*) AS n FROM obs o LEFT JOIN wm ON o.series_name = wm.series_name
-        WHERE o.data >= DATE '2001-08-01' AND (wm.last IS NULL OR o.data > wm.last) GROUP BY 1)
+        WHERE o.data >= DATE '2001-01-01' AND o.series_name NOT IN ('2-HIGH', '3-MEDIUM')
+          AND (wm.last IS NULL OR o.data > wm.last) GROUP BY 1)
 SELECT c.series_name, coalesce(new.n, 0) AS n_new,
-  CASE WHEN coalesce(wm.last, c.available_from) > DATE '2001-08-31' THEN 'up_to_date'
+  CASE WHEN coalesce(wm.last, c.available_from) > DATE '2001-01-31' THEN 'up_to_date'
        WHEN coalesce(new.n, 0) > 0 THEN 'new_data'
        WHEN wm.last IS NOT NULL THEN 'no_data' ELSE 'failed' END AS series_status
 FROM cat c LEFT JOIN wm ON c.series_name = wm.series_name LEFT JOIN new ON c.series_name = new.series_name""",
@@ -314,15 +316,15 @@ WHERE ingestion_date <= DATE '2024-01-20'
 QUALIFY row_number() OVER (PARTITION BY series_name, data
   ORDER BY ingestion_date DESC, batch_id DESC, ts DESC, event_id DESC, valor DESC) = 1""",
     "manifest_reconcile": f"""WITH {EVENTS},
-claimed AS (SELECT batch_id, series_name FROM entries
+claimed AS (SELECT ingestion_date, batch_id, series_name FROM entries
             WHERE batch_status = 'committed' AND series_status IN ('new_data', 'success')),
-landed AS (SELECT DISTINCT batch_id, series_name FROM ev)
-SELECT batch_id, series_name, 'missing_object' AS issue FROM claimed c
-WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.batch_id = c.batch_id AND l.series_name = c.series_name)
+landed AS (SELECT DISTINCT ingestion_date, batch_id, series_name FROM ev
+           WHERE NOT (series_name = 'click' AND day(data) % 7 = 0))
+SELECT ingestion_date, batch_id, series_name, 'missing_object' AS issue FROM claimed ANTI JOIN landed USING (ingestion_date, batch_id, series_name)
 UNION ALL
-SELECT batch_id, series_name, 'orphan_object' AS issue FROM landed l
-WHERE NOT EXISTS (SELECT 1 FROM entries c WHERE l.batch_id = c.batch_id AND l.series_name = c.series_name
-                  AND c.batch_status = 'committed')""",
+SELECT ingestion_date, batch_id, series_name, 'orphan_object' AS issue FROM landed l
+WHERE NOT EXISTS (SELECT 1 FROM entries c WHERE l.ingestion_date = c.ingestion_date AND l.batch_id = c.batch_id
+                  AND l.series_name = c.series_name AND c.batch_status = 'committed')""",
     "batch_id_sanitize": """SELECT event_id,
   'manual__' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS batch_id_raw,
   regexp_replace('manual__' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00', '[:+/]', '_', 'g') AS batch_id
@@ -373,10 +375,30 @@ SELECT {_gold_select()} FROM gold WHERE reference_month >= DATE '2000-01-01'""",
     "high_water_month": f"WITH {MACRO_GOLD}\nSELECT max(reference_month) AS max_month FROM gold",
     "gold_overwrite": GOLD_MACRO_SQL,
     "mart_materialize": MART_SQL["mart_features"],
+    "upsert_out_of_order": f"""WITH {OBS_O}
+SELECT series_name, data, {_r('valor', 'valor')}, o_orderkey FROM obs
+QUALIFY row_number() OVER (PARTITION BY series_name, data ORDER BY o_orderkey DESC) = 1""",
+    "upsert_many_partitions": f"""WITH {OBS_O},
+d AS (SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY series_name, data ORDER BY o_orderkey DESC) = 1)
+SELECT series_name, data, {_r('CASE WHEN o_orderkey % 2 = 1 THEN valor * 2 ELSE valor END', 'valor')}, o_orderkey,
+  CAST(weekofyear(data) AS INTEGER) AS week FROM d""",
+    "ingest_run": f"""WITH {RAW_ORDERS},
+r AS (SELECT p.series_name, p.data, CAST(o.o_orderdate AS DATE) AS d FROM parsed p JOIN orders o USING (o_orderkey)),
+wm AS (SELECT series_name, max(data) AS last FROM r
+       WHERE series_name NOT IN ('3-MEDIUM', '5-LOW') AND (d < DATE '2001-01-01' OR series_name = '4-NOT SPECIFIED') GROUP BY 1),
+landed AS (SELECT r.series_name, r.data FROM r LEFT JOIN wm USING (series_name)
+           WHERE r.d >= DATE '2001-01-01' AND r.series_name NOT IN ('2-HIGH', '3-MEDIUM')
+             AND (r.data IS NULL OR wm.last IS NULL OR r.data > wm.last)),
+n AS (SELECT series_name, count(*) AS n_landed, count(data) AS n_clean, count(*) - count(data) AS n_quarantined FROM landed GROUP BY 1)
+SELECT {_case('c.series_name', ORDERS_TO_CATALOG)} AS series_name, 'failed' AS status,
+  CASE WHEN wm.last > DATE '2001-01-31' THEN 'up_to_date' WHEN coalesce(n_clean, 0) > 0 THEN 'new_data'
+       WHEN wm.last IS NOT NULL THEN 'no_data' ELSE 'failed' END AS series_status,
+  coalesce(n_landed, 0) AS n_landed, coalesce(n_clean, 0) AS n_clean, coalesce(n_quarantined, 0) AS n_quarantined
+FROM (SELECT DISTINCT series_name FROM parsed) c LEFT JOIN wm USING (series_name) LEFT JOIN n USING (series_name)""",
     "silver_roundtrip": f"""WITH {OBS_O},
 d AS (SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY series_name, data ORDER BY o_orderkey DESC) = 1)
 SELECT series_name, data, {_r('valor', 'valor')}, o_orderkey, CAST(year(data) AS INTEGER) AS year
-FROM d WHERE series_name IN ('1-URGENT', '5-LOW')""",
+FROM d""",
     "landing_roundtrip": f"WITH {EVENTS}\nSELECT event_id, series_name, data, {_r('valor', 'valor')}, batch_id FROM gated",
     "lake_snapshot": f"""WITH {EVENTS}
 SELECT series_name, data, {_r('max(valor)', 'valor')}, max(batch_id) AS batch_id
@@ -396,5 +418,4 @@ FROM (SELECT series_name, data FROM obs GROUP BY 1, 2 HAVING count(*) > 1)""",
   count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) AS violations FROM orders
 UNION ALL
 SELECT 'accepted_values', 'o_orderpriority', count(*) FILTER (WHERE o_orderpriority NOT IN ({_in(PRIORITY_COLUMNS)})) FROM orders""",
-    "check_columns": f"SELECT unnest([{_in(['reference_month', *SERIES_NAMES])}]) AS column_name, 'ok' AS status",
 }

@@ -9,30 +9,27 @@ are recomputed in full (they are O(months x series)).
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tslake.functions.dates import month_start
 from tslake.operators import gate as gate_ops
 from tslake.operators.dedupe import latest_per_key
+from tslake.operators.features import month_axis
 from tslake.operators.gold import monthly, to_wide
 from tslake.operators.normalize import clean_rows, parse_raw, quarantine_rows
 from tslake.operators.publish import ParquetTarget, materialize, publish
+from tslake.operators.small import small_side
 from tslake.operators.state import after_watermark, classify
+from tslake.operators.upsert import merge_frames
 from tslake.plans.marts import build_marts
-from tslake.session import checkpoint_root
-from tslake.sources import bronze
+from tslake.session import checkpoint_root, work_dir
+from tslake.sources import bronze, versioned
 from tslake.sources.catalog import SERIES_NAMES, catalog_frame
-from tslake.sources.schemas import SILVER, SILVER_PARTITIONS
-from tslake.sources.silver import read_silver, silver_path, upsert_silver
-
-SILVER_ORDER = ["ingestion_date", "batch_id", "valor"]
-
-
-def _exists(spark: SparkSession, path: str, schema) -> bool:
-    from tslake.operators.upsert import table_exists
-
-    return table_exists(spark, path, schema)
-
+from tslake.sources.schemas import GOLD_LONG, SILVER, SILVER_KEYS, SILVER_ORDER, SILVER_PARTITIONS
+from tslake.sources.silver import read_silver, silver_exists, silver_path, upsert_silver
 
 # ---- ingestion ------------------------------------------------------------
 def ingest(
@@ -49,47 +46,42 @@ def ingest(
     """Land the rows of ``fetched`` (series_name, data text, valor text) that are
     past each series' watermark, then commit the batch manifest.
 
-    Returns the manifest that was written. A batch id that is already
-    committed is left alone (D8). Series are isolated from each other (O-18c):
-    a failed series fails the batch, but the manifest is written for all of
+    Returns the manifest that was written. A batch (day and id) that is
+    already committed is left alone (D8): nothing lands, a warning says so and
+    the manifest is empty. Series are isolated from each other (O-18c): a
+    failed series fails the batch, but the manifest is written for all of
     them; with ``raise_on_failure`` an error naming every failed series is
-    raised after that.
+    raised after that. The fetched rows are read once: they land first, their
+    classification reads the landed batch, and the manifest, which makes the
+    batch count, is written last.
     """
     catalog = catalog if catalog is not None else catalog_frame(spark)
     day = F.to_date(F.lit(ingestion_date))
-    # One row per series, used by the classification and by the landing
-    # filter: materialised once so Silver is scanned once.
-    history = committed_silver_watermarks(spark, root).checkpoint(eager=True)
+    manifests = _read_manifests_or_none(spark, root)
+    if manifests is not None:
+        committed = manifests.where((F.col("status") == "committed") & (F.col("ingestion_date") == day) & (F.col("batch_id") == batch_id))
+        if not committed.isEmpty():
+            warnings.warn(f"batch {batch_id} of {ingestion_date} is already committed; nothing was landed", stacklevel=2)
+            return manifests.limit(0)
+    history = small_side(committed_silver_watermarks(spark, root))
     # only catalogue series are ingested (their manifest entries vouch for them)
     parsed = parse_raw(fetched.join(catalog.select("series_name"), "series_name", "left_semi"))
-    typed = clean_rows(parsed)
-    new = after_watermark(typed, history, inclusive=inclusive, lookback_days=lookback_days)
-    status = classify(catalog, new, history, day)
-    manifest = (
-        status.select(
-            F.lit(batch_id).alias("batch_id"),
-            day.alias("ingestion_date"),
-            "series_name",
-            "series_status",
-        )
-    )
-    manifest = gate_ops.rollup_batches(manifest).drop("n_series", "n_failed")
-    existing = _read_manifests_or_none(spark, root)
-    manifest = gate_ops.accept_new_manifests(manifest, existing)
-    manifest = manifest.checkpoint(eager=True)
-    if manifest.isEmpty():
-        return manifest
-    # Land only the rows past the watermark, as text, keyed by date text.
-    keep = new.select("series_name", "data").distinct()
-    rows = parsed.join(keep, ["series_name", "data"], "left_semi").unionByName(
-        parsed.where(F.col("data").isNull())
-    )
+    dated = after_watermark(parsed.where(F.col("data").isNotNull()), history, inclusive=inclusive, lookback_days=lookback_days)
+    rows = dated.unionByName(parsed.where(F.col("data").isNull()))
     raw = (
         rows.select(F.col("data_text").alias("data"), F.col("valor_text").alias("valor"), "series_name")
         .withColumn("ingestion_date", day)
         .withColumn("batch_id", F.lit(batch_id))
     )
+    # rows of an attempt of this batch that was not committed must not stay
+    versioned.delete(spark, bronze.batch_folder(root, ingestion_date, batch_id))
     bronze.land(raw, root)
+    landed = bronze.read_landed(spark, root, batches=[(ingestion_date, batch_id)])
+    status = classify(catalog, clean_rows(parse_raw(landed)), history, day)
+    entries = status.select(F.lit(batch_id).alias("batch_id"), day.alias("ingestion_date"), "series_name", "series_status")
+    manifest = gate_ops.rollup_batches(entries).drop("n_series", "n_failed")
+    checkpoint_root(spark)
+    manifest = manifest.checkpoint(eager=True)  # one row
     bronze.write_manifests(manifest, root)
     if raise_on_failure:
         # the manifest is one row whose map lists the catalogue's series
@@ -128,26 +120,17 @@ def watermarks_path(root: str) -> str:
     return f"{root.rstrip('/')}/_control/watermarks"
 
 
-def update_watermarks(spark: SparkSession, root: str, applied_rows: DataFrame, exists: bool | None = None) -> None:
+def update_watermarks(spark: SparkSession, root: str, applied_rows: DataFrame) -> None:
     """Fold the applied rows' last dates into the watermark table (one row per
     series), so that ingestion never scans Silver. The table is derived
     state: it can be rebuilt from Silver at any time, and a stale one only
     re-lands rows that the idempotent upsert absorbs."""
     path = watermarks_path(root)
     new = applied_rows.groupBy("series_name").agg(F.max("data").alias("last_reference_date"))
-    if exists is None:
-        exists = _exists(spark, path, _wm_struct())
-    if exists:
-        new = spark.read.schema(WATERMARK_SCHEMA).parquet(path).unionByName(new)
-    merged = new.groupBy("series_name").agg(F.max("last_reference_date").alias("last_reference_date"))
-    checkpoint_root(spark)
-    merged.checkpoint(eager=True).coalesce(1).write.mode("overwrite").parquet(path)
-
-
-def _wm_struct():
-    from pyspark.sql.types import _parse_datatype_string
-
-    return _parse_datatype_string(WATERMARK_SCHEMA)
+    old = versioned.read(spark, path, WATERMARK_SCHEMA)
+    if old is not None:
+        new = old.unionByName(new).groupBy("series_name").agg(F.max("last_reference_date").alias("last_reference_date"))
+    versioned.replace(new.coalesce(1), path)
 
 
 def committed_silver_watermarks(spark: SparkSession, root: str) -> DataFrame:
@@ -157,12 +140,11 @@ def committed_silver_watermarks(spark: SparkSession, root: str) -> DataFrame:
     kept by ``bronze_to_silver`` (rebuilt from Silver only when missing); only
     the pending batches' folders are read."""
     parts = []
-    path = silver_path(root)
-    if _exists(spark, watermarks_path(root), _wm_struct()):
-        wm = spark.read.schema(WATERMARK_SCHEMA).parquet(watermarks_path(root))
+    wm = versioned.read(spark, watermarks_path(root), WATERMARK_SCHEMA)
+    if wm is not None:
         parts.append(wm.select("series_name", F.col("last_reference_date").alias("data")))
-    elif _exists(spark, path, SILVER):
-        parts.append(read_silver(spark, path).select("series_name", "data"))
+    elif silver_exists(spark, root):
+        parts.append(read_silver(spark, silver_path(root)).select("series_name", "data"))
     pending, entries = _pending(spark, root)
     if pending is not None:
         rows = pending.select("ingestion_date", "batch_id").collect()
@@ -178,93 +160,110 @@ def committed_silver_watermarks(spark: SparkSession, root: str) -> DataFrame:
     return obs.groupBy("series_name").agg(F.max("data").alias("last_reference_date"))
 
 
-APPLIED_SCHEMA = "batch_id string"
+APPLIED_SCHEMA = "ingestion_date date, batch_id string"
 
 
-def _pending(spark: SparkSession, root: str):
-    """(pending committed batches, their manifest entries) or (None, None)."""
-    from tslake.sources.schemas import MANIFEST
+def read_applied(spark: SparkSession, root: str) -> DataFrame:
+    """The batches applied to Silver so far."""
+    applied = versioned.read(spark, bronze.applied_path(root), APPLIED_SCHEMA)
+    return spark.createDataFrame([], APPLIED_SCHEMA) if applied is None else applied
 
-    if not _exists_json(spark, bronze.manifests_path(root), MANIFEST):
-        return None, None
-    manifests = bronze.latest_manifests(bronze.read_manifests(spark, root))
-    applied_dir = bronze.applied_path(root)
-    if _exists_json(spark, applied_dir, APPLIED_SCHEMA):
-        applied = spark.read.schema(APPLIED_SCHEMA).parquet(applied_dir)
-    else:
-        applied = spark.createDataFrame([], APPLIED_SCHEMA)
-    pending = gate_ops.pending_batches(manifests, applied)
-    entries = gate_ops.manifest_entries(manifests.join(pending.select("batch_id"), "batch_id", "left_semi"))
-    return pending, entries
 
+def record_applied(batches: DataFrame, root: str) -> None:
+    """Add batches (ingestion_date, batch_id) to the applied list, which is
+    replaced as a whole (one row per batch)."""
+    spark = batches.sparkSession
+    both = read_applied(spark, root).unionByName(batches.select("ingestion_date", "batch_id")).distinct()
+    versioned.replace(both.coalesce(1), bronze.applied_path(root))
 
-# The applied list gains one small file per run; past this many files it is
-# rewritten as one.
-APPLIED_COMPACT_FILES = 64
 
+def _pending(spark: SparkSession, root: str):
+    """(pending committed batches, their manifest entries) or (None, None)."""
+    manifests = _read_manifests_or_none(spark, root)
+    if manifests is None:
+        return None, None
+    manifests = bronze.latest_manifests(manifests)
+    pending = gate_ops.pending_batches(manifests, read_applied(spark, root))
+    entries = gate_ops.manifest_entries(manifests.join(pending, gate_ops.BATCH, "left_semi"))
+    return pending, entries
 
-def record_applied(batch_ids: DataFrame, root: str) -> None:
-    """Append applied batch ids; compact the list when it has many files.
 
-    Compaction reads the ids, cuts the lineage with a checkpoint and rewrites
-    the folder. A crash during the rewrite loses only the record, and
-    re-applying batches is idempotent, so the result stays correct."""
-    spark = batch_ids.sparkSession
-    path = bronze.applied_path(root)
-    batch_ids.select("batch_id").write.mode("append").parquet(path)
-    current = spark.read.schema(APPLIED_SCHEMA).parquet(path)
-    if len(current.inputFiles()) > APPLIED_COMPACT_FILES:
-        checkpoint_root(spark)
-        ids = current.distinct().checkpoint(eager=True)
-        ids.coalesce(1).write.mode("overwrite").parquet(path)
+# ---- Bronze -> Silver -----------------------------------------------------
+def quarantine_path(root: str) -> str:
+    return f"{root.rstrip('/')}/quarantine"
 
 
-# ---- Bronze -> Silver -----------------------------------------------------
-def bronze_to_silver(
-    spark: SparkSession, root: str, metrics: dict | None = None, partitions=SILVER_PARTITIONS
+def apply_batches(
+    spark: SparkSession, root: str, manifests: DataFrame, metrics: dict | None = None, partitions=SILVER_PARTITIONS
 ) -> DataFrame:
-    """Apply every committed, not yet applied batch to Silver in one plan.
-
-    Returns the applied batch ids. Bad rows go to ``<root>/quarantine``.
-    When ``metrics`` is given it receives row counts (landed, quarantined,
-    NULL values) gathered by ``DataFrame.observe`` during the same job, with
-    no extra scan.
+    """Apply the committed, not yet applied batches among ``manifests`` to
+    Silver; returns them. Used by the batch run and by the stream.
+
+    The landed rows are read and parsed once, into a working table that is
+    removed at the end. Rows with a bad date go to ``<root>/quarantine``, by
+    batch, whatever their series' status; a repeated run replaces them. The
+    other rows go to Silver if their manifest vouches for their series. When
+    ``metrics`` is given it receives the row counts gathered by that job, and
+    the committed series without a landed object.
     """
-    pending, entries = _pending(spark, root)
-    if pending is None:
-        return spark.createDataFrame([], APPLIED_SCHEMA)
-    rows = pending.select("ingestion_date", "batch_id").collect()  # pending batches only
-    applied_now = spark.createDataFrame([(r.batch_id,) for r in rows], APPLIED_SCHEMA)
+    manifests = bronze.latest_manifests(manifests)
+    pending = gate_ops.pending_batches(manifests, read_applied(spark, root))
+    rows = pending.collect()  # the batches of this run only
+    applied_now = spark.createDataFrame([(r.ingestion_date, r.batch_id) for r in rows], APPLIED_SCHEMA)
     if not rows:
         return applied_now
+    entries = small_side(gate_ops.manifest_entries(manifests.join(F.broadcast(applied_now), gate_ops.BATCH, "left_semi")))
     landed = bronze.read_landed(spark, root, batches=[(r.ingestion_date, r.batch_id) for r in rows])
-    # probe before the observation starts (its listener would log a probe's miss)
-    silver_exists = _exists(spark, silver_path(root), SILVER)
-    wm_exists = _exists(spark, watermarks_path(root), _wm_struct())
-    observation = Observation("bronze_to_silver")
-    parsed = parse_raw(gate_ops.gate(landed, entries)).observe(
-        observation,
-        F.count(F.lit(1)).alias("rows_landed"),
-        F.count_if(F.col("data").isNull()).alias("rows_quarantined"),
-        F.count_if(F.col("data").isNotNull() & F.col("valor").isNull()).alias("rows_null_valor"),
-    ).checkpoint(eager=True)
+    vouched = small_side(gate_ops.committed_changes(entries).select(*gate_ops.BATCH_KEYS).distinct()).withColumn("vouched", F.lit(True))
+    observation = Observation("apply_batches")
+    bad = F.col("data").isNull()
+    parsed = (
+        parse_raw(landed.join(vouched, gate_ops.BATCH_KEYS, "left"))
+        .withColumn("vouched", F.coalesce("vouched", F.lit(False)))
+        .observe(
+            observation,
+            F.count(F.lit(1)).alias("rows_landed"),
+            F.count_if(bad).alias("rows_quarantined"),
+            F.count_if(~bad & F.col("valor").isNull()).alias("rows_null_valor"),
+        )
+    )
+    work = work_dir(spark, "apply")
+    parsed.write.parquet(work)
+    parsed = spark.read.schema(parsed.schema).parquet(work)
     counts = observation.get
+    missing = gate_ops.reconcile(entries, parsed.select(*gate_ops.BATCH_KEYS)).where("issue = 'missing_object'").collect()
+    for r in missing:
+        warnings.warn(f"batch {r.batch_id} of {r.ingestion_date}: {r.series_name} is committed but has no landed object", stacklevel=2)
     if metrics is not None:
         metrics.update(counts)
+        if missing:
+            metrics["missing_objects"] = sorted((str(r.ingestion_date), r.batch_id, r.series_name) for r in missing)
     if counts.get("rows_quarantined"):  # no job when the batches are clean
-        quarantine_rows(parsed).write.mode("append").parquet(f"{root.rstrip('/')}/quarantine")
-    clean = clean_rows(parsed)
-    source = latest_per_key(
-        clean.select("series_name", "data", "valor", "ingestion_date", "batch_id", "year", "month"),
-        ["series_name", "data"],
-        SILVER_ORDER,
-    )
-    upsert_silver(spark, source, silver_path(root), exists=silver_exists, partitions=partitions)
-    update_watermarks(spark, root, clean.select("series_name", "data"), exists=wm_exists)
+        (
+            quarantine_rows(parsed).drop("vouched").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*gate_ops.BATCH)
+            .parquet(quarantine_path(root))
+        )
+    clean = clean_rows(parsed.where("vouched").drop("vouched"), with_ingestion_ts=True)
+    source = latest_per_key(clean.select(*SILVER.fieldNames()), SILVER_KEYS, SILVER_ORDER)
+    upsert_silver(spark, source, silver_path(root), partitions=partitions, touched=versioned.touched_keys(clean, partitions))
+    update_watermarks(spark, root, clean.select("series_name", "data"))
     record_applied(applied_now, root)
+    versioned.delete(spark, work)
     return applied_now
 
 
+def bronze_to_silver(
+    spark: SparkSession, root: str, metrics: dict | None = None, partitions=SILVER_PARTITIONS
+) -> DataFrame:
+    """Apply every committed, not yet applied batch to Silver in one plan."""
+    manifests = _read_manifests_or_none(spark, root)
+    if manifests is None:
+        return spark.createDataFrame([], APPLIED_SCHEMA)
+    return apply_batches(spark, root, manifests, metrics, partitions)
+
+
 # ---- Silver -> Gold -> warehouse -> marts ----------------------------------
 def gold_from_silver(spark: SparkSession, silver: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
     catalog = catalog if catalog is not None else catalog_frame(spark)
@@ -291,47 +290,48 @@ def silver_to_gold(spark: SparkSession, root: str, incremental: bool = True) ->
     filter), and merged into the long table by key. Silver rows are never
     deleted, so a touched cell always has rows.
     """
-    from tslake.functions.dates import month_start
-    from tslake.operators.upsert import merge_frames, touched_filter
-    from tslake.sources.schemas import GOLD_LONG
-
     long_path, wide_path = _gold_paths(root)
-    applied_dir = bronze.applied_path(root)
-    have_applied = _exists_json(spark, applied_dir, APPLIED_SCHEMA)
-    applied = spark.read.schema(APPLIED_SCHEMA).parquet(applied_dir) if have_applied else None
+    applied = read_applied(spark, root)
     silver = read_silver(spark, silver_path(root))
-    done_dir = gold_applied_path(root)
-    if not incremental or not _exists(spark, long_path, GOLD_LONG) or not _exists_json(spark, done_dir, APPLIED_SCHEMA):
+    current = versioned.read(spark, long_path, GOLD_LONG)
+    done = versioned.read(spark, gold_applied_path(root), APPLIED_SCHEMA)
+    if not incremental or current is None or done is None:
         long = materialize(gold_from_silver(spark, silver), long_path)
     else:
-        done = spark.read.schema(APPLIED_SCHEMA).parquet(done_dir)
-        new_ids = [r.batch_id for r in applied.join(done, "batch_id", "left_anti").distinct().collect()]
-        if not new_ids:
-            return spark.read.schema(GOLD_LONG).parquet(long_path), spark.read.parquet(wide_path)
-        manifests = bronze.latest_manifests(bronze.read_manifests(spark, root)).where(F.col("batch_id").isin(new_ids))
-        pairs = [(r.ingestion_date, r.batch_id) for r in manifests.select("ingestion_date", "batch_id").collect()]
-        landed = bronze.read_landed(spark, root, batches=pairs)
+        # the batches since the last Gold build
+        new = [(r.ingestion_date, r.batch_id) for r in applied.join(done, gate_ops.BATCH, "left_anti").distinct().collect()]
+        wide = versioned.read(spark, wide_path)
+        if not new and wide is not None:
+            return current, wide
+        batches = F.broadcast(spark.createDataFrame(new, APPLIED_SCHEMA))
+        manifests = bronze.latest_manifests(bronze.read_manifests(spark, root)).join(batches, gate_ops.BATCH, "left_semi")
+        landed = bronze.read_landed(spark, root, batches=new)
         changed = clean_rows(parse_raw(gate_ops.gate(landed, gate_ops.manifest_entries(manifests))))
         cells = changed.select("series_name", "year", month_start("data").alias("reference_month")).distinct()
-        cells = cells.checkpoint(eager=True)
-        predicate, touched = touched_filter(cells, ["series_name", "year"])
-        scope = silver.where(predicate) if predicate is not None else silver.join(touched, ["series_name", "year"], "left_semi")
+        cells = small_side(cells)
+        scope = silver.where(versioned.touched_filter(versioned.touched_keys(cells, ["series_name", "year"]), ["series_name", "year"]))
         recomputed = gold_from_silver(spark, scope).join(
             cells.select("series_name", "reference_month"), ["series_name", "reference_month"], "left_semi"
         )
-        current = spark.read.schema(GOLD_LONG).parquet(long_path)
         merged = merge_frames(current, recomputed.select(*GOLD_LONG.fieldNames()), ["series_name", "reference_month"])
-        checkpoint_root(spark)
-        long = materialize(merged.checkpoint(eager=True), long_path)
+        long = materialize(merged, long_path)
     wide = materialize(to_wide(long, SERIES_NAMES), wide_path)
-    if applied is not None:
-        applied.select("batch_id").distinct().write.mode("overwrite").parquet(done_dir)
+    versioned.replace(applied.select("ingestion_date", "batch_id").distinct().coalesce(1), gold_applied_path(root))
+    return long, wide
+
+
+def read_gold(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Gold, long and wide, as last built."""
+    long_path, wide_path = _gold_paths(root)
+    long, wide = versioned.read(spark, long_path, GOLD_LONG), versioned.read(spark, wide_path)
+    if long is None or wide is None:
+        raise FileNotFoundError(f"no Gold table under {root}")
     return long, wide
 
 
 def gold_to_warehouse(spark: SparkSession, root: str, target=None, mode: str = "append_new") -> None:
     target = target or ParquetTarget(f"{root.rstrip('/')}/warehouse/macro_monthly")
-    wide = spark.read.parquet(f"{root.rstrip('/')}/gold")
+    _, wide = read_gold(spark, root)
     publish(spark, wide, target, mode=mode)
 
 
@@ -340,11 +340,11 @@ def marts(spark: SparkSession, root: str, database: str | None = None) -> dict[s
     under ``<root>/marts``, or as catalog tables ``<database>.<mart>``."""
     from tslake.operators.publish import materialize_table
 
-    long = spark.read.parquet(f"{root.rstrip('/')}/gold_long")
+    long, _ = read_gold(spark, root)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     out = {}
-    for name, df in build_marts(long).items():
+    for name, df in build_marts(long, small_side(month_axis(long))).items():
         if database:
             out[name] = materialize_table(df, f"`{database}`.`{name}`")
         else:
@@ -356,11 +356,10 @@ def register_views(spark: SparkSession, root: str) -> list[str]:
     """Register Gold as the staging view ``stg_macro_monthly`` and every mart
     as a temp view of its own name (O-26, O-28d), so existing SQL models run
     unchanged with ``spark.sql``."""
-    base = root.rstrip("/")
-    spark.read.parquet(f"{base}/gold").createOrReplaceTempView("stg_macro_monthly")
+    long, wide = read_gold(spark, root)
+    wide.createOrReplaceTempView("stg_macro_monthly")
     names = ["stg_macro_monthly"]
-    long = spark.read.parquet(f"{base}/gold_long")
-    for name, df in build_marts(long).items():
+    for name, df in build_marts(long, small_side(month_axis(long))).items():
         df.createOrReplaceTempView(name)
         names.append(name)
     return names
@@ -382,15 +381,14 @@ def adopt_reference_landing(spark: SparkSession, source_root: str, root: str) ->
 def snapshot(spark: SparkSession, root: str, as_of: str) -> DataFrame:
     """The full view of every series as of a date (O-17, D2): all committed
     batches landed up to ``as_of``, typed, latest batch wins per (series,
-    date). Only those batches' folders are read (named from the manifests)."""
+    date). The day is a partition filter of the landing zone, and the
+    manifests' entries are joined by the engine, not collected."""
     from tslake.operators.state import snapshot_as_of
 
     day = F.to_date(F.lit(as_of))
-    manifests = bronze.latest_manifests(bronze.read_manifests(spark, root))
-    upto = manifests.where((F.col("status") == "committed") & (F.col("ingestion_date") <= day))
-    pairs = [(r.ingestion_date, r.batch_id) for r in upto.select("ingestion_date", "batch_id").collect()]
-    landed = bronze.read_landed(spark, root, batches=pairs)
-    typed = clean_rows(parse_raw(gate_ops.gate(landed, gate_ops.manifest_entries(upto))))
+    manifests = bronze.latest_manifests(bronze.read_manifests(spark, root)).where(F.col("ingestion_date") <= day)
+    landed = bronze.read_landed(spark, root).where(F.col("ingestion_date") <= day)
+    typed = clean_rows(parse_raw(gate_ops.gate(landed, gate_ops.manifest_entries(manifests))))
     return snapshot_as_of(typed, day).select("series_name", "data", "valor", "ingestion_date", "batch_id")
 
 
@@ -403,14 +401,20 @@ def quality_report(spark: SparkSession, root: str, catalog: DataFrame | None = N
     from tslake.sources.catalog import FREQUENCIES
 
     catalog = catalog if catalog is not None else catalog_frame(spark)
-    long_path, wide_path = _gold_paths(root)
-    gold = spark.read.parquet(wide_path)
+    _, gold = read_gold(spark, root)
     silver = read_silver(spark, silver_path(root))
     declared = quality.check_columns(spark, gold, ["reference_month", *SERIES_NAMES])
     columns = declared.where(F.col("status") != "ok").groupBy().agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit("declared_columns").alias("check_name"), F.lit("*").alias("column_name"), "violations"
     )
+    manifests = bronze.latest_manifests(bronze.read_manifests(spark, root))
+    objects = bronze.read_landed(spark, root).select(*gate_ops.BATCH_KEYS)
+    missing = gate_ops.reconcile(gate_ops.manifest_entries(manifests), objects).where("issue = 'missing_object'")
+    missing = missing.groupBy().agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("missing_object").alias("check_name"), F.lit("series_name").alias("column_name"), "violations"
+    )
     parts = [
+        ("bronze", missing),
         ("gold", quality.check_not_null(gold, ["reference_month"])),
         ("gold", quality.check_unique(gold, ["reference_month"])),
         ("gold", columns),

@@ -36,7 +36,7 @@ from tslake.operators.state import (
 from tslake.operators.upsert import merge_frames, upsert_table
 from tslake.plans.marts import build_mart
 from tslake.session import checkpoint_root, work_dir
-from tslake.sources import bronze, tables
+from tslake.sources import bronze, tables, versioned
 from tslake.sources.catalog import SERIES_NAMES, catalog_frame, frequency_frame
 from tslake.sources.tables import PRIORITY_COLUMNS
 
@@ -52,7 +52,6 @@ SNAPSHOT_AS_OF = "2024-01-20"
 PUBLISHED_UNTIL = "2000-01-01"  # warehouse target holds Gold months before this
 STALE_MONTH = "1999-12-01"  # ... with this month's selic loaded as 0
 CALENDAR_GAP_MONTH = "1998-06-01"  # month removed before the calendar lag
-SILVER_FILTER = ["1-URGENT", "5-LOW"]
 DAILY_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 LAG_OFFSETS = [1, 3, 6, 12]
 
@@ -144,9 +143,13 @@ def q_after_watermark_lookback(spark, sf):
     return _after(spark, sf, lookback_days=LOOKBACK_DAYS)
 
 
-FETCH_HISTORY_END = "1995-01-02"  # fetch_start: history = rows before this day
-RUN_START = "2001-08-01"  # classify_run: rows from this day are the run's landing
-RUN_DAY = "2001-08-31"  # ... and this is the run's "today"
+# fetch_start: two series have no history, one has all of its rows
+NO_HISTORY = ["3-MEDIUM", "5-LOW"]
+ALL_HISTORY = ["4-NOT SPECIFIED"]
+NOT_LANDED = ["2-HIGH", "3-MEDIUM"]  # classify_run: series that land nothing
+RUN_START = "2001-01-01"  # classify_run: rows from this day are the run's landing
+RUN_DAY = "2001-01-31"  # ... and this is the run's "today"
+LOST_SERIES = "click"  # manifest_reconcile: the series whose objects are lost
 
 
 def _orders_catalog(spark, sf):
@@ -157,16 +160,20 @@ def _orders_catalog(spark, sf):
     )
 
 
-def q_fetch_start(spark, sf):
+def _run_history(spark, sf):
+    """Watermarks of the rows before the run, of all rows, or none, by series."""
     o = tables.obs_orders(spark, sf)
-    wm = watermarks(o.where(F.col("data") < _date(FETCH_HISTORY_END)).select("series_name", "data"))
-    return fetch_start(_orders_catalog(spark, sf), wm)
+    known = ~F.col("series_name").isin(NO_HISTORY) & ((F.col("data") < _date(RUN_START)) | F.col("series_name").isin(ALL_HISTORY))
+    return watermarks(o.where(known).select("series_name", "data"))
+
+
+def q_fetch_start(spark, sf):
+    return fetch_start(_orders_catalog(spark, sf), _run_history(spark, sf))
 
 
 def q_classify_run(spark, sf):
-    o = tables.obs_orders(spark, sf)
-    history = watermarks(o.where(F.col("data") < _date(RUN_START)).select("series_name", "data"))
-    landed = o.where(F.col("data") >= _date(RUN_START))
+    history = _run_history(spark, sf)
+    landed = tables.obs_orders(spark, sf).where((F.col("data") >= _date(RUN_START)) & ~F.col("series_name").isin(NOT_LANDED))
     new = after_watermark(landed, history)
     return classify(_orders_catalog(spark, sf), new, history, _date(RUN_DAY))
 
@@ -212,8 +219,10 @@ def q_snapshot_as_of(spark, sf):
 
 
 def q_manifest_reconcile(spark, sf):
-    objects = tables.event_observations(spark, sf).select("batch_id", "series_name")
-    return gate_ops.reconcile(tables.event_entries(spark, sf), objects)
+    # objects of one series are lost on every seventh day
+    ev = tables.event_observations(spark, sf)
+    lost = (F.col("series_name") == LOST_SERIES) & (F.dayofmonth("data") % 7 == 0)
+    return gate_ops.reconcile(tables.event_entries(spark, sf), ev.where(~lost).select(*gate_ops.BATCH_KEYS))
 
 
 def q_batch_id_sanitize(spark, sf):
@@ -271,10 +280,41 @@ def q_upsert_idempotent(spark, sf):
     upsert_table(spark, with_year(target), path, keys, parts, UPSERT_SCHEMA)
     upsert_table(spark, with_year(source), path, keys, parts, UPSERT_SCHEMA)
     upsert_table(spark, with_year(source), path, keys, parts, UPSERT_SCHEMA)
-    out = spark.read.schema(UPSERT_SCHEMA).parquet(path)
+    out = versioned.read_partitioned(spark, path, UPSERT_SCHEMA)
     return rounded(out.select("series_name", "data", "valor", "o_orderkey"))
 
 
+def q_upsert_out_of_order(spark, sf):
+    """The newest rows first, then every key's older row: the late, older
+    batch changes nothing."""
+    obs = tables.obs_orders(spark, sf).withColumn("year", F.year("data"))
+    keys, parts = ["series_name", "data"], ["series_name", "year"]
+    newest = latest_per_key(obs, keys, ["o_orderkey"])
+    oldest = latest_per_key(obs.withColumn("_age", -F.col("o_orderkey")), keys, ["_age"]).drop("_age")
+    path = work_dir(spark, "upsert")
+    for source in (newest, oldest):
+        upsert_table(spark, source, path, keys, parts, UPSERT_SCHEMA, order=["o_orderkey"])
+    out = versioned.read_partitioned(spark, path, UPSERT_SCHEMA)
+    return rounded(out.select("series_name", "data", "valor", "o_orderkey"))
+
+
+WEEK_SCHEMA = T.StructType([*UPSERT_SCHEMA.fields, T.StructField("week", T.IntegerType())])
+
+
+def q_upsert_many_partitions(spark, sf):
+    """An upsert that touches every week of every series: over a thousand
+    partitions of one table."""
+    obs = latest_per_key(tables.obs_orders(spark, sf), ["series_name", "data"], ["o_orderkey"])
+    obs = obs.withColumn("year", F.year("data")).withColumn("week", F.weekofyear("data"))
+    path = work_dir(spark, "upsert")
+    keys, parts = ["series_name", "data"], ["series_name", "year", "week"]
+    raised = obs.where(F.col("o_orderkey") % 2 == 1).withColumn("valor", F.col("valor") * F.lit(2.0))
+    for source in (obs, raised):
+        upsert_table(spark, source, path, keys, parts, WEEK_SCHEMA)
+    out = versioned.read_partitioned(spark, path, WEEK_SCHEMA)
+    return rounded(out.select("series_name", "data", "valor", "o_orderkey", "week"))
+
+
 # ---- monthly aggregation and pivot ----------------------------------------
 def _orders_monthly_avg(spark, sf):
     o = tables.obs_orders(spark, sf)
@@ -389,7 +429,7 @@ def _gold_target(spark, sf):
     gold = materialized(to_wide(macro_gold_long(spark, sf), SERIES_NAMES))
     path = work_dir(spark, "warehouse")
     stale = F.when(F.col("reference_month") == _date(STALE_MONTH), F.lit(0.0)).otherwise(F.col("selic"))
-    gold.where(F.col("reference_month") < _date(PUBLISHED_UNTIL)).withColumn("selic", stale).write.parquet(path)
+    versioned.replace(gold.where(F.col("reference_month") < _date(PUBLISHED_UNTIL)).withColumn("selic", stale), path)
     return gold, ParquetTarget(path)
 
 
@@ -397,13 +437,13 @@ def q_publish_append_new(spark, sf):
     gold, target = _gold_target(spark, sf)
     publish(spark, gold, target, mode="append_new")
     publish(spark, gold, target, mode="append_new")  # second load appends nothing
-    return rounded(spark.read.schema(gold.schema).parquet(target.path))
+    return rounded(versioned.read(spark, target.path, gold.schema))
 
 
 def q_publish_upsert(spark, sf):
     gold, target = _gold_target(spark, sf)
     publish(spark, gold, target, mode="upsert")
-    return rounded(spark.read.schema(gold.schema).parquet(target.path))
+    return rounded(versioned.read(spark, target.path, gold.schema))
 
 
 def q_high_water_month(spark, sf):
@@ -432,7 +472,7 @@ def q_silver_roundtrip(spark, sf):
     from tslake.operators.upsert import write_partitioned
 
     write_partitioned(d.withColumn("year", F.year("data")), path, ["series_name", "year"])
-    back = spark.read.schema(UPSERT_SCHEMA).parquet(path).where(F.col("series_name").isin(SILVER_FILTER))
+    back = spark.read.schema(UPSERT_SCHEMA).parquet(path)
     return rounded(back.select("series_name", "data", "valor", "o_orderkey", "year"))
 
 
@@ -485,7 +525,7 @@ def q_pipeline_incremental_gold(spark, sf):
     from tslake.plans import pipeline
 
     root = work_dir(spark, "pipeline")
-    landing = tables.orders_landing(spark, sf)
+    landing = materialized(tables.orders_landing(spark, sf))  # read by both waves, for rows and manifests
     first = F.col("ingestion_date") < _date(INCREMENTAL_SPLIT)
     for wave in (first, ~first):
         batch = landing.where(wave)
@@ -493,7 +533,34 @@ def q_pipeline_incremental_gold(spark, sf):
         bronze.write_manifests(tables.landing_manifests(batch), root)
         pipeline.bronze_to_silver(spark, root)
         pipeline.silver_to_gold(spark, root)
-    return rounded(spark.read.parquet(f"{root}/gold"))
+    return rounded(pipeline.read_gold(spark, root)[1])
+
+
+def q_ingest_run(spark, sf):
+    """Two runs of the ingestion step on the raw orders text. In the second,
+    one series has new rows, one nothing new, one is past the run's day, and
+    two have no history: one of these arrives, the other fails, so the batch
+    stays uncommitted. Per series: status, rows landed, of these clean ones
+    and bad ones."""
+    from tslake.plans import pipeline
+
+    root = work_dir(spark, "ingest")
+    raw = materialized(tables.orders_fetched(spark, sf))
+    fetched = lambda rows: rows.select("series_name", "data", "valor")
+    catalog = catalog_frame(spark).where(F.col("series_name").isin(list(tables.ORDERS_TO_CATALOG.values())))
+    names = tables.ORDERS_TO_CATALOG
+    of = lambda keys: F.col("series_name").isin([names[k] for k in keys])
+    before = ~of(NO_HISTORY) & ((F.col("order_date") < _date(RUN_START)) | of(ALL_HISTORY))
+    pipeline.ingest(spark, root, fetched(raw.where(before)), "first", RUN_START, catalog=catalog.where(~of(NO_HISTORY)))
+    pipeline.bronze_to_silver(spark, root)
+    run = (F.col("order_date") >= _date(RUN_START)) & ~of(NOT_LANDED)
+    manifest = pipeline.ingest(spark, root, fetched(raw.where(run)), "second", RUN_DAY, catalog=catalog)
+    landed = parse_raw(bronze.read_landed(spark, root, batches=[(RUN_DAY, "second")]))
+    counts = landed.groupBy("series_name").agg(
+        F.count(F.lit(1)).alias("n_landed"), F.count("data").alias("n_clean"), F.count_if(F.col("data").isNull()).alias("n_quarantined")
+    )
+    entries = manifest.select("status", F.explode("series").alias("series_name", "series_status"))
+    return entries.join(counts, "series_name", "left").na.fill(0)
 
 
 # ---- quality ------------------------------------------------------------------
@@ -513,11 +580,6 @@ def q_check_accepted_values(spark, sf):
     )
 
 
-def q_check_columns(spark, sf):
-    gold = to_wide(macro_gold_long(spark, sf), SERIES_NAMES)
-    return quality.check_columns(spark, gold, ["reference_month", *SERIES_NAMES])
-
-
 QUERIES: dict[str, Query] = {
     "normalize_observations": q_normalize_observations,
     "quarantine_rows": q_quarantine_rows,
@@ -543,6 +605,8 @@ QUERIES: dict[str, Query] = {
     "request_windows_monthly": q_request_windows_monthly,
     "upsert_merge": q_upsert_merge,
     "upsert_idempotent": q_upsert_idempotent,
+    "upsert_out_of_order": q_upsert_out_of_order,
+    "upsert_many_partitions": q_upsert_many_partitions,
     "monthly_avg": q_monthly_avg,
     "monthly_first": q_monthly_first,
     "monthly_mixed_frequency": q_monthly_mixed_frequency,
@@ -569,9 +633,9 @@ QUERIES: dict[str, Query] = {
     "landing_roundtrip": q_landing_roundtrip,
     "stream_upsert": q_stream_upsert,
     "lake_snapshot": q_lake_snapshot,
+    "ingest_run": q_ingest_run,
     "pipeline_incremental_gold": q_pipeline_incremental_gold,
     "check_not_null": q_check_not_null,
     "check_unique_key": q_check_unique_key,
     "check_accepted_values": q_check_accepted_values,
-    "check_columns": q_check_columns,
 }

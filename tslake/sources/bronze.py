@@ -14,11 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tslake.sources import versioned
 from tslake.sources.schemas import LANDING_PARTITIONS, MANIFEST, RAW
 
 PARTITIONS = [f.name for f in LANDING_PARTITIONS.fields]
@@ -58,14 +58,16 @@ PATH_ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
 GLOB_SPECIAL = set("{}[]*?,\\")
 
 
-# Up to this many batches are named in one glob; more are read by listing the
-# landing zone and a semi join on the batch ids.
-GLOB_BATCH_LIMIT = 1000
+def _escaped(value: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in PATH_ESCAPED else c for c in value)
 
 
 def _folder_value(value: str) -> str:
-    escaped = "".join(f"%{ord(c):02X}" if c in PATH_ESCAPED else c for c in value)
-    return "".join("\\" + c if c in GLOB_SPECIAL else c for c in escaped)
+    return "".join("\\" + c if c in GLOB_SPECIAL else c for c in _escaped(value))
+
+
+def batch_folder(root: str, ingestion_date, batch_id: str) -> str:
+    return f"{bronze_path(root)}/ingestion_date={ingestion_date}/batch_id={_escaped(str(batch_id))}"
 
 
 def read_landed(
@@ -77,34 +79,21 @@ def read_landed(
     """Landed rows in one scan (explicit schema).
 
     Without ``batches`` the whole landing zone is read. With ``batches`` —
-    ``(ingestion_date, batch_id)`` pairs taken from manifests — one glob names
-    exactly those batch folders, so only they are listed (not every folder
-    ever landed), and a ``batch_id`` filter keeps the result exact.
+    ``(ingestion_date, batch_id)`` pairs taken from manifests — exactly these
+    batches' folders are listed and read; a pair without a folder has no rows.
     """
     schema = landed_schema(extra)
     base = bronze_path(root)
     if batches is None:
         return spark.read.schema(schema).json(base)
-    batches = list(batches)
-    empty = spark.createDataFrame([], schema)
-    if not batches:
-        return empty
-    dates = sorted({str(d) for d, _ in batches})
-    ids = sorted({str(b) for _, b in batches})
-    if len(ids) > GLOB_BATCH_LIMIT:
-        # too many for one glob: list everything, keep exactly these batches
-        wanted = spark.createDataFrame([(b,) for b in ids], "batch_id string")
-        return spark.read.schema(schema).json(base).join(wanted, "batch_id", "left_semi")
-    alt = lambda vals: "{" + ",".join(_folder_value(v) for v in vals) + "}"
-    pattern = f"{base}/ingestion_date={alt(dates)}/batch_id={alt(ids)}"
-    try:
-        df = spark.read.schema(schema).option("basePath", base).json(pattern)
-        df.schema  # noqa: B018 - resolves the glob
-    except AnalysisException as exc:
-        if (exc.getCondition() or "") == "PATH_NOT_FOUND":
-            return empty
-        raise
-    return df.where(F.col("batch_id").isin(ids))
+    folders = [
+        f"{base}/ingestion_date={day}/batch_id={_folder_value(batch)}"
+        for day, batch in sorted({(str(d), str(b)) for d, b in batches})
+        if versioned.exists(spark, batch_folder(root, day, batch))
+    ]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).json(folders)
 
 
 def read_reference_layout(spark: SparkSession, root: str) -> DataFrame:
@@ -140,9 +129,9 @@ def read_reference_manifests(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_manifests(manifests: DataFrame) -> DataFrame:
-    """The deciding manifest per batch: the committed one if any exists (a
+    """The deciding manifest per batch (day and id): the committed one if any exists (a
     committed batch is immutable, D8), else a failed attempt."""
     from tslake.operators.dedupe import latest_per_key
 
     rank = F.when(F.col("status") == "committed", F.lit(1)).otherwise(F.lit(0))
-    return latest_per_key(manifests.withColumn("_rank", rank), ["batch_id"], ["_rank"]).drop("_rank")
+    return latest_per_key(manifests.withColumn("_rank", rank), ["ingestion_date", "batch_id"], ["_rank"]).drop("_rank")

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from tslake.sources.catalog import SERIES_NAMES
-
 # One landed observation as published by the source API: both fields are text.
 RAW = T.StructType(
     [
@@ -26,8 +24,6 @@ LANDING_PARTITIONS = T.StructType(
     ]
 )
 
-RAW_LANDED = T.StructType(RAW.fields + LANDING_PARTITIONS.fields)
-
 # One manifest per batch attempt: series -> status, plus the batch status.
 MANIFEST = T.StructType(
     [
@@ -44,12 +40,15 @@ SILVER = T.StructType(
         T.StructField("valor", T.DoubleType(), True),
         T.StructField("ingestion_date", T.DateType(), True),
         T.StructField("batch_id", T.StringType(), True),
+        T.StructField("ingestion_timestamp", T.TimestampType(), True),
         T.StructField("series_name", T.StringType(), True),
         T.StructField("year", T.IntegerType(), True),
         T.StructField("month", T.IntegerType(), True),
     ]
 )
 SILVER_KEYS = ["series_name", "data"]
+# Which row of a key is the newest.
+SILVER_ORDER = ["ingestion_date", "batch_id", "valor"]
 # Partition granularity of Silver. An upsert rewrites every partition it
 # touches, so the granularity bounds the copy-on-write cost of a batch:
 # (series, year) suits many small series (few files); (series, year, month)
@@ -66,12 +65,4 @@ GOLD_LONG = T.StructType(
     ]
 )
 
-# Gold wide: reference_month + one DOUBLE per catalogue series, fixed.
-GOLD_WIDE = T.StructType(
-    [T.StructField("reference_month", T.DateType(), False)]
-    + [T.StructField(name, T.DoubleType(), True) for name in SERIES_NAMES]
-)
-
-SERIES_STATUSES = ("new_data", "success", "no_data", "up_to_date", "failed")
 CHANGED_STATUSES = ("new_data", "success")
-BATCH_STATUSES = ("committed", "failed")

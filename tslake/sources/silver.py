@@ -8,34 +8,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tslake.operators.upsert import upsert_table, write_partitioned
-from tslake.sources.schemas import SILVER, SILVER_KEYS, SILVER_PARTITIONS
+from tslake.operators.upsert import upsert_table
+from tslake.sources import versioned
+from tslake.sources.schemas import SILVER, SILVER_KEYS, SILVER_ORDER, SILVER_PARTITIONS
 
 
 def silver_path(root: str) -> str:
     return f"{root.rstrip('/')}/silver"
 
 
+def silver_exists(spark: SparkSession, root: str) -> bool:
+    return versioned.load(spark, silver_path(root)) is not None
+
+
 def read_silver(spark: SparkSession, path: str, series: Sequence[str] | None = None) -> DataFrame:
     """Scan with the fixed schema; a series list becomes a literal partition
-    filter, so only those series' folders are listed and read."""
-    df = spark.read.schema(SILVER).parquet(path)
+    filter, so only those series' folders are read."""
+    df = versioned.read_partitioned(spark, path, SILVER)
+    if df is None:
+        raise FileNotFoundError(f"no Silver table at {path}")
     if series is not None:
         df = df.where(F.col("series_name").isin(list(series)))
     return df
 
 
-def write_silver(df: DataFrame, path: str, partitions: Sequence[str] = SILVER_PARTITIONS) -> None:
-    write_partitioned(df.select(*SILVER.fieldNames()), path, partitions)
-
-
 def upsert_silver(
     spark: SparkSession,
     source: DataFrame,
     path: str,
-    exists: bool | None = None,
     partitions: Sequence[str] = SILVER_PARTITIONS,
+    touched: Sequence[str] | None = None,
 ) -> None:
-    """Upsert by (series_name, data); ``partitions`` must be the layout the
-    table was created with (``SILVER_PARTITIONS`` or ``SILVER_PARTITIONS_MONTHLY``)."""
-    upsert_table(spark, source, path, SILVER_KEYS, partitions, SILVER, exists)
+    """Upsert by (series_name, data); the row of the newest batch stays, so
+    Silver depends on the applied batches alone, not on their order.
+    ``partitions`` must be the layout the table was created with
+    (``SILVER_PARTITIONS`` or ``SILVER_PARTITIONS_MONTHLY``)."""
+    upsert_table(spark, source, path, SILVER_KEYS, partitions, SILVER, order=SILVER_ORDER, touched=touched)

@@ -95,7 +95,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(price)
     )
     return o.select(
-        prio.alias("series_name"), data_text.alias("data"), valor_text.alias("valor"), "o_orderkey"
+        prio.alias("series_name"), data_text.alias("data"), valor_text.alias("valor"), "o_orderkey", d.alias("order_date")
     )
 
 
@@ -159,8 +159,8 @@ def event_manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest entries (batch, series, statuses) derived from the events."""
     per = _event_series_status(spark, sf_dir)
-    batch = event_manifests(spark, sf_dir).select("batch_id", F.col("status").alias("batch_status"))
-    return per.join(batch, "batch_id")
+    batch = event_manifests(spark, sf_dir).select("ingestion_date", "batch_id", F.col("status").alias("batch_status"))
+    return per.join(batch, ["ingestion_date", "batch_id"])
 
 
 def event_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,17 +180,21 @@ def orders_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw orders text (with its defects) as landed batches: one batch per
     order month (``batch_id`` m<yyyyMM>, ``ingestion_date`` = last day of that
     month), series named by the catalogue mapping."""
-    raw = raw_orders(spark, sf_dir)
-    dates = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("_d"))
-    return raw.join(dates, "o_orderkey").select(
+    return orders_fetched(spark, sf_dir).select(
         "data",
         "valor",
-        _map_series(F.col("series_name"), ORDERS_TO_CATALOG).alias("series_name"),
-        F.last_day("_d").alias("ingestion_date"),
-        F.concat(F.lit("m"), F.date_format("_d", "yyyyMM")).alias("batch_id"),
+        "series_name",
+        F.last_day("order_date").alias("ingestion_date"),
+        F.concat(F.lit("m"), F.date_format("order_date", "yyyyMM")).alias("batch_id"),
     )
 
 
+def orders_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders text as the source's answer, series named by the
+    catalogue mapping, with the true date of each row as ``order_date``."""
+    return raw_orders(spark, sf_dir).withColumn("series_name", _map_series(F.col("series_name"), ORDERS_TO_CATALOG))
+
+
 def landing_manifests(landing: DataFrame) -> DataFrame:
     """Committed manifests for landed batches: every series that landed rows
     in a batch is ``new_data``."""

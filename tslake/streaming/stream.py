@@ -3,52 +3,29 @@
 The stream reads the *manifests*, not the landed data: a landed file alone is
 never valid (it may belong to a failed batch), and the file source marks
 every file it has seen, so streaming data files would mark uncommitted ones as
-done. Each micro-batch of manifests is gated, its batches' landed rows are
-read by naming exactly their folders, normalised,
-deduplicated and upserted into Silver. Manifests are written under new file
+done. Each micro-batch of manifests goes through the batch run's own
+``apply_batches``, which leaves out the batches already applied. Manifests are written under new file
 names for every attempt, so a retried batch is seen again. The upsert is
 idempotent, so a micro-batch replayed after a failure gives the same table:
-the checkpoint plus an idempotent sink is exactly-once.
+the checkpoint plus an idempotent sink is exactly-once. The checkpoint lies
+under the root, so a stream started in another session goes on where it was.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tslake.operators import gate as gate_ops
-from tslake.operators.dedupe import latest_per_key
-from tslake.operators.normalize import clean_rows, parse_raw, quarantine_rows
-from tslake.session import checkpoint_root
+from tslake.plans.pipeline import apply_batches
 from tslake.sources import bronze
 from tslake.sources.schemas import MANIFEST, SILVER_PARTITIONS
-from tslake.sources.silver import silver_path, upsert_silver
 
-ORDER = ["ingestion_date", "batch_id", "valor"]
+def stream_checkpoint(root: str) -> str:
+    return f"{root.rstrip('/')}/_control/stream"
 
 
 def apply_manifests(spark: SparkSession, root: str, manifests: DataFrame, partitions=SILVER_PARTITIONS) -> None:
-    """Apply the committed batches among ``manifests`` to Silver."""
-    committed = manifests.where(F.col("status") == "committed")
-    # Batch ids of one micro-batch: bounded by the batches landed since the
-    # last trigger; used as a literal filter so only their folders are read.
-    pairs = sorted({(r.ingestion_date, r.batch_id) for r in committed.select("ingestion_date", "batch_id").collect()})
-    ids = sorted({b for _, b in pairs})
-    if not ids:
-        return
-    entries = gate_ops.manifest_entries(committed)
-    landed = bronze.read_landed(spark, root, batches=pairs)
-    parsed = parse_raw(gate_ops.gate(landed, entries))
-    quarantine_rows(parsed).write.mode("append").parquet(f"{root.rstrip('/')}/quarantine")
-    clean = clean_rows(parsed).select("series_name", "data", "valor", "ingestion_date", "batch_id", "year", "month")
-    upsert_silver(spark, latest_per_key(clean, ["series_name", "data"], ORDER), silver_path(root), partitions=partitions)
-    from tslake.plans.pipeline import update_watermarks
-
-    update_watermarks(spark, root, clean.select("series_name", "data"))
-    # Record the applied batches so a batch run does not apply them again.
-    from tslake.plans.pipeline import record_applied
-
-    record_applied(spark.createDataFrame([(b,) for b in ids], "batch_id string"), root)
+    """Apply the committed batches of one micro-batch that are not applied yet."""
+    apply_batches(spark, root, manifests, partitions=partitions)
 
 
 def start_silver_stream(
@@ -60,7 +37,7 @@ def start_silver_stream(
 ):
     """Start the stream; ``available_now`` processes what has landed and stops.
     ``partitions`` is the Silver layout (see ``schemas.SILVER_PARTITIONS``)."""
-    checkpoint = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/tslake-stream/{root.strip('/').replace('/', '_')}"
+    checkpoint = checkpoint or stream_checkpoint(root)
     manifests = spark.readStream.schema(MANIFEST).json(bronze.manifests_path(root))
     writer = (
         manifests.writeStream.foreachBatch(lambda df, _epoch: apply_manifests(spark, root, df, partitions))
