@@ -34,7 +34,7 @@ from tslake.session import work_dir
 REVISIT_BYTES = 100
 #: Compressed bytes after which a task starts its next archive.
 ARCHIVE_BYTES = 32 << 20
-#: Bound of the sample the dictionary is fitted on: pages, and characters of each.
+#: The sample the dictionary is fitted on: about so many pages (four times that at most), and characters of each.
 SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES = 256, 16384, 32768
 LEVEL = 3
 DICTIONARY_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xFD2FB528
@@ -209,11 +209,11 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
     """Write the pages' archives to ``folder``; returns their manifest (written
     once, beside them)."""
     spark = pages.sparkSession
+    share = min(1.0, SAMPLE_PAGES / max(1, pages.count()))
     sample = (
-        pages.select(F.substring("html", 1, SAMPLE_CHARS).alias("html"), F.xxhash64("html").alias("h"))
-        .filter("html is not null")
-        .orderBy("h", "html")
-        .limit(SAMPLE_PAGES)
+        pages.filter(F.col("html").isNotNull() & (F.pmod(F.xxhash64("page_id", "html"), F.lit(1 << 30)) < share * (1 << 30)))
+        .select(F.substring("html", 1, SAMPLE_CHARS).alias("html"))
+        .limit(4 * SAMPLE_PAGES)  # repeated rows may be chosen together
         .collect()
     )
     dictionary = fit_dictionary([r["html"].encode() for r in sample])
