@@ -21,7 +21,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -32,8 +31,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from tslake.llm import files
-from tslake.llm.common import row_blocks, text_buffer
-from tslake.llm.pretokens import PieceCodes, ragged
+from tslake.llm.common import held, row_blocks, share, text_buffer, word_spans
+from tslake.llm.pretokens import ragged
 from tslake.session import work_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -41,63 +40,117 @@ END = 2
 SEQUENCE = 2048
 BATCH = 256
 #: Ids after which a task starts its next file.
-FILE_IDS = 8 << 20
+FILE_IDS = 4 << 20
+#: Distinct pieces a worker keeps the ids of, some 60 bytes each.
+POOL_LIMIT = 1_500_000
 ID = np.uint16  # the vocabulary has 49,408 ids
 
 MANIFEST = "path string, part int, part_start long, n_ids long, n_docs long"
 
 
-#: A-Z lower-cased and line ends as blanks, as the tokenizer's normaliser has it.
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\n", b"abcdefghijklmnopqrstuvwxyz ")
-#: A run of ASCII punctuation (no apostrophe) between a letter and a blank is a pre-token of its own.
-_PEEL = re.compile(rb"(?<=[a-z])([!-&(-/:-@\[-`{-~]+)(?= )").sub
+#: What stands between blanks and line ends.
+_PIECE = np.ones(256, bool)
+_PIECE[[0x20, 0x0A]] = False
+#: ASCII letters, and punctuation but for the apostrophe, as bytes.
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+_MARK[0x21:0x30] = _MARK[0x3A:0x41] = _MARK[0x5B:0x61] = _MARK[0x7B:0x7F] = True
+_MARK[0x27] = False
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Pieces that normaliser and pre-tokeniser leave as they are.
 _PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
 
 
-def pieces_of(text: str) -> list[bytes]:
-    return _PEEL(rb" \1", text.encode().translate(_LOWER) + b" ").split(b" ")
+def mark_runs(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where a run of punctuation begins that follows a letter and ends its
+    piece: such a run is a pre-token of its own."""
+    mark = _MARK[data]
+    change = np.flatnonzero(mark[1:] != mark[:-1]) + 1
+    edges = np.concatenate([[0], change, [len(data)]]) if len(data) else np.zeros(0, np.int64)
+    runs = np.flatnonzero(mark[edges[:-1]]) if len(data) else edges
+    begin, end = edges[runs], edges[runs + 1] if len(runs) else edges[:0]
+    ended = np.append(~_PIECE[data], True)[end]
+    ended |= np.isin(end, offsets)
+    after_letter = _LETTER[data[np.maximum(begin - 1, 0)]] & (begin > 0)
+    return begin[ended & after_letter]
 
 
-class Encoder(PieceCodes):
+class Encoder:
     """The library's ids of whole texts.
 
-    The tokenizer treats separately what stands between blanks or line ends, so
-    each distinct such piece goes to the library once. Pieces of plain letters
-    go to a copy of the tokenizer without the steps that would not alter them.
+    The tokenizer treats separately what stands between blanks or line ends (and
+    a last run of punctuation there), and letters' case is lost. So each
+    distinct such piece, known by its length and a 64-bit hash of its
+    lower-cased bytes, goes to the library once while the pool of pieces holds
+    it. Pieces of plain letters go, many in one text, to a copy of the tokenizer
+    that splits at blanks and lacks the steps that would not alter them; a token
+    with the vocabulary's word-end suffix ends each of them.
     """
 
-    def __init__(self, definition: str):
-        super().__init__(pieces_of)
+    def __init__(self, definition: str, pool_limit: int = POOL_LIMIT):
+        self.definition, self.pool_limit = definition, pool_limit
         self.full, self.plain = Tokenizer.from_str(definition), Tokenizer.from_str(definition)
         self.plain.normalizer = None
-        self.plain.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        for tokenizer in (self.full, self.plain):
-            tokenizer.encode_special_tokens = True
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.full.encode_special_tokens = self.plain.encode_special_tokens = True
+        suffix, known = self.plain.model.end_of_word_suffix, self.plain.get_vocab()
+        self.ends_word = np.zeros(max(known.values()) + 1, bool)
+        self.ends_word[[i for token, i in known.items() if token.endswith(suffix)]] = True
         self.clear()
 
+    def __reduce__(self):
+        return type(self), (self.definition, self.pool_limit)
+
     def clear(self) -> None:
+        self.known, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.offsets = np.zeros(0, ID), np.zeros(1, np.int64)
 
-    def add(self, pieces: list[bytes]) -> None:
-        texts = [p.decode() for p in pieces]
-        found: list = [None] * len(texts)
-        plain = [i for i, t in enumerate(texts) if _PLAIN(t)]
-        other = sorted(set(range(len(texts))).difference(plain))
-        for tokenizer, rows in ((self.plain, plain), (self.full, other)):
-            for lo in range(0, len(rows), 20_000):
-                some = rows[lo : lo + 20_000]
-                for i, e in zip(some, tokenizer.encode_batch_fast([texts[i] for i in some], add_special_tokens=False)):
-                    found[i] = e.ids
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), ID, int(lengths.sum()))
-        self.flat = np.concatenate([self.flat, flat])
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(lengths)])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, tokenizer: Tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(e.ids, ID) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate(found), np.array([len(x) for x in found])
+
+    def _add(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Encode new pieces and put them into the pool."""
+        plain, other = [], []
+        for i, piece in enumerate(pieces):
+            (plain if _PLAIN(piece) else other).append(i)
+        flats, lengths = [self.flat], []
+        for lo in range(0, len(plain), 200):
+            some = plain[lo : lo + 200]
+            ids, _ = self._encode(self.plain, [" ".join([pieces[i] for i in some])])
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):
+                raise ValueError("the tokenizer's words do not end with its suffix")
+            flats.append(ids)
+            lengths.append(np.diff(ends, prepend=0))
+        for lo in range(0, len(other), 2000):
+            ids, n = self._encode(self.full, [pieces[i] for i in other[lo : lo + 2000]])
+            flats.append(ids)
+            lengths.append(n)
+        self.flat = np.concatenate(flats)
+        rows = np.arange(len(pieces)) + len(self.offsets) - 1
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.concatenate(lengths))])
+        order = np.argsort(hashes[plain + other])
+        added = hashes[plain + other][order]
+        place = np.searchsorted(self.known, added)
+        self.known, self.rows = np.insert(self.known, place, added), np.insert(self.rows, place, rows[order])
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, each ended by END, and where each text's begin."""
-        codes, begins = self.of(texts)
-        ids, at = ragged(self.flat, self.offsets, codes)
+        if len(self.known) > self.pool_limit:
+            self.clear()
+        hashes, starts, ends, begins = word_spans(data, offsets, _PIECE, mark_runs(data, offsets))
+        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), bool)
+        if len(self.known):
+            new = self.known[np.minimum(place, len(self.known) - 1)] != distinct
+        if new.any():
+            lower = data.tobytes().translate(_LOWER)
+            self._add(distinct[new], [lower[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            place = np.searchsorted(self.known, distinct)
+        rows = self.rows[place][which] if len(distinct) else which
+        ids, at = ragged(self.flat, self.offsets, rows)
         at = at[begins]
         return np.insert(ids, at[1:], END), at + np.arange(len(at))
 
@@ -164,28 +217,28 @@ def write(docs: DataFrame, folder: str, path: str | None = None, file_ids: int =
     manifest (written once, beside them)."""
     spark = docs.sparkSession
     with open(path or public_tokenizers.path(TOKENIZER), encoding="utf-8") as source:
-        definition = spark.sparkContext.broadcast(source.read())
+        shared = share(spark, Encoder(source.read()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(definition.value)
-        part, k, start, held, doc_ids, lengths = TaskContext.get().partitionId(), 0, 0, [], [], []
+        encoder = held(shared)
+        part, k, start, parts, doc_ids, lengths = TaskContext.get().partitionId(), 0, 0, [], [], []
 
         def file() -> pa.RecordBatch:
-            ids, n = np.concatenate(held), np.concatenate(lengths)
+            ids, n = np.concatenate(parts), np.concatenate(lengths)
             place = files.write(folder, f"part-{part:05d}-{k:05d}", ".arrow", file_bytes(ids, pa.concat_arrays(doc_ids), n))
             return pa.RecordBatch.from_pydict({"path": [place], "part": pa.array([part], pa.int32()), "part_start": [start], "n_ids": [len(ids)], "n_docs": [len(n)]})
 
         for batch in batches:
-            _, offsets = text_buffer(batch.column(1))
+            data, offsets = text_buffer(batch.column(1))
             for lo, hi in row_blocks(offsets):
-                ids, begins = encoder.encode([t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()])
-                held.append(ids)
+                ids, begins = encoder.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                parts.append(ids)
                 doc_ids.append(batch.column(0).slice(lo, hi - lo))
                 lengths.append(np.diff(begins))
-                if sum(map(len, held)) >= file_ids:
+                if sum(map(len, parts)) >= file_ids:
                     yield file()
-                    k, start, held, doc_ids, lengths = k + 1, start + sum(map(len, held)), [], [], []
-        if held:
+                    k, start, parts, doc_ids, lengths = k + 1, start + sum(map(len, parts)), [], [], []
+        if parts:
             yield file()
 
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
