@@ -56,10 +56,16 @@ DAILY_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 LAG_OFFSETS = [1, 3, 6, 12]
 
 
+# Means of cents over a power of two lie exactly on a tie at six places, and the
+# last bit of a sum, which depends on its order, would decide them. A nudge far
+# above that bit and far below the sixth place decides them in any engine.
+TIE_NUDGE = 1e-8
+
+
 def round6(c):
     """Round to 6 places as ``round(x * 1e6) / 1e6`` on the binary value, the
-    same arithmetic SQL engines use for DOUBLE, so ties round identically."""
-    return F.round(c * F.lit(1e6), 0) / F.lit(1e6)
+    same arithmetic SQL engines use for DOUBLE, ties upwards."""
+    return F.round((c + F.lit(TIE_NUDGE)) * F.lit(1e6), 0) / F.lit(1e6)
 
 
 def rounded(df: DataFrame) -> DataFrame:
