@@ -210,13 +210,13 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = public_token
     A column of that name is replaced. The vocabulary (bounded by its file) is
     built once and broadcast.
     """
-    shared = share(docs.sparkSession, Encoder(vocabulary(path), pattern))
+    shared = share(docs.sparkSession, vocabulary(path))
     kept = [c for c in docs.columns if c != out]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
     at = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = held(shared)
+        encoder = Encoder(held(shared), pattern)
         for batch in batches:
             lo = 0
             for texts in _texts(batch.column(at)):
@@ -251,10 +251,10 @@ def round_trip(docs: DataFrame, path: str | None = None, pattern: str = public_t
     Encodes, decodes the ids and digests both in one pass, so that neither ids
     nor bytes leave the task. Null text counts as empty, null doc_id stays null.
     """
-    shared = share(docs.sparkSession, Encoder(vocabulary(path), pattern))
+    shared = share(docs.sparkSession, vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = held(shared)
+        encoder = Encoder(held(shared), pattern)
         decimal, decimal_at = flatten([b"%d " % i for i in range(len(encoder.vocabulary.tokens))])
         for batch in batches:
             lo = 0

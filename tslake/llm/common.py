@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyspark
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,11 +37,14 @@ def share(spark: SparkSession, value) -> Broadcast:
 
 
 def held(shared: Broadcast):
-    """The shared value in a task; a worker process unpickles it once and keeps
-    it, with what it has learnt, for its later tasks."""
-    if not hasattr(shared, "held"):
-        shared.held = pickle.loads(shared.value)
-    return shared.held
+    """The shared value in a task. A worker process keeps the value of the last
+    broadcast it used, with what that has learnt, for its next tasks; the one
+    before is let go, so workers do not grow from query to query."""
+    kept = pyspark.__dict__.setdefault("_held", {})
+    if id(shared) not in kept:
+        kept.clear()
+        kept[id(shared)] = shared, pickle.loads(shared.value)
+    return kept[id(shared)][1]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -14,6 +14,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 from tslake.session import work_dir
+from tslake.sources import versioned
 
 
 def locate(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -38,14 +39,23 @@ def open_input(path: str):
     return system.open_input_file(place)
 
 
-def settled(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def settled(spark: SparkSession, df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read again, so that what
-    its tasks wrote is never written twice."""
+    its tasks wrote is never written twice. Its folder is added to ``made``."""
     path = work_dir(spark, name)
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, made: list[str]) -> None:
+    """Delete settled tables that nothing reads any more."""
+    for path in made:
+        versioned.delete(spark, path)
+    made.clear()
+
+
 def spread(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """The manifest's rows dealt out over tasks, a few files each."""
     return manifest.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))

@@ -165,12 +165,12 @@ def _near(a: str, b: str, percent: int) -> Column:
     return F.when(sizes, apart * (100 + percent) <= most).otherwise(False)
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, percent: int, words: int, name: str) -> DataFrame:
+def _linked(docs: DataFrame, pairs: DataFrame, percent: int, words: int, name: str, made: list[str]) -> DataFrame:
     """The pairs (a, b) whose sets link, by their exact intersection."""
     spark = docs.sparkSession
-    pairs = files.settled(spark, pairs, f"{name}-pairs")
+    pairs = files.settled(spark, pairs, f"{name}-pairs", made)
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    held = files.settled(spark, sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), words), f"{name}-sets")
+    held = files.settled(spark, sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), words), f"{name}-sets", made)
     left = held.select(F.col("doc_id").alias("a"), F.col("elements").alias("ea"))
     right = held.select(F.col("doc_id").alias("b"), F.col("elements").alias("eb"))
     same = F.size(F.array_intersect("ea", "eb"))
@@ -181,6 +181,7 @@ def _linked(docs: DataFrame, pairs: DataFrame, percent: int, words: int, name: s
 def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
     spark = docs.sparkSession
+    made: list[str] = []  # tables that only the way to the components needs
     known = files.settled(spark, features(docs, percent, words), "jaccard-features")
     copies = known.filter("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "k1", "k2").agg(F.min("doc_id").alias("rep"))
     copies = files.settled(spark, copies, "jaccard-copies")
@@ -188,7 +189,7 @@ def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
 
     signed = reps.select("rep", F.explode("signatures").alias("signature"))
     shared = signed.groupBy("signature").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).filter("leader < last").select("signature", "leader")
-    members = files.settled(spark, signed.join(shared, "signature"), "jaccard-members")
+    members = files.settled(spark, signed.join(shared, "signature"), "jaccard-members", made)
     traits = reps.select("rep", "n_shingles", "sketch")
 
     def trait(alias: str) -> DataFrame:
@@ -196,20 +197,21 @@ def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
 
     stars = members.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     stars = stars.join(trait("a"), "a").join(trait("b"), "b").filter(_near("ta", "tb", percent)).select("a", "b").distinct()
-    links = files.settled(spark, _linked(docs, stars, percent, words, "jaccard-stars"), "jaccard-links")
+    links = files.settled(spark, _linked(docs, stars, percent, words, "jaccard-stars", made), "jaccard-links", made)
     first = files.settled(spark, components(links), "jaccard-first")
 
     # members of a signature whose components still differ
     placed = members.join(first, members["rep"] == first["node"], "left").select("signature", "rep", F.coalesce("component", "rep").alias("component"))
     split = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("signature")
     placed = placed.join(split, "signature", "left_semi").join(trait("rep"), "rep")
-    placed = files.settled(spark, placed, "jaccard-placed")
+    placed = files.settled(spark, placed, "jaccard-placed", made)
     x, y = placed.alias("x"), placed.alias("y")
     across = x.join(y, (F.col("x.signature") == F.col("y.signature")) & (F.col("x.component") < F.col("y.component")) & _near("x.trep", "y.trep", percent))
     across = across.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    more = _linked(docs, across, percent, words, "jaccard-across")
+    more = _linked(docs, across, percent, words, "jaccard-across", made)
 
     whole = components(links.unionByName(more))
+    files.remove(spark, made)
     named = copies.join(whole, copies["rep"] == whole["node"], "left").select("n_shingles", "k1", "k2", F.coalesce("component", "rep").alias("component"))
     out = known.select("doc_id", "n_shingles", "k1", "k2").join(named, ["n_shingles", "k1", "k2"], "left")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

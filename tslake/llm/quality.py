@@ -137,15 +137,14 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         with_word = let(F.filter(lines, lambda line: line.rlike(r"[^\x20\x09-\x0D]")), lambda x: F.size(x) - F.size(F.array_distinct(x)))
         return F.struct(with_word.cast("long").alias("n_dup_lines"), cleaned.alias("cleaned"))
 
-    first = docs.withColumn(
-        "_quality",
-        F.struct(
-            let(words(body), by_words).alias("w"),
-            let(F.split(body, "\n"), by_lines).alias("l"),
-            visible(body).cast("long").alias("word_chars"),
-            count_of(body, SYMBOLS).cast("long").alias("n_symbols"),
-        ),
+    found = F.struct(
+        let(words(body), by_words).alias("w"),
+        let(F.split(body, "\n"), by_lines).alias("l"),
+        visible(body).cast("long").alias("word_chars"),
+        count_of(body, SYMBOLS).cast("long").alias("n_symbols"),
     )
+    # generated, so that a filter on the verdict does not evaluate all of it once more
+    first = docs.select(*[c for c in docs.columns if c != "_quality"], F.explode(F.array(found)).alias("_quality"))
     q = F.col("_quality")
     n_words, n_repeat = q["w"]["n_words"], q["w"]["n_repeat_words"]
     base_failed = (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)

@@ -165,10 +165,10 @@ def model(path: str | None = None) -> Unigram:
 def count(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """doc_id, n_pretokens, n_tokens of every whole text. The model (bounded by
     its file) is built once and broadcast."""
-    shared = share(docs.sparkSession, Counter(model(path), pattern))
+    shared = share(docs.sparkSession, model(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = held(shared)
+        counter = Counter(held(shared), pattern)
         for batch in batches:
             _, offsets = text_buffer(batch.column(1))
             for lo, hi in row_blocks(offsets):
