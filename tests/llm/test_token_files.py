@@ -37,6 +37,20 @@ def test_round_trip(spark):
     assert {r.doc_id: tuple(r)[1:] for r in got} == want and len(got) == len(rows)
 
 
+def test_added_tokens_in_texts(spark):
+    """Added tokens that a text spells out, by the library as it is."""
+    rng = random.Random(9)
+    a, b = "<|startoftext|>", "<|endoftext|>"
+    values = ["hello <|endoftext|> world", a, b + b, f"{a}x{b}", f"{a} x {b}", "<|ENDOFTEXT|> é<|endoftext|>́x", f"ab{b}'s {b}!! a.{b}..", "<|endof", "text|> y", None, "", f"end{b}", f"{b}begin", "plain"]
+    values += ["".join(rng.choice([a, b, "<|EndOfText|>", "<|", "|>", "a", "B c", " ", "\n", "'s", "!", "é", "́", "x."]) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    t = Tokenizer.from_file(public_tokenizers.path(token_files.TOKENIZER))
+    want = {i: e.ids + [2] for i, e in enumerate(t.encode_batch([v or "" for v in values], add_special_tokens=False))}
+    assert want[0] == [3306, 49407, 1002, 2]
+    got = sorted(token_files.round_trip(spark.createDataFrame([(i, v, "") for i, v in enumerate(values)], SCHEMA)).collect())
+    starts = np.cumsum([0] + [len(x) for x in want.values()])
+    assert [tuple(r) for r in got] == [(i, int(starts[i]), len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in want.items()]
+
+
 def test_nulls_and_repeats(spark):
     rows = [(None, "b", ""), (None, "a a", ""), (1, "x", ""), (1, "x", ""), (0, None, "")]
     got = sorted(token_files.round_trip(spark.createDataFrame(rows, SCHEMA)).collect(), key=lambda r: r.start)

@@ -79,8 +79,9 @@ class Encoder:
     """The library's ids of whole texts.
 
     The tokenizer treats separately what stands between blanks or line ends (and
-    a last run of punctuation there), and letters' case is lost. So each
-    distinct such piece, known by its length and a 64-bit hash of its
+    a last run of punctuation there), and letters' case is lost. Added tokens
+    that a text spells out get their ids and part it, as in the library. So each
+    distinct piece of what is left, known by its length and a 64-bit hash of its
     lower-cased bytes, goes to the library once while the pool of pieces holds
     it. Pieces of plain letters go, many in one text, to a copy of the tokenizer
     that splits at blanks and lacks the steps that would not alter them; a token
@@ -92,7 +93,13 @@ class Encoder:
         self.full, self.plain = Tokenizer.from_str(definition), Tokenizer.from_str(definition)
         self.plain.normalizer = None
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        # pieces hold added tokens only as lower-cased look-alikes
         self.full.encode_special_tokens = self.plain.encode_special_tokens = True
+        added = self.full.get_added_tokens_decoder()
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
+            raise ValueError("an added token that does more than stand for itself")
+        self.added = {t.content.encode(): i for i, t in added.items()}
+        self.find_added = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or b"(?!)").finditer
         suffix, known = self.plain.model.end_of_word_suffix, self.plain.get_vocab()
         self.ends_word = np.zeros(max(known.values()) + 1, bool)
         self.ends_word[[i for token, i in known.items() if token.endswith(suffix)]] = True
@@ -135,8 +142,34 @@ class Encoder:
         place = np.searchsorted(self.known, added)
         self.known, self.rows = np.insert(self.known, place, added), np.insert(self.rows, place, rows[order])
 
+    def _cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes without added tokens, where in them a text or what follows
+        such a token begins, the id that comes before each of these places, and
+        which of them are the texts'."""
+        found = np.array([(m.start(), m.end(), self.added[m.group()]) for m in self.find_added(data.tobytes())], np.int64).reshape(-1, 3)
+        # what two texts spell together is no token
+        found = found[np.searchsorted(offsets, found[:, 0], "right") == np.searchsorted(offsets, found[:, 1], "left")]
+        if not len(found):
+            return data, offsets, np.full(len(offsets), END, ID), np.arange(len(offsets))
+        begin, end, token = found.T
+        change = np.zeros(len(data) + 1, np.int64)
+        change[begin] += 1
+        change[end] -= 1
+        gone = np.cumsum(change[:-1]) > 0
+        before = np.concatenate([[0], np.cumsum(gone)])
+        places = np.concatenate([offsets, begin])
+        order = np.argsort(places, kind="stable")  # a text begins before a token at its first byte
+        values = np.concatenate([np.full(len(offsets), END), token]).astype(ID)
+        return data[~gone], (places - before[places])[order], values[order], np.flatnonzero(order < len(offsets))
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, each ended by END, and where each text's begin."""
+        data, places, before, texts = self._cut(data, offsets)
+        ids, at = self._pooled(data, places)
+        return np.insert(ids, at[1:], before[1:]), (at + np.arange(len(at)))[texts]
+
+    def _pooled(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without added tokens, and where each text's begin."""
         if len(self.known) > self.pool_limit:
             self.clear()
         hashes, starts, ends, begins = word_spans(data, offsets, _PIECE, mark_runs(data, offsets))
@@ -151,8 +184,7 @@ class Encoder:
             place = np.searchsorted(self.known, distinct)
         rows = self.rows[place][which] if len(distinct) else which
         ids, at = ragged(self.flat, self.offsets, rows)
-        at = at[begins]
-        return np.insert(ids, at[1:], END), at + np.arange(len(at))
+        return ids, at[begins]
 
 
 # ----------------------------------------------------------------- file format
