@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 from helpers import docs_frame, same_rows
 
@@ -46,6 +47,16 @@ def test_nulls_repeats_and_empty(spark):
     assert jaccard.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_repeated_ids_with_different_texts(spark):
+    """A doc_id links by all its rows, also where it is the smallest of no set."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a), (9, a), (7, b), (9, b), (7, None), (8, c), (6, c), (8, ""), (4, "x y"), (8, "x y"), (10, None), (10, "z"), (None, b), (11, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    arrow = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())})
+    same_rows(jaccard.join(df), jaccard.SQL, documents=arrow)
+    assert {r.doc_id: r.component_id for r in jaccard.join(df).collect()} == {5: 5, 9: 5, 7: 5, 8: 4, 6: 4, 4: 4, 10: 10, None: None, 11: 11}
+
+
 def test_linked_sets_share_a_signature():
     """The guarantee, at the limit of the budget, for many sizes."""
     rng = np.random.default_rng(4)

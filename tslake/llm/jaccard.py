@@ -10,7 +10,8 @@ signatures of two similar sets is equal. Candidates are thinned by the parity
 sketch, whose Hamming distance never exceeds that of the sets, and checked
 exactly on the sets.
 
-Copies of one set are joined first and represented by their smallest doc_id.
+Copies of one set are joined first and represented by their smallest doc_id; a
+doc_id whose rows have different sets is linked with the representative of each.
 Then the representatives sharing a signature are linked to the smallest of them
 (a star, no pairs within the group), and in a second round members of a
 signature whose components are still different are compared across components.
@@ -178,6 +179,13 @@ def _linked(docs: DataFrame, pairs: DataFrame, percent: int, words: int, name: s
     return joined.filter(100 * F.col("same") >= percent * (F.size("ea") + F.size("eb") - F.col("same"))).select("a", "b").distinct()
 
 
+def _several(known: DataFrame) -> DataFrame:
+    """The doc_ids whose rows have different sets."""
+    key = ("n_shingles", "k1", "k2")
+    ends = known.filter("doc_id is not null").groupBy("doc_id").agg(*[f(c).alias(f"{n}_{c}") for c in key for n, f in (("low", F.min), ("high", F.max))])
+    return ends.filter(" or ".join(f"low_{c} < high_{c}" for c in key)).select("doc_id")
+
+
 def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
     spark = docs.sparkSession
@@ -210,11 +218,17 @@ def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
     across = across.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
     more = _linked(docs, across, percent, words, "jaccard-across", made)
 
-    whole = components(links.unionByName(more))
+    several = files.settled(spark, _several(known), "jaccard-several")
+    own = known.join(several, "doc_id", "left_semi").select("doc_id", "n_shingles", "k1", "k2").distinct()
+    own = own.join(copies, ["n_shingles", "k1", "k2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    whole = files.settled(spark, components(links.unionByName(more).unionByName(own)), "jaccard-whole")
     files.remove(spark, made)
     named = copies.join(whole, copies["rep"] == whole["node"], "left").select("n_shingles", "k1", "k2", F.coalesce("component", "rep").alias("component"))
     out = known.select("doc_id", "n_shingles", "k1", "k2").join(named, ["n_shingles", "k1", "k2"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    # a row without words has the component of its doc_id's other rows
+    whole = whole.join(several, whole["node"] == several["doc_id"], "left_semi").select(F.col("node").alias("doc_id"), F.col("component").alias("by_id"))
+    out = out.join(whole, "doc_id", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "by_id", "doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
