@@ -95,6 +95,39 @@ def test_made_documents(spark, tmp_path):
     assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect()), key=repr) == want
 
 
+def shingles(text, words):
+    found = (text or "").lower().split()
+    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))} if found else set()
+
+
+def test_near_duplicates_of_five_words(spark):
+    """The join stage against all pairs at five words and 80 %."""
+    rng = random.Random(3)
+    rows = []
+    for n in (12, 30, 60, 100, 250, 600, 1500):
+        base = [f"w{rng.randint(0, 5000)}" for _ in range(n)]
+        rows.append(" ".join(base))
+        for share in (0.05, 0.11, 0.15, 0.2, 0.24, 0.3):  # a paragraph more
+            rows.append(" ".join(base + [f"n{rng.random()}" for _ in range(int(n * share))]))
+        for share in (0.01, 0.019, 0.021, 0.03):  # changed words
+            rows.append(" ".join("new" if rng.random() < share else w for w in base))
+    rng.shuffle(rows)
+    sets = [shingles(t, 5) for t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    df = spark.createDataFrame([(i, t, "en", "src", len(t)) for i, t in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(r.doc_id for r in corpus_pipeline.ngram_jaccard_join(spark, df, "").collect())
+    assert got == sorted({find(i) for i in range(len(rows))})
+
+
 def test_given_documents(spark):
     check_stages(spark, SF)
 

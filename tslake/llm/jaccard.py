@@ -63,10 +63,11 @@ def bands(largest: int, percent: int = PERCENT) -> np.ndarray:
 def parts(end: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """(n1, n2) of instances by their band's upper end; n1 is 0 where only equal sets link.
 
-    Small sets get more pieces, so that a signature still covers enough shingles.
+    Small sets get more pieces, so that a signature still covers enough shingles,
+    and so do large ones below 85 %, whose parts are half as large as at 90 %.
     """
     k = budget(2 * end, percent)
-    return np.where(k > 0, (k + 2) // 2, 0), np.where(end < 60, 4, np.where(end < 200, 3, 2))
+    return np.where(k > 0, (k + 2) // 2, 0), np.where(end < 60, 4, np.where((end < 200) | (percent < 85), 3, 2))
 
 
 def sets_of(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
