@@ -25,6 +25,21 @@ def test_blocks():
     assert page[0].path == ("div", ".side", ".bar", ".x", "p") and page[0].tag == "p" and page[0].linked == 4
 
 
+def test_blocks_of_loose_markup():
+    """Markup that browsers read keeps its text."""
+    assert texts("<p>one <a title='it's'>two</a> three don't four</p><p>five</p>") == ["one two three don't four", "five"]
+    assert texts("<p class=x'>one</p><p x = 'a>b' y>two</p><p z=a\"b/c>three</p><p a='b>four</p>") == ["one", "two", "three", "four"]
+    assert texts("<head><title>t</title><p>article<p>more") == ["article", "more"]
+    assert texts("<html><head><meta x><script>'<p>'</script><title>t</title>article <b>x</b>") == ["article x"]
+    for name in ("button", "canvas", "object", "svg", "select", "template", "datalist"):
+        page = f"<div><p>a</p><{name}><g>in</g></div><p>rest</p><ul><li>b <{name}>in<li>c</ul><p>end"
+        assert texts(page) == ["a", "rest", "b", "c", "end"], name
+        assert texts(f"<div>a<{name}><section>no</section><style>x</div></style>no</{name}>b</div>c") == ["ab", "c"] or name == "svg"
+    assert texts("<body><svg><path d='M0'><p>text</p><svg><title>t</title><svg></svg>no</svg>more") == ["text", "more"]
+    assert texts("<p>go <button>a<button>b</button> on</p>") == ["go on"]
+    assert texts("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p></article>") == ["so x=1 holds"]
+
+
 def test_held_out_made_pages():
     pages, labels = he.marked(labelled_pages(300, 4242))
     got = he.labeller().label(pages)

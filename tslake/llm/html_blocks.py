@@ -3,7 +3,8 @@
 A block is the text between two block-level tags. White space inside it (a
 ``br`` counts as some) becomes one space, character references are decoded,
 the ends are trimmed; blocks without text vanish. What is never text of the page
-(scripts, styles, forms' controls, the head, comments) is left out here.
+(scripts, styles, forms' controls, titles, comments) is left out here. A head
+needs no end: what may stand in it has no text, all else is the body's.
 """
 
 from __future__ import annotations
@@ -17,17 +18,27 @@ BLOCK = frozenset(
     footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table
     tbody td tfoot th thead tr ul""".split()
 )
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+VOID = frozenset("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page.
-SILENT = frozenset("button canvas datalist head iframe math noscript object option script select style svg template textarea title".split())
+SILENT = frozenset("button canvas datalist iframe noframes noscript object option script select style svg template textarea title".split())
 #: Among them, elements whose content is not markup.
-RAW = frozenset("iframe noscript script style textarea title".split())
+RAW = frozenset("iframe noframes noscript script style textarea title".split())
+#: Among them, elements that do not hold one of their own kind.
+_FLAT = frozenset("button option select".split())
+#: Elements that cannot stand in svg and end it.
+_NOT_SVG = frozenset(
+    """b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 hr i img li menu meta ol p pre ruby s
+    small span strong strike sub sup table tt u ul var""".split()
+)
+#: Elements of svg that hold markup of pages.
+_IN_SVG = frozenset("desc foreignobject title".split())
 #: Open elements that the start of another one ends.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 #: Elements that such an end does not cross.
 _FENCE = frozenset("article aside body div footer form header main nav ol section table ul dl blockquote".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# a quote counts right after '=' alone, and where another one ends it
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]*+))?+)*+)>", re.S)
 _CLASS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile("[a-z]+").findall
 _SPACE = re.compile(r"\s+")
@@ -45,6 +56,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
+    inner: list[str] = []  # open elements inside the silent one
     linked, links, silent, at, n = 0, 0, "", 0, len(page)
 
     def flush() -> None:
@@ -67,6 +79,14 @@ def blocks(page: str) -> list[Block]:
         links -= sum(t == "a" for t, _ in stack[index:])
         del stack[index:]
 
+    def ends_parent(name: str) -> bool:
+        """Whether the start of an element ends the block that a silent one stands in."""
+        ends = _ENDS.get(name, ())
+        if name not in BLOCK or not ends or not _FENCE.isdisjoint(inner):
+            return False
+        open_ = next((t for t, _ in reversed(stack) if t in ends or t in _FENCE), "")
+        return open_ in ends
+
     while at < n:
         found = _TOKEN.search(page, at)
         text = page[at : found.start() if found else n]
@@ -83,9 +103,15 @@ def blocks(page: str) -> list[Block]:
         name = name.lower()
         if ending:
             if silent:
+                if name in inner:
+                    del inner[len(inner) - 1 - inner[::-1].index(name) :]
+                    continue
                 if name == silent:
                     silent = ""
-                continue
+                    continue
+                if name not in BLOCK or all(t != name for t, _ in stack):
+                    continue
+                silent = ""  # never closed: it ends with the block it stands in
             index = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
             if index >= 0:
                 close(index)
@@ -93,15 +119,24 @@ def blocks(page: str) -> list[Block]:
                 flush()
             continue
         if silent:
-            if silent != "head" or name != "body":
+            breaks_out = silent == "svg" and name in _NOT_SVG and _IN_SVG.isdisjoint(inner)
+            if not breaks_out and not ends_parent(name):
+                if name in RAW and not attributes.endswith("/"):
+                    end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+                    at = end.end() if end else at
+                elif name not in VOID and not attributes.endswith("/") and not (name == silent and name in _FLAT):
+                    inner.append(name)
                 continue
-            silent = ""  # a head that was never closed
+            silent = ""
+        if name == "head":
+            continue
         if name in SILENT:
             if name in RAW:
                 end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else n
             elif not attributes.endswith("/"):
                 silent = name
+                inner.clear()
             continue
         if name == "br":
             parts.append(" ")
