@@ -5,7 +5,7 @@ import pytest
 from tslake.plans.oracle import SQL
 from tslake.plans.registry import QUERIES
 
-from conftest import SF01
+from testdata_paths import SF01
 from oracle_compare import compare, duck
 
 

@@ -16,7 +16,7 @@ from tslake.sources import tables, versioned
 from tslake.sources.catalog import catalog_frame
 from tslake.sources.silver import read_silver
 
-from conftest import SF001
+from testdata_paths import SF001
 
 D = dt.date
 
