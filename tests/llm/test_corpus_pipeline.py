@@ -14,6 +14,7 @@ import corpus_pipeline
 from tslake.llm import bpe, decontaminate, jaccard, languages, quality
 
 SF = "/root/testdata/sf0.001"
+NEAR_SQL = jaccard.sql(corpus_pipeline.NEAR_PERCENT, corpus_pipeline.NEAR_WORDS)
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -69,7 +70,7 @@ def check_stages(spark, folder):
             found = {(r.doc_id, r.text): r for r in languages.predict(docs, languages.learn(docs)).collect()}
             assert ids == sorted(repr(d) for d, t in zip(before["doc_id"].to_pylist(), before["text"].to_pylist()) if found[d, t].lang_pred != "und" and found[d, t].score >= languages.MIN_SCORE)
         if name == "ngram_jaccard_join":
-            want = {r[0] for r in duck(f"SELECT component_id FROM ({jaccard.SQL}) WHERE doc_id IS NOT NULL", documents=before)}
+            want = {r[0] for r in duck(f"SELECT component_id FROM ({NEAR_SQL}) WHERE doc_id IS NOT NULL", documents=before)}
             assert ids == sorted([repr(d) for d in want] + ["None"] * before["doc_id"].null_count)
             rows = {tuple(r.values()) for r in before.to_pylist()}
             assert all(tuple(r.values()) in rows for r in after.to_pylist())
@@ -139,7 +140,7 @@ def test_empty(spark, tmp_path):
 
 def test_all_queries_are_registered():
     names = sorted(int(n[2:].split("_")[0]) for n in corpus_pipeline.LLM_QUERIES if n != "pipeline")
-    assert names == list(range(1, 11)) and "pipeline" in corpus_pipeline.LLM_QUERIES
+    assert names == list(range(1, 14)) and "pipeline" in corpus_pipeline.LLM_QUERIES
     assert set(corpus_pipeline.LLM_SQL) <= set(corpus_pipeline.LLM_QUERIES)
 
 

@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from helpers import docs_frame, same_rows
 
 from tslake.llm import decontaminate as dc
+from tslake.llm.common import shingle_hashes, text_buffer
 
 
 def corpus(seed=2):
@@ -62,3 +64,24 @@ def test_table(spark):
     got = dc.pairs(spark.read.parquet(path % "documents"), spark.read.parquet(path % "benchmark"))
     same_rows(got, dc.SQL, documents=pq.read_table(path % "documents"), benchmark=pq.read_table(path % "benchmark"))
     assert got.count() > 0
+
+
+def test_shingles_of_one_hash(monkeypatch):
+    """Shingles are told apart by their text, whatever their hashes."""
+    texts = ["a b c d e f g", "h i j k l m n", "a b c d e f g x y z h i j k l m n", "other words than those of any item"]
+
+    def found():
+        data, offsets = text_buffer(pa.array(texts))
+        return dc.Index([dc.Item(i, t) for i, t in enumerate(texts[:2])]).search(data, offsets)
+
+    want = found()
+    assert want == [(0, 0, 3), (1, 1, 3), (2, 0, 3), (2, 1, 3)]
+    monkeypatch.setattr(dc, "shingle_hashes", lambda *a: (lambda h, at: (h % np.uint64(2), at))(*shingle_hashes(*a)))
+    assert sorted(found()) == want
+
+
+def test_structured_words(spark):
+    x, y = ("".join("xy"[(i.bit_count() + swap) % 2] for i in range(1024)) for swap in (0, 1))
+    docs = spark.createDataFrame([(1, f"{x} end"), (2, f"{y} end"), (3, "end")], "doc_id long, text string")
+    items = spark.createDataFrame([(8, f"{x} end"), (9, f"{y} end")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in dc.pairs(docs, items).collect()) == [(1, 8), (2, 9)]

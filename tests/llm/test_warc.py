@@ -1,4 +1,5 @@
 import os
+import uuid
 
 import pyarrow as pa
 import pytest
@@ -57,7 +58,7 @@ def archive(payload=b"payload " * 40):
 
     d = warc.fit_dictionary([])
     w = zstandard.ZstdCompressor(dict_data=warc.load_dictionary(d))
-    one = warc.record(1, "u", payload, hashlib.sha256(payload).hexdigest(), None, "r")
+    one = warc.record(1, "u", payload, hashlib.sha256(payload).hexdigest(), None, uuid.UUID(int=1))
     return d, w, one
 
 
@@ -91,3 +92,34 @@ def test_frames_of_any_shape_end_where_they_end():
                 data = os.urandom(size // 2) + b"a" * (size - size // 2)
                 f = zstandard.ZstdCompressor(write_checksum=checksum, write_content_size=known).compress(data)
                 assert warc.frame_end(memoryview(f + b"tail"), 0) == len(f)
+
+
+def test_revisits_name_their_response(spark, tmp_path):
+    """Ids and target of a revisit are those of the response's own record, and no two runs share one."""
+    def heads(folder):
+        manifest = warc.write(spark.createDataFrame(ROWS, "page_id long, url string, html string, digest int"), str(folder))
+        out = []
+        for row in manifest.collect():
+            with open(row.path, "rb") as f:
+                out += list(records(f.read()))
+        return out
+
+    def records(data):
+        import zstandard
+
+        size = int.from_bytes(data[4:8], "little")
+        reader = zstandard.ZstdDecompressor(dict_data=warc.load_dictionary(data[8 : 8 + size]))
+        at = 8 + size
+        while at < len(data):
+            end = warc.frame_end(memoryview(data), at)
+            head = reader.decompress(data[at:end]).partition(b"\r\n\r\n")[0].decode()
+            yield dict(line.split(": ", 1) for line in head.split("\r\n")[1:])
+            at = end
+
+    first, second = heads(tmp_path / "a"), heads(tmp_path / "b")
+    ids = {r["X-Page-ID"]: r for r in first if r["WARC-Type"] == "response" and "X-Page-ID" in r}
+    again = [r for r in first if r["WARC-Type"] == "revisit"]
+    assert len(again) == 3
+    for r in again:
+        assert r["WARC-Refers-To"] == ids["3"]["WARC-Record-ID"] and r["WARC-Refers-To-Target-URI"] == "http://b"
+    assert not {r["WARC-Record-ID"] for r in first} & {r["WARC-Record-ID"] for r in second}

@@ -91,8 +91,10 @@ def row_blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[
 
 # ----------------------------------------------------------------- word hashes
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
+_STEP, _LENGTH = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Masks of the last block's first 0 to 8 bytes.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -102,15 +104,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values(lower: bool) -> np.ndarray:
-    values = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
-    if lower:
-        values[0x41:0x5B] = values[0x61:0x7B]
-    return values
-
-
-_VALUES = _byte_values(lower=True)
-
 #: Words between white space: [^\x20\x09-\x0D]+
 SPACED = np.ones(256, bool)
 SPACED[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -118,16 +111,45 @@ SPACED[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[0x30:0x3A] = ALNUM[0x41:0x5B] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+def lowered(data: np.ndarray) -> bytes:
+    """The bytes with A-Z lower-cased, and eight zero bytes behind them."""
+    return data.tobytes().translate(LOWER_BYTES) + bytes(8)
+
+
+def _blocks(lower: bytes, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words' bytes, eight to a block and the last one padded with zeros;
+    how many blocks each word has and where its blocks begin."""
+    eight = np.ndarray((len(lower) - 7,), "<u8", lower, 0, (1,))  # the eight bytes from every place on
+    counts = (lengths + 7) >> 3
+    first = np.cumsum(counts) - counts
+    blocks = eight[np.repeat(starts - 8 * first, counts) + 8 * np.arange(counts.sum())]
+    blocks[first + counts - 1] &= _MASKS[lengths - 8 * (counts - 1)]
+    return blocks, counts, first
+
+
+def hash_spans(lower: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of non-empty byte strings of ``lowered`` data. Every block
+    of eight bytes is mixed with its place before the blocks are added up."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = ends - starts
+    blocks, counts, first = _blocks(lower, starts, lengths)
+    place = (np.arange(len(blocks)) - np.repeat(first, counts)).astype(np.uint64)
+    mixed = mix64(mix64(blocks + _STEP) + place * _STEP)
+    return mix64(np.add.reduceat(mixed, first) + lengths.astype(np.uint64) * _LENGTH)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(SEGMENT_BYTES, 1 << int(n).bit_length())
-    if size not in _POWERS:
-        _POWERS[size] = tuple(
-            np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size, b, np.uint64)])) for b in (_BASE, _BASE_INVERSE)
-        )
-    return _POWERS[size]
+def equal_spans(lower: bytes, starts: np.ndarray, ends: np.ndarray, other: bytes, other_starts: np.ndarray, other_ends: np.ndarray) -> np.ndarray:
+    """Whether non-empty byte strings, taken pair by pair, have the same bytes."""
+    lengths = ends - starts
+    same = lengths == other_ends - other_starts
+    at = np.flatnonzero(same)
+    if len(at):
+        mine, _, first = _blocks(lower, starts[at], lengths[at])
+        theirs, _, _ = _blocks(other, other_starts[at], lengths[at])
+        same[at] = np.logical_and.reduceat(mine == theirs, first)
+    return same
 
 
 def _segment_words(data: np.ndarray, breaks: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -140,9 +162,7 @@ def _segment_words(data: np.ndarray, breaks: np.ndarray, kind: np.ndarray) -> tu
     first[inner] = word[inner]
     last[inner - 1] = word[inner - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    power, inverse = _powers(len(data))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[data] * power[: len(data)], dtype=np.uint64)])
-    return starts, ends, mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return starts, ends, hash_spans(lowered(data), starts, ends)
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -207,6 +227,6 @@ def shingle_hashes(hashes: np.ndarray, begins: np.ndarray, size: int) -> tuple[n
     for t in np.flatnonzero((counts > 0) & (counts < size)):
         h = np.uint64(counts[t])
         for w in hashes[begins[t] : begins[t + 1]]:
-            h = mix64(np.array([h ^ w], np.uint64) * _BASE)[0]
+            h = mix64(np.array([h ^ w], np.uint64) * _STEP)[0]
         out[out_begins[t]] = h
     return out, out_begins

@@ -3,7 +3,8 @@
 An item (a benchmark text) stands in a document when the document holds
 ``PERCENT`` of the item's distinct shingles of ``WORDS`` words or more. Shingles
 that no item has cannot matter to containment, so every document is first
-reduced to the shingles that some item has, compared as text: then a short item
+reduced to the shingles that some item has, compared as text (each distinct text
+has a number of its own, also where two have one hash): then a short item
 and a long document that holds it are about the same size, and MinHash can find
 one with the other.
 
@@ -82,19 +83,23 @@ class Index:
 
     def __init__(self, items: list[Item], percent: int = PERCENT):
         self.items, self.percent = items, percent
-        self.text_of: dict[int, dict[int, bytes]] = defaultdict(dict)
+        #: by shingle length: hash -> {shingle: its number}; a number is one text, whatever its hash
+        self.text_of: dict[int, dict[int, dict[bytes, int]]] = defaultdict(dict)
         self.sets: list[np.ndarray] = []
-        self.by_shingle: dict[tuple[int, int], list[int]] = defaultdict(list)
+        self.by_shingle: dict[int, list[int]] = defaultdict(list)
         self.by_minimum: dict[tuple[int, int, int], list[int]] = defaultdict(list)
         self.classes = set()
+        n = 0
         for i, item in enumerate(items):
-            found = _hashes(sorted(item.shingles), item.size)
-            for h, text in found.items():
-                if self.text_of[item.size].setdefault(h, text) != text:
-                    raise ValueError("two benchmark shingles have one hash")
-                self.by_shingle[item.size, h].append(i)
-            self.sets.append(np.array(sorted(found), np.uint64))
-            item_class = len(found).bit_length() - 1
+            numbers = []
+            shingles = sorted(item.shingles)
+            for h, text in zip(_hashes(shingles, item.size), shingles):
+                alike = self.text_of[item.size].setdefault(h, {})
+                n += text not in alike
+                numbers.append(alike.setdefault(text, n))
+                self.by_shingle[numbers[-1]].append(i)
+            self.sets.append(np.array(sorted(numbers), np.uint64))
+            item_class = len(numbers).bit_length() - 1
             self.classes.add((item.size, item_class))
             for k, value in enumerate(minima(self.sets[i]).tolist()):
                 self.by_minimum[item.size, item_class, k << 64 | value].append(i)
@@ -121,15 +126,18 @@ class Index:
             near, text = near[long_enough], text[long_enough]
             word = begins[text] + near - at[text]
             texts = self.text_of[size]
-            ok = [
-                b" ".join(words_of(data[a:b].tobytes())) == texts[h]
-                for a, b, h in zip(starts[word].tolist(), ends[word + size - 1].tolist(), windows[near].tolist())
-            ]
-            near, text = near[ok], text[ok]
+            number = np.array(
+                [
+                    texts[h].get(b" ".join(words_of(data[a:b].tobytes())), 0)
+                    for a, b, h in zip(starts[word].tolist(), ends[word + size - 1].tolist(), windows[near].tolist())
+                ],
+                np.uint64,
+            )
+            number, text = number[number > 0], text[number > 0]
             cuts = np.flatnonzero(np.diff(text)) + 1
-            for rows, owner in zip(np.split(near, cuts), np.split(text, cuts)):
+            for rows, owner in zip(np.split(number, cuts), np.split(text, cuts)):
                 if len(rows):
-                    yield int(owner[0]), size, np.unique(windows[rows])
+                    yield int(owner[0]), size, np.unique(rows)
 
     def _candidates(self, size: int, held: np.ndarray) -> set[int]:
         doc_class, least, found = len(held).bit_length() - 1, None, set()
@@ -138,7 +146,7 @@ class Index:
                 continue  # the document holds too few shingles for the smallest item of the class
             needed = minima_needed(item_class, doc_class, self.percent)
             if needed > HASHES:
-                found.update(i for h in held.tolist() for i in self.by_shingle.get((size, h), ()) if len(self.sets[i]).bit_length() - 1 == item_class)
+                found.update(i for h in held.tolist() for i in self.by_shingle.get(h, ()) if len(self.sets[i]).bit_length() - 1 == item_class)
                 continue
             least = minima(held).tolist() if least is None else least
             for k in range(needed):
@@ -156,12 +164,11 @@ class Index:
         return out
 
 
-def _hashes(shingles: list[bytes], size: int) -> dict[int, bytes]:
+def _hashes(shingles: list[bytes], size: int) -> list[int]:
     data = np.frombuffer(b"".join(shingles), np.uint8)
     offsets = np.cumsum([0, *map(len, shingles)])
     hashes, _, _, begins = word_spans(data, offsets, ALNUM)
-    windows, _ = shingle_hashes(hashes, begins, size)
-    return dict(zip(windows.tolist(), shingles))
+    return shingle_hashes(hashes, begins, size)[0].tolist()
 
 
 def blocks(benchmark: DataFrame) -> Iterator[list[Item]]:

@@ -7,8 +7,8 @@ length; record batches hold ``BATCH`` sequences as fixed-size lists, so sequence
 sequence is padded (mask false). A document never spans files; each file's
 schema metadata lists its documents and their lengths.
 
-Documents are dealt out by ranges of doc_id (then of the text's hash, which
-spreads a doc_id that many rows share); a partition's first id is the sum of the
+Documents are dealt out by ranges of doc_id (then of the text's hash and the
+row's number, which spread a doc_id that many rows share); a partition's first id is the sum of the
 partitions before it, of which one number each comes to the driver.
 
 Defined results: null text counts as empty and still gets the end id; a null
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from tslake.llm import files
-from tslake.llm.common import held, row_blocks, share, text_buffer, word_spans
+from tslake.llm.common import equal_spans, held, lowered, row_blocks, share, text_buffer, word_spans
 from tslake.llm.pretokens import ragged
 from tslake.session import work_dir
 
@@ -56,7 +56,6 @@ _LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
 _MARK[0x21:0x30] = _MARK[0x3A:0x41] = _MARK[0x5B:0x61] = _MARK[0x7B:0x7F] = True
 _MARK[0x27] = False
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Pieces that normaliser and pre-tokeniser leave as they are.
 _PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
 
@@ -81,9 +80,9 @@ class Encoder:
     The tokenizer treats separately what stands between blanks or line ends (and
     a last run of punctuation there), and letters' case is lost. Added tokens
     that a text spells out get their ids and part it, as in the library. So each
-    distinct piece of what is left, known by its length and a 64-bit hash of its
-    lower-cased bytes, goes to the library once while the pool of pieces holds
-    it. Pieces of plain letters go, many in one text, to a copy of the tokenizer
+    distinct piece of what is left, found by a 64-bit hash of its lower-cased
+    bytes and then compared with them, goes to the library once while the pool
+    of pieces holds it. Pieces of plain letters go, many in one text, to a copy of the tokenizer
     that splits at blanks and lacks the steps that would not alter them; a token
     with the vocabulary's word-end suffix ends each of them.
     """
@@ -111,13 +110,15 @@ class Encoder:
     def clear(self) -> None:
         self.known, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.offsets = np.zeros(0, ID), np.zeros(1, np.int64)
+        self.texts, self.ends = b"", np.zeros(1, np.int64)  # the pooled pieces, by row
 
     def _encode(self, tokenizer: Tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [np.array(e.ids, ID) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.concatenate(found), np.array([len(x) for x in found])
 
-    def _add(self, hashes: np.ndarray, pieces: list[str]) -> None:
+    def _add(self, hashes: np.ndarray, found: list[bytes]) -> None:
         """Encode new pieces and put them into the pool."""
+        pieces = [p.decode() for p in found]
         plain, other = [], []
         for i, piece in enumerate(pieces):
             (plain if _PLAIN(piece) else other).append(i)
@@ -137,6 +138,9 @@ class Encoder:
         self.flat = np.concatenate(flats)
         rows = np.arange(len(pieces)) + len(self.offsets) - 1
         self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.concatenate(lengths))])
+        kept = [found[i] for i in plain + other]
+        self.texts += b"".join(kept)
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(p) for p in kept])])
         order = np.argsort(hashes[plain + other])
         added = hashes[plain + other][order]
         place = np.searchsorted(self.known, added)
@@ -173,17 +177,26 @@ class Encoder:
         if len(self.known) > self.pool_limit:
             self.clear()
         hashes, starts, ends, begins = word_spans(data, offsets, _PIECE, mark_runs(data, offsets))
+        if not len(hashes):
+            return np.zeros(0, ID), begins
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         place = np.searchsorted(self.known, distinct)
         new = np.ones(len(distinct), bool)
         if len(self.known):
             new = self.known[np.minimum(place, len(self.known) - 1)] != distinct
+        lower = lowered(data)
         if new.any():
-            lower = data.tobytes().translate(_LOWER)
-            self._add(distinct[new], [lower[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            self._add(distinct[new], [lower[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
             place = np.searchsorted(self.known, distinct)
-        rows = self.rows[place][which] if len(distinct) else which
-        ids, at = ragged(self.flat, self.offsets, rows)
+        rows = self.rows[place][which]
+        # a hash only proposes a pooled piece; its bytes decide
+        odd = np.flatnonzero(~equal_spans(lower, starts, ends, self.texts + bytes(8), self.ends[rows], self.ends[rows + 1]))
+        if not len(odd):
+            ids, at = ragged(self.flat, self.offsets, rows)
+            return ids, at[begins]
+        more, n = self._encode(self.full, [lower[a:b].decode() for a, b in zip(starts[odd].tolist(), ends[odd].tolist())])
+        rows[odd] = len(self.offsets) - 1 + np.arange(len(odd))
+        ids, at = ragged(np.concatenate([self.flat, more]), np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(n)]), rows)
         return ids, at[begins]
 
 
@@ -214,7 +227,8 @@ def file_bytes(ids: np.ndarray, doc_ids: pa.Array, lengths: np.ndarray, sequence
 
 
 class TokenFile:
-    """Random access to a file's sequences; maps or holds its buffer without copying."""
+    """Random access to a file's sequences. Ids and masks are views of the mapped
+    (or held) file; only the batch that is asked for is touched."""
 
     def __init__(self, source):
         self.reader = pa.ipc.open_file(source)
@@ -227,18 +241,24 @@ class TokenFile:
     def __len__(self) -> int:
         return -(-self.n_ids // self.sequence)
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, mask) of sequence ``i``."""
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """(ids, mask) of sequence ``i``, both without copying; the mask stays
+        packed in bits."""
         batch, row = self.reader.get_batch(i // BATCH), i % BATCH
         ids, mask = (batch.column(k).flatten().slice(row * self.sequence, self.sequence) for k in (0, 1))
-        return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+        return ids.to_numpy(), mask
+
+    def pieces(self, start: int, end: int) -> Iterator[np.ndarray]:
+        """The ids ``start`` to ``end`` as views, one for each batch they touch."""
+        step = BATCH * self.sequence
+        while start < end:
+            stop = min(end, start - start % step + step)
+            yield self.reader.get_batch(start // step).column(0).flatten().slice(start % step, stop - start).to_numpy()
+            start = stop
 
     def ids(self) -> np.ndarray:
-        """All unmasked ids in order."""
-        batches = [self.reader.get_batch(k) for k in range(self.reader.num_record_batches)]
-        ids = np.concatenate([b.column(0).flatten().to_numpy() for b in batches])
-        mask = np.concatenate([b.column(1).flatten().to_numpy(zero_copy_only=False) for b in batches])
-        return ids[mask]
+        """All unmasked ids in order, copied together."""
+        return np.concatenate([np.zeros(0, ID), *self.pieces(0, self.n_ids)])
 
 
 # ------------------------------------------------------------------------ Spark
@@ -250,6 +270,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, file_ids: int =
     spark = docs.sparkSession
     with open(path or public_tokenizers.path(TOKENIZER), encoding="utf-8") as source:
         shared = share(spark, Encoder(source.read()))
+    settings = files.store_settings(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = held(shared)
@@ -257,7 +278,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, file_ids: int =
 
         def file() -> pa.RecordBatch:
             ids, n = np.concatenate(parts), np.concatenate(lengths)
-            place = files.write(folder, f"part-{part:05d}-{k:05d}", ".arrow", file_bytes(ids, pa.concat_arrays(doc_ids), n))
+            place = files.write(folder, f"part-{part:05d}-{k:05d}", ".arrow", file_bytes(ids, pa.concat_arrays(doc_ids), n), settings)
             return pa.RecordBatch.from_pydict({"path": [place], "part": pa.array([part], pa.int32()), "part_start": [start], "n_ids": [len(ids)], "n_docs": [len(n)]})
 
         for batch in batches:
@@ -274,14 +295,16 @@ def write(docs: DataFrame, folder: str, path: str | None = None, file_ids: int =
             yield file()
 
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    order = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
-    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h")).repartitionByRange(n, *order)
+    # the row's number keeps rows that repeat one text under one doc_id from landing in one range
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h").asc(), F.col("row").asc()]
+    ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row")).repartitionByRange(n, *order)
     return files.settled(spark, ranged.sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(run, MANIFEST), "token-manifest")
 
 
 def read(manifest: DataFrame) -> DataFrame:
     """Per document, from the files alone: doc_id, start, n_tokens, ids_crc32."""
     spark = manifest.sparkSession
+    settings = files.store_settings(spark)
     at, base = 0, {}
     for row in manifest.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect():  # one row per write task
         base[row["part"]], at = at, at + row["n"]
@@ -289,13 +312,18 @@ def read(manifest: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, part, part_start in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                with files.open_input(path) as source:
+                with files.open_input(path, settings) as source:
                     stored = TokenFile(source)
-                    ids = stored.ids().astype("<u4")
-                ends = np.cumsum(stored.lengths)
-                starts = ends - stored.lengths
+                    ends = np.cumsum(stored.lengths)
+                    starts = ends - stored.lengths
+                    digests = []
+                    for a, b in zip(starts.tolist(), ends.tolist()):
+                        digest = 0
+                        for ids in stored.pieces(a, b):
+                            digest = zlib.crc32(ids.astype("<u4"), digest)
+                        digests.append(digest)
                 yield pa.RecordBatch.from_arrays(
-                    [stored.doc_ids, pa.array(starts + (base[part] + part_start)), pa.array(stored.lengths), pa.array([zlib.crc32(ids[a:b]) for a, b in zip(starts, ends)], pa.int64())],
+                    [stored.doc_ids, pa.array(starts + (base[part] + part_start)), pa.array(stored.lengths), pa.array(digests, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 

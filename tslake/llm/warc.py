@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -52,17 +53,27 @@ def _field(value: str) -> str:
     return "".join(c if c.isprintable() else "".join(f"%{b:02X}" for b in c.encode()) for c in value)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, name: str) -> bytes:
+def record_id(run: uuid.UUID, page_id: int | None, digest: str) -> str:
+    """The id of a page's record in one writing run, known from the page alone,
+    so that a revisit can name the response without having seen it. Rows that
+    repeat page and payload are one record written again."""
+    return f"<{uuid.uuid5(run, f'{page_id} {digest}').urn}>"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, run: uuid.UUID, refers_to_url: str | None = None) -> bytes:
     """A WARC/1.1 record; one that refers to another carries no payload."""
     revisit = refers_to is not None
     block = b"" if revisit else HTTP % len(payload) + payload
-    fields = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", f"<urn:record:{name}>"), ("WARC-Date", "1970-01-01T00:00:00Z")]
+    fields = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(run, page_id, digest)), ("WARC-Date", "1970-01-01T00:00:00Z")]
     if url is not None:
         fields.append(("WARC-Target-URI", _field(url)))
     if page_id is not None:
         fields.append(("X-Page-ID", str(page_id)))
     if revisit:
-        fields += [("WARC-Profile", PROFILE), ("X-Refers-To-Page-ID", str(refers_to))]
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(run, refers_to, digest))]
+        if refers_to_url is not None:
+            fields.append(("WARC-Refers-To-Target-URI", _field(refers_to_url)))
+        fields += [("WARC-Refers-To-Date", "1970-01-01T00:00:00Z"), ("X-Refers-To-Page-ID", str(refers_to))]
     fields += [
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("X-Payload-Length", str(len(payload))),
@@ -106,7 +117,7 @@ def parse(data: bytes) -> dict:
         if hashlib.sha256(payload).hexdigest() != digest:
             raise ValueError("payload digest differs")
     elif kind == "revisit":
-        if fields.get("warc-profile") != PROFILE or "x-refers-to-page-id" not in fields or length:
+        if fields.get("warc-profile") != PROFILE or "warc-refers-to" not in fields or "x-refers-to-page-id" not in fields or length:
             raise ValueError("malformed revisit")
     else:
         raise ValueError(f"unknown record type {kind!r}")
@@ -196,13 +207,14 @@ def matched(pages: DataFrame) -> DataFrame:
     groups = (
         rows.filter(F.octet_length("payload") >= REVISIT_BYTES)
         .groupBy("digest")
-        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("of"), F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
-        .select("digest", "first")
+        .select("digest", "first", F.col("of.url").alias("first_url"))
     )
     # settled first: Spark then knows its size and shuffles the pages only if it must
     rows = rows.join(files.settled(spark, groups, "warc-groups"), "digest", "left")
-    return rows.select("page_id", "url", "payload", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
+    again = ~F.col("page_id").eqNullSafe(F.col("first"))
+    return rows.select("page_id", "url", "payload", "digest", F.when(again, F.col("first")).alias("refers_to"), F.when(again, F.col("first_url")).alias("refers_to_url"))
 
 
 def write(pages: DataFrame, folder: str) -> DataFrame:
@@ -217,19 +229,20 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
         .collect()
     )
     dictionary = fit_dictionary([r["html"].encode() for r in sample])
+    run_id, settings = uuid.uuid4(), files.store_settings(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = zstandard.ZstdCompressor(level=LEVEL, dict_data=load_dictionary(dictionary))
         part, k, frames, size = TaskContext.get().partitionId(), 0, [], 0
 
         def archive() -> pa.RecordBatch:
-            path = files.write(folder, f"part-{part:05d}-{k:04d}", ".warc.zst", b"".join([dictionary_frame(dictionary), *frames]))
+            path = files.write(folder, f"part-{part:05d}-{k:04d}", ".warc.zst", b"".join([dictionary_frame(dictionary), *frames]), settings)
             return pa.RecordBatch.from_pydict({"path": [path], "n_records": [len(frames)], "n_bytes": [size]})
 
         for batch in batches:
             for i, row in enumerate(zip(*(c for c in batch.columns))):
-                page_id, url, payload, digest, refers_to = (x.as_py() for x in row)
-                frames.append(writer.compress(record(page_id, url, payload, digest, refers_to, f"{part}-{k}-{len(frames)}")))
+                page_id, url, payload, digest, refers_to, refers_to_url = (x.as_py() for x in row)
+                frames.append(writer.compress(record(page_id, url, payload, digest, refers_to, run_id, refers_to_url)))
                 size += len(frames[-1])
                 if size >= ARCHIVE_BYTES:
                     yield archive()
@@ -243,12 +256,13 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
 def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """The records of the archives a manifest lists, validated."""
     spark = manifest.sparkSession
+    settings = files.store_settings(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                with files.open_input(path) as source:
+                with files.open_input(path, settings) as source:
                     data = source.read()
                 rows, size = [], 0
                 for row in read_archive(data, path):
