@@ -57,22 +57,61 @@ def test_repeated_ids_with_different_texts(spark):
     assert {r.doc_id: r.component_id for r in jaccard.join(df).collect()} == {5: 5, 9: 5, 7: 5, 8: 4, 6: 4, 4: 4, 10: 10, None: None, 11: 11}
 
 
+def thue_morse(n, swap=False):
+    return "".join("xy"[(i.bit_count() + swap) % 2] for i in range(n))
+
+
+def test_structured_words(spark):
+    """Words whose letters are each other's opposites do not count as one."""
+    rows = [(i, t) for i, t in enumerate([thue_morse(1024), thue_morse(1024, True), thue_morse(1024), " ".join(thue_morse(1 << k) for k in range(11)), " ".join(thue_morse(1 << k, True) for k in range(11))])]
+    assert {r.doc_id: r.component_id for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0: 0, 1: 1, 2: 0, 3: 3, 4: 4}
+
+
+def test_one_id_on_many_rows(spark):
+    """Every row of an id has a set of its own, and some of them link."""
+    base = [[f"{x}{i}" for i in range(60)] for x in "ab"]
+    rows = [(d, " ".join([*base[d][:59], f"n{d}-{k}"])) for d in (0, 1) for k in range(300)]
+    rows += [(2, rows[0][1])] * 50 + [(0, rows[300][1]), (9, "something else altogether")]
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {(0, 0), (1, 0), (2, 0), (9, 9)}
+
+
+def test_five_words_against_sql(spark):
+    df, arrow = docs_frame(spark, near_copies(2))
+    same_rows(jaccard.join(df, 80, 5), jaccard.sql(80, 5), documents=arrow)
+
+
 def test_linked_sets_share_a_signature():
     """The guarantee, at the limit of the budget, for many sizes."""
     rng = np.random.default_rng(4)
     for size in [*range(1, 120), 200, 333, 700, 1500]:
-        for _ in range(4):
+        for percent in (90, 90, 90, 80, 80, 80):
             a = rng.integers(0, 2**63, size, dtype=np.uint64)
-            gone = int(rng.integers(0, size // 10 + 1))
-            fresh = int(rng.integers(0, size // 10 + 1))
+            gone = int(rng.integers(0, size * (100 - percent) // 100 + 1))
+            fresh = int(rng.integers(0, size * (100 - percent) // 100 + 1))
             b = np.concatenate([a[gone:], rng.integers(0, 2**63, fresh, dtype=np.uint64)])
             both, union = size - gone, size + fresh
             elements, sizes = np.concatenate([a, b]), np.array([len(a), len(b)])
-            who, signature = jaccard._signatures(elements, np.repeat([0, 1], sizes), sizes, 90)
-            if 100 * both >= 90 * union and gone + fresh:
+            who, signature = jaccard._signatures(elements, np.repeat([0, 1], sizes), sizes, percent)
+            if 100 * both >= percent * union and gone + fresh:
                 assert set(signature[who == 0]) & set(signature[who == 1]), (size, gone, fresh)
 
 
+def test_sketches_bound_the_distance(spark):
+    """Never more than the sets' distance, also between sketches of two widths."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for size in (1, 30, 300, 990, 1050, 1999, 2001, 3990, 9000):
+        a = rng.integers(0, 2**63, size, dtype=np.uint64)
+        for gone, fresh in ((0, 0), (size // 10, size // 10), (0, size // 8), (size // 8, 0), (size, size)):
+            b = np.concatenate([a[gone:], rng.integers(0, 2**63, fresh, dtype=np.uint64)])
+            x, y = zip(*(c.to_pylist() for c in jaccard.sketches(np.concatenate([a, b]), np.array([0, size, size + len(b)]))))
+            rows.append((size, *x, len(b), *y, 100 * (size - gone) >= 90 * (size + fresh), gone == size > 30))
+    schema = ", ".join(f"{s}n_shingles long, " + ", ".join(f"{s}{f}" for f in jaccard.TRAITS.split(", ")) for s in ("a_", "b_"))
+    found = spark.createDataFrame(rows, f"{schema}, link boolean, far boolean").select("link", "far", jaccard._near("a_", "b_", 90).alias("near")).collect()
+    assert all(r.near for r in found if r.link) and not any(r.near for r in found if r.far) and sum(r.link for r in found) > 7
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)] + [(5, 5), (None, 4), (400, 400)]

@@ -152,7 +152,7 @@ def equal_spans(lower: bytes, starts: np.ndarray, ends: np.ndarray, other: bytes
     return same
 
 
-def _segment_words(data: np.ndarray, breaks: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _segment_words(data: np.ndarray, breaks: np.ndarray, kind: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word = kind[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
@@ -162,12 +162,12 @@ def _segment_words(data: np.ndarray, breaks: np.ndarray, kind: np.ndarray) -> tu
     first[inner] = word[inner]
     last[inner - 1] = word[inner - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return starts, ends, hash_spans(lowered(data), starts, ends)
+    return starts, ends, hash_spans(lowered(data) if fold else data.tobytes() + bytes(8), starts, ends)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes (64 bits), first and end bytes of the lower-cased words of
-    consecutive texts, and for each text where its words begin (one entry more
+def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, breaks: np.ndarray | None = None, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes (64 bits), first and end bytes of the words of consecutive texts
+    (with A-Z lower-cased if ``fold``), and for each text where its words begin (one entry more
     than texts). ``breaks`` are further places where words end, as at the
     texts' offsets.
 
@@ -190,7 +190,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, breaks:
                         end = at + int(gaps[0])
                         break
         lo, hi = np.searchsorted(edges, [at, end])
-        starts, ends, hashes = _segment_words(data[at:end], edges[lo:hi] - at, kind)
+        starts, ends, hashes = _segment_words(data[at:end], edges[lo:hi] - at, kind, fold)
         found.append((starts + at, ends + at, hashes))
         at = end
     if not found:

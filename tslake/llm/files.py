@@ -18,6 +18,9 @@ from tslake.session import work_dir
 from tslake.sources import versioned
 
 
+#: Whether Spark removes an execution's shuffle files when it ends; nothing reads them after a write.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Settings of the session that say how its object store is reached.
 STORE_SETTINGS = "endpoint endpoint.region access.key secret.key session.token path.style.access connection.ssl.enabled".split()
 
@@ -71,9 +74,15 @@ def open_input(path: str, settings: dict[str, str] | None = None):
 
 def settled(spark: SparkSession, df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read again, so that what
-    its tasks wrote is never written twice. Its folder is added to ``made``."""
+    its tasks wrote is never written twice; the shuffles of this one write go
+    with it. Its folder is added to ``made``."""
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     if made is not None:
         made.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tslake.llm import bpe, decontaminate, html_extract, jaccard, languages, licenses, quality, token_counts, token_files, warc
+from tslake.llm import bpe, decontaminate, html_extract, jaccard, languages, licenses, minmax, periodic, quality, search, token_counts, token_files, warc
 from tslake.llm.common import table
 
 
@@ -48,6 +48,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.report(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"), periodic.planted_order)
+
+
+def op13_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_license_scan": op2_license_scan,
@@ -59,6 +71,9 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_token_counts": op9_token_counts,
     "op10_language_id": op10_language_id,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_minmax_dedup": op13_minmax_dedup,
 }
 
 SQL: dict[str, str] = {
@@ -67,4 +82,6 @@ SQL: dict[str, str] = {
     "op5_warc": warc.SQL,
     "op6_decontaminate": decontaminate.SQL,
     "op8_ngram_jaccard": jaccard.SQL,
+    "op11_ranked_search": search.SQL,
+    "op13_minmax_dedup": minmax.SQL,
 }
