@@ -147,11 +147,36 @@ def _calendar_shift(long: DataFrame, axis: DataFrame, offsets: Sequence[int]) ->
     )
 
 
-def wide_features(long: DataFrame, features: Sequence[Feature], axis: DataFrame | None = None) -> DataFrame:
+def dependencies(features: Sequence[Feature]) -> list[tuple[str, int, bool]]:
+    """(series, k, calendar) of every cell that a row's features read: the cell
+    k months before the row, by position or by the calendar."""
+    return sorted(set().union(*(f.cells() for f in features)))
+
+
+def affected_rows(cells: DataFrame, added: DataFrame, features: Sequence[Feature], axis: DataFrame) -> DataFrame:
+    """``month_idx`` of the rows that must be computed anew when ``cells``
+    (series_name, reference_month) have changed and the months ``added``
+    (reference_month) are new on the axis. A new month moves the positions of
+    those after it, which matters to as many rows as the longest lag spans."""
+    needs = dependencies(features)
+    row = F.struct(F.lit("").alias("series"), F.lit(0).alias("k"), F.lit(False).alias("calendar"))
+    offsets = F.array(*[F.struct(F.lit(s).alias("series"), F.lit(k).alias("k"), F.lit(bool(c and k)).alias("calendar")) for s, k, c in needs]) if needs else F.array(row)
+    read = cells.where(F.col("series_name").isin(sorted({s for s, _, _ in needs}))).select(
+        "reference_month", F.explode(F.filter(offsets, lambda o: o["series"] == F.col("series_name"))).alias("o")
+    )
+    by_position = read.where("not o.calendar").join(axis, "reference_month").select((F.col("month_idx") + F.col("o.k")).alias("month_idx"))
+    by_calendar = read.where("o.calendar").select(F.add_months("reference_month", F.col("o.k")).alias("reference_month")).join(axis, "reference_month").select("month_idx")
+    longest = max((k for _, k, c in needs if not c), default=0)
+    moved = added.join(axis, "reference_month").select(F.explode(F.sequence("month_idx", F.col("month_idx") + longest)).alias("month_idx"))
+    return by_position.union(by_calendar).union(moved).distinct().join(axis.select("month_idx"), "month_idx", "left_semi")
+
+
+def wide_features(long: DataFrame, features: Sequence[Feature], axis: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
     """One row per month of the axis with the requested feature columns.
 
     ``long`` is Gold in long form (``series_name, reference_month, valor``);
-    the axis is taken from all of it, as the wide table's rows are.
+    the axis is taken from all of it, as the wide table's rows are. With
+    ``rows`` (month_idx) only these months' rows are computed.
     """
     cells = sorted(set().union(*(f.cells() for f in features)))
     names = [_cell(s, k, cal) for s, k, cal in cells]
@@ -171,6 +196,8 @@ def wide_features(long: DataFrame, features: Sequence[Feature], axis: DataFrame
         parts.append(_calendar_shift(long.where(F.col("series_name").isin(series)), axis, sorted({k for _, k in calendar})))
     shifted = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     shifted = shifted.where(F.col("_cell").isin(names))
+    if rows is not None:
+        shifted, axis = shifted.join(rows, "month_idx", "left_semi"), axis.join(rows, "month_idx", "left_semi")
     pivoted = shifted.groupBy("month_idx").agg(
         *(F.max(F.when(F.col("_cell") == n, F.col("valor"))).alias(n) for n in names)
     )

@@ -87,3 +87,27 @@ def reconcile(entries: DataFrame, objects: DataFrame) -> DataFrame:
     missing = claimed.join(landed, BATCH_KEYS, "left_anti").withColumn("issue", F.lit("missing_object"))
     orphan = landed.join(listed, BATCH_KEYS, "left_anti").withColumn("issue", F.lit("orphan_object"))
     return missing.unionByName(orphan)
+
+
+def content_checks(rows: DataFrame) -> DataFrame:
+    """What the landed text of each object (batch and series) adds up to: the
+    number of rows and the sum of their 64-bit hashes, which no order of rows or
+    files changes (O-31). Sums are decimal, so that they cannot overflow."""
+    row = F.xxhash64("data", "valor").cast("decimal(20,0)")
+    check = F.concat_ws(":", F.count(F.lit(1)).cast("string"), F.sum(row).cast("string"))
+    return rows.groupBy(*BATCH_KEYS).agg(check.alias("check"))
+
+
+def with_checks(manifests: DataFrame, rows: DataFrame) -> DataFrame:
+    """Manifests with the checks of their batches' rows (one entry per series)."""
+    per_batch = content_checks(rows).groupBy(*BATCH).agg(F.map_from_entries(F.collect_list(F.struct("series_name", "check"))).alias("checks"))
+    return manifests.drop("checks").join(per_batch, BATCH, "left")
+
+
+def altered_objects(manifests: DataFrame, rows: DataFrame) -> DataFrame:
+    """Objects of committed batches whose rows are not those the manifest was
+    written for: rows changed, added or lost since. An object that is gone
+    altogether is ``reconcile``'s ``missing_object``."""
+    stated = manifests.where((F.col("status") == "committed") & F.col("checks").isNotNull()).select(*BATCH, F.explode("checks").alias("series_name", "stated"))
+    found = content_checks(rows).join(stated, BATCH_KEYS)
+    return found.where(F.col("check") != F.col("stated")).select(*BATCH_KEYS, F.lit("altered_object").alias("issue"))

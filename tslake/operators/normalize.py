@@ -26,7 +26,7 @@ def clean_rows(parsed: DataFrame, with_ingestion_ts: bool = False) -> DataFrame:
     """Rows with a valid date. A NULL ``valor`` is legal and kept."""
     out = (
         parsed.where(F.col("data").isNotNull())
-        .drop("data_text", "valor_text")
+        .drop("data_text", "valor_text", "raw_line")
         .withColumn("year", F.year("data"))
         .withColumn("month", F.month("data"))
     )
@@ -36,8 +36,11 @@ def clean_rows(parsed: DataFrame, with_ingestion_ts: bool = False) -> DataFrame:
 
 
 def quarantine_rows(parsed: DataFrame) -> DataFrame:
-    """Rows whose date is missing or not a valid ``dd/MM/yyyy`` date."""
+    """Rows whose date is missing or not a valid ``dd/MM/yyyy`` date, and lines
+    that could not be read at all, with their text (``raw_line``, if there is one)."""
     reason = F.when(F.col("data_text").isNull(), F.lit("missing_date")).otherwise(F.lit("bad_date"))
+    if "raw_line" in parsed.columns:
+        reason = F.when(F.col("raw_line").isNotNull(), F.lit("malformed_line")).otherwise(reason)
     return parsed.where(F.col("data").isNull()).drop("data", "valor").withColumn("reason", reason)
 
 

@@ -125,6 +125,6 @@ def materialize_table(df: DataFrame, table: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
+def materialize(df: DataFrame, path: str, note: dict | None = None) -> DataFrame:
     """Replace a table, whole or not at all, and return it re-read (O-28b, O-28d)."""
-    return versioned.replace(df, path)
+    return versioned.replace(df, path, note)

@@ -6,6 +6,8 @@ aggregations over committed data, so they cannot drift from it.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ from tslake.operators.small import small_side
 from tslake.session import checkpoint_root
 from tslake.sources.catalog import WINDOW_DAYS
 
+#: Watermarks that may pass through the driver, a name and a date each.
+KNOWN_SERIES = 2000
+
 
 def watermarks(obs: DataFrame) -> DataFrame:
     """Per series: last reference date and row count; plus the last batch
@@ -35,14 +40,25 @@ def after_watermark(obs: DataFrame, wm: DataFrame, inclusive: bool = False, look
     """Rows newer than the series' watermark; all rows of a series without one.
 
     ``inclusive`` and ``lookback_days`` re-admit the boundary (and the days
-    before it) so that source revisions can arrive (D5). The watermarks, one
-    row per series, are materialised, counted and broadcast when small, so
-    the observations are not shuffled.
+    before it) so that source revisions can arrive (D5). Up to ``KNOWN_SERIES``
+    watermarks, one row per series, are fetched once and come back as a small
+    local relation; the oldest of them bounds the dates of the known series, as
+    a literal that reaches the scan, so that files and row groups of old rows
+    are skipped. More watermarks are joined as a table. Either way the
+    observations are not shuffled.
     """
     last = F.col("_wm")
     bound = F.date_sub(last, lookback_days) if lookback_days else last
     newer = (F.col("data") >= bound) if inclusive else (F.col("data") > bound)
-    known = small_side(wm.select("series_name", F.col("last_reference_date").alias("_wm")))
+    known = wm.select("series_name", F.col("last_reference_date").alias("_wm"))
+    rows = known.limit(KNOWN_SERIES + 1).collect()
+    if len(rows) > KNOWN_SERIES:
+        known = small_side(known)
+    else:
+        known = F.broadcast(obs.sparkSession.createDataFrame(rows, known.schema))
+        if rows and all(r["_wm"] for r in rows):
+            oldest = min(r["_wm"] for r in rows) - dt.timedelta(days=lookback_days)
+            obs = obs.where((F.col("data") >= F.lit(oldest)) | F.col("series_name").isNull() | ~F.col("series_name").isin([r["series_name"] for r in rows if r["series_name"] is not None]))
     return obs.join(known, "series_name", "left").where(last.isNull() | newer).drop("_wm")
 
 
@@ -145,6 +161,30 @@ def snapshot_as_of(clean_committed: DataFrame, as_of: Column, order_extra: list[
     return latest_per_key(upto, ["series_name", "data"], order)
 
 
+def holes(spans: DataFrame, fetched: DataFrame) -> DataFrame:
+    """What of each series' span ``[start_date, end_date]`` no fetched window
+    ``(series_name, window_start, window_end)`` covers, as spans of the same kind
+    (O-18): the days before, between and after them. Windows may overlap, touch,
+    repeat or reach beyond the span. A window function over a series' windows;
+    they are one row per request, not per observation."""
+    known = fetched.select("series_name", "window_start", "window_end").where("window_start <= window_end")
+    inside = spans.join(known, "series_name", "left").where("window_start is null or (window_end >= start_date and window_start <= end_date)")
+    # a series without a window inside its span keeps one row that covers nothing
+    bare = spans.join(inside.select("series_name").distinct(), "series_name", "left_anti").withColumns({"window_start": F.lit(None).cast("date"), "window_end": F.lit(None).cast("date")})
+    rows = inside.unionByName(bare)
+    order = Window.partitionBy("series_name").orderBy("window_start", "window_end")
+    covered = F.max("window_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    last = F.lead("series_name").over(order).isNull()
+    reached = F.greatest(F.coalesce(covered, F.date_sub("start_date", 1)), F.coalesce("window_end", F.date_sub("start_date", 1)))
+    marked = rows.withColumn("_from", F.date_add(F.coalesce(covered, F.date_sub("start_date", 1)), 1)).withColumn("_rest", F.when(last, F.date_add(reached, 1)))
+    keep = [c for c in spans.columns if c not in ("start_date", "end_date")]
+    gaps = F.array(
+        F.struct(F.greatest("_from", "start_date").alias("a"), F.date_sub("window_start", 1).alias("b")),
+        F.struct(F.greatest("_rest", "start_date").alias("a"), F.when(F.col("_rest").isNotNull(), F.col("end_date")).alias("b")),
+    )
+    return marked.select(*keep, F.explode(gaps).alias("_g")).where("_g.a <= _g.b").select(*keep, F.col("_g.a").alias("start_date"), F.col("_g.b").alias("end_date"))
+
+
 def request_windows(spans: DataFrame) -> DataFrame:
     """Split ``[start_date, end_date]`` per series into request windows (O-18).
 

@@ -10,7 +10,9 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
-from tslake.operators.features import Feature, wide_features
+from tslake.operators.features import Feature, affected_rows, wide_features
+from tslake.operators.small import small_side
+from tslake.operators.upsert import merge_frames
 
 
 def _values(*names: str) -> list[Feature]:
@@ -91,5 +93,19 @@ def build_mart(gold_long: DataFrame, name: str, axis: DataFrame | None = None, c
     return wide_features(gold_long, feats, axis)
 
 
+def update_mart(
+    mart: DataFrame, gold_long: DataFrame, name: str, cells: DataFrame, axis: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """(the mart brought up to date, its rows that were computed anew). ``cells``
+    (series_name, reference_month) are those of Gold that changed since ``mart``
+    was built; only the months that read one of them are computed, a dozen rows
+    for a corrected month, and put in place of the former rows."""
+    feats = MARTS[name]
+    added = axis.join(mart.select("reference_month"), "reference_month", "left_anti").select("reference_month")
+    rows = small_side(affected_rows(cells, added, feats, axis))
+    anew = small_side(wide_features(gold_long, feats, axis, rows))
+    return merge_frames(mart, anew, ["reference_month"]), anew
+
+
 def build_marts(gold_long: DataFrame, axis: DataFrame | None = None) -> dict[str, DataFrame]:
     return {name: build_mart(gold_long, name, axis) for name in MARTS}

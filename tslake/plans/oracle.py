@@ -185,6 +185,20 @@ SELECT reference_month, {_r('selic', 'selic')}, {_r('selic_meta', 'selic_meta')}
 FROM gold WINDOW w AS (ORDER BY reference_month)""",
 }
 
+
+
+def _macro_gold(valor: str) -> str:
+    """MACRO_GOLD with other values in Silver."""
+    newest = "row_number() OVER (PARTITION BY series_name, data ORDER BY k1 DESC, k2 DESC, valor DESC) = 1"
+    plain = f"SELECT series_name, data, valor FROM src\n  QUALIFY {newest}"
+    return MACRO_GOLD.replace(plain, f"SELECT series_name, data, {valor} AS valor FROM ({plain})")
+
+
+FEED_GOLD = _macro_gold(
+    "CASE WHEN data < DATE '1998-01-01' THEN valor * CAST(0.5 AS DOUBLE)"
+    " WHEN month(data) IN (3, 9) AND day(data) <= 5 THEN NULL ELSE valor END"
+)
+CORRECTED_GOLD = _macro_gold("CASE WHEN date_trunc('month', data) = DATE '1996-05-01' THEN valor * 3 ELSE valor END")
 GOLD_MACRO_SQL = f"WITH {MACRO_GOLD}\nSELECT {_gold_select()} FROM gold"
 
 MART_SQL["mart_exchange_calendar"] = f"""WITH {MACRO_GOLD}
@@ -331,6 +345,18 @@ WHERE NOT EXISTS (SELECT 1 FROM entries c WHERE l.ingestion_date = c.ingestion_d
 FROM events""",
     "request_windows_daily": _windows("daily", 731),
     "request_windows_monthly": _windows("monthly", 1826),
+    "refetch_windows": f"""WITH {OBS_O},
+spans AS (SELECT series_name, min(data) AS s, max(data) AS e FROM obs GROUP BY series_name),
+win AS (SELECT series_name, e, i, s + CAST(i * 731 AS INTEGER) AS a, least(s + CAST(i * 731 + 730 AS INTEGER), e) + 30 AS b
+        FROM spans, LATERAL (SELECT unnest(range(0, CAST(floor(date_diff('day', s, e) / 731) AS BIGINT) + 1)) AS i)),
+days AS (SELECT series_name, CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM spans),
+open AS (SELECT series_name, d FROM days WHERE NOT EXISTS (
+  SELECT 1 FROM win WHERE win.series_name = days.series_name AND i % 3 <> 1 AND win.series_name <> '5-LOW' AND d BETWEEN a AND b)),
+isle AS (SELECT series_name, d, d - CAST(row_number() OVER (PARTITION BY series_name ORDER BY d) AS INTEGER) AS g FROM open),
+hole AS (SELECT series_name, min(d) AS s, max(d) AS e FROM isle GROUP BY series_name, g)
+SELECT series_name, 'daily' AS frequency, CAST(i AS INTEGER) AS window_index, CAST(s + CAST(i * 731 AS INTEGER) AS DATE) AS window_start,
+  CAST(least(s + CAST(i * 731 + 730 AS INTEGER), e) AS DATE) AS window_end
+FROM hole, LATERAL (SELECT unnest(range(0, CAST(floor(date_diff('day', s, e) / 731) AS BIGINT) + 1)) AS i)""",
     "upsert_merge": UPSERT_SQL,
     "upsert_idempotent": UPSERT_SQL,
     "monthly_avg": f"WITH {PRIORITY_MONTHLY}\nSELECT series_name, reference_month, {_r('valor', 'valor')} FROM mon",
@@ -403,9 +429,32 @@ FROM d""",
     "lake_snapshot": f"""WITH {EVENTS}
 SELECT series_name, data, {_r('max(valor)', 'valor')}, max(batch_id) AS batch_id
 FROM gated WHERE ingestion_date <= DATE '2024-01-20' GROUP BY series_name, data""",
+    "lake_snapshots": f"""WITH {EVENTS},
+known AS (SELECT series_name, data, valor, ingestion_date, batch_id FROM gated
+          UNION ALL SELECT series_name, DATE '2024-01-01', valor, ingestion_date, batch_id FROM gated),
+days AS (SELECT unnest([DATE '2024-01-05', DATE '2024-01-12', DATE '2024-01-20', DATE '2024-02-10']) AS as_of)
+SELECT as_of, series_name, data, {_r('valor', 'valor')}, batch_id FROM days JOIN known ON ingestion_date <= as_of
+QUALIFY row_number() OVER (PARTITION BY as_of, series_name, data ORDER BY ingestion_date DESC, batch_id DESC, valor DESC) = 1""",
+    "content_reconcile": f"""WITH {EVENTS}
+SELECT DISTINCT ingestion_date, batch_id, series_name, 'altered_object' AS issue
+FROM entries WHERE batch_status = 'committed' AND series_name = 'click' AND day(ingestion_date) % 7 = 0""",
+    "rescued_lines": f"""WITH {EVENTS}
+SELECT ingestion_date, batch_id, series_name, 'malformed_line' AS reason,
+  '{{"event_id":' || event_id || ',"data":"' || strftime(data, '%d/%m/%Y') || '","val' AS raw_line
+FROM ev WHERE event_id % 50 = 0""",
     "stream_upsert": f"""WITH {EVENTS}
 SELECT series_name, data, {_r('max(valor)', 'valor')}, max(batch_id) AS batch_id
 FROM gated GROUP BY series_name, data""",
+    "upsert_change_feed": f"""WITH {OBS_O},
+d AS (SELECT * FROM obs QUALIFY row_number() OVER (PARTITION BY series_name, data ORDER BY o_orderkey DESC) = 1),
+s AS (SELECT series_name, data, valor * CAST(1.1 AS DOUBLE) AS valor FROM d WHERE data >= DATE '1999-07-01'),
+t AS (SELECT series_name, data, valor FROM d WHERE data < DATE '2000-01-01')
+SELECT s.series_name, s.data, CASE WHEN t.data IS NULL THEN 'insert' ELSE 'update' END AS op,
+  {_r('t.valor', 'old_valor')}, {_r('s.valor', 'new_valor')}
+FROM s LEFT JOIN t ON s.series_name = t.series_name AND s.data = t.data
+WHERE t.data IS NULL OR s.valor IS DISTINCT FROM t.valor""",
+    "gold_from_feed": f"WITH {FEED_GOLD}\nSELECT {_gold_select()} FROM gold",
+    "marts_incremental": MART_SQL["mart_features"].replace(MACRO_GOLD, CORRECTED_GOLD),
     "pipeline_incremental_gold": f"WITH {PIPELINE_GOLD}\nSELECT {_gold_select()} FROM gold",
     "check_not_null": f"""WITH {RAW_ORDERS}
 SELECT 'not_null' AS check_name, 'series_name' AS column_name, count(*) FILTER (WHERE series_name IS NULL) AS violations FROM parsed

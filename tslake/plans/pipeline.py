@@ -14,22 +14,32 @@ import warnings
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tslake.functions.dates import month_start
+from tslake.operators import cells
 from tslake.operators import gate as gate_ops
 from tslake.operators.dedupe import latest_per_key
 from tslake.operators.features import month_axis
-from tslake.operators.gold import monthly, to_wide
+from tslake.operators.history import as_of
+from tslake.operators.gold import to_wide
 from tslake.operators.normalize import clean_rows, parse_raw, quarantine_rows
 from tslake.operators.publish import ParquetTarget, materialize, publish
 from tslake.operators.small import small_side
 from tslake.operators.state import after_watermark, classify
-from tslake.operators.upsert import merge_frames
-from tslake.plans.marts import build_marts
+from tslake.plans.marts import MARTS, build_mart, build_marts, update_mart
 from tslake.session import checkpoint_root, work_dir
 from tslake.sources import bronze, versioned
 from tslake.sources.catalog import SERIES_NAMES, catalog_frame
 from tslake.sources.schemas import GOLD_LONG, SILVER, SILVER_KEYS, SILVER_ORDER, SILVER_PARTITIONS
-from tslake.sources.silver import read_silver, silver_exists, silver_path, upsert_silver
+from tslake.sources.silver import (
+    HISTORY_PARTITIONS,
+    history_path,
+    read_feeds,
+    read_history,
+    read_silver,
+    silver_exists,
+    silver_path,
+    update_history,
+    upsert_silver,
+)
 
 # ---- ingestion ------------------------------------------------------------
 def ingest(
@@ -79,7 +89,7 @@ def ingest(
     landed = bronze.read_landed(spark, root, batches=[(ingestion_date, batch_id)])
     status = classify(catalog, clean_rows(parse_raw(landed)), history, day)
     entries = status.select(F.lit(batch_id).alias("batch_id"), day.alias("ingestion_date"), "series_name", "series_status")
-    manifest = gate_ops.rollup_batches(entries).drop("n_series", "n_failed")
+    manifest = gate_ops.with_checks(gate_ops.rollup_batches(entries).drop("n_series", "n_failed"), landed)
     checkpoint_root(spark)
     manifest = manifest.checkpoint(eager=True)  # one row
     bronze.write_manifests(manifest, root)
@@ -194,7 +204,7 @@ def quarantine_path(root: str) -> str:
 
 
 def apply_batches(
-    spark: SparkSession, root: str, manifests: DataFrame, metrics: dict | None = None, partitions=SILVER_PARTITIONS
+    spark: SparkSession, root: str, manifests: DataFrame, metrics: dict | None = None, partitions=SILVER_PARTITIONS, history: bool = False
 ) -> DataFrame:
     """Apply the committed, not yet applied batches among ``manifests`` to
     Silver; returns them. Used by the batch run and by the stream.
@@ -202,7 +212,8 @@ def apply_batches(
     The landed rows are read and parsed once, into a working table that is
     removed at the end. Rows with a bad date go to ``<root>/quarantine``, by
     batch, whatever their series' status; a repeated run replaces them. The
-    other rows go to Silver if their manifest vouches for their series. When
+    other rows go to Silver if their manifest vouches for their series, and with
+    ``history`` to the history of all states as well (``snapshots``). When
     ``metrics`` is given it receives the row counts gathered by that job, and
     the committed series without a landed object.
     """
@@ -247,7 +258,10 @@ def apply_batches(
         )
     clean = clean_rows(parsed.where("vouched").drop("vouched"), with_ingestion_ts=True)
     source = latest_per_key(clean.select(*SILVER.fieldNames()), SILVER_KEYS, SILVER_ORDER)
-    upsert_silver(spark, source, silver_path(root), partitions=partitions, touched=versioned.touched_keys(clean, partitions))
+    touched = versioned.touched_ranges(clean, partitions, "data")
+    upsert_silver(spark, source, silver_path(root), partitions=partitions, touched=touched)
+    if history:
+        update_history(spark, clean, history_path(root), list(touched) if list(partitions) == HISTORY_PARTITIONS else None)
     update_watermarks(spark, root, clean.select("series_name", "data"))
     record_applied(applied_now, root)
     versioned.delete(spark, work)
@@ -255,23 +269,18 @@ def apply_batches(
 
 
 def bronze_to_silver(
-    spark: SparkSession, root: str, metrics: dict | None = None, partitions=SILVER_PARTITIONS
+    spark: SparkSession, root: str, metrics: dict | None = None, partitions=SILVER_PARTITIONS, history: bool = False
 ) -> DataFrame:
     """Apply every committed, not yet applied batch to Silver in one plan."""
     manifests = _read_manifests_or_none(spark, root)
     if manifests is None:
         return spark.createDataFrame([], APPLIED_SCHEMA)
-    return apply_batches(spark, root, manifests, metrics, partitions)
+    return apply_batches(spark, root, manifests, metrics, partitions, history)
 
 
 # ---- Silver -> Gold -> warehouse -> marts ----------------------------------
-def gold_from_silver(spark: SparkSession, silver: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
-    catalog = catalog if catalog is not None else catalog_frame(spark)
-    return monthly(silver.select("series_name", "data", "valor"), catalog)
-
-
-def gold_applied_path(root: str) -> str:
-    return f"{root.rstrip('/')}/_control/gold_applied"
+def cells_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_control/gold_cells"
 
 
 def _gold_paths(root: str) -> tuple[str, str]:
@@ -279,45 +288,51 @@ def _gold_paths(root: str) -> tuple[str, str]:
     return f"{base}/gold_long", f"{base}/gold"
 
 
+def _updated_cells(spark: SparkSession, root: str, feed: DataFrame, commit: int) -> DataFrame:
+    """The cells after the changes of ``feed``. Silver is read only for cells
+    that their state and the changes do not determine."""
+    current = versioned.read(spark, cells_path(root), cells.STATE)
+    checkpoint_root(spark)
+    after = cells.apply(current, cells.changes(feed), commit).checkpoint(eager=True)
+    known = after.where("not stale").drop("stale")
+    stale = after.where("stale").select(*cells.CELL)
+    if stale.isEmpty():
+        return known
+    stale = small_side(stale)
+    years = versioned.touched_keys(stale.withColumn("year", F.year("reference_month")), ["series_name", "year"])
+    scope = read_silver(spark, silver_path(root)).where(versioned.touched_filter(years, ["series_name", "year"]))
+    return known.unionByName(cells.build(scope, commit).join(stale, cells.CELL, "left_semi"))
+
+
 def silver_to_gold(spark: SparkSession, root: str, incremental: bool = True) -> tuple[DataFrame, DataFrame]:
     """Bring Gold (long and wide) up to date with Silver; returns both re-read.
 
-    The first run (or ``incremental=False``) builds Gold from all of Silver.
-    Later runs recompute only the (series, month) cells that the batches
-    applied since the last Gold build touched: the cells are found from those
-    batches' landed rows (a partition-pruned read of Bronze), their values
-    are recomputed from the Silver partitions they live in (literal partition
-    filter), and merged into the long table by key. Silver rows are never
-    deleted, so a touched cell always has rows.
+    The first run (or ``incremental=False``) computes the state of every
+    (series, month) cell from all of Silver (``operators.cells``). Later runs
+    apply Silver's change feeds to it, so that a run costs the changes and the
+    cells, not Silver; the feeds applied are committed with the cells, and each
+    is applied once whatever is interrupted.
     """
     long_path, wide_path = _gold_paths(root)
-    applied = read_applied(spark, root)
-    silver = read_silver(spark, silver_path(root))
-    current = versioned.read(spark, long_path, GOLD_LONG)
-    done = versioned.read(spark, gold_applied_path(root), APPLIED_SCHEMA)
-    if not incremental or current is None or done is None:
-        long = materialize(gold_from_silver(spark, silver), long_path)
+    place, silver = cells_path(root), silver_path(root)
+    feeds, unfed = versioned.feeds(spark, silver)
+    done = versioned.note(spark, place)
+    commit = done["commit"] + 1 if done else 0
+    if not incremental or done is None or done.get("unfed") != unfed:
+        new = cells.build(read_silver(spark, silver), commit)
+    elif todo := [f for f in feeds if f not in done["feeds"]]:
+        new = _updated_cells(spark, root, read_feeds(spark, silver, todo), commit)
     else:
-        # the batches since the last Gold build
-        new = [(r.ingestion_date, r.batch_id) for r in applied.join(done, gate_ops.BATCH, "left_anti").distinct().collect()]
-        wide = versioned.read(spark, wide_path)
-        if not new and wide is not None:
-            return current, wide
-        batches = F.broadcast(spark.createDataFrame(new, APPLIED_SCHEMA))
-        manifests = bronze.latest_manifests(bronze.read_manifests(spark, root)).join(batches, gate_ops.BATCH, "left_semi")
-        landed = bronze.read_landed(spark, root, batches=new)
-        changed = clean_rows(parse_raw(gate_ops.gate(landed, gate_ops.manifest_entries(manifests))))
-        cells = changed.select("series_name", "year", month_start("data").alias("reference_month")).distinct()
-        cells = small_side(cells)
-        scope = silver.where(versioned.touched_filter(versioned.touched_keys(cells, ["series_name", "year"]), ["series_name", "year"]))
-        recomputed = gold_from_silver(spark, scope).join(
-            cells.select("series_name", "reference_month"), ["series_name", "reference_month"], "left_semi"
-        )
-        merged = merge_frames(current, recomputed.select(*GOLD_LONG.fieldNames()), ["series_name", "reference_month"])
-        long = materialize(merged, long_path)
-    wide = materialize(to_wide(long, SERIES_NAMES), wide_path)
-    versioned.replace(applied.select("ingestion_date", "batch_id").distinct().coalesce(1), gold_applied_path(root))
-    return long, wide
+        new, commit = None, done["commit"]
+    if new is not None:
+        versioned.replace(new, place, {"feeds": feeds, "unfed": unfed})
+    versioned.drop_feeds(spark, silver, feeds)
+    out = []
+    for path, make in ((long_path, lambda: cells.values(versioned.read(spark, place, cells.STATE), catalog_frame(spark))), (wide_path, lambda: to_wide(out[0], SERIES_NAMES))):
+        note = versioned.note(spark, path)
+        current = note is not None and note.get("cells") == commit
+        out.append(versioned.read(spark, path) if current else materialize(make(), path, {"cells": commit}))
+    return out[0], out[1]
 
 
 def read_gold(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -335,20 +350,41 @@ def gold_to_warehouse(spark: SparkSession, root: str, target=None, mode: str = "
     publish(spark, wide, target, mode=mode)
 
 
-def marts(spark: SparkSession, root: str, database: str | None = None) -> dict[str, DataFrame]:
+def marts(spark: SparkSession, root: str, database: str | None = None, incremental: bool = True, metrics: dict | None = None) -> dict[str, DataFrame]:
     """Materialise the five marts from Gold long form: as Parquet folders
-    under ``<root>/marts``, or as catalog tables ``<database>.<mart>``."""
+    under ``<root>/marts``, or as catalog tables ``<database>.<mart>``.
+
+    Folders built before are brought up to date: only the rows that read a
+    cell changed since then are computed (``marts.update_mart``). ``metrics``
+    receives how many rows of each mart were computed.
+    """
     from tslake.operators.publish import materialize_table
 
     long, _ = read_gold(spark, root)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    out = {}
-    for name, df in build_marts(long, small_side(month_axis(long))).items():
-        if database:
-            out[name] = materialize_table(df, f"`{database}`.`{name}`")
+        return {name: materialize_table(df, f"`{database}`.`{name}`") for name, df in build_marts(long, small_side(month_axis(long))).items()}
+    # the commit of the cells that Gold was made of
+    commit = (versioned.note(spark, _gold_paths(root)[0]) or {}).get("cells")
+    axis, state, out = None, None, {}
+    for name in MARTS:
+        path = f"{root.rstrip('/')}/marts/{name}"
+        seen = (versioned.note(spark, path) or {}).get("cells")
+        mart = versioned.read(spark, path) if incremental and seen is not None and commit is not None else None
+        if mart is not None and seen == commit:
+            out[name], count = mart, 0
         else:
-            out[name] = materialize(df, f"{root.rstrip('/')}/marts/{name}")
+            axis = small_side(month_axis(long)) if axis is None else axis
+            if mart is None:
+                out[name] = materialize(build_mart(long, name, axis), path, {"cells": commit})
+                count = None
+            else:
+                state = versioned.read(spark, cells_path(root), cells.STATE) if state is None else state
+                changed = state.where((F.col("commit") > seen) & (F.col("commit") <= commit)).select(*cells.CELL)
+                whole, anew = update_mart(mart, long, name, changed, axis)
+                out[name], count = materialize(whole, path, {"cells": commit}), anew
+        if metrics is not None:
+            metrics[name] = out[name].count() if count is None else count if isinstance(count, int) else count.count()
     return out
 
 
@@ -392,6 +428,18 @@ def snapshot(spark: SparkSession, root: str, as_of: str) -> DataFrame:
     return snapshot_as_of(typed, day).select("series_name", "data", "valor", "ingestion_date", "batch_id")
 
 
+def snapshots(spark: SparkSession, root: str, days: list[str]) -> DataFrame:
+    """The full view of every series on each of some days (``as_of``), from the
+    history that ``bronze_to_silver(history=True)`` keeps: a range filter over
+    one table per day, no landed row is read."""
+    history = read_history(spark, history_path(root))
+    if history is None:
+        raise FileNotFoundError(f"no history under {root}: run bronze_to_silver(history=True)")
+    columns = ["series_name", "data", "valor", "batch_id"]
+    wanted = F.explode(F.array(*[F.to_date(F.lit(d)) for d in days])).alias("as_of")
+    return as_of(history.select("*", wanted), F.col("as_of")).select("as_of", *columns)
+
+
 def quality_report(spark: SparkSession, root: str, catalog: DataFrame | None = None) -> DataFrame:
     """Data-quality checks of a lake root as one frame of
     ``(table, check_name, column_name, violations)`` (O-29..O-32): Gold's key
@@ -408,13 +456,14 @@ def quality_report(spark: SparkSession, root: str, catalog: DataFrame | None = N
         F.lit("declared_columns").alias("check_name"), F.lit("*").alias("column_name"), "violations"
     )
     manifests = bronze.latest_manifests(bronze.read_manifests(spark, root))
-    objects = bronze.read_landed(spark, root).select(*gate_ops.BATCH_KEYS)
-    missing = gate_ops.reconcile(gate_ops.manifest_entries(manifests), objects).where("issue = 'missing_object'")
-    missing = missing.groupBy().agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit("missing_object").alias("check_name"), F.lit("series_name").alias("column_name"), "violations"
+    landed = bronze.read_landed(spark, root)
+    missing = gate_ops.reconcile(gate_ops.manifest_entries(manifests), landed.select(*gate_ops.BATCH_KEYS)).where("issue = 'missing_object'")
+    counted = lambda df, name, column: df.groupBy().agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit(name).alias("check_name"), F.lit(column).alias("column_name"), "violations"
     )
     parts = [
-        ("bronze", missing),
+        ("bronze", counted(missing, "missing_object", "series_name")),
+        ("bronze", counted(gate_ops.altered_objects(manifests, landed), "altered_object", "valor")),
         ("gold", quality.check_not_null(gold, ["reference_month"])),
         ("gold", quality.check_unique(gold, ["reference_month"])),
         ("gold", columns),

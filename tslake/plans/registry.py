@@ -28,6 +28,7 @@ from tslake.operators.state import (
     carry_forward,
     classify,
     fetch_start,
+    holes,
     classify_monthly_batches,
     request_windows,
     snapshot_as_of,
@@ -155,6 +156,7 @@ ALL_HISTORY = ["4-NOT SPECIFIED"]
 NOT_LANDED = ["2-HIGH", "3-MEDIUM"]  # classify_run: series that land nothing
 RUN_START = "2001-01-01"  # classify_run: rows from this day are the run's landing
 RUN_DAY = "2001-01-31"  # ... and this is the run's "today"
+NEVER_FETCHED = "5-LOW"  # refetch_windows: the series without a fetched window
 LOST_SERIES = "click"  # manifest_reconcile: the series whose objects are lost
 
 
@@ -253,6 +255,20 @@ def q_request_windows_monthly(spark, sf):
     return _windows(spark, sf, "monthly")
 
 
+def q_refetch_windows(spark, sf):
+    """Windows to request again: every third window of the daily history failed
+    but for the month that the one before it covers too, and one series has
+    never been fetched."""
+    spans = tables.obs_orders(spark, sf).groupBy("series_name").agg(
+        F.min("data").alias("start_date"), F.max("data").alias("end_date")
+    ).withColumn("frequency", F.lit("daily"))
+    windows = request_windows(spans)
+    fetched = windows.where((F.col("window_index") % 3 != 1) & (F.col("series_name") != NEVER_FETCHED))
+    # what came reaches a month into the next window
+    fetched = fetched.withColumn("window_end", F.date_add("window_end", 30))
+    return request_windows(holes(spans, fetched))
+
+
 # ---- upsert ----------------------------------------------------------------
 def _upsert_inputs(spark, sf):
     d = latest_per_key(tables.obs_orders(spark, sf), ["series_name", "data"], ["o_orderkey"])
@@ -304,6 +320,18 @@ def q_upsert_out_of_order(spark, sf):
     return rounded(out.select("series_name", "data", "valor", "o_orderkey"))
 
 
+def q_upsert_change_feed(spark, sf):
+    """What an upsert changes, row by row: inserted and corrected observations
+    with their values before and after."""
+    target, source = _upsert_inputs(spark, sf)
+    path = work_dir(spark, "upsert")
+    keys, parts = ["series_name", "data"], ["series_name", "year"]
+    with_year = lambda df: df.withColumn("year", F.year("data"))
+    upsert_table(spark, with_year(target), path, keys, parts, UPSERT_SCHEMA)
+    feed = upsert_table(spark, with_year(source), path, keys, parts, UPSERT_SCHEMA, keep_feed=True)
+    return rounded(feed.select(*keys, "op", F.col("old.valor").alias("old_valor"), F.col("new.valor").alias("new_valor")))
+
+
 WEEK_SCHEMA = T.StructType([*UPSERT_SCHEMA.fields, T.StructField("week", T.IntegerType())])
 
 
@@ -511,6 +539,54 @@ def q_lake_snapshot(spark, sf):
     return rounded(snap.select("series_name", "data", "valor", "batch_id"))
 
 
+SNAPSHOT_DAYS = ["2024-01-05", "2024-01-12", "2024-01-20", "2024-02-10"]
+
+
+def q_lake_snapshots(spark, sf):
+    """Snapshots of several days from the history table, which three runs of
+    ``bronze_to_silver`` built: the later batches come first, so the last runs
+    put their intervals between those that are there."""
+    from tslake.plans import pipeline
+
+    root = work_dir(spark, "history")
+    rows, manifests = materialized(tables.event_raw(spark, sf)), tables.event_manifests(spark, sf).drop("n_series", "n_failed")
+    day = F.dayofmonth("ingestion_date") % 3
+    for k in (2, 0, 1):
+        # a correction: each batch also restates the first day's value of its series
+        first = rows.where(day == k).withColumn("data", F.lit("01/01/2024"))
+        bronze.land(rows.where(day == k).unionByName(first), root)
+        bronze.write_manifests(manifests.where(day == k), root)
+        pipeline.bronze_to_silver(spark, root, history=True)
+    return rounded(pipeline.snapshots(spark, root, SNAPSHOT_DAYS))
+
+
+def q_content_reconcile(spark, sf):
+    """Objects changed after their manifest was written: the click objects of
+    every seventh day get another value in each row."""
+    root = work_dir(spark, "landing")
+    rows = materialized(tables.event_raw(spark, sf))
+    bronze.land(rows, root)
+    bronze.write_manifests(gate_ops.with_checks(tables.event_manifests(spark, sf).drop("n_series", "n_failed"), rows), root)
+    changed = rows.where((F.col("series_name") == LOST_SERIES) & (F.dayofmonth("ingestion_date") % 7 == 0))
+    bronze.land(changed.withColumn("valor", F.concat("valor", F.lit("1"))), root)
+    manifests = bronze.latest_manifests(bronze.read_manifests(spark, root))
+    return gate_ops.altered_objects(manifests, bronze.read_landed(spark, root, EVENT_ID_FIELD))
+
+
+CUT_LINES = 50  # every so many events land as a line that is cut off
+
+
+def q_rescued_lines(spark, sf):
+    """Landed lines that are no JSON objects end in the quarantine with their text."""
+    root = work_dir(spark, "landing")
+    ev = tables.event_raw(spark, sf)
+    cut = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"data":"'), F.col("data"), F.lit('","val'))
+    whole = F.to_json(F.struct("data", "valor", "event_id"))
+    lines = ev.select(F.when(F.col("event_id") % CUT_LINES == 0, cut).otherwise(whole).alias("value"), *gate_ops.BATCH_KEYS)
+    lines.write.partitionBy(*bronze.PARTITIONS).text(bronze.bronze_path(root))
+    return quarantine_rows(parse_raw(bronze.read_landed(spark, root))).select(*gate_ops.BATCH_KEYS, "raw_line", "reason")
+
+
 def q_stream_upsert(spark, sf):
     from tslake.sources.silver import read_silver, silver_path
     from tslake.streaming.stream import run_silver_stream
@@ -542,6 +618,67 @@ def q_pipeline_incremental_gold(spark, sf):
     return rounded(pipeline.read_gold(spark, root)[1])
 
 
+# gold_from_feed: rows before this day are first loaded at half their value and,
+# from the second day on, loaded again as they are; some are withdrawn (NULL).
+FEED_LOADED_UNTIL, FEED_FROM = "1999-06-01", "1998-01-01"
+WITHDRAWN_DAYS, WITHDRAWN_MONTHS = 5, [3, 9]
+# marts_incremental: what is loaded at first, and the old month corrected later.
+MART_LOADED_UNTIL, CORRECTED_MONTH = "1998-07-01", "1996-05-01"
+
+
+def _load_silver(spark, root, obs, batch: int):
+    from tslake.sources.silver import silver_path, upsert_silver
+
+    rows = obs.select(
+        "series_name",
+        "data",
+        "valor",
+        F.date_add(_date("2024-01-01"), batch).alias("ingestion_date"),
+        F.lit(f"b{batch}").alias("batch_id"),
+        F.lit(None).cast("timestamp").alias("ingestion_timestamp"),
+        F.year("data").alias("year"),
+        F.month("data").alias("month"),
+    )
+    upsert_silver(spark, rows, silver_path(root))
+
+
+def q_gold_from_feed(spark, sf):
+    """Gold brought up to date from Silver's change feed: new observations,
+    corrected ones and withdrawn ones. Returns the wide table."""
+    from tslake.plans import pipeline
+
+    root = work_dir(spark, "feed")
+    silver = materialized(macro_silver(spark, sf))
+    withdrawn = F.month("data").isin(WITHDRAWN_MONTHS) & (F.dayofmonth("data") <= WITHDRAWN_DAYS)
+    waves = [
+        silver.where(F.col("data") < _date(FEED_LOADED_UNTIL)).withColumn("valor", F.col("valor") * F.lit(0.5)),
+        silver.where(F.col("data") >= _date(FEED_FROM)).withColumn("valor", F.when(~withdrawn, F.col("valor"))),
+    ]
+    for i, wave in enumerate(waves):
+        _load_silver(spark, root, wave, i)
+        pipeline.silver_to_gold(spark, root)
+    return rounded(pipeline.read_gold(spark, root)[1])
+
+
+def q_marts_incremental(spark, sf):
+    """The feature mart after new months and the correction of an old one, of
+    which only the rows that read a changed cell were computed anew."""
+    from tslake.plans import pipeline
+
+    root = work_dir(spark, "marts")
+    silver = materialized(macro_silver(spark, sf))
+    corrected = F.trunc("data", "month") == _date(CORRECTED_MONTH)
+    waves = [
+        silver.where(F.col("data") < _date(MART_LOADED_UNTIL)),
+        silver.where((F.col("data") >= _date(MART_LOADED_UNTIL)) | corrected).withColumn("valor", F.when(corrected, F.col("valor") * F.lit(3.0)).otherwise(F.col("valor"))),
+    ]
+    for i, wave in enumerate(waves):
+        _load_silver(spark, root, wave, i)
+        pipeline.silver_to_gold(spark, root)
+        out = pipeline.marts(spark, root)
+    return rounded(out["mart_macro_credit_features"])
+
+
 def q_ingest_run(spark, sf):
     """Two runs of the ingestion step on the raw orders text. In the second,
     one series has new rows, one nothing new, one is past the run's day, and
@@ -609,10 +746,12 @@ QUERIES: dict[str, Query] = {
     "batch_id_sanitize": q_batch_id_sanitize,
     "request_windows_daily": q_request_windows_daily,
     "request_windows_monthly": q_request_windows_monthly,
+    "refetch_windows": q_refetch_windows,
     "upsert_merge": q_upsert_merge,
     "upsert_idempotent": q_upsert_idempotent,
     "upsert_out_of_order": q_upsert_out_of_order,
     "upsert_many_partitions": q_upsert_many_partitions,
+    "upsert_change_feed": q_upsert_change_feed,
     "monthly_avg": q_monthly_avg,
     "monthly_first": q_monthly_first,
     "monthly_mixed_frequency": q_monthly_mixed_frequency,
@@ -639,8 +778,13 @@ QUERIES: dict[str, Query] = {
     "landing_roundtrip": q_landing_roundtrip,
     "stream_upsert": q_stream_upsert,
     "lake_snapshot": q_lake_snapshot,
+    "lake_snapshots": q_lake_snapshots,
+    "content_reconcile": q_content_reconcile,
+    "rescued_lines": q_rescued_lines,
     "ingest_run": q_ingest_run,
     "pipeline_incremental_gold": q_pipeline_incremental_gold,
+    "gold_from_feed": q_gold_from_feed,
+    "marts_incremental": q_marts_incremental,
     "check_not_null": q_check_not_null,
     "check_unique_key": q_check_unique_key,
     "check_accepted_values": q_check_accepted_values,

@@ -36,8 +36,12 @@ def applied_path(root: str) -> str:
     return f"{root.rstrip('/')}/_control/applied"
 
 
+#: What is kept of a landed line that is no JSON object of the schema: the line itself.
+RAW_LINE = T.StructField("raw_line", T.StringType())
+
+
 def landed_schema(extra: Sequence[T.StructField] = ()) -> T.StructType:
-    return T.StructType(list(RAW.fields) + list(extra) + list(LANDING_PARTITIONS.fields))
+    return T.StructType([*RAW.fields, *extra, RAW_LINE, *LANDING_PARTITIONS.fields])
 
 
 def land(raw: DataFrame, root: str) -> None:
@@ -52,18 +56,12 @@ def land(raw: DataFrame, root: str) -> None:
     )
 
 
-# FIXED VALUES: characters that Hive-style partition folder names escape as
-# %XX (as Spark writes them), and the metacharacters of Hadoop glob patterns.
-PATH_ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(i) for i in range(1, 32)}
-GLOB_SPECIAL = set("{}[]*?,\\")
-
-
 def _escaped(value: str) -> str:
-    return "".join(f"%{ord(c):02X}" if c in PATH_ESCAPED else c for c in value)
+    return "".join(f"%{ord(c):02X}" if c in versioned.PATH_ESCAPED else c for c in value)
 
 
 def _folder_value(value: str) -> str:
-    return "".join("\\" + c if c in GLOB_SPECIAL else c for c in _escaped(value))
+    return "".join("\\" + c if c in versioned.GLOB_SPECIAL else c for c in _escaped(value))
 
 
 def batch_folder(root: str, ingestion_date, batch_id: str) -> str:
@@ -76,7 +74,8 @@ def read_landed(
     extra: Sequence[T.StructField] = (),
     batches: Sequence[tuple] | None = None,
 ) -> DataFrame:
-    """Landed rows in one scan (explicit schema).
+    """Landed rows in one scan (explicit schema). A line that cannot be read is a
+    row without values whose text is in ``raw_line``; it is NULL elsewhere.
 
     Without ``batches`` the whole landing zone is read. With ``batches`` —
     ``(ingestion_date, batch_id)`` pairs taken from manifests — exactly these
@@ -85,7 +84,7 @@ def read_landed(
     schema = landed_schema(extra)
     base = bronze_path(root)
     if batches is None:
-        return spark.read.schema(schema).json(base)
+        return spark.read.schema(schema).option("columnNameOfCorruptRecord", RAW_LINE.name).json(base)
     folders = [
         f"{base}/ingestion_date={day}/batch_id={_folder_value(batch)}"
         for day, batch in sorted({(str(d), str(b)) for d, b in batches})
@@ -93,7 +92,7 @@ def read_landed(
     ]
     if not folders:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", base).json(folders)
+    return spark.read.schema(schema).option("basePath", base).option("columnNameOfCorruptRecord", RAW_LINE.name).json(folders)
 
 
 def read_reference_layout(spark: SparkSession, root: str) -> DataFrame:
@@ -113,9 +112,11 @@ def read_reference_layout(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_manifests(manifests: DataFrame, root: str) -> None:
-    """Append manifests (batch_id, ingestion_date, series map, status). Each
-    write adds new uniquely named files: a stream over this folder sees every
+    """Append manifests (batch_id, ingestion_date, series map, status, and the
+    rows' checks if there are any). Each write adds new uniquely named files: a stream over this folder sees every
     attempt, and no file is ever rewritten in place."""
+    if "checks" not in manifests.columns:
+        manifests = manifests.withColumn("checks", F.lit(None).cast(MANIFEST["checks"].dataType))
     manifests.select(*MANIFEST.fieldNames()).coalesce(1).write.mode("append").json(manifests_path(root))
 
 

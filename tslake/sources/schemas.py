@@ -24,13 +24,16 @@ LANDING_PARTITIONS = T.StructType(
     ]
 )
 
-# One manifest per batch attempt: series -> status, plus the batch status.
+# One manifest per batch attempt: series -> status, plus the batch status, and
+# what the landed rows of a series add up to (``operators.gate.content_checks``;
+# NULL where the writer left none).
 MANIFEST = T.StructType(
     [
         T.StructField("batch_id", T.StringType(), True),
         T.StructField("ingestion_date", T.DateType(), True),
         T.StructField("series", T.MapType(T.StringType(), T.StringType()), True),
         T.StructField("status", T.StringType(), True),
+        T.StructField("checks", T.MapType(T.StringType(), T.StringType()), True),
     ]
 )
 
