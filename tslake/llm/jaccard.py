@@ -7,44 +7,29 @@ by k. Its domain (the shingle hashes) is dealt into n1 parts, of which one at
 least holds at most one difference, and each part into n2 pieces; a signature
 is the content of a part less one piece, so at least one of the n1 * n2
 signatures of two similar sets is equal. Candidates are thinned by the parity
-sketch, whose Hamming distance never exceeds that of the sets, and checked
-exactly on the sets.
-
-Copies of one set are joined first and represented by their smallest doc_id; a
-doc_id whose rows have different sets is linked with the representative of each.
-Then the representatives sharing a signature are linked to the smallest of them
-(a star, no pairs within the group), and in a second round members of a
-signature whose components are still different are compared across components.
-So every link between different components is found, without the pairs of a
-group that is already one.
-
-Shingles are known by 64-bit hashes; equality of sets by two 64-bit sums and
-the size. Defined results: null text or one without words has an empty set and
-links with nothing; a text with fewer words than a shingle has its whole
-sequence as one; a doc_id on several rows is one document whose links are those
-of any of its rows; a row without doc_id links with nothing and has a null
-component; an empty table gives no rows.
+sketch, whose Hamming distance never exceeds that of the sets, and confirmed on
+the sets of shingles themselves, compared as text. How signatures become links
+and components, and all defined results, are told in ``tslake.llm.linking``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tslake.llm import files
-from tslake.llm.common import SPACED, mix64, row_blocks, shingle_hashes, text_buffer, word_hashes
-from tslake.llm.components import components
+from tslake.llm import linking
+from tslake.llm.common import mix64
 
 WORDS = 3
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 90
-SKETCH_LONGS = 16
-
-FEATURES = "doc_id long, n_shingles long, k1 long, k2 long, sketch array<long>, signatures array<long>"
+#: Longs of a parity sketch, and the shingles from which on there is a longer one as
+#: well, with twice as many, and so on.
+SKETCH_LONGS, SKETCH_SIZE = 16, 1000
+PLACES = [f"p{i}" for i in range(SKETCH_LONGS)]
+TRAITS = ", ".join([*(f"{p} long" for p in PLACES), "more array<long>"])
 
 
 def budget(sizes, percent: int = PERCENT):
@@ -64,21 +49,12 @@ def parts(end: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarr
     """(n1, n2) of instances by their band's upper end; n1 is 0 where only equal sets link.
 
     Small sets get more pieces, so that a signature still covers enough shingles,
-    and so do large ones below 85 %, whose parts are half as large as at 90 %.
+    and so do all below 85 %, whose parts are half as large as at 90 %.
     """
     k = budget(2 * end, percent)
     return np.where(k > 0, (k + 2) // 2, 0), np.where(end < 60, 4, np.where((end < 200) | (percent < 85), 3, 2))
 
 
-def sets_of(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of consecutive texts, and where each text's begin."""
-    hashes, begins = shingle_hashes(*word_hashes(data, offsets, SPACED), words)
-    found = [np.unique(hashes[a:b]) for a, b in zip(begins[:-1], begins[1:])]
-    at = np.zeros(len(found) + 1, np.int64)
-    np.cumsum([len(x) for x in found], out=at[1:])
-    return np.concatenate(found) if found else hashes, at
-
-
 def _signatures(elements: np.ndarray, owner: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(owner, signature) of all sets in both of their instances."""
     ends = bands(int(sizes.max(initial=1)), percent)
@@ -112,124 +88,60 @@ def _signatures(elements: np.ndarray, owner: np.ndarray, sizes: np.ndarray, perc
     return np.concatenate(owners), np.concatenate(signatures)
 
 
-def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))
-
+def sketches(elements: np.ndarray, at: np.ndarray) -> list[pa.Array]:
+    """The parity of a set's elements in each of a number of places, as so many
+    columns of 64 places each. Sets from ``SKETCH_SIZE`` shingles on have a longer
+    sketch as well, so that it still tells how far two of them are apart. A
+    sketch folded in the middle is that of half as many places."""
+    sizes, n = np.diff(at), len(at) - 1
+    longs = SKETCH_LONGS << np.ceil(np.log2(np.maximum(sizes, 1) / SKETCH_SIZE)).clip(0).astype(np.int64)
+    short = _parities(elements, at, np.full(n, SKETCH_LONGS)).reshape(n, SKETCH_LONGS)
+    longs[longs == SKETCH_LONGS] = 0
+    inside = np.repeat(longs > 0, sizes)
+    more = _parities(elements[inside], np.append(0, np.cumsum(sizes[longs > 0])), longs[longs > 0])
+    return [*(pa.array(np.ascontiguousarray(short[:, i])) for i in range(SKETCH_LONGS)), linking.lists(more, np.append(0, np.cumsum(longs)))]
 
-def features(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """Per row: size, identity, parity sketch and signatures of its text's set."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
-            for lo, hi in row_blocks(offsets):
-                elements, at = sets_of(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], words)
-                sizes, n = np.diff(at), hi - lo
-                owner = np.repeat(np.arange(n), sizes)
-                sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(elements ^ np.uint64(seed)), dtype=np.uint64)]) for seed in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
-                keys = [(s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums]
-                bits = np.bincount(owner * 64 * SKETCH_LONGS + (mix64(elements) >> np.uint64(54)).astype(np.int64) % (64 * SKETCH_LONGS), minlength=n * 64 * SKETCH_LONGS) & 1
-                sketch = np.packbits(bits.astype(np.uint8)).view(np.int64)
-                who, signature = _signatures(elements, owner, sizes, percent)
-                order = np.argsort(who, kind="stable")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(lo, n),
-                        pa.array(sizes),
-                        *map(pa.array, keys),
-                        _lists(sketch, np.arange(n + 1) * SKETCH_LONGS),
-                        _lists(signature[order], np.searchsorted(who[order], np.arange(n + 1))),
-                    ],
-                    names=["doc_id", "n_shingles", "k1", "k2", "sketch", "signatures"],
-                )
+def _parities(elements: np.ndarray, at: np.ndarray, longs: np.ndarray) -> np.ndarray:
+    sizes, begins = np.diff(at), np.append(0, np.cumsum(longs))
+    place = mix64(elements) & (np.repeat(longs, sizes) * 64 - 1).astype(np.uint64)
+    bits = np.bincount(np.repeat(begins[:-1] * 64, sizes) + place.astype(np.int64), minlength=int(begins[-1]) * 64) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, FEATURES)
 
+def _apart(x: str, y: str) -> str:
+    return f"aggregate(zip_with({x}, {y}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
 
-def sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id and its set as an array of hashes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
-            for lo, hi in row_blocks(offsets):
-                elements, at = sets_of(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], words)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), _lists(elements, at)], names=["doc_id", "elements"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, elements array<long>")
+def _folded(x: str) -> str:
+    half = f"size({x}) div 2"
+    return f"zip_with(slice({x}, 1, {half}), slice({x}, {half} + 1, {half}), (x, y) -> x ^ y)"
 
 
 def _near(a: str, b: str, percent: int) -> Column:
     """Whether sizes and sketches leave a link possible."""
-    most = F.expr(f"({a}.n_shingles + {b}.n_shingles) * {100 - percent}")
-    apart = F.expr(f"aggregate(zip_with({a}.sketch, {b}.sketch, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)")
-    sizes = F.expr(f"100 * least({a}.n_shingles, {b}.n_shingles) >= {percent} * greatest({a}.n_shingles, {b}.n_shingles)")
-    return F.when(sizes, apart * (100 + percent) <= most).otherwise(False)
-
+    most = f"({a}n_shingles + {b}n_shingles) * {100 - percent}"
+    sizes = f"100 * least({a}n_shingles, {b}n_shingles) >= {percent} * greatest({a}n_shingles, {b}n_shingles)"
+    short = " + ".join(f"bit_count({a}{p} ^ {b}{p})" for p in PLACES)
+    x, y = f"{a}more", f"{b}more"
+    longer = (
+        f"CASE WHEN size({x}) = 0 OR size({y}) = 0 THEN 0 WHEN size({x}) = size({y}) THEN {_apart(x, y)}"
+        f" WHEN size({x}) = 2 * size({y}) THEN {_apart(_folded(x), y)} WHEN size({y}) = 2 * size({x}) THEN {_apart(x, _folded(y))} ELSE 0 END"
+    )
+    return F.expr(f"CASE WHEN NOT ({sizes}) THEN false WHEN ({short}) * {100 + percent} > {most} THEN false ELSE ({longer}) * {100 + percent} <= {most} END")
 
-def _linked(docs: DataFrame, pairs: DataFrame, percent: int, words: int, name: str, made: list[str]) -> DataFrame:
-    """The pairs (a, b) whose sets link, by their exact intersection."""
-    spark = docs.sparkSession
-    pairs = files.settled(spark, pairs, f"{name}-pairs", made)
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    held = files.settled(spark, sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), words), f"{name}-sets", made)
-    left = held.select(F.col("doc_id").alias("a"), F.col("elements").alias("ea"))
-    right = held.select(F.col("doc_id").alias("b"), F.col("elements").alias("eb"))
-    same = F.size(F.array_intersect("ea", "eb"))
-    joined = pairs.join(left, "a").join(right, "b").withColumn("same", same)
-    return joined.filter(100 * F.col("same") >= percent * (F.size("ea") + F.size("eb") - F.col("same"))).select("a", "b").distinct()
 
+def method(percent: int = PERCENT, words: int = WORDS) -> linking.Method:
+    def signatures(elements: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.diff(at)
+        return _signatures(elements, np.repeat(np.arange(len(sizes)), sizes), sizes, percent)
 
-def _several(known: DataFrame) -> DataFrame:
-    """The doc_ids whose rows have different sets."""
-    key = ("n_shingles", "k1", "k2")
-    ends = known.filter("doc_id is not null").groupBy("doc_id").agg(*[f(c).alias(f"{n}_{c}") for c in key for n, f in (("low", F.min), ("high", F.max))])
-    return ends.filter(" or ".join(f"low_{c} < high_{c}" for c in key)).select("doc_id")
+    return linking.Method("jaccard", words, percent, signatures, TRAITS, sketches, lambda a, b: _near(a, b, percent))
 
 
 def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
-    spark = docs.sparkSession
-    made: list[str] = []  # tables that only the way to the components needs
-    known = files.settled(spark, features(docs, percent, words), "jaccard-features")
-    copies = known.filter("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "k1", "k2").agg(F.min("doc_id").alias("rep"))
-    copies = files.settled(spark, copies, "jaccard-copies")
-    reps = known.join(copies.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").withColumnRenamed("doc_id", "rep")
-
-    signed = reps.select("rep", F.explode("signatures").alias("signature"))
-    shared = signed.groupBy("signature").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).filter("leader < last").select("signature", "leader")
-    members = files.settled(spark, signed.join(shared, "signature"), "jaccard-members", made)
-    traits = reps.select("rep", "n_shingles", "sketch")
-
-    def trait(alias: str) -> DataFrame:
-        return traits.select(F.col("rep").alias(alias), F.struct("n_shingles", "sketch").alias(f"t{alias}"))
-
-    stars = members.filter("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    stars = stars.join(trait("a"), "a").join(trait("b"), "b").filter(_near("ta", "tb", percent)).select("a", "b").distinct()
-    links = files.settled(spark, _linked(docs, stars, percent, words, "jaccard-stars", made), "jaccard-links", made)
-    first = files.settled(spark, components(links), "jaccard-first")
-
-    # members of a signature whose components still differ
-    placed = members.join(first, members["rep"] == first["node"], "left").select("signature", "rep", F.coalesce("component", "rep").alias("component"))
-    split = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("signature")
-    placed = placed.join(split, "signature", "left_semi").join(trait("rep"), "rep")
-    placed = files.settled(spark, placed, "jaccard-placed", made)
-    x, y = placed.alias("x"), placed.alias("y")
-    across = x.join(y, (F.col("x.signature") == F.col("y.signature")) & (F.col("x.component") < F.col("y.component")) & _near("x.trep", "y.trep", percent))
-    across = across.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    more = _linked(docs, across, percent, words, "jaccard-across", made)
-
-    several = files.settled(spark, _several(known), "jaccard-several")
-    own = known.join(several, "doc_id", "left_semi").select("doc_id", "n_shingles", "k1", "k2").distinct()
-    own = own.join(copies, ["n_shingles", "k1", "k2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    whole = files.settled(spark, components(links.unionByName(more).unionByName(own)), "jaccard-whole")
-    files.remove(spark, made)
-    named = copies.join(whole, copies["rep"] == whole["node"], "left").select("n_shingles", "k1", "k2", F.coalesce("component", "rep").alias("component"))
-    out = known.select("doc_id", "n_shingles", "k1", "k2").join(named, ["n_shingles", "k1", "k2"], "left")
-    # a row without words has the component of its doc_id's other rows
-    whole = whole.join(several, whole["node"] == several["doc_id"], "left_semi").select(F.col("node").alias("doc_id"), F.col("component").alias("by_id"))
-    out = out.join(whole, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "by_id", "doc_id")).alias("component_id"))
+    return linking.join(docs, method(percent, words))
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -244,19 +156,9 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) ->
     return first.select(*docs.columns).unionByName(docs.filter("doc_id is null").select(*docs.columns))
 
 
-SQL = rf"""
-WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id,
-  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-s AS (SELECT rid, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {WORDS} THEN [array_to_string(ws, ' ')]
-        ELSE list_transform(range(1, len(ws) - {WORDS} + 2), lambda i: array_to_string(ws[i:i + {WORDS} - 1], ' ')) END) AS g FROM d),
-e AS (SELECT rid, unnest(g) AS x FROM s),
-n AS (SELECT rid, len(g) AS n FROM s),
-p AS (SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.rid < b.rid GROUP BY ALL),
-l AS (SELECT a, b FROM p JOIN n na ON na.rid = a JOIN n nb ON nb.rid = b WHERE 100 * c >= {PERCENT} * (na.n + nb.n - c)),
-both_ AS (SELECT da.doc_id AS a, db.doc_id AS b FROM l JOIN d da ON da.rid = a JOIN d db ON db.rid = b
-          WHERE da.doc_id IS NOT NULL AND db.doc_id IS NOT NULL),
-g AS (SELECT a, b FROM both_ UNION SELECT b, a FROM both_),
-reach(v, r) AS (SELECT DISTINCT doc_id, doc_id FROM d WHERE doc_id IS NOT NULL UNION SELECT reach.v, g.b FROM reach JOIN g ON reach.r = g.a)
-SELECT d.doc_id, n.n::BIGINT AS n_shingles, m.r AS component_id
-FROM d JOIN n USING (rid) LEFT JOIN (SELECT v, min(r) AS r FROM reach GROUP BY v) m ON m.v = d.doc_id
-"""
+def sql(percent: int = PERCENT, words: int = WORDS) -> str:
+    """DuckDB SQL for the rows of ``join``."""
+    return linking.sql(percent, words)
+
+
+SQL = sql()
