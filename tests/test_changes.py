@@ -268,3 +268,21 @@ def test_holes_against_days(spark):
         mine = sorted((r.start_date, r.end_date) for r in got if r.series_name == name)
         assert [d for a, b in mine for d in sorted(days(a, b))] == sorted(open_)
         assert all((y[0] - x[1]).days > 1 for x, y in zip(mine, mine[1:]))  # each hole is one span
+
+
+def test_manifests_from_snapshot_and_tail(spark, tmp_root):
+    from tslake.sources import bronze
+
+    schema = "batch_id string, ingestion_date date, series map<string,string>, status string"
+    write = lambda *rows: bronze.write_manifests(spark.createDataFrame([(b, D(2024, 1, d), {"a": s}, s) for b, d, s in rows], schema), tmp_root)
+    latest = lambda: sorted((r.batch_id, r.ingestion_date, r.status) for r in bronze.latest_manifests(bronze.read_manifests(spark, tmp_root)).collect())
+    write(("b1", 1, "failed"))
+    write(("b2", 2, "committed"))
+    before = latest()
+    assert bronze.snapshot_manifests(spark, tmp_root) == 2 and latest() == before and bronze.manifest_tail(spark, tmp_root) == 0
+    assert all("manifest_log" in f for f in bronze.read_manifests(spark, tmp_root).inputFiles())
+    write(("b1", 1, "committed"))
+    write(("b2", 2, "failed"), ("b3", 3, "failed"))
+    want = [("b1", D(2024, 1, 1), "committed"), ("b2", D(2024, 1, 2), "committed"), ("b3", D(2024, 1, 3), "failed")]
+    assert latest() == want and sum(f.endswith(".json") for f in bronze.read_manifests(spark, tmp_root).inputFiles()) == 2
+    assert bronze.snapshot_manifests(spark, tmp_root) == 4 == bronze.snapshot_manifests(spark, tmp_root) and latest() == want

@@ -382,8 +382,16 @@ def test_quality_report_of_a_lake_root(spark, tmp_root):
     pipeline.bronze_to_silver(spark, tmp_root)
     pipeline.silver_to_gold(spark, tmp_root)
     report = pipeline.quality_report(spark, tmp_root).collect()
-    assert len(report) == 8 and all(r.violations == 0 for r in report)
-    assert {(r.table, r.check_name) for r in report} >= {("gold", "unique"), ("silver", "not_null"), ("catalog", "accepted_values")}
+    assert len(report) == 9 and all(r.violations == 0 for r in report)
+    assert {(r.table, r.check_name) for r in report} >= {("gold", "unique"), ("silver", "not_null"), ("catalog", "accepted_values"), ("bronze", "altered_object")}
+    # rows that change after the manifest was written are seen, another order of rows is not
+    landed = bronze.read_landed(spark, tmp_root).drop("raw_line")
+    rewritten = spark.createDataFrame(sorted(landed.collect(), key=repr, reverse=True), landed.schema)
+    bronze.land(rewritten, tmp_root)
+    altered = lambda: {r.check_name: r.violations for r in pipeline.quality_report(spark, tmp_root).collect()}["altered_object"]
+    assert altered() == 0
+    bronze.land(rewritten.where("series_name = 'ipca'").withColumn("valor", F.lit("0.3")), tmp_root)
+    assert altered() == 1
 
 
 def test_cli_steps_in_their_own_processes(spark, tmp_root):

@@ -50,13 +50,19 @@ def build(obs: DataFrame, commit: int) -> DataFrame:
         F.sum(F.coalesce(_exact(valor), F.lit(0).cast(DECIMAL))).cast(DECIMAL).alias("total"),
         _count(~_inside(valor)).alias("n_outside"),
         first.alias("_first"),
-        F.avg("valor").alias("mean"),
+        F.avg("valor").alias("_avg"),
     )
+    mean = F.when(F.col("n_outside") == 0, _mean(F.col("total"), F.col("n"))).otherwise(F.col("_avg"))
     return grouped.select(
-        *CELL, "n", "total", "n_outside", F.col("_first.data").alias("first_data"), F.col("_first.valor").alias("first_valor"), "mean", F.lit(commit).cast("long").alias("commit")
+        *CELL, "n", "total", "n_outside", F.col("_first.data").alias("first_data"), F.col("_first.valor").alias("first_valor"), mean.alias("mean"), F.lit(commit).cast("long").alias("commit")
     )
 
 
+def _mean(total: Column, n: Column) -> Column:
+    """The mean of values inside the range; no order of sums decides its last bit."""
+    return F.when(n > 0, total.cast("double") / n)
+
+
 def changes(feed: DataFrame) -> DataFrame:
     """What a feed (series_name, data, old, new) adds to each cell: a row per
     cell, however many observations of it changed."""
@@ -96,7 +102,7 @@ def apply(state: DataFrame, change: DataFrame, commit: int) -> DataFrame:
         F.when(touched, F.lit(commit).cast("long")).otherwise(F.col("commit")).alias("commit"),
         (touched & (F.coalesce(withdrawn, F.lit(False)) | (plus("n_outside") > 0))).alias("stale"),
     )
-    exact = F.when(F.col("n") > 0, F.col("total").cast("double") / F.col("n"))
+    exact = _mean(F.col("total"), F.col("n"))
     return out.withColumn("mean", F.when(F.col("commit") == commit, exact).otherwise(F.col("_mean"))).select(*STATE_COLUMNS, "stale")
 
 

@@ -171,18 +171,19 @@ def affected_rows(cells: DataFrame, added: DataFrame, features: Sequence[Feature
     return by_position.union(by_calendar).union(moved).distinct().join(axis.select("month_idx"), "month_idx", "left_semi")
 
 
-def wide_features(long: DataFrame, features: Sequence[Feature], axis: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
-    """One row per month of the axis with the requested feature columns.
+def wide_cells(long: DataFrame, needs: Sequence[tuple[str, int, bool]], axis: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """One row per month of the axis with the cells (series, k, calendar) that
+    features read (``dependencies``), in one aggregation whatever the number of
+    features. ``select_features`` makes features of them.
 
     ``long`` is Gold in long form (``series_name, reference_month, valor``);
     the axis is taken from all of it, as the wide table's rows are. With
     ``rows`` (month_idx) only these months' rows are computed.
     """
-    cells = sorted(set().union(*(f.cells() for f in features)))
-    names = [_cell(s, k, cal) for s, k, cal in cells]
+    names = [_cell(s, k, cal) for s, k, cal in needs]
     axis = month_axis(long) if axis is None else axis
-    positional = [(s, k) for s, k, cal in cells if not (cal and k)]
-    calendar = [(s, k) for s, k, cal in cells if cal and k]
+    positional = [(s, k) for s, k, cal in needs if not (cal and k)]
+    calendar = [(s, k) for s, k, cal in needs if cal and k]
     parts = []
     if positional:
         series = sorted({s for s, _ in positional})
@@ -199,7 +200,16 @@ def wide_features(long: DataFrame, features: Sequence[Feature], axis: DataFrame
     if rows is not None:
         shifted, axis = shifted.join(rows, "month_idx", "left_semi"), axis.join(rows, "month_idx", "left_semi")
     pivoted = shifted.groupBy("month_idx").agg(
-        *(F.max(F.when(F.col("_cell") == n, F.col("valor"))).alias(n) for n in names)
+        *(F.max(F.when(F.col("_cell") == n, F.col("valor"))).alias(n) for n in dict.fromkeys(names))
     )
-    wide = axis.join(pivoted, "month_idx", "left")
-    return wide.select("reference_month", *(_expr(f).alias(f.name) for f in features))
+    return axis.join(pivoted, "month_idx", "left")
+
+
+def select_features(cells: DataFrame, features: Sequence[Feature]) -> DataFrame:
+    return cells.select("reference_month", *(_expr(f).alias(f.name) for f in features))
+
+
+def wide_features(long: DataFrame, features: Sequence[Feature], axis: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """One row per month of the axis (or of ``rows``) with the requested feature
+    columns."""
+    return select_features(wide_cells(long, dependencies(features), axis, rows), features)

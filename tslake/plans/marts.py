@@ -10,7 +10,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
-from tslake.operators.features import Feature, affected_rows, wide_features
+from tslake.operators.features import Feature, affected_rows, dependencies, select_features, wide_cells, wide_features
 from tslake.operators.small import small_side
 from tslake.operators.upsert import merge_frames
 
@@ -108,4 +108,8 @@ def update_mart(
 
 
 def build_marts(gold_long: DataFrame, axis: DataFrame | None = None) -> dict[str, DataFrame]:
-    return {name: build_mart(gold_long, name, axis) for name in MARTS}
+    """All marts from one aggregation: the cells that any of them reads, one row
+    per month, are computed once, and each mart is a projection of them."""
+    needs = sorted({need for feats in MARTS.values() for need in dependencies(feats)})
+    cells = small_side(wide_cells(gold_long, needs, axis))
+    return {name: select_features(cells, feats) for name, feats in MARTS.items()}

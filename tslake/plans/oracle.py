@@ -318,6 +318,9 @@ SELECT batch_id, ingestion_date FROM batch b
 WHERE status = 'committed' AND NOT EXISTS (
   SELECT 1 FROM batch a WHERE a.batch_id = b.batch_id AND a.status = 'committed'
     AND a.ingestion_date <= DATE '2024-01-10')""",
+    "pending_batches_log": f"""WITH {EVENTS}
+SELECT batch_id, ingestion_date FROM batch
+WHERE (status = 'committed' AND ingestion_date > DATE '2024-01-10') OR (status = 'failed' AND ingestion_date <= DATE '2024-01-10')""",
     "carry_forward_batch": f"""WITH {EVENTS}
 SELECT batch_id, ingestion_date, series_name,
   last_value(CASE WHEN batch_status = 'committed' AND series_status IN ('new_data', 'success') THEN batch_id END

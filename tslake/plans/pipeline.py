@@ -24,7 +24,7 @@ from tslake.operators.normalize import clean_rows, parse_raw, quarantine_rows
 from tslake.operators.publish import ParquetTarget, materialize, publish
 from tslake.operators.small import small_side
 from tslake.operators.state import after_watermark, classify
-from tslake.plans.marts import MARTS, build_mart, build_marts, update_mart
+from tslake.plans.marts import MARTS, build_marts, update_mart
 from tslake.session import checkpoint_root, work_dir
 from tslake.sources import bronze, versioned
 from tslake.sources.catalog import SERIES_NAMES, catalog_frame
@@ -199,6 +199,10 @@ def _pending(spark: SparkSession, root: str):
 
 
 # ---- Bronze -> Silver -----------------------------------------------------
+#: Manifest files after which a run puts them into the snapshot.
+MANIFEST_TAIL = 64
+
+
 def quarantine_path(root: str) -> str:
     return f"{root.rstrip('/')}/quarantine"
 
@@ -275,7 +279,10 @@ def bronze_to_silver(
     manifests = _read_manifests_or_none(spark, root)
     if manifests is None:
         return spark.createDataFrame([], APPLIED_SCHEMA)
-    return apply_batches(spark, root, manifests, metrics, partitions, history)
+    applied = apply_batches(spark, root, manifests, metrics, partitions, history)
+    if bronze.manifest_tail(spark, root) >= MANIFEST_TAIL:
+        bronze.snapshot_manifests(spark, root)
+    return applied
 
 
 # ---- Silver -> Gold -> warehouse -> marts ----------------------------------
@@ -366,7 +373,7 @@ def marts(spark: SparkSession, root: str, database: str | None = None, increment
         return {name: materialize_table(df, f"`{database}`.`{name}`") for name, df in build_marts(long, small_side(month_axis(long))).items()}
     # the commit of the cells that Gold was made of
     commit = (versioned.note(spark, _gold_paths(root)[0]) or {}).get("cells")
-    axis, state, out = None, None, {}
+    axis, state, fresh, out = None, None, None, {}
     for name in MARTS:
         path = f"{root.rstrip('/')}/marts/{name}"
         seen = (versioned.note(spark, path) or {}).get("cells")
@@ -376,7 +383,8 @@ def marts(spark: SparkSession, root: str, database: str | None = None, increment
         else:
             axis = small_side(month_axis(long)) if axis is None else axis
             if mart is None:
-                out[name] = materialize(build_mart(long, name, axis), path, {"cells": commit})
+                fresh = build_marts(long, axis) if fresh is None else fresh
+                out[name] = materialize(fresh[name], path, {"cells": commit})
                 count = None
             else:
                 state = versioned.read(spark, cells_path(root), cells.STATE) if state is None else state

@@ -214,6 +214,22 @@ def q_pending_batches(spark, sf):
     return gate_ops.pending_batches(manifests, applied)
 
 
+def q_pending_batches_log(spark, sf):
+    """Pending batches from the manifests of a lake root: a snapshot of those up to
+    the last applied day, the files written since, and one batch more whose
+    first attempt failed and is in the snapshot."""
+    root = work_dir(spark, "manifests")
+    manifests = materialized(tables.event_manifests(spark, sf).drop("n_series", "n_failed"))
+    early = F.col("ingestion_date") <= _date(APPLIED_UNTIL)
+    bronze.write_manifests(manifests.where(early), root)
+    retried = manifests.where(early & (F.col("status") == "failed"))
+    bronze.snapshot_manifests(spark, root)
+    bronze.write_manifests(manifests.where(~early), root)
+    bronze.write_manifests(retried.withColumn("status", F.lit("committed")), root)
+    applied = manifests.where(early & (F.col("status") == "committed"))
+    return gate_ops.pending_batches(bronze.latest_manifests(bronze.read_manifests(spark, root)), applied)
+
+
 def q_carry_forward_batch(spark, sf):
     return carry_forward(tables.event_entries(spark, sf)).select(
         "batch_id", "ingestion_date", "series_name", "source_batch_id"
@@ -740,6 +756,7 @@ QUERIES: dict[str, Query] = {
     "batch_status_rollup": q_batch_status_rollup,
     "committed_gate": q_committed_gate,
     "pending_batches": q_pending_batches,
+    "pending_batches_log": q_pending_batches_log,
     "carry_forward_batch": q_carry_forward_batch,
     "snapshot_as_of": q_snapshot_as_of,
     "manifest_reconcile": q_manifest_reconcile,

@@ -120,8 +120,53 @@ def write_manifests(manifests: DataFrame, root: str) -> None:
     manifests.select(*MANIFEST.fieldNames()).coalesce(1).write.mode("append").json(manifests_path(root))
 
 
+def manifest_log_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_control/manifest_log"
+
+
+def _tail(spark: SparkSession, root: str) -> tuple[DataFrame | None, list[str], list[str]]:
+    """(the snapshot of the manifests or None, the files it was made of, the files
+    written since)."""
+    path = manifest_log_path(root)
+    note = versioned.note(spark, path)
+    known = note["files"] if note else []
+    tail = sorted(set(versioned.names(spark, manifests_path(root), ".json")) - set(known))
+    return versioned.read(spark, path, MANIFEST) if note else None, known, tail
+
+
+def _manifest_files(spark: SparkSession, root: str, files: Sequence[str]) -> DataFrame:
+    if not files:
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).json([f"{manifests_path(root)}/{name}" for name in files])
+
+
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(MANIFEST).json(manifests_path(root))
+    """All manifests: the snapshot, if there is one, and the files written since;
+    without a snapshot all files in one scan."""
+    snapshot, _, tail = _tail(spark, root)
+    if snapshot is None:
+        return spark.read.schema(MANIFEST).json(manifests_path(root))
+    return snapshot.unionByName(_manifest_files(spark, root, tail)) if tail else snapshot
+
+
+def manifest_tail(spark: SparkSession, root: str) -> int:
+    """How many manifest files the snapshot does not hold."""
+    note = versioned.note(spark, manifest_log_path(root))
+    return len(set(versioned.names(spark, manifests_path(root), ".json")) - set(note["files"] if note else []))
+
+
+def snapshot_manifests(spark: SparkSession, root: str) -> int:
+    """Put the deciding manifest of every batch into one Parquet snapshot, which
+    takes the place of all files written so far for readers; returns how many
+    files it is made of. The files stay, for the stream that reads them as they
+    come. The snapshot's names of files are its state: a name per batch attempt."""
+    snapshot, known, tail = _tail(spark, root)
+    if not tail:
+        return len(known)
+    rows = _manifest_files(spark, root, tail)
+    rows = latest_manifests(rows if snapshot is None else snapshot.unionByName(rows))
+    versioned.replace(rows.select(*MANIFEST.fieldNames()).coalesce(1), manifest_log_path(root), {"files": sorted([*known, *tail])})
+    return len(known) + len(tail)
 
 
 def read_reference_manifests(spark: SparkSession, path: str) -> DataFrame:
