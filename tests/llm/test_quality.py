@@ -23,6 +23,9 @@ TEXTS = [
     " ".join(f"w{i}" for i in range(50)) + ".",
     "é ñ " * 30,
     " ".join(f"n{i % 9000}" for i in range(40000)) + ".",
+    " ".join(f"word{i}" for i in range(400)) + " and our privacy policy says more, as do the terms of use " + " ".join(f"word{i}" for i in range(400, 600)),
+    " ".join(f"mot{i}" for i in range(200)) + " « un » puis « deux » puis « trois » puis " + " ".join(f"mot{i}" for i in range(200, 400)) + ".",
+    "\n".join([GOOD % ((i,) * 7) for i in range(8)] + ["About us » Contact » News » Jobs and careers", "See our Privacy Policy."]),
 ]
 
 
@@ -57,4 +60,5 @@ def test_clean(spark):
     assert quality.clean(df).columns == df.columns
     assert kept[3].text == TEXTS[3] and kept[4].text == TEXTS[3] and kept[5].text == TEXTS[3]
     assert not {0, 1, 2, 6, 7, 8, 9, 11} & set(kept) and 12 in kept and kept[3].kept == "clash"
+    assert kept[15].text == TEXTS[15] and kept[16].text == TEXTS[16] and kept[17].text == TEXTS[3]
     assert quality.report(df.limit(0)).count() == 0

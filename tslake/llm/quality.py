@@ -5,8 +5,11 @@ Every line of a text with a word in it is judged on its own:
 - punctuation: more than ``SYMBOL_SHARE`` of its visible characters are
   symbols, or more than ``SHOUT_SHARE`` are exclamation or question marks, or
   it has fewer than ``FRAGMENT_GAPS`` blanks and does not end a sentence;
-- navigation: ``NAV_MARKS`` separators or more between its entries;
-- boilerplate: it holds one of the phrases ``BOILERPLATE``.
+- navigation: ``NAV_MARKS`` separators or more between short entries, of
+  ``NAV_ENTRY`` visible characters each on average, or fewer;
+- boilerplate: it holds one of the phrases ``BOILERPLATE`` and is at most
+  ``BOILERPLATE_SPAN`` times as long as the phrase, so that a paragraph that once
+  mentions one stands.
 
 Failing lines are removed; a document is rejected when the removed lines held
 more than ``MAX_LOST`` of its visible characters, or by the base rules.
@@ -34,7 +37,8 @@ MAX_REPEAT_PERCENT = 50
 SYMBOL_SHARE = 0.1
 SHOUT_SHARE = 0.1
 FRAGMENT_GAPS = 2
-NAV_MARKS = 3
+NAV_MARKS, NAV_ENTRY = 3, 40
+BOILERPLATE_SPAN = 10
 MAX_LOST = 0.3
 TERMINAL = [".", "!", "?", "…", ":", ";", '"', "'", "”", "’", "»", ")", "。"]
 BOILERPLATE = [
@@ -112,13 +116,16 @@ def line_fails(line: Column) -> Column:
         return (
             (count_of(solid, SYMBOLS) > SYMBOL_SHARE * chars)
             | (count_of(solid, SHOUTS) > SHOUT_SHARE * chars)
-            | (count_of(solid, SEPARATORS) >= NAV_MARKS)
+            | let(count_of(solid, SEPARATORS), lambda n: (n >= NAV_MARKS) & (chars <= NAV_ENTRY * (n + 1)))
         )
 
     def judged(solid: Column) -> Column:
         marks = F.when(solid.rlike(f"[{SYMBOLS}{SHOUTS}{SEPARATORS}]"), by_marks(solid)).otherwise(False)
         fragment = (F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) < FRAGMENT_GAPS) & ~F.substring(F.rtrim(line), -1, 1).isin(TERMINAL)
-        boilerplate = let(F.lower(line), lambda x: reduce(or_, [x.contains(p) for p in BOILERPLATE]))
+        # no phrase is long enough for a longer line
+        short = F.length(line) <= BOILERPLATE_SPAN * max(map(len, BOILERPLATE))
+        phrase = let(F.lower(line), lambda x: reduce(or_, [x.contains(p) & (F.length(line) <= BOILERPLATE_SPAN * len(p)) for p in BOILERPLATE]))
+        boilerplate = F.when(short, phrase).otherwise(False)
         return (solid != "") & (marks | fragment | boilerplate)
 
     return let(without_space(line), judged)
@@ -186,7 +193,7 @@ def _sql_count(expression: str, characters: str) -> str:
 _WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _VISIBLE = f"length(translate(%s, {_WS}, ''))"
 _TERMINAL = ", ".join("'" + t.replace("'", "''") + "'" for t in TERMINAL)
-_PHRASES = " OR ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE)
+_PHRASES = " OR ".join(f"(contains(lower(line), '{p}') AND length(line) <= {BOILERPLATE_SPAN * len(p)})" for p in BOILERPLATE)
 
 SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
@@ -203,7 +210,7 @@ judged AS (SELECT rid, line, chars,
              {_sql_count('line', SYMBOLS)} > {SYMBOL_SHARE}::DOUBLE * chars
              OR {_sql_count('line', SHOUTS)} > {SHOUT_SHARE}::DOUBLE * chars
              OR ({_sql_count('line', ' ')} < {FRAGMENT_GAPS} AND right(rtrim(line, ' '), 1) NOT IN ({_TERMINAL}))
-             OR {_sql_count('line', SEPARATORS)} >= {NAV_MARKS}
+             OR ({_sql_count('line', SEPARATORS)} >= {NAV_MARKS} AND chars <= {NAV_ENTRY} * ({_sql_count('line', SEPARATORS)} + 1))
              OR {_PHRASES} AS failed
            FROM vis WHERE chars > 0),
 by_line AS (SELECT rid, count(*) - count(DISTINCT line) AS dup, coalesce(sum(chars) FILTER (failed), 0) AS lost
