@@ -18,6 +18,11 @@ TEXTS = [
     "permission is hereby granted, free of charge, to any person obtaining a copy of this software",
     "permission is hereby granted free of charge to some person obtaining a copy of this software",
     "cc by cc by cc by 4 0",
+    "released under CC0 1.0",
+    "# SPDX-License-Identifier: GPL-2.0-or-later\nimport os",
+    "Boost Software License - Version 1.0\nsee MPL-2.0, SPDX License Identifier mit",
+    "This program is free software; you can redistribute it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "Apache License 2.0 " * 3 + "in compliance with the License, CC0 1, CC0 1.0",
 ] + ["plain words here"] * 20
 
 
@@ -36,6 +41,21 @@ def test_labels(spark):
     assert got[8].labels == "" and got[8].score == 0.0
     assert got[11].labels == "mit" and got[12].labels == ""
     assert got[0].n_words == 0 and got[0].first_word is None
+    assert got[14].labels == "cc0-1.0" and 0 < got[14].score < 1
+    assert got[15].labels == "gpl-2.0" and got[16].labels == "bsl-1.0,mit"
+    assert got[17].labels == "gpl,gpl-2.0" and got[18].labels == "apache-2.0,cc0-1.0"
+
+
+def test_a_phrase_decides_whatever_words_are_rare(spark):
+    """In a corpus where a notice's own words are frequent, each mandatory phrase still labels its text."""
+    texts = [" ".join(p.split()[0] for p in t.phrases) + " " + t.text for t in licenses.TEMPLATES]
+    texts += [" and ".join(t.phrases) for t in licenses.TEMPLATES if len(t.phrases) == 1]
+    texts += ["licensed license version 2 0 public gnu general under the of and software"] * 40
+    df, arrow = docs_frame(spark, texts)
+    got = {r.doc_id: r for r in licenses.report(df).collect()}
+    for i, t in enumerate([*licenses.TEMPLATES, *(t for t in licenses.TEMPLATES if len(t.phrases) == 1)]):
+        assert t.label in got[i].labels.split(","), (t, got[i])
+    same_rows(licenses.report(df), licenses.SQL, documents=arrow)
 
 
 def test_keeps_columns_and_empty(spark):
