@@ -30,7 +30,7 @@ from tslake.llm.common import ALNUM, held, row_blocks, share, text_buffer, word_
 from tslake.llm.html_blocks import Block, blocks
 from tslake.llm.html_pages import MARK, labelled_pages
 
-TRAIN_PAGES = 2500
+TRAIN_PAGES = 3000
 EPOCHS = 8
 SEED = 20
 HIDDEN = 24

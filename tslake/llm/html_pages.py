@@ -2,7 +2,10 @@
 
 No table labels the blocks of a page, so the labeller is fitted on a bounded
 number of such pages: a seed, templates of menus, headers, adverts, notices,
-sidebars, forms, comments and footers around articles of many shapes.
+sidebars, forms, comments and footers around articles of many shapes: in named
+elements or in elements whose names tell nothing, as paragraphs or as lines
+parted by ``br``, in the cells of a layout table, or as a page's only block. A
+byline or date that stands in the article is part of it.
 """
 
 from __future__ import annotations
@@ -112,6 +115,47 @@ class Maker:
             text = f"<{(t := r.choice(['b', 'em', 'strong', 'span', 'i']))}>{text}" + r.choice([f"</{t}>", "<br>"])
         return f"<p>{text}" + ("</p>" if r.random() < 0.9 else "")
 
+    def byline(self) -> str:
+        r = self.r
+        text = r.choice([f"By {self.words(1, 3)}", self.words(1, 5), f"{r.randint(1, 31)} {self.word()} {r.randint(1990, 2030)}", f"{self.words(1, 3)}, {r.randint(1990, 2030)}-{r.randint(1, 12)}-{r.randint(1, 28)}"])
+        return self.tag(r.choice(["div", "div", "p", "address"]), MARK + text, "byline", "meta", "date", "author", "published", "info")
+
+    def loose(self) -> str:
+        """An article in one element, its parts parted by br."""
+        r = self.r
+        gap = r.choice(["<br>", "<br><br>", "<br/>\n<br/>", "<br>\n"])
+        text = MARK + gap.join(self.prose(1, 5) for _ in range(r.choice([1, 1, 2, 3, 5, 9])))
+        head = self.some(0.4, lambda: f"<h{r.choice([1, 1, 2, 3])}>{MARK}{self.words(1, 9)}</h1>") + self.some(0.15, self.byline)
+        more = self.some(0.3, lambda: f"<p>{MARK}{self.prose()}</p>")
+        shape = r.random()
+        if shape < 0.35:
+            return self.tag("div", head + text + more, "content", "post", "entry", "article", "main", "text", "body", "story")
+        if shape < 0.55:
+            return self.tag("div", head + text + more, self.word(), self.word())
+        if shape < 0.8:
+            return f"<{(t := r.choice(['div', 'center', 'section', 'font']))}>{head}{text}{more}</{t}>"
+        return head + text + more
+
+    def plain_menu(self) -> str:
+        """Links in an element whose name tells nothing."""
+        return self.tag("div", self.links(), self.word(), "links", "list", "box", "top", "left") if self.r.random() < 0.7 else f"<div>{self.links()}</div>"
+
+    def table_page(self) -> str:
+        r = self.r
+
+        def cell(inner: str, *classes: str) -> str:
+            return self.tag("td", inner, *classes) if r.random() < 0.6 else f"<td>{inner}</td>"
+
+        main = cell(self.loose() if r.random() < 0.5 else self.article(), "content", "main", "text", "body", self.word())
+        cells = [main]
+        for _ in range(r.choice([0, 1, 1, 2])):
+            side = cell(r.choice([self.links, self.links, self.menu, self.sidebar, self.advert])(), "nav", "menu", "side", "sidebar", "left", "right", self.word())
+            cells.insert(r.choice([0, 0, len(cells)]), side)
+        row = lambda inner: f"<tr><td colspan={len(cells)}>{inner}</td></tr>"
+        top = self.some(0.5, lambda: row(r.choice([self.header, self.links, lambda: f"<b>{self.words(1, 4)}</b>"])()))
+        bottom = self.some(0.6, lambda: row(r.choice([self.footer, self.links, lambda: f"&copy; {self.boiler()}"])()))
+        return f"<table width=100%>{top}<tr>{''.join(cells)}</tr>{bottom}</table>"
+
     def article(self) -> str:
         r = self.r
         parts = []
@@ -133,7 +177,7 @@ class Maker:
                 parts.append(f"<figure><img src='x'><figcaption>{MARK}{self.words(2, 12)}</figcaption></figure>")
             else:
                 parts.append(r.choice([self.advert, self.sidebar, self.share, self.notice, self.form])())
-        head = self.some(0.85, lambda: f"<h{r.choice([1, 1, 1, 2])}>{MARK}{self.words(1, 9)}</h1>") + self.some(0.1, lambda: self.tag("div", self.words(2, 6), "byline", "meta", "date", "author"))
+        head = self.some(0.85, lambda: f"<h{r.choice([1, 1, 1, 2])}>{MARK}{self.words(1, 9)}</h1>") + self.some(0.3, self.byline)
         if not parts and not head:
             head = self.paragraph()
         inner = head + "".join(parts)
@@ -145,13 +189,21 @@ class Maker:
             return f"<main>{inner}</main>"
         if shape < 0.95:
             return self.tag(r.choice(["div", "section"]), inner, "content", "post", "entry", "article", "main", "story", "post-content", "article-body", "main-content")
-        return f"<div>{inner}</div>"
+        return f"<div>{inner}</div>" if shape < 0.975 else self.tag("div", inner, self.word(), self.word())
 
     def page(self) -> str:
         m = self.some
         before = m(0.5, self.header) + m(0.7, self.menu) + m(0.3, self.notice) + m(0.4, self.advert) + m(0.15, self.sidebar)
         after = m(0.2, self.share) + m(0.35, self.comments) + m(0.3, self.sidebar) + m(0.2, self.advert) + m(0.2, self.form) + m(0.8, self.footer) + m(0.1, self.notice)
-        body = before + self.article() + after
+        kind = self.r.random()
+        if kind < 0.06:  # the page's only block or blocks
+            before, after = "", ""
+        elif kind < 0.2:
+            before, after = before + m(0.5, self.plain_menu), m(0.3, self.plain_menu) + after
+        if kind > 0.88:
+            body = m(0.3, self.header) + self.table_page() + m(0.3, self.footer)
+        else:
+            body = before + (self.loose() if self.r.random() < 0.15 else self.article()) + after
         if self.r.random() < 0.3:
             body = f"<div>{body}</div>"
         return f"<html><head><title>{self.words(1, 6)}</title><style>p{{}}</style></head><body>{body}" + ("</body></html>" if self.r.random() < 0.9 else "")
