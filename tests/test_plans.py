@@ -70,6 +70,21 @@ def test_dedupe_aggregates_partially_before_shuffle(spark):
     assert "partial_max(struct(" in p
 
 
+def test_dedupe_by_sequence_sorts_nothing(spark):
+    from tslake.operators.dedupe import latest_by_sequence
+
+    p = plan(latest_by_sequence(tables.obs_orders(spark, SF001), ["series_name", "data"], "o_orderkey", "valor"))
+    assert "SortAggregate" not in p and "Sort " not in p and p.count("HashAggregate") >= 4
+
+
+def test_watermark_bound_reaches_the_scan(spark):
+    from tslake.operators.state import after_watermark, watermarks
+
+    obs = tables.obs_orders(spark, SF001)
+    p = plan(after_watermark(obs, watermarks(obs.where("data < date'1997-01-01'")), lookback_days=7))
+    assert "GreaterThanOrEqual(o_orderdate" in p.split("PushedFilters: [")[1].split("]")[0] and "BroadcastHashJoin" in p
+
+
 def test_silver_series_filter_prunes_partitions(spark, tmp_path):
     from tslake.sources.schemas import SILVER, SILVER_KEYS, SILVER_PARTITIONS
 

@@ -46,3 +46,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     best = df.groupBy(*keys).agg(F.max(packed).alias("_w"))
     field = {c: f"_w._o{i}" for i, c in enumerate(order)} | {c: f"_w._v{i}" for i, c in enumerate(rest)}
     return best.select(*keys, *(F.col(field[c]).alias(c) for c in values))
+
+
+def latest_by_sequence(df: DataFrame, keys: Sequence[str], sequence: str, value: str) -> DataFrame:
+    """``keys``, ``sequence`` and ``value`` of each key's row with the greatest
+    ``sequence`` (a rising number, as of a commit); of several with that number the
+    greatest value. Numbers are all that the buffers hold, so both aggregations
+    are hash aggregations: nothing is sorted, and each is partial before its
+    shuffle."""
+    per_commit = df.groupBy(*keys, sequence).agg(F.max(value).alias(value))
+    return per_commit.groupBy(*keys).agg(F.max(sequence).alias(sequence), F.max_by(value, sequence).alias(value))

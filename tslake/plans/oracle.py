@@ -267,6 +267,9 @@ FROM parsed GROUP BY series_name""",
     "dedupe_latest": f"""WITH {OBS_O}
 SELECT series_name, data, {_r('valor', 'valor')}, o_orderkey FROM obs
 QUALIFY row_number() OVER (PARTITION BY series_name, data ORDER BY o_orderkey DESC) = 1""",
+    "dedupe_by_sequence": f"""WITH {OBS_O}
+SELECT series_name, data, o_orderkey, {_r('valor', 'valor')} FROM obs
+QUALIFY row_number() OVER (PARTITION BY series_name, data ORDER BY o_orderkey DESC, valor DESC) = 1""",
     "dedupe_max_by": f"""WITH {OBS_L}
 SELECT series_name, data, {_r('valor', 'valor')}, l_orderkey, l_linenumber FROM obs
 QUALIFY row_number() OVER (PARTITION BY series_name, data

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tslake.operators import cells
 from tslake.operators import gate as gate_ops
-from tslake.operators.dedupe import latest_per_key
+from tslake.operators.dedupe import latest_by_sequence
 from tslake.operators.features import month_axis
 from tslake.operators.history import as_of
 from tslake.operators.gold import to_wide
@@ -28,7 +28,7 @@ from tslake.plans.marts import MARTS, build_marts, update_mart
 from tslake.session import checkpoint_root, work_dir
 from tslake.sources import bronze, versioned
 from tslake.sources.catalog import SERIES_NAMES, catalog_frame
-from tslake.sources.schemas import GOLD_LONG, SILVER, SILVER_KEYS, SILVER_ORDER, SILVER_PARTITIONS
+from tslake.sources.schemas import GOLD_LONG, SILVER, SILVER_KEYS, SILVER_PARTITIONS
 from tslake.sources.silver import (
     HISTORY_PARTITIONS,
     history_path,
@@ -261,7 +261,10 @@ def apply_batches(
             .parquet(quarantine_path(root))
         )
     clean = clean_rows(parsed.where("vouched").drop("vouched"), with_ingestion_ts=True)
-    source = latest_per_key(clean.select(*SILVER.fieldNames()), SILVER_KEYS, SILVER_ORDER)
+    # the batches of this run in order: their number decides which row of a key is the newest
+    numbered = spark.createDataFrame([(i, *b) for i, b in enumerate(sorted((r.ingestion_date, r.batch_id) for r in rows))], f"_n int, {APPLIED_SCHEMA}")
+    newest = latest_by_sequence(clean.join(F.broadcast(numbered), gate_ops.BATCH), SILVER_KEYS, "_n", "valor").join(F.broadcast(numbered), "_n")
+    source = newest.withColumns({"ingestion_timestamp": F.current_timestamp(), "year": F.year("data"), "month": F.month("data")}).select(*SILVER.fieldNames())
     touched = versioned.touched_ranges(clean, partitions, "data")
     upsert_silver(spark, source, silver_path(root), partitions=partitions, touched=touched)
     if history:

@@ -18,7 +18,7 @@ from tslake.functions import growth
 from tslake.functions.dates import sanitize_batch_id
 from tslake.operators import gate as gate_ops
 from tslake.operators import quality
-from tslake.operators.dedupe import latest_per_key
+from tslake.operators.dedupe import latest_by_sequence, latest_per_key
 from tslake.operators.features import Feature, calendar_lag, wide_features
 from tslake.operators.gold import monthly, to_wide
 from tslake.operators.normalize import clean_rows, error_report, parse_raw, quarantine_rows
@@ -115,6 +115,11 @@ def q_dedupe_latest(spark, sf):
     return rounded(latest_per_key(o, ["series_name", "data"], ["o_orderkey"]))
 
 
+def q_dedupe_by_sequence(spark, sf):
+    o = tables.obs_orders(spark, sf)
+    return rounded(latest_by_sequence(o, ["series_name", "data"], "o_orderkey", "valor"))
+
+
 def q_dedupe_max_by(spark, sf):
     li = tables.obs_lineitem(spark, sf)
     out = latest_per_key(li, ["series_name", "data"], ["l_orderkey", "l_linenumber", "valor"])
@@ -744,6 +749,7 @@ QUERIES: dict[str, Query] = {
     "quarantine_rows": q_quarantine_rows,
     "error_report": q_error_report,
     "dedupe_latest": q_dedupe_latest,
+    "dedupe_by_sequence": q_dedupe_by_sequence,
     "dedupe_max_by": q_dedupe_max_by,
     "watermark_per_series": q_watermark_per_series,
     "after_watermark": q_after_watermark,
