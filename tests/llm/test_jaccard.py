@@ -5,7 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from helpers import docs_frame, same_rows
 
-from tslake.llm import jaccard
+from tslake.llm import jaccard, linking
 from tslake.llm.components import components
 
 
@@ -105,10 +105,10 @@ def test_sketches_bound_the_distance(spark):
         a = rng.integers(0, 2**63, size, dtype=np.uint64)
         for gone, fresh in ((0, 0), (size // 10, size // 10), (0, size // 8), (size // 8, 0), (size, size)):
             b = np.concatenate([a[gone:], rng.integers(0, 2**63, fresh, dtype=np.uint64)])
-            x, y = zip(*(c.to_pylist() for c in jaccard.sketches(np.concatenate([a, b]), np.array([0, size, size + len(b)]))))
+            x, y = zip(*(c.to_pylist() for c in linking.sketches(np.concatenate([a, b]), np.array([0, size, size + len(b)]))))
             rows.append((size, *x, len(b), *y, 100 * (size - gone) >= 90 * (size + fresh), gone == size > 30))
-    schema = ", ".join(f"{s}n_shingles long, " + ", ".join(f"{s}{f}" for f in jaccard.TRAITS.split(", ")) for s in ("a_", "b_"))
-    found = spark.createDataFrame(rows, f"{schema}, link boolean, far boolean").select("link", "far", jaccard._near("a_", "b_", 90).alias("near")).collect()
+    schema = ", ".join(f"{s}n_shingles long, " + ", ".join(f"{s}{f}" for f in linking.SKETCH.split(", ")) for s in ("a_", "b_"))
+    found = spark.createDataFrame(rows, f"{schema}, link boolean, far boolean").select("link", "far", linking.near("a_", "b_", 90).alias("near")).collect()
     assert all(r.near for r in found if r.link) and not any(r.near for r in found if r.far) and sum(r.link for r in found) > 7
 
 

@@ -59,7 +59,5 @@ def test_values_estimate_similarity():
             similar.append((size - gone) / size)
             who, signature = method.signatures(elements, at)
             assert set(signature[who == 0]) & set(signature[who == 1])
-            x, y = np.array([c.to_pylist() for c in method.traits(elements, at)], np.int64).T
-            assert sum((int(v) & 0xFFFFFFFFFFFFFFFF).bit_count() for v in x ^ y) <= 46
         for side in np.array(agreed).T:
             assert abs(side.mean() - np.mean(similar)) < 0.02

@@ -6,17 +6,14 @@ and in the next one's. An instance bounds the Hamming distance of such a pair
 by k. Its domain (the shingle hashes) is dealt into n1 parts, of which one at
 least holds at most one difference, and each part into n2 pieces; a signature
 is the content of a part less one piece, so at least one of the n1 * n2
-signatures of two similar sets is equal. Candidates are thinned by the parity
-sketch, whose Hamming distance never exceeds that of the sets, and confirmed on
-the sets of shingles themselves, compared as text. How signatures become links
-and components, and all defined results, are told in ``tslake.llm.linking``.
+signatures of two similar sets is equal. How signatures become links and
+components, and all defined results, are told in ``tslake.llm.linking``.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tslake.llm import linking
@@ -25,12 +22,6 @@ from tslake.llm.common import mix64
 WORDS = 3
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 90
-#: Longs of a parity sketch, and the shingles from which on there is a longer one as
-#: well, with twice as many, and so on.
-SKETCH_LONGS, SKETCH_SIZE = 16, 1000
-PLACES = [f"p{i}" for i in range(SKETCH_LONGS)]
-TRAITS = ", ".join([*(f"{p} long" for p in PLACES), "more array<long>"])
-
 
 def budget(sizes, percent: int = PERCENT):
     """Largest Hamming distance of linked sets whose sizes add up to ``sizes``."""
@@ -88,55 +79,12 @@ def _signatures(elements: np.ndarray, owner: np.ndarray, sizes: np.ndarray, perc
     return np.concatenate(owners), np.concatenate(signatures)
 
 
-def sketches(elements: np.ndarray, at: np.ndarray) -> list[pa.Array]:
-    """The parity of a set's elements in each of a number of places, as so many
-    columns of 64 places each. Sets from ``SKETCH_SIZE`` shingles on have a longer
-    sketch as well, so that it still tells how far two of them are apart. A
-    sketch folded in the middle is that of half as many places."""
-    sizes, n = np.diff(at), len(at) - 1
-    longs = SKETCH_LONGS << np.ceil(np.log2(np.maximum(sizes, 1) / SKETCH_SIZE)).clip(0).astype(np.int64)
-    short = _parities(elements, at, np.full(n, SKETCH_LONGS)).reshape(n, SKETCH_LONGS)
-    longs[longs == SKETCH_LONGS] = 0
-    inside = np.repeat(longs > 0, sizes)
-    more = _parities(elements[inside], np.append(0, np.cumsum(sizes[longs > 0])), longs[longs > 0])
-    return [*(pa.array(np.ascontiguousarray(short[:, i])) for i in range(SKETCH_LONGS)), linking.lists(more, np.append(0, np.cumsum(longs)))]
-
-
-def _parities(elements: np.ndarray, at: np.ndarray, longs: np.ndarray) -> np.ndarray:
-    sizes, begins = np.diff(at), np.append(0, np.cumsum(longs))
-    place = mix64(elements) & (np.repeat(longs, sizes) * 64 - 1).astype(np.uint64)
-    bits = np.bincount(np.repeat(begins[:-1] * 64, sizes) + place.astype(np.int64), minlength=int(begins[-1]) * 64) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
-
-
-def _apart(x: str, y: str) -> str:
-    return f"aggregate(zip_with({x}, {y}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
-
-
-def _folded(x: str) -> str:
-    half = f"size({x}) div 2"
-    return f"zip_with(slice({x}, 1, {half}), slice({x}, {half} + 1, {half}), (x, y) -> x ^ y)"
-
-
-def _near(a: str, b: str, percent: int) -> Column:
-    """Whether sizes and sketches leave a link possible."""
-    most = f"({a}n_shingles + {b}n_shingles) * {100 - percent}"
-    sizes = f"100 * least({a}n_shingles, {b}n_shingles) >= {percent} * greatest({a}n_shingles, {b}n_shingles)"
-    short = " + ".join(f"bit_count({a}{p} ^ {b}{p})" for p in PLACES)
-    x, y = f"{a}more", f"{b}more"
-    longer = (
-        f"CASE WHEN size({x}) = 0 OR size({y}) = 0 THEN 0 WHEN size({x}) = size({y}) THEN {_apart(x, y)}"
-        f" WHEN size({x}) = 2 * size({y}) THEN {_apart(_folded(x), y)} WHEN size({y}) = 2 * size({x}) THEN {_apart(x, _folded(y))} ELSE 0 END"
-    )
-    return F.expr(f"CASE WHEN NOT ({sizes}) THEN false WHEN ({short}) * {100 + percent} > {most} THEN false ELSE ({longer}) * {100 + percent} <= {most} END")
-
-
 def method(percent: int = PERCENT, words: int = WORDS) -> linking.Method:
     def signatures(elements: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.diff(at)
         return _signatures(elements, np.repeat(np.arange(len(sizes)), sizes), sizes, percent)
 
-    return linking.Method("jaccard", words, percent, signatures, TRAITS, sketches, lambda a, b: _near(a, b, percent))
+    return linking.Method("jaccard", words, percent, signatures)
 
 
 def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:

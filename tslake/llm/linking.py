@@ -1,15 +1,16 @@
 """Components of documents whose shingle sets are similar, by any signatures.
 
-A ``Method`` gives each set its signatures and a small trait; two similar sets
-must share a signature. Everything else is the same for all methods:
+A ``Method`` gives each set its signatures; two similar sets must share one.
+Everything else is the same for all methods:
 
 Every distinct set is taken once, with the text of one row that has it: copies,
 and a doc_id that stands on many rows, cost no more than that. Signatures pass
 one shuffle, in which the sets of a signature are linked to its smallest one (a
 star, no pairs within the group); in a second round members of a signature
-whose components are still different are compared across components. Traits
-thin the candidates, and what is left is confirmed on the sets of shingles
-themselves, compared as text. So every link between different components that
+whose components are still different are compared across components. The parity
+sketches of the sets, whose distance never exceeds that of the sets, thin the
+candidates, and what is left is confirmed on the sets of shingles themselves,
+compared as text. So every link between different components that
 the signatures can show is found, without the pairs of a group that is already
 one. A doc_id whose rows have different sets is linked with the representative
 of each.
@@ -37,6 +38,12 @@ from tslake.llm.common import LOWER_BYTES, SPACED, mix64, row_blocks, shingle_ha
 from tslake.llm.components import components
 
 KEY = ["n_shingles", "k1", "k2"]
+#: Longs of a parity sketch, and the shingles from which on there is a longer one as
+#: well, with twice as many, and so on.
+SKETCH_LONGS, SKETCH_SIZE = 16, 1000
+PLACES = [f"p{i}" for i in range(SKETCH_LONGS)]
+SKETCH = ", ".join([*(f"{p} long" for p in PLACES), "more array<long>"])
+SKETCH_NAMES = [*PLACES, "more"]
 #: Shingle sets a task keeps while it confirms pairs.
 HELD_SETS = 64
 
@@ -52,15 +59,6 @@ class Method:
     percent: int
     #: (owner, signature) of all sets.
     signatures: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
-    #: Columns of each set, by name; numbers, so that Spark compares them in generated code.
-    trait_schema: str
-    traits: Callable[[np.ndarray, np.ndarray], list[pa.Array]]
-    #: Whether the sizes and traits whose names have these prefixes leave a link possible.
-    near: Callable[[str, str], Column]
-
-    @property
-    def trait_names(self) -> list[str]:
-        return [field.split()[0] for field in self.trait_schema.split(", ")]
 
 
 def sets_of(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,6 +93,50 @@ def _keys(elements: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return [(s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums]
 
 
+def sketches(elements: np.ndarray, at: np.ndarray) -> list[pa.Array]:
+    """The parity of a set's elements in each of a number of places, as so many
+    columns of 64 places each. Sets from ``SKETCH_SIZE`` shingles on have a longer
+    sketch as well, so that it still tells how far two of them are apart. A
+    sketch folded in the middle is that of half as many places."""
+    sizes, n = np.diff(at), len(at) - 1
+    longs = SKETCH_LONGS << np.ceil(np.log2(np.maximum(sizes, 1) / SKETCH_SIZE)).clip(0).astype(np.int64)
+    short = _parities(elements, at, np.full(n, SKETCH_LONGS)).reshape(n, SKETCH_LONGS)
+    longs[longs == SKETCH_LONGS] = 0
+    inside = np.repeat(longs > 0, sizes)
+    more = _parities(elements[inside], np.append(0, np.cumsum(sizes[longs > 0])), longs[longs > 0])
+    return [*(pa.array(np.ascontiguousarray(short[:, i])) for i in range(SKETCH_LONGS)), lists(more, np.append(0, np.cumsum(longs)))]
+
+
+def _parities(elements: np.ndarray, at: np.ndarray, longs: np.ndarray) -> np.ndarray:
+    sizes, begins = np.diff(at), np.append(0, np.cumsum(longs))
+    place = mix64(elements) & (np.repeat(longs, sizes) * 64 - 1).astype(np.uint64)
+    bits = np.bincount(np.repeat(begins[:-1] * 64, sizes) + place.astype(np.int64), minlength=int(begins[-1]) * 64) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def _apart(x: str, y: str) -> str:
+    return f"aggregate(zip_with({x}, {y}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+
+
+def _folded(x: str) -> str:
+    half = f"size({x}) div 2"
+    return f"zip_with(slice({x}, 1, {half}), slice({x}, {half} + 1, {half}), (x, y) -> x ^ y)"
+
+
+def near(a: str, b: str, percent: int) -> Column:
+    """Whether the sizes and sketches whose names have these prefixes leave a link
+    possible: a sketch's distance never exceeds that of the sets."""
+    most = f"({a}n_shingles + {b}n_shingles) * {100 - percent}"
+    sizes = f"100 * least({a}n_shingles, {b}n_shingles) >= {percent} * greatest({a}n_shingles, {b}n_shingles)"
+    short = " + ".join(f"bit_count({a}{p} ^ {b}{p})" for p in PLACES)
+    x, y = f"{a}more", f"{b}more"
+    longer = (
+        f"CASE WHEN size({x}) = 0 OR size({y}) = 0 THEN 0 WHEN size({x}) = size({y}) THEN {_apart(x, y)}"
+        f" WHEN size({x}) = 2 * size({y}) THEN {_apart(_folded(x), y)} WHEN size({y}) = 2 * size({x}) THEN {_apart(x, _folded(y))} ELSE 0 END"
+    )
+    return F.expr(f"CASE WHEN NOT ({sizes}) THEN false WHEN ({short}) * {100 + percent} > {most} THEN false ELSE ({longer}) * {100 + percent} <= {most} END")
+
+
 def known_sets(docs: DataFrame, words: int) -> DataFrame:
     """Per row: doc_id and the size and identity of its text's set."""
 
@@ -106,9 +148,8 @@ def known_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def distinct_sets(docs: DataFrame, copies: DataFrame, method: Method) -> DataFrame:
-    """One row for each set of ``copies``: sid, rep, n_shingles, its traits and a
+    """One row for each set of ``copies``: sid, rep, n_shingles, its sketch and a
     text that has the set."""
-    names = method.trait_names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, elements, at in _blocks_of(batches, 1, method.words):
@@ -118,13 +159,13 @@ def distinct_sets(docs: DataFrame, copies: DataFrame, method: Method) -> DataFra
             _, first = np.unique(np.stack([ids, *keys]), axis=1, return_index=True)
             some = np.sort(first[keys[0][first] > 0])
             some = some[rows.column(0).is_valid().to_numpy(zero_copy_only=False)[some]]
-            out = [rows.column(0), rows.column(1), *map(pa.array, keys), *method.traits(elements, at)]
-            yield pa.RecordBatch.from_arrays([c.take(pa.array(some)) for c in out], names=["rep", "text", *KEY, *names])
+            out = [rows.column(0), rows.column(1), *map(pa.array, keys), *sketches(elements, at)]
+            yield pa.RecordBatch.from_arrays([c.take(pa.array(some)) for c in out], names=["rep", "text", *KEY, *SKETCH_NAMES])
 
-    schema = f"rep long, text string, n_shingles long, k1 long, k2 long, {method.trait_schema}"
+    schema = f"rep long, text string, n_shingles long, k1 long, k2 long, {SKETCH}"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
-    one = rows.join(copies, ["rep", *KEY]).groupBy("rep", *KEY, "sid").agg(*(F.first(c).alias(c) for c in (*names, "text")))
-    return one.select("sid", "rep", "n_shingles", *names, "text")
+    one = rows.join(copies, ["rep", *KEY]).groupBy("rep", *KEY, "sid").agg(*(F.first(c).alias(c) for c in (*SKETCH_NAMES, "text")))
+    return one.select("sid", "rep", "n_shingles", *SKETCH_NAMES, "text")
 
 
 def signed(texts: DataFrame, method: Method) -> DataFrame:
@@ -196,10 +237,10 @@ def join(docs: DataFrame, method: Method) -> DataFrame:
     members = files.settled(spark, shared.filter("leader < last").drop("last"), f"{name}-members", made)
 
     def traits(alias: str) -> DataFrame:
-        return texts.select(F.col("sid").alias(alias), *(F.col(c).alias(f"{alias}_{c}") for c in ("n_shingles", *method.trait_names)))
+        return texts.select(F.col("sid").alias(alias), *(F.col(c).alias(f"{alias}_{c}") for c in ("n_shingles", *SKETCH_NAMES)))
 
     stars = members.filter("sid <> leader").select(F.col("leader").alias("a"), F.col("sid").alias("b")).distinct()
-    stars = stars.join(traits("a"), "a").join(traits("b"), "b").filter(method.near("a_", "b_")).select("a", "b")
+    stars = stars.join(traits("a"), "a").join(traits("b"), "b").filter(near("a_", "b_", method.percent)).select("a", "b")
     links = _linked(texts, stars, method, f"{name}-stars", made)
 
     several = files.settled(spark, _several(known), f"{name}-several")
@@ -214,7 +255,7 @@ def join(docs: DataFrame, method: Method) -> DataFrame:
     placed = files.settled(spark, placed.join(traits("sid"), "sid"), f"{name}-placed", made)
     if not placed.isEmpty():
         x, y = placed.alias("x"), placed.alias("y")
-        across = x.join(y, (F.col("x.signature") == F.col("y.signature")) & (F.col("x.component") < F.col("y.component")) & method.near("x.sid_", "y.sid_"))
+        across = x.join(y, (F.col("x.signature") == F.col("y.signature")) & (F.col("x.component") < F.col("y.component")) & near("x.sid_", "y.sid_", method.percent))
         across = across.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
         more = _linked(texts, across, method, f"{name}-across", made)
         whole = files.settled(spark, components(whole.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), f"{name}-whole")

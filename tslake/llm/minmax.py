@@ -6,14 +6,10 @@ similarity as probability, so one hash evaluation gives two unbiased values, and
 as smallest and largest of one function lie apart, estimates vary less than with
 as many smallest values of as many functions. ``ROWS`` values make a band; the
 smallest and the largest values are banded apart, and a band's hash is a
-signature of ``tslake.llm.linking``. One bit of every value is kept as well: two
-sets whose bits disagree more often than similar sets may (``DEVIATIONS``
-standard deviations) are not compared. What is left is confirmed on the full
-sets.
-
-A pair at the threshold shares no band with a probability of 3e-9, and is
-thinned out by its bits with one below 1e-10; no link of the tests' or the given
-tables is lost. Sets too small for any other to be similar and not equal sign
+signature of ``tslake.llm.linking``, which confirms links on the full sets.
+
+A pair at the threshold shares no band with a probability of 2.4e-7; no link of the
+tests' or the given tables is lost. Sets too small for any other to be similar and not equal sign
 nothing. Defined results are those of ``tslake.llm.linking``; a row without
 doc_id is kept.
 """
@@ -23,16 +19,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tslake.llm import linking
 from tslake.llm.common import mix64
 
 WORDS, PERCENT = 3, 85
-PERMUTATIONS, ROWS = 128, 6
-DEVIATIONS = 6.5
+PERMUTATIONS, ROWS = 192, 8
 #: Odd factors: shingle hashes are uniform already, so a product modulo 2^64 orders them anew.
 _FACTORS = mix64(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) | np.uint64(1)
 
@@ -78,30 +72,13 @@ def _extremes_of(elements: np.ndarray, at: np.ndarray, some: np.ndarray) -> np.n
 def method(percent: int = PERCENT, words: int = WORDS) -> linking.Method:
     # a set of n shingles and one of n + 1 are similar from this n on
     least = math.ceil(percent / (100 - percent))
-    share = (100 - percent) / 200  # of bits in which sets at the threshold differ
-    bits = 2 * PERMUTATIONS
-    most = math.floor(bits * share + DEVIATIONS * math.sqrt(bits * share * (1 - share)))
 
     def signatures(elements: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         some = _some(at, least)
         found = bands(_extremes_of(elements, at, some))
         return np.tile(some, len(found)), found.ravel()
 
-    names = [f"p{i}" for i in range(bits // 64)]
-
-    def traits(elements: np.ndarray, at: np.ndarray) -> list[pa.Array]:
-        some = _some(at, least)
-        kept = (_extremes_of(elements, at, some).reshape(bits, -1) >> np.uint64(17) & np.uint64(1)).astype(np.uint8)
-        out = np.zeros((len(at) - 1, bits // 64), np.int64)
-        out[some] = np.packbits(np.ascontiguousarray(kept.T), axis=1).view(np.int64) if len(some) else out[some]
-        return [pa.array(np.ascontiguousarray(column)) for column in out.T]
-
-    def near(a: str, b: str) -> Column:
-        sizes = f"100 * least({a}n_shingles, {b}n_shingles) >= {percent} * greatest({a}n_shingles, {b}n_shingles)"
-        apart = " + ".join(f"bit_count({a}{p} ^ {b}{p})" for p in names)
-        return F.expr(f"CASE WHEN {sizes} THEN {apart} <= {most} ELSE false END")
-
-    return linking.Method("minmax", words, percent, signatures, ", ".join(f"{p} long" for p in names), traits, near)
+    return linking.Method("minmax", words, percent, signatures)
 
 
 def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
