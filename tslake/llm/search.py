@@ -45,7 +45,7 @@ from tslake.llm.common import ALNUM, LOWER_BYTES, equal_spans, hash_spans, held,
 TOP = 10
 BLOCK = 128
 #: Bytes of text and documents of a shard at most; a longer text is a shard of its own.
-SHARD_BYTES, SHARD_DOCS = 8 << 20, 1 << 16
+SHARD_BYTES, SHARD_DOCS = 4 << 20, 1 << 16
 #: Different terms in a block of items.
 BLOCK_TERMS = 100_000
 WIDTHS = (1, 2, 4)
