@@ -44,6 +44,17 @@ def test_rows_of_a_failed_attempt_stay_out(spark, tmp_root):
     assert sorted((r.series_name, r.valor) for r in pipeline.snapshot(spark, tmp_root, "2020-03-01").collect()) == [("ipca", 2.0), ("selic", 1.0)]
 
 
+def test_history_where_no_batch_is_committed_is_empty(spark, tmp_root):
+    """Every batch fails: the views of any day have no rows; the first committed batch is the first state."""
+    land(spark, tmp_root, "b1", D(2020, 2, 1), [("selic", "02/01/2020", "9")], status="failed")
+    pipeline.bronze_to_silver(spark, tmp_root, history=True)
+    assert pipeline.snapshots(spark, tmp_root, ["2020-02-01", "2020-03-01"]).collect() == []
+    land(spark, tmp_root, "b2", D(2020, 2, 2), [("selic", "03/01/2020", "1")])
+    pipeline.bronze_to_silver(spark, tmp_root, history=True)
+    got = pipeline.snapshots(spark, tmp_root, ["2020-02-01", "2020-03-01"]).collect()
+    assert [tuple(r) for r in got] == [(D(2020, 3, 1), "selic", D(2020, 1, 3), 1.0, "b2")]
+
+
 def test_same_id_on_another_day_is_another_batch(spark, tmp_root):
     cat = catalog_frame(spark).where("series_name = 'selic'")
     fetched = lambda rows: spark.createDataFrame(rows, "series_name string, data string, valor string")
