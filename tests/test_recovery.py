@@ -12,7 +12,7 @@ from tslake.operators.upsert import upsert_table
 from tslake.plans import pipeline
 from tslake.sources import bronze, versioned
 from tslake.sources.catalog import catalog_frame
-from tslake.sources.schemas import SILVER, SILVER_KEYS, SILVER_ORDER, SILVER_PARTITIONS
+from tslake.sources.schemas import SILVER, SILVER_KEYS, SILVER_ORDER, SILVER_PARTITIONS, SILVER_PARTITIONS_MONTHLY
 from tslake.sources.silver import read_silver, silver_path
 from tslake.streaming.stream import run_silver_stream
 
@@ -55,6 +55,18 @@ def test_history_where_no_batch_is_committed_is_empty(spark, tmp_root):
     assert [tuple(r) for r in got] == [(D(2020, 3, 1), "selic", D(2020, 1, 3), 1.0, "b2")]
 
 
+def test_stream_of_failed_batches_leaves_an_empty_silver(spark, tmp_root):
+    """Gold follows from nothing on, and the empty table takes any layout."""
+    land(spark, tmp_root, "b1", D(2020, 2, 1), [("selic", "02/01/2020", "9")], status="failed")
+    run_silver_stream(spark, tmp_root)
+    assert silver_rows(spark, tmp_root) == []
+    assert pipeline.silver_to_gold(spark, tmp_root)[1].count() == 0
+    land(spark, tmp_root, "b2", D(2020, 2, 2), [("selic", "03/01/2020", "1")])
+    run_silver_stream(spark, tmp_root, partitions=SILVER_PARTITIONS_MONTHLY)
+    assert silver_rows(spark, tmp_root) == [("selic", D(2020, 1, 3), 1.0, "b2")]
+    assert [(r.reference_month, r.selic) for r in pipeline.silver_to_gold(spark, tmp_root)[1].collect()] == [(D(2020, 1, 1), 1.0)]
+
+
 def test_same_id_on_another_day_is_another_batch(spark, tmp_root):
     cat = catalog_frame(spark).where("series_name = 'selic'")
     fetched = lambda rows: spark.createDataFrame(rows, "series_name string, data string, valor string")

@@ -220,13 +220,14 @@ def apply_batches(
     ``history`` to the history of all states as well (``snapshots``). When
     ``metrics`` is given it receives the row counts gathered by that job, and
     the committed series without a landed object. Where no batch has been
-    committed yet, the history is there, and empty.
+    committed yet, the tables are there, and empty.
     """
     manifests = bronze.latest_manifests(manifests)
     pending = gate_ops.pending_batches(manifests, read_applied(spark, root))
     rows = pending.collect()  # the batches of this run only
     applied_now = spark.createDataFrame([(r.ingestion_date, r.batch_id) for r in rows], APPLIED_SCHEMA)
     if not rows:
+        versioned.create_partitioned(spark, silver_path(root), partitions)
         if history:
             versioned.create_partitioned(spark, history_path(root), HISTORY_PARTITIONS)
         return applied_now
