@@ -48,6 +48,40 @@ def test_dedupe_matches_brute_force(spark, data):
     assert got == _latest(rows)
 
 
+@pytest.mark.parametrize("order", [["data"], ["data", "k"], ["data", "a", "b"], ["data", "a", "b", "valor"], ["a", "valor", "data"], ["data", "a", "b", "c", "k"]])
+def test_first_values_match_the_order_of_structs(spark, order):
+    """Few distinct values in every column of the order, NULL among them."""
+    from pyspark.sql import functions as F
+
+    from tslake.operators.gold import first_values
+
+    rnd = random.Random(17)
+    some = lambda *values: rnd.choice([None, *values])
+    rows = [(rnd.choice(["hot", "hot", "x", "y", None]), some(D(2020, 1, 1), D(2020, 1, 2), D(2020, 1, 31)), float(rnd.randint(-3, 3)), some(1, 2), some(0.5, float("nan")), some(7, 8), i) for i in range(400)]
+    rows += [("one", None, 5.0, None, None, None, 400), ("one", None, 4.0, None, 0.0, 1, 401)]
+    df = spark.createDataFrame(rows, "series_name string, data date, valor double, a int, b double, c long, k long").repartition(5)
+    got = first_values(df, ["series_name"], order, "valor").collect()
+    want = df.groupBy("series_name").agg(F.min(F.struct(*dict.fromkeys([*order, "valor"])))["valor"].alias("v"))
+    assert len(got) == 5 and {r.series_name: r.valor for r in got} == {r.series_name: r.v for r in want.collect()}
+
+
+def test_monthly_first_matches_brute_force(spark):
+    """Earliest date, then the keys, of the rows with a value; a month without one has NULL."""
+    rnd = random.Random(5)
+    rows = [(f"s{i % 4}", D(2020, 1 + i % 5, rnd.randint(1, 3)), None if rnd.random() < 0.2 or i % 20 == 7 else float(rnd.randint(1, 50)), rnd.randint(1, 3), rnd.randint(1, 2)) for i in range(600)]
+    df = spark.createDataFrame(rows, "series_name string, data date, valor double, k1 long, k2 int").repartition(5)
+    freq = spark.createDataFrame([("s0", "monthly"), ("s1", "monthly"), ("s3", "monthly"), ("s3", "monthly"), ("s9", "daily")], "series_name string, frequency string")
+    want = {}
+    for s, d, v, k1, k2 in rows:
+        cell = want.setdefault((s, D(d.year, d.month, 1)), [])
+        if v is not None:
+            cell.append((d, k1, k2, v))
+    want = {cell: min(found)[3] if found else None for cell, found in want.items() if cell[0] != "s2"}
+    got = monthly(df, freq, tiebreak=["k1", "k2", "valor"]).collect()
+    assert None in want.values() and len(got) == len(want)
+    assert {(r.series_name, r.reference_month): r.valor for r in got} == want
+
+
 def _monthly_mean(silver):
     acc = defaultdict(list)
     for (s, d), v in silver.items():

@@ -49,6 +49,21 @@ def test_catalog_is_broadcast_and_aggregation_is_two_stage(spark):
     assert "partial_avg" in p  # map-side partial aggregation before the shuffle
 
 
+@pytest.mark.parametrize("tiebreak", [[], ["k1", "k2", "valor"]])
+def test_monthly_neither_sorts_nor_shuffles_observations(spark, tiebreak):
+    """Cells are made where the rows are read, by hash aggregations; the
+    catalogue, whose size no planner knows here, is joined with the cells."""
+    rows = [("hot" if i % 3 == 0 else f"s{i % 9}", D(2020, 1, 1 + i % 28), float(i), i // 40, i % 5) for i in range(3000)]
+    obs = spark.createDataFrame(rows, "series_name string, data date, valor double, k1 int, k2 int")
+    catalog = spark.createDataFrame([("hot", "monthly")] + [(f"s{i}", "daily") for i in range(9)], "series_name string, frequency string")
+    p = plan(monthly(obs, catalog, tiebreak=tiebreak), "simple").split("\n")
+    assert not any("SortAggregate" in line for line in p)
+    joins = [i for i, line in enumerate(p) if "Join" in line]
+    cells = min(i for i, line in enumerate(p) if "HashAggregate(keys=[series_name" in line and "avg" in line)
+    assert joins[0] < cells  # the catalogue's join is above the aggregation
+    assert all("BroadcastHashJoin" in p[i] and "LeftSemi" in p[i] for i in joins[1:])  # with settled cells
+
+
 def test_lags_need_no_global_exchange_over_data(spark):
     months = [D(2000 + i // 12, i % 12 + 1, 1) for i in range(30)]
     long = spark.createDataFrame(
