@@ -168,6 +168,20 @@ def test_watermark_join_does_not_shuffle_observations(spark, low_broadcast):
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p and "hashpartitioning(series_name" not in p
 
 
+def test_ingest_does_not_shuffle_fetched_rows(spark, low_broadcast, tmp_root, monkeypatch):
+    from tslake.plans import pipeline
+    from tslake.sources import bronze
+
+    plans, land = [], bronze.land
+    monkeypatch.setattr(bronze, "land", lambda raw, root: (plans.append(plan(raw, "simple")), land(raw, root)))
+    rows = [("selic" if i % 3 else "unlisted", f"{1 + i % 28:02d}/01/2020", str(i)) for i in range(3000)]
+    fetched = spark.createDataFrame(rows, "series_name string, data string, valor string").repartition(4)
+    catalog = spark.createDataFrame(catalog_frame(spark).where("series_name = 'selic'").collect(), catalog_frame(spark).schema)
+    pipeline.ingest(spark, tmp_root, fetched, "b1", "2020-02-01", catalog=catalog)
+    assert bronze.read_landed(spark, tmp_root).count() == 2000
+    assert "SortMergeJoin" not in plans[0] and "hashpartitioning(series_name" not in plans[0]
+
+
 def test_gate_does_not_shuffle_landed_rows(spark, low_broadcast):
     from tslake.operators import gate as gate_ops
 

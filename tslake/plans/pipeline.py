@@ -75,7 +75,7 @@ def ingest(
             return manifests.limit(0)
     history = small_side(committed_silver_watermarks(spark, root))
     # only catalogue series are ingested (their manifest entries vouch for them)
-    parsed = parse_raw(fetched.join(catalog.select("series_name"), "series_name", "left_semi"))
+    parsed = parse_raw(fetched.join(small_side(catalog.select("series_name")), "series_name", "left_semi"))
     dated = after_watermark(parsed.where(F.col("data").isNotNull()), history, inclusive=inclusive, lookback_days=lookback_days)
     rows = dated.unionByName(parsed.where(F.col("data").isNull()))
     raw = (
