@@ -121,3 +121,19 @@ def test_blocks_are_rejected_unread():
     want = scores >= tenth
     assert (some == docs[want]).all() and (few == scores[want]).all()
     assert len(read) < 0.2 * sum(s.blocks(found[k])[1] - s.blocks(found[k])[0] for k in range(3))
+
+
+def test_shards_pass_as_files(spark):
+    """A shard's row has its path, not its bytes, whatever its size; the file holds all of it."""
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randint(0, 50_000)}" for _ in range(1000)) for _ in range(200)] + ["", None, "solo"]
+    docs = spark.createDataFrame([(i if t != "solo" else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    (row,) = search.index(docs.coalesce(1)).collect()
+    assert sum(len(str(value)) for value in row) < 1000
+    assert (row["n_docs"], row["n_terms"]) == (201, 200_001)
+    found, want = search.read(row["path"]), shard(texts)
+    assert sorted(found.doc_ids[~found.null_ids].tolist()) == list(range(202)) and found.null_ids.sum() == 1
+    for name in set(search.ARRAYS) - {"doc_ids", "null_ids"}:
+        assert (getattr(found, name) == getattr(want, name)).all()
+    some = search.read(row["path"], names=("terms", "hashes"))
+    assert (some.terms == want.terms).all() and (some.hashes == want.hashes).all() and not hasattr(some, "postings")

@@ -1,8 +1,10 @@
 """Ranked lexical search with a Block-Max MaxScore index.
 
-``index`` turns documents into shards, a row each: the documents in ascending
+``index`` turns documents into shards, a file each: the documents in ascending
 order of length, the shard's terms, and for every term its postings (document,
 occurrences) in blocks of ``BLOCK``, packed to as few bytes as the block needs.
+Spark's rows hold the files' paths only: no shard passes the JVM, and a task holds
+one at a time.
 A block's head tells its last document, its most occurrences and its shortest
 document, which bound the score of any posting in it; the bound of a list is the
 largest of its blocks'. As lengths stand in order, neighbouring documents are
@@ -36,21 +38,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tslake.llm import files
 from tslake.llm.common import ALNUM, LOWER_BYTES, equal_spans, hash_spans, held, lowered, row_blocks, share, text_buffer, word_spans
+from tslake.session import work_dir
 
 TOP = 10
 BLOCK = 128
 #: Bytes of text and documents of a shard at most; a longer text is a shard of its own.
 SHARD_BYTES, SHARD_DOCS = 4 << 20, 1 << 16
+#: Shards of a search task, if all cores have one; the later ones profit from its best documents so far.
+TASK_SHARDS = 8
 #: Different terms in a block of items.
 BLOCK_TERMS = 100_000
 WIDTHS = (1, 2, 4)
 
-#: What a shard row holds besides its numbers of documents with terms and of terms: arrays as bytes.
+#: What a shard's file holds: arrays as bytes.
 ARRAYS = {
     "doc_ids": np.int64,
     "null_ids": np.bool_,
@@ -67,7 +73,8 @@ ARRAYS = {
     "places": np.int64,  # where its postings begin,
     "postings": np.uint8,
 }
-INDEX = "n_docs long, n_terms long, " + ", ".join(f"{name} binary" for name in ARRAYS)
+#: A shard's row: its numbers of documents with terms and of terms, and its file.
+INDEX = "n_docs long, n_terms long, path string"
 
 
 def impact(occurrences: np.ndarray, sizes: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
@@ -185,6 +192,23 @@ class Shard:
         return np.cumsum(step, dtype=np.int64), np.frombuffer(self.postings, f"<u{wide[1]}", n, at + n * wide[0]).astype(np.int64)
 
 
+def file_bytes(arrays: dict[str, np.ndarray]) -> pa.Buffer:
+    """A shard's file: an Arrow file of one row, compressed column by column."""
+    row = pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.large_binary()) for a in arrays.values()], names=[*arrays])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_file(sink, row.schema, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as out:
+        out.write_batch(row)
+    return sink.getvalue()
+
+
+def read(path: str, settings: dict[str, str] | None = None, names: tuple[str, ...] = tuple(ARRAYS)) -> Shard:
+    """The shard of a file, with the arrays named."""
+    options = pa.ipc.IpcReadOptions(use_threads=False, included_fields=[list(ARRAYS).index(name) for name in names])
+    with files.open_input(path, settings) as source:
+        row = pa.ipc.open_file(source, options=options).get_batch(0)
+    return Shard(**{name: np.frombuffer(row.column(name)[0].as_buffer(), ARRAYS[name]) for name in names})
+
+
 # --------------------------------------------------------------------- searching
 
 
@@ -254,19 +278,23 @@ class Heap:
 # ------------------------------------------------------------------------- Spark
 
 
-def index(docs: DataFrame, shard_bytes: int = SHARD_BYTES, shard_docs: int = SHARD_DOCS) -> DataFrame:
-    """Shard rows over all of ``docs`` (doc_id, text), made where the documents are read."""
+def index(docs: DataFrame, shard_bytes: int = SHARD_BYTES, shard_docs: int = SHARD_DOCS, folder: str | None = None) -> DataFrame:
+    """Shards over all of ``docs`` (doc_id, text), written to files of ``folder``
+    where the documents are read; a row each. Evaluated again, it writes them
+    again: settle it before it is searched."""
+    spark = docs.sparkSession
+    folder, settings = folder or work_dir(spark, "search-shards"), files.store_settings(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, size, rows = [], 0, 0
+        part, k, parts, size, rows = TaskContext.get().partitionId(), 0, [], 0, 0
 
         def shard() -> pa.RecordBatch:
             ids = pa.concat_arrays([p[0] for p in parts])
             data = np.concatenate([p[1] for p in parts])
             lengths = np.concatenate([np.diff(p[2]) for p in parts])
             made = build(ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False), data, np.append(0, np.cumsum(lengths)))
-            numbers = [[int((made["sizes"] > 0).sum())], [int(made["sizes"].sum())]]
-            return pa.RecordBatch.from_arrays([*map(pa.array, numbers), *(pa.array([a.tobytes()], pa.binary()) for a in made.values())], names=["n_docs", "n_terms", *made])
+            path = files.write(folder, f"part-{part:05d}-{k:05d}", ".arrow", file_bytes(made), settings)
+            return pa.RecordBatch.from_pydict({"n_docs": [int((made["sizes"] > 0).sum())], "n_terms": [int(made["sizes"].sum())], "path": [path]})
 
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
@@ -275,7 +303,7 @@ def index(docs: DataFrame, shard_bytes: int = SHARD_BYTES, shard_docs: int = SHA
                 size, rows = size + len(parts[-1][1]), rows + hi - lo
                 if size >= shard_bytes or rows >= shard_docs:
                     yield shard()
-                    parts, size, rows = [], 0, 0
+                    k, parts, size, rows = k + 1, [], 0, 0
         if parts:
             yield shard()
 
@@ -315,23 +343,24 @@ def blocks(items: DataFrame, block_terms: int = BLOCK_TERMS) -> Iterator[Queries
         yield Queries(kept)
 
 
-def _frequencies(shards: DataFrame, queries: Queries) -> list[int]:
-    """How many documents hold each term of the queries."""
-    spark = shards.sparkSession
+def _frequencies(paths: DataFrame, queries: Queries) -> list[int]:
+    """How many documents of the shards hold each term of the queries."""
+    spark = paths.sparkSession
+    settings = files.store_settings(spark)
     shared = share(spark, (queries.hashes, queries.texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, texts = held(shared)
         total = np.zeros(len(texts), np.int64)
         for batch in batches:
-            for i in range(batch.num_rows):
-                shard = Shard(**{name: np.frombuffer(batch.column(k)[i].as_buffer(), ARRAYS[name]) for k, name in enumerate(("hashes", "term_ends", "terms", "frequencies"))})
+            for path in batch.column(0).to_pylist():
+                shard = read(path, settings, ("hashes", "term_ends", "terms", "frequencies"))
                 for n, at in shard.find(hashes, texts).items():
                     total[n] += shard.frequencies[at]
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "n"])
 
-    found = shards.select("hashes", "term_ends", "terms", "frequencies").mapInArrow(run, "term long, n long")
+    found = paths.mapInArrow(run, "term long, n long")
     out = [0] * len(queries.texts)
     for row in found.groupBy("term").agg(F.sum("n").alias("n")).collect():  # BLOCK_TERMS rows at most
         out[row["term"]] = row["n"]
@@ -344,17 +373,19 @@ FOUND = "item long, item_id long, score long, null_id boolean, doc_id long"
 def search(shards: DataFrame, items: DataFrame, top: int = TOP, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """item_id, rank, doc_id, score: each item's ``top`` documents of the index."""
     spark, out = shards.sparkSession, None
-    n_docs, n_terms = shards.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
+    n_docs, n_terms, n_shards = shards.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0)), F.count(F.lit(1))).first()
+    settings = files.store_settings(spark)
+    paths = shards.select("path").repartition(max(spark.sparkContext.defaultParallelism, -(-n_shards // TASK_SHARDS)))
     for queries in blocks(items, block_terms) if n_docs else ():
-        queries.weights = [weight(n_docs, n) if n else 0 for n in _frequencies(shards, queries)]
+        queries.weights = [weight(n_docs, n) if n else 0 for n in _frequencies(paths, queries)]
         shared = share(spark, queries)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             queries = held(shared)
             heaps = [Heap() for _ in queries.items]
             for batch in batches:
-                for i in range(batch.num_rows):
-                    shard = Shard(**{name: np.frombuffer(batch.column(k)[i].as_buffer(), kind) for k, (name, kind) in enumerate(ARRAYS.items())})
+                for path in batch.column(0).to_pylist():
+                    shard = read(path, settings)
                     place = shard.find(queries.hashes, queries.texts)
                     for heap, counted in zip(heaps, queries.terms):
                         lists = [List(shard, place[n], times * queries.weights[n], n_docs, n_terms) for n, times in counted.items() if n in place and queries.weights[n] > 0]
@@ -368,7 +399,7 @@ def search(shards: DataFrame, items: DataFrame, top: int = TOP, block_terms: int
                 columns = [pa.array([n] * k, pa.int64()), pa.array([item_id] * k, pa.int64()), pa.array(heap.rows[:, 0]), pa.array(null), pa.array(heap.rows[:, 2], mask=null)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in FOUND.split(", ")])
 
-        found = shards.select(*ARRAYS).mapInArrow(run, FOUND)
+        found = paths.mapInArrow(run, FOUND)
         order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc("null_id"), F.asc("doc_id"))
         merged = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
         part = files.settled(spark, merged.select("item_id", "rank", "doc_id", "score"), "search-block")
